@@ -7,22 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, quality, secrets, token_output, tokens, url_filter
+from . import cover_tree, html_extract, mixing, near_dedup, packing, pii, quality, secrets, token_output, tokens, url_filter
 from .common import scratch_path
 from .sql import SQL
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+#: A key for the test tables; a deployment passes its own.
+PII_KEY = "test-tables"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", *[f"n_{k}" for k in pii.KINDS])
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_output.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), tokens.vocabulary(WORD_TOKENIZER), end_id=2)
     return token_output.read_tokens(spark, path)
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     live = F.size(F.filter(F.coalesce("findings", F.array()), lambda f: f["live"])).cast("long")
@@ -46,6 +57,15 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "source", "epoch", "block", "place")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents"), tokens.vocabulary(BYTE_TOKENIZER), end_id=0)
 
