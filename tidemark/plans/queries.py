@@ -1,15 +1,14 @@
-"""The registered queries over the given tables."""
+"""The registered queries over the given tables, and their oracles."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tidemark.plans import market, series  # noqa: F401  they register themselves
+from tidemark.plans.base import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
