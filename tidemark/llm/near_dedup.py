@@ -6,9 +6,10 @@ BAND values are the bucket keys. At a similarity of 0.75 a pair shares no bucket
 
 Equal sets are one node from the start. A bucket is not expanded into pairs: its most central member (the one that meets
 most others over all its buckets) is compared with the rest, and connected components are taken. Only where a bucket still
-holds members of different components are pairs across components formed, inside a join that also asks for a fitting size
-and a sketch distance of at most SKETCH_BITS (a link misses that bound with probability under 1e-8). So big groups of
-copies cost rows in proportion to their members, and no link that could join two components is left out.
+holds members of different components are pairs across components formed, inside a join that also asks for a fitting size,
+for enough shingles that others in such buckets have too (a copy whose own edits no one shares can't reach the similarity
+with anyone), and for a sketch distance of at most SKETCH_BITS (a link misses that bound with probability under 1e-8). So
+big groups of copies cost rows in proportion to their members, and no link that could join two components is left out.
 
 Nulls and ties: null, empty or wordless texts have an empty set, link with nothing and stay. Texts with fewer words than a
 shingle have one shingle, the whole sequence. Rows with equal ids are nodes of their own and end in the same group only if
@@ -148,17 +149,28 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     return found.mapInPandas(rows, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
-def _confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (a, b) with linked: whether 100 * |intersection| >= PERCENT * |union| on full sets."""
-    pairs = pairs.select("a", "b")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = materialise(_sets(docs, nodes.select("node", "doc_id", "text_hash").join(ends, "node"), id_col, text_col), "sets")
-    x = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    x = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     both = x.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).alias("linked"))
 
 
+def _shared_shingles(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, held: how many of its shingles at least one other of the wanted nodes has. No intersection can be larger."""
+    each = sets.join(wanted, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
+    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    return wanted.join(alone, "node", "left").select("node", F.coalesce("alone", F.lit(0)).alias("alone"))
+
+
+def _can_link(x: str, y: str) -> Column:
+    """An upper bound of the intersection, by the shingles that each shares with anyone, still reaches the similarity."""
+    nx, ny = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    most = F.least(nx - F.col(f"{x}.alone"), ny - F.col(f"{y}.alone"))
+    return 100 * most >= PERCENT * (nx + ny - most)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: row_id, doc_id, n_shingles, component_id, kept. See the module's text."""
     sig = materialise(signatures(docs, id_col, text_col), "signatures")
@@ -178,20 +190,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         star.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_plausible("x", "y"))
         .select("a", "b", _distance("x", "y").alias("d"))
     )
+    sets = materialise(_sets(docs, nodes.select("node", "doc_id", "text_hash").join(weight.select("node"), "node"), id_col, text_col), "sets")
     nearest = star.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    checked = materialise(_confirm(docs, nodes, nearest, id_col, text_col), "pairs")
+    checked = materialise(_confirm(sets, nearest), "pairs")
     comps = connected_components(checked.where("linked"))
 
-    def labelled() -> DataFrame:
-        return met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-
     for turn in range(ROUNDS + 1):
-        rows = labelled()
+        rows = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        open_rows = rows.join(split, "key").join(about, "node")
+        open_rows = materialise(rows.join(split, "key").join(about, "node"), "open")
+        if not turn:  # later rounds have fewer open nodes; the bounds stay right
+            bounds = materialise(_shared_shingles(sets, open_rows.select("node").distinct()), "bounds")
+        open_rows = open_rows.join(bounds, "node")
         p, q = open_rows.alias("p"), open_rows.alias("q")
         across = (
-            p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") < F.col("q.comp")) & _plausible("p", "q"))
+            p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") < F.col("q.comp")) & _can_link("p", "q") & _plausible("p", "q"))
             .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"), F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb"), _distance("p", "q").alias("d"))
         )
         done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -201,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         across = materialise(across.select("a", "b"), "across")
         if not across.limit(1).count():
             break
-        new = materialise(_confirm(docs, nodes, across, id_col, text_col), "pairs")
+        new = materialise(_confirm(sets, across), "pairs")
         checked = checked.unionByName(new)
         if new.where("linked").limit(1).count():
             comps = connected_components(checked.where("linked"))
