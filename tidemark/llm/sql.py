@@ -1,3 +1,59 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+_FIT = """(SELECT CASE WHEN k = 0 OR t = 0 THEN 1000.0 ELSE 1 / least(greatest(coalesce((bb - 2 * p0 * b + p0 * p0 * t - p0 * (1 - p0) * (k - 1)) / nullif(p0 * (1 - p0) * (t - nn / t - (k - 1)), 0), 0), 1.0 / 1001), 0.5) - 1 END
+    FROM (SELECT coalesce(sum(bad * bad / n), 0.0) AS bb, coalesce(sum(bad), 0.0) AS b, coalesce(sum(n), 0.0) AS t, coalesce(sum(n * n), 0.0) AS nn, count(*) AS k FROM {g}), corpus)"""
+
+SQL: dict[str, str] = {
+    "op3_cover_tree": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s QUALIFY rank <= 5""",
+    "op5_url_filter": rf"""
+WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), {_AZ}), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+o AS (SELECT host, CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM labels JOIN p ON p.page_id = labels.doc_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
+hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad FROM o GROUP BY 1, 2, 3),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
+corpus AS (SELECT (coalesce(sum(bad), 0.0) + 1) / (coalesce(sum(n), 0.0) + 2) AS p0, coalesce(sum(bad), 0.0) + 1 AS a0, coalesce(sum(n) - sum(bad), 0.0) + 1 AS b0 FROM suffixes),
+fit AS (SELECT p0, a0, b0, {_FIT.format(g="suffixes")} AS m1, {_FIT.format(g="domains")} AS m2, {_FIT.format(g="hosts")} AS m3 FROM corpus),
+s AS (SELECT suffix, m1 * p0 + bad AS a1, m1 * (1 - p0) + n - bad AS b1 FROM suffixes, fit),
+dd AS (SELECT domain, m2 * a1 / (a1 + b1) + bad AS a2, m2 * (1 - a1 / (a1 + b1)) + n - bad AS b2 FROM domains JOIN s USING (suffix), fit),
+h AS (SELECT host, m3 * a2 / (a2 + b2) + bad AS a3, m3 * (1 - a2 / (a2 + b2)) + n - bad AS b3 FROM hosts JOIN dd USING (domain), fit),
+j AS (SELECT page_id, p.host, path, coalesce(a3, a2, a1, a0) AS a, coalesce(b3, b2, b1, b0) AS b FROM p LEFT JOIN h ON h.host = p.host
+    LEFT JOIN dd ON dd.domain = array_to_string(list_slice(string_split(p.host, '.'), -2, -1), '.') LEFT JOIN s ON s.suffix = string_split(p.host, '.')[-1], fit),
+r AS (SELECT *, CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/en/') THEN 'com/en/' WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/de/') THEN 'net/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/es/') THEN 'org/es/' END AS rule FROM j)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.com/en/7', 'net/de/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.25 THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+    "op6_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+dup AS (SELECT doc_id, g FROM tri GROUP BY 1, 2 HAVING count(*) > 1),
+pos AS (SELECT DISTINCT doc_id, i + k AS p FROM tri JOIN dup USING (doc_id, g), (VALUES (0), (1), (2)) o(k)),
+rep AS (SELECT doc_id, count(*) AS n FROM pos GROUP BY 1),
+l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT *, list_filter(lines, lambda x: (len(regexp_extract_all(x, ' [|] ')) < 3 OR len(regexp_extract_all(x, ' [|] ')) * 4 < len(regexp_extract_all(x, '[ \t]+')) + 1)
+    AND (len(regexp_extract_all(x, '[#*$%&|<>]')) < 3 OR len(regexp_extract_all(x, '[#*$%&|<>]')) * 10 <= (len(regexp_extract_all(x, '[ \t]+')) + 1) * 3)
+    AND (len(regexp_extract_all(x, '[!?]')) < 3 OR len(regexp_extract_all(x, '[!?]')) * 10 <= (len(regexp_extract_all(x, '[ \t]+')) + 1) * 3)
+    AND (len(regexp_extract_all(x, '[ \t]+')) >= 3 OR regexp_matches(x, '[.!?:;…)"''»”]\s*$'))
+    AND NOT regexp_matches(lower(x), 'licensed under|all rights reserved|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|sign up for our newsletter|subscribe to our')) AS good FROM l),
+c AS (SELECT g.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, length(array_to_string(good, chr(10))) AS kept_chars, length(array_to_string(lines, chr(10))) AS all_chars FROM g LEFT JOIN rep ON rep.doc_id = g.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND all_chars > 0 AND CAST(kept_chars AS DOUBLE) / nullif(all_chars, 0) >= 0.5 AS kept FROM c""",
+    "op7_near_dedup": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), {_AZ})")} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM d UNION SELECT node, b FROM reach JOIN e ON e.a = other),
+m AS (SELECT node, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+}

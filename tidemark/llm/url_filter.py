@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 #: Fixed values: (verdict, host, path).
 RULES = (
     ("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"),
@@ -59,7 +61,7 @@ def host_reputation(outcomes: DataFrame, two_label: tuple[str, ...] = TWO_LABEL_
 
     Level 0 is the corpus, 1 suffixes, 2 domains, 3 hosts. One row per key: few beside the pages, joined by key.
     """
-    hosts = outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
+    hosts = materialise(outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad")), "hosts")
     hosts = hosts.withColumn("domain", domain_of(F.col("host"), two_label)).withColumn("suffix", suffix_of(F.col("host"), two_label))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -101,7 +103,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, url_col: str = "url", rule
     plain, so Spark may split its pages over tasks.
     """
     col = F.col(url_col)
-    rep = host_reputation(outcomes)
+    rep = materialise(host_reputation(outcomes), "reputation")  # read once for each level
     rule, rule_verdict = rule_columns(F.col("host"), F.col("path"), rules)
     out = pages.withColumn("host", host_of(col)).withColumn("path", path_of(col)).withColumn("rule", rule).withColumn("_verdict", rule_verdict)
     keys = {1: suffix_of(F.col("host")), 2: domain_of(F.col("host")), 3: F.col("host")}
