@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Rows of a data block and of a query block, leaf size and fan-out of a tree, most pivots (bounds, whatever the input).
-DATA_BLOCK, QUERY_BLOCK, LEAF, FAN_OUT, PIVOTS = 4096, 1024, 48, 12, 64
+#: Rows of a data block and of a query block, leaf sizes and fan-out of the trees, most pivots (bounds, whatever the input).
+DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FAN_OUT, PIVOTS = 4096, 1024, 48, 4, 12, 64
 BLOCK_SCHEMA = "block long, pivot int, dims int, n int, rows binary, ids binary, data binary, center array<double>, radius double"
 
 
 class CoverTree:
     """Nodes over the rows of x (float64): center, radius to the farthest row below, row range, children."""
 
-    def __init__(self, x: np.ndarray):
-        self.x, self.order = x, np.arange(len(x))
+    def __init__(self, x: np.ndarray, leaf: int = LEAF):
+        self.x, self.order, self.leaf = x, np.arange(len(x)), leaf
         self.center: list[np.ndarray] = []
         self.radius: list[float] = []
         self.span: list[tuple[int, int]] = []
@@ -48,7 +48,7 @@ class CoverTree:
         self.radius.append(float(dist.max()))
         self.span.append((a, b))
         self.children.append([])
-        if b - a <= LEAF or self.radius[node] == 0:
+        if b - a <= self.leaf or self.radius[node] == 0:
             return node
         # centres that cover the rows within half the radius; what FAN_OUT centres do not cover is a child of its own
         owner, near = np.full(b - a, FAN_OUT), np.full(b - a, np.inf)
@@ -86,7 +86,7 @@ def search_block(q: np.ndarray, q_rows: np.ndarray, d: np.ndarray, d_rows: np.nd
 
     floor: a score of each query below which nothing matters.
     """
-    qt, dt = CoverTree(q), CoverTree(d)
+    qt, dt = CoverTree(q, QUERY_LEAF), CoverTree(d)
     shift = np.int64(max(len(d) - 1, 1).bit_length())
     low = np.int64(-(2**62))
     best = np.full((len(q), k), low)  # score and place in one number: higher score first, then the smaller place
