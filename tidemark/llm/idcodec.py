@@ -32,221 +32,257 @@ _ROOM = _TOTAL - (1 << 16)  # most that orders 1 and 2 may take
 _BITS0 = 15
 _SUM0 = 1 << _BITS0
 _SLOTS_BITS = 12
-_NONE = 1 << 20
-_ESC = 1 << 21
+_NONE = BLOCK  # a prediction that isn't there: past every place an id can have
 _U = np.uint64
+_HASH = (1 << _SLOTS_BITS) - 1
+_WIDTH = BLOCK + 2
 
 
 def _refresh_steps(block: int) -> set[int]:
     steps, n = set(), 64
     while n < block:
         steps.add(n)
-        n += min(n, 512)
+        n += min(n, 1024)
     return steps
 
 
 class _Model:
-    """The state of `lanes` blocks, each at the same position."""
+    """The state of `lanes` blocks, each at the same position. An id is known by its place: the how-manieth new id it was.
+
+    Tables are flat, a lane's part starting at lane * its width. All steps are the same for every lane; masks are factors.
+    """
 
     def __init__(self, lanes: int, decode: bool):
-        self.rows = np.arange(lanes)
-        self.local = np.full((lanes, 1 << 16), 0xFFFF, np.uint16)  # id -> place in order of first occurrence
-        self.ids = np.zeros((lanes, BLOCK + 1), np.uint16)  # and back
+        rows = np.arange(lanes)
+        self.lanes, self.at = lanes, rows
+        self.local = np.full(lanes << 16, _NONE, np.uint16)  # id -> place
+        self.local_at = rows << 16
         self.seen = np.zeros(lanes, np.int64)
-        self.counts = np.zeros((lanes, BLOCK + 2), np.int32)
-        self.cum = np.full((lanes, BLOCK + 2), 0, np.int32)  # order-0 cumulative; from `known` on all that is not escape
-        self.known = np.zeros(lanes, np.int64)
-        self.esc = np.zeros(lanes, np.int64)  # where the escape's share starts
-        self.slot = np.full((lanes, _SUM0), 0, np.uint16) if decode else None
-        self.next1 = np.full((lanes, 1 << _SLOTS_BITS), 0xFFFF, np.uint16)
-        self.next2 = np.full((lanes, 1 << _SLOTS_BITS), 0xFFFF, np.uint16)
+        self.counts = np.zeros(lanes * _WIDTH, np.int64)
+        self.cum = np.zeros(lanes * _WIDTH, np.int32)  # order-0 cumulative; from the last known place on where escape starts
+        self.cum_at = rows * _WIDTH
+        self.esc = np.zeros(lanes, np.int64)
+        self.slot = np.zeros(lanes << _BITS0, np.uint16) if decode else None
+        self.slot_at = rows << _BITS0
+        self.next1 = np.full(lanes << _SLOTS_BITS, _NONE, np.uint16)
+        self.next2 = np.full(lanes << _SLOTS_BITS, _NONE, np.uint16)
+        self.next_at = rows << _SLOTS_BITS
         self.trust1 = np.full(lanes, 1 << 13, np.int64)
         self.trust2 = np.full(lanes, 1 << 14, np.int64)
-        self.h1 = np.zeros(lanes, np.int64)
-        self.h2 = np.zeros(lanes, np.int64)
-        self.last = np.zeros(lanes, np.int64)
         self.steps = _refresh_steps(BLOCK)
+        self.counted = 0
 
-    def refresh(self, t: int) -> None:
+    def refresh(self, t: int, places: np.ndarray) -> None:
+        """Order-0 shares from the first t places (position by lane) of every block."""
+        own = places[self.counted : t].astype(np.int64) + self.cum_at
+        self.counts += np.bincount(own.ravel(), minlength=len(self.counts))
+        self.counted = t
         n = int(self.seen.max())
-        counts = self.counts[:, :n].astype(np.int64)
-        spare = (_SUM0 - 64 - self.seen)[:, None]
-        freq = np.where(counts > 0, 1 + counts * spare // t, 0)
-        self.cum[:, 0] = 0
-        np.cumsum(freq, axis=1, out=self.cum[:, 1 : n + 1])
-        self.known = self.seen.copy()
-        self.esc = self.cum[self.rows, n].astype(np.int64)
-        self.cum[:, n + 1 :] = self.esc[:, None]
+        counts = self.counts.reshape(self.lanes, _WIDTH)[:, :n].astype(np.int32)
+        spare = (_SUM0 - 64 - self.seen).astype(np.int32)[:, None]
+        freq = counts * spare // np.int32(t) + (counts > 0)
+        cum = self.cum.reshape(self.lanes, _WIDTH)
+        np.cumsum(freq, axis=1, out=cum[:, 1 : n + 1])
+        self.esc = cum[:, n].astype(np.int64)
+        cum[:, n + 1 :] = cum[:, n : n + 1]
         if self.slot is not None:
-            marks = np.zeros((len(self.rows), _SUM0 + 1), np.uint16)
+            marks = np.zeros((self.lanes, _SUM0 + 1), np.uint16)
             r, c = np.nonzero(freq)
-            marks[r, self.cum[r, c + 1]] = 1
-            np.cumsum(marks[:, :_SUM0], axis=1, dtype=np.uint16, out=self.slot)
-
-    def predict(self, t: int):
-        if t in self.steps:
-            self.refresh(t)
-        p1 = self.next1[self.rows, self.h1].astype(np.int64)
-        p2 = self.next2[self.rows, self.h2].astype(np.int64)
-        has1, has2 = p1 != 0xFFFF, p2 != 0xFFFF
-        q2 = np.where(has2, (self.trust2 * _ROOM) >> 16, 0)
-        q1 = np.where(has1, (self.trust1 * (_ROOM - q2)) >> 16, 0)
-        self.p1, self.p2, self.has1, self.has2 = np.where(has1, p1, _NONE), np.where(has2, p2, _NONE), has1, has2
-        self.q1, self.q2, self.q0 = q1, q2, _TOTAL - q1 - q2
-
-    def update(self, i: np.ndarray, ids: np.ndarray) -> None:
-        """i: each lane's place of the id just coded; new ids already have one."""
-        self.counts[self.rows, i] += 1
-        self.trust1 += np.where(self.has1, (np.where(self.p1 == i, 65000, 300) - self.trust1) >> 5, 0)
-        self.trust2 += np.where(self.has2, (np.where(self.p2 == i, 65000, 300) - self.trust2) >> 5, 0)
-        self.next1[self.rows, self.h1] = i
-        self.next2[self.rows, self.h2] = i
-        self.h1 = (ids * 40503 >> 4) & ((1 << _SLOTS_BITS) - 1)
-        self.h2 = (self.last * 25321 + ids * 40503 >> 4) & ((1 << _SLOTS_BITS) - 1)
-        self.last = ids
-
-
-def _encode_lanes(x: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """x: lanes by position, uint16; lengths fall or stay from lane to lane. Returns each lane's digits."""
+            marks[r, cum[r, c + 1]] = 1
+            np.cumsum(marks[:, :_SUM0], axis=1, dtype=np.uint16, out=self.slot.reshape(self.lanes, _SUM0))
+
+    def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
+        """h1, h2: where the contexts' predictions are in next1 and next2."""
+        self.p1, self.p2 = self.next1.take(h1).astype(np.int64), self.next2.take(h2).astype(np.int64)
+        self.has1, self.has2 = self.p1 != _NONE, self.p2 != _NONE
+        self.q2 = (self.trust2 * _ROOM >> 16) * self.has2
+        self.q1 = (self.trust1 * (_ROOM - self.q2) >> 16) * self.has1
+        self.q0 = _TOTAL - self.q1 - self.q2
+
+    def interval(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and size of place i in the mixed distribution, and the lanes where it has none and escape is coded."""
+        k = self.cum_at + i
+        a, b = self.cum.take(k) * self.q0 >> _BITS0, self.cum.take(k + 1) * self.q0 >> _BITS0
+        self.hit1, self.hit2 = self.p1 == i, self.p2 == i
+        start = a + self.q2 * (self.p2 < i) + self.q1 * (self.p1 < i)
+        size = b - a + self.q2 * self.hit2 + self.q1 * self.hit1
+        k = np.flatnonzero(size == 0)
+        if len(k):
+            escape = self.esc[k] * self.q0[k] >> _BITS0
+            start[k], size[k] = escape + self.q1[k] + self.q2[k], self.q0[k] - escape
+        return start, size, k
+
+    def learn(self, i: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> None:
+        self.trust1 += ((self.hit1 * 64700 + 300 - self.trust1) >> 5) * self.has1
+        self.trust2 += ((self.hit2 * 64700 + 300 - self.trust2) >> 5) * self.has2
+        self.next1[h1] = i
+        self.next2[h2] = i
+
+
+def _contexts(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the contexts that follow ids, with last before it."""
+    return (ids * 40503 >> 4) & _HASH, (last * 25321 + ids * 40503 >> 4) & _HASH
+
+
+_ALL = _U(2**64 - 1)
+
+
+def _encode_lanes(x: np.ndarray) -> list[np.ndarray]:
+    """x: lanes by position, uint16. Returns each lane's digits."""
     lanes, width = x.shape
     m = _Model(lanes, decode=False)
+    ids_at = np.ascontiguousarray(x.T).astype(np.int64)
+    before = np.zeros_like(ids_at)
+    before[1:] = ids_at[:-1]
+    c1, c2 = _contexts(ids_at, before)
+    first = np.zeros((1, lanes), np.int64)
+    h1s, h2s = np.concatenate([first, c1[:-1]]) + m.next_at, np.concatenate([first, c2[:-1]]) + m.next_at
     low, rng = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
-    digits = np.zeros((lanes, 2 * width + 2 * width + 8), np.uint32)
-    at = np.zeros(lanes, np.int64)
-
-    def put(live, start, size, bits):
-        nonlocal low, rng
-        r = rng >> _U(bits)
-        low = np.where(live, low + r * start.astype(_U), low)
-        rng = np.where(live, r * size.astype(_U), rng)
-        for _ in range(2):
-            small = live & (rng < _U(1 << 32))
-            if not small.any():
-                break
-            k = np.flatnonzero(small)
-            digits[k, at[k]] = (low[k] >> _U(32)).astype(np.uint32)
-            at[k] += 1
-            low[k] = (low[k] & _U(0xFFFFFFFF)) << _U(16)
-            rng[k] <<= _U(16)
-
-    rows = m.rows
-    sixteen = np.ones(lanes, np.int64)
+    room = 2 * width + 8
+    digits = np.zeros(lanes * room, np.uint32)
+    at = np.arange(lanes) * room
+    places = np.zeros((width, lanes), np.uint16)
+    low32, least = _U(0xFFFFFFFF), _U(1 << 32)
+
+    def shift(k: np.ndarray) -> None:
+        digits[at[k]] = low[k] >> _U(32)
+        at[k] += 1
+        low[k] = (low[k] & low32) << _U(16)
+        rng[k] <<= _U(16)
+
     for t in range(width):
-        live = lengths > t
-        ids = x[:, t].astype(np.int64)
-        i = m.local[rows, ids].astype(np.int64)
-        fresh = i == 0xFFFF
-        m.predict(t)
-        at_i = np.where(fresh, 0, i)
-        c0, c1 = m.cum[rows, at_i].astype(np.int64), m.cum[rows, at_i + 1].astype(np.int64)
-        size = np.where(fresh, 0, (c1 * m.q0 >> _BITS0) - (c0 * m.q0 >> _BITS0) + m.q2 * (m.p2 == i) + m.q1 * (m.p1 == i))
-        escape = size == 0
-        j = np.where(escape, _ESC, i)
-        start = (np.where(escape, m.esc, c0) * m.q0 >> _BITS0) + m.q2 * (m.p2 < j) + m.q1 * (m.p1 < j)
-        size = np.where(escape, m.q0 - (m.esc * m.q0 >> _BITS0), size)
-        put(live, start, size, _TOTAL_BITS)
-        escape &= live
-        if escape.any():
-            put(escape, ids, sixteen, 16)
-        if fresh.any():
-            k = np.flatnonzero(fresh)
+        if t in m.steps:
+            m.refresh(t, places)
+        ids = ids_at[t]
+        where = m.local_at + ids
+        i = m.local.take(where).astype(np.int64)
+        k = np.flatnonzero(i == _NONE)
+        if len(k):
             i[k] = m.seen[k]
-            m.local[k, ids[k]] = i[k]
+            m.local[where[k]] = i[k]
             m.seen[k] += 1
-        m.update(i, ids)
+        m.predict(h1s[t], h2s[t])
+        start, size, escaped = m.interval(i)
+        r = rng >> _U(_TOTAL_BITS)
+        low += r * start.view(_U)
+        rng = r * size.view(_U)
+        small = rng < least  # every lane writes its digit; those that need no shift write over it later
+        digits[at] = low >> _U(32)
+        at += small
+        by = small.astype(_U) << _U(4)
+        low = (low & (_ALL >> (by + by))) << by
+        rng <<= by
+        k = np.flatnonzero(rng < least)
+        if len(k):
+            shift(k)
+        if len(escaped):
+            r = rng[escaped] >> _U(16)
+            low[escaped] += r * ids[escaped].view(_U)
+            rng[escaped] = r
+            for _ in range(2):
+                k = escaped[rng[escaped] < least]
+                if len(k):
+                    shift(k)
+        places[t] = i
+        m.learn(i, h1s[t], h2s[t])
     for _ in range(3):
-        digits[rows, at] = (low >> _U(32)).astype(np.uint32)
+        digits[at] = low >> _U(32)
         at += 1
-        low = (low & _U(0xFFFFFFFF)) << _U(16)
+        low = (low & low32) << _U(16)
+    ends = at - np.arange(lanes) * room
+    table = digits.reshape(lanes, room)
     while True:  # carries go to the digit before
-        over = digits >> 16
+        over = table >> 16
         if not over.any():
             break
-        digits &= 0xFFFF
-        digits[:, :-1] += over[:, 1:]
-    return [digits[k, : at[k]].astype("<u2") for k in range(lanes)]
+        table &= 0xFFFF
+        table[:, :-1] += over[:, 1:]
+    return [table[k, : ends[k]].astype("<u2") for k in range(lanes)]
 
 
-def _decode_lanes(codes: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
-    lanes, width = len(codes), int(lengths.max())
+def _decode_lanes(codes: list[np.ndarray], width: int) -> np.ndarray:
+    lanes = len(codes)
     m = _Model(lanes, decode=True)
-    rows = m.rows
-    digits = np.zeros((lanes, max(map(len, codes)) + 4), np.uint64)
+    room = max(map(len, codes)) + 8
+    digits = np.zeros(lanes * room, _U)
     for k, c in enumerate(codes):
-        digits[k, : len(c)] = c
-    code = (digits[:, 0] << _U(32)) | (digits[:, 1] << _U(16)) | digits[:, 2]
+        digits[k * room : k * room + len(c)] = c
+    at = np.arange(lanes) * room
+    code = (digits[at] << _U(32)) | (digits[at + 1] << _U(16)) | digits[at + 2]
+    at += 3
+    last_digit = np.arange(lanes) * room + room - 1
     rng = np.full(lanes, 1 << 48, _U)
-    at = np.full(lanes, 3, np.int64)
-    last_digit = digits.shape[1] - 1
-    out = np.zeros((lanes, width), np.uint16)
-
-    def take(live, r, start, size):
-        nonlocal code, rng
-        code = np.where(live, code - r * start.astype(_U), code)
-        rng = np.where(live, r * size.astype(_U), rng)
-        for _ in range(2):
-            small = live & (rng < _U(1 << 32))
-            if not small.any():
-                break
-            k = np.flatnonzero(small)
-            code[k] = (code[k] << _U(16)) | digits[k, np.minimum(at[k], last_digit)]
-            at[k] += 1
-            rng[k] <<= _U(16)
-
-    sixteen = np.ones(lanes, np.int64)
+    out, places = np.zeros((width, lanes), np.uint16), np.zeros((width, lanes), np.uint16)
+    ids_of = np.zeros(lanes * _WIDTH, np.uint16)  # place -> id
+    least, most = _U(1 << 32), _U(_TOTAL - 1)
+    last = np.zeros(lanes, np.int64)
+    h1 = h2 = m.next_at
+
+    def shift(k: np.ndarray) -> None:
+        code[k] = (code[k] << _U(16)) | digits[at[k]]
+        at[k] = np.minimum(at[k] + 1, last_digit[k])
+        rng[k] <<= _U(16)
+
     for t in range(width):
-        live = lengths > t
-        m.predict(t)
+        if t in m.steps:
+            m.refresh(t, places)
+        m.predict(h1, h2)
         r = rng >> _U(_TOTAL_BITS)
-        target = np.minimum(code // r, _U(_TOTAL - 1)).astype(np.int64)
-        both = m.p1 == m.p2
-        lo = np.minimum(m.p1, m.p2)
-        hi = np.where(both, _NONE, np.maximum(m.p1, m.p2))
-        first_is_2 = m.p2 <= m.p1
-        qlo = np.where(both, m.q1 + m.q2, np.where(first_is_2, m.q2, m.q1))
-        qhi = np.where(both, 0, np.where(first_is_2, m.q1, m.q2))
-
-        def bounds(p):
-            k = np.where(p == _NONE, 0, p)
-            a = np.where(p == _NONE, _TOTAL, m.cum[rows, k].astype(np.int64) * m.q0 >> _BITS0)
-            return a, np.where(p == _NONE, 0, m.cum[rows, k + 1].astype(np.int64) * m.q0 >> _BITS0)
-
-        alo, blo = bounds(lo)
-        ahi, bhi = bounds(hi)
-        after_lo = target >= alo
-        is_lo = after_lo & (target < blo + qlo)
-        shifted = np.where(after_lo & ~is_lo, target - qlo, target)
-        beyond = after_lo & ~is_lo & (shifted >= ahi)
-        is_hi = beyond & (shifted < bhi + qhi)
-        plain = np.where(beyond & ~is_hi, shifted - qhi, shifted)
+        target = np.minimum(code // r, most).view(np.int64)
+        plain, inside = target.copy(), []
+        for p, q, other, q_other in ((m.p1, m.q1, m.p2, m.q2), (m.p2, m.q2, m.p1, m.q1)):
+            k = m.cum_at + p
+            a, b = m.cum.take(k) * m.q0 >> _BITS0, m.cum.take(k + 1) * m.q0 >> _BITS0
+            a += q_other * (other < p)
+            after = target >= a
+            inside.append(after & (target - a < b - (m.cum.take(k) * m.q0 >> _BITS0) + q + q_other * (other == p)))
+            plain -= q * after
         u = np.minimum(((plain + 1) * _SUM0 - 1) // m.q0, _SUM0 - 1)
-        escape = ~is_lo & ~is_hi & (u >= m.esc)
-        i = np.where(is_lo, lo, np.where(is_hi, hi, m.slot[rows, u].astype(np.int64)))
-        i = np.where(escape, 0, np.minimum(i, BLOCK))
-        c0, c1 = m.cum[rows, i].astype(np.int64), m.cum[rows, i + 1].astype(np.int64)
-        j = np.where(escape, _ESC, i)
-        size = np.where(escape, m.q0 - (m.esc * m.q0 >> _BITS0), (c1 * m.q0 >> _BITS0) - (c0 * m.q0 >> _BITS0) + m.q2 * (m.p2 == i) + m.q1 * (m.p1 == i))
-        start = (np.where(escape, m.esc, c0) * m.q0 >> _BITS0) + m.q2 * (m.p2 < j) + m.q1 * (m.p1 < j)
-        take(live, r, start, size)
-        ids = m.ids[rows, i].astype(np.int64)
-        escape &= live
-        if escape.any():
-            r = rng >> _U(16)
-            raw = np.minimum(code // np.maximum(r, _U(1)), _U(0xFFFF)).astype(np.int64)
-            take(escape, r, raw, sixteen)
-            ids = np.where(escape, raw, ids)
-            k = np.flatnonzero(escape)
-            place = m.local[k, ids[k]].astype(np.int64)
-            fresh = place == 0xFFFF
+        i = np.minimum(m.slot.take(m.slot_at + np.maximum(u, 0)), _NONE).astype(np.int64)
+        escape = u >= m.esc
+        for p, hit in zip((m.p1, m.p2), inside, strict=True):
+            np.copyto(i, p, where=hit)
+            escape &= ~hit
+        np.copyto(i, _NONE, where=escape)
+        start, size, escaped = m.interval(i)
+        code -= r * start.view(_U)
+        rng = r * size.view(_U)
+        small = rng < least
+        by = small.astype(_U) << _U(4)
+        code = (code << by) | (digits[at] * small)
+        at = np.minimum(at + small, last_digit)
+        rng <<= by
+        k = np.flatnonzero(rng < least)
+        if len(k):
+            shift(k)
+        ids = ids_of.take(m.cum_at + i).astype(np.int64)
+        if len(escaped):
+            k = escaped
+            r = np.maximum(rng[k] >> _U(16), _U(1))
+            raw = np.minimum(code[k] // r, _U(0xFFFF))
+            code[k] -= r * raw
+            rng[k] = r
+            for _ in range(2):
+                j = k[rng[k] < least]
+                if len(j):
+                    shift(j)
+            raw = raw.view(np.int64)
+            ids[k] = raw
+            where = m.local_at[k] + raw
+            place = m.local[where].astype(np.int64)
+            fresh = np.flatnonzero(place == _NONE)
             f = k[fresh]
             place[fresh] = m.seen[f]
-            m.local[f, ids[f]] = place[fresh]
-            m.ids[f, place[fresh]] = ids[f]
+            m.local[where[fresh]] = place[fresh]
+            ids_of[m.cum_at[f] + place[fresh]] = raw[fresh]
             m.seen[f] += 1
             i[k] = place
-        out[:, t] = ids
-        m.update(i, ids)
-    return out
+            m.hit1[k] = m.hit2[k] = False
+        out[t], places[t] = ids, i
+        m.learn(i, h1, h2)
+        c1, c2 = _contexts(ids, last)
+        h1, h2, last = c1 + m.next_at, c2 + m.next_at, ids
+    return out.T
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -267,14 +303,11 @@ def encode(ids: np.ndarray) -> bytes:
     codes: list[np.ndarray] = []
     for b in range(0, blocks, LANES):
         own = lengths[b : b + LANES]
-        x = np.zeros((len(own), int(own.max())), np.uint16)
+        width = int(own.max())
+        x = np.zeros(len(own) * width, np.uint16)  # a short last block is filled up with zeros, which cost next to nothing
         part = ids16[b * BLOCK : b * BLOCK + int(own.sum())]
-        full = len(part) // BLOCK
-        if full:
-            x[:full] = part[: full * BLOCK].reshape(full, BLOCK)
-        if full < len(own):
-            x[full, : len(part) - full * BLOCK] = part[full * BLOCK :]
-        codes += _encode_lanes(x, own)
+        x[: len(part)] = part
+        codes += _encode_lanes(x.reshape(len(own), width))
     crcs = [zlib.crc32(ids[b * BLOCK : b * BLOCK + int(lengths[b])].astype("<u4").tobytes()) for b in range(blocks)]
     head = MAGIC + struct.pack("<IQII", BLOCK, n, blocks, len(table)) + table.astype("<u4").tobytes()
     index = b"".join(struct.pack("<III", int(k), len(c), crc) for k, c, crc in zip(lengths, codes, crcs, strict=True))
@@ -296,10 +329,15 @@ def decode(payload: bytes, blocks: slice | None = None) -> np.ndarray:
     starts = pos + 2 * np.concatenate([[0], np.cumsum(index[:, 1].astype(np.int64))])
     out = []
     wanted = range(count)[blocks or slice(None)]
-    for b in range(0, len(wanted), LANES):
-        part = wanted[b : b + LANES]
+    groups: dict[int, list[int]] = {}
+    for k in wanted:
+        groups.setdefault(k // LANES, []).append(k)
+    for part in groups.values():
         lengths = np.array([index[k, 0] for k in part], np.int64)
-        x = _decode_lanes([np.frombuffer(payload, "<u2", int(index[k, 1]), int(starts[k])) for k in part], lengths)
+        # a short last block was coded beside its neighbours, as long as they are
+        first = part[0] // LANES * LANES
+        width = int(index[first : first + LANES, 0].max())
+        x = _decode_lanes([np.frombuffer(payload, "<u2", int(index[k, 1]), int(starts[k])) for k in part], width)
         for k, row, n in zip(part, x, lengths, strict=True):
             ids = row[:n].astype(np.uint32)
             ids = table[ids] if distinct else ids
