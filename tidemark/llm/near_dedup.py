@@ -4,11 +4,11 @@ A document's set holds its distinct word shingles. Each of PERMUTATIONS hash fun
 minimum and the maximum over the set, so a signature of 2 * PERMUTATIONS values costs half the hash evaluations; bands of
 BAND values are the bucket keys. At a similarity of 0.75 a pair shares no bucket with probability (1 - 0.75^3)^32 = 2e-8.
 
-Equal sets are one node from the start. A bucket is not expanded into pairs: its most central member (the one that meets
-most others over all its buckets) is compared with the rest, and connected components are taken. Only where a bucket still
+Equal sets are one node from the start. A bucket is not expanded into pairs: its most central member (the one with the
+least share of shingles that no one else has) is compared with the rest, and connected components are taken. Only where a bucket still
 holds members of different components are pairs across components formed, inside a join that also asks for a fitting size,
-for enough shingles that others in such buckets have too (a copy whose own edits no one shares can't reach the similarity
-with anyone), and for a sketch distance of at most SKETCH_BITS (a link misses that bound with probability under 1e-8). So
+for an intersection that can be large enough (shingles that no one shares don't count, nor those in cells of the hash range
+where the other has none: copies with edits of their own in different places drop out), and for a sketch distance of at most SKETCH_BITS (a link misses that bound with probability under 1e-8). So
 big groups of copies cost rows in proportion to their members, and no link that could join two components is left out.
 
 Nulls and ties: null, empty or wordless texts have an empty set, link with nothing and stay. Texts with fewer words than a
@@ -31,7 +31,7 @@ from .components import connected_components
 WORDS, PERCENT = 5, 75
 PERMUTATIONS, BAND = 48, 3
 SKETCH_BITS = 60
-ROUNDS = 3
+ROUNDS = 1
 _U = np.uint64
 SIGNATURE = "row_id long, doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, s0 long, s1 long, s2 long"
 
@@ -157,18 +157,41 @@ def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("a", "b", (100 * common >= PERCENT * (F.size("x") + F.size("y") - common)).alias("linked"))
 
 
-def _shared_shingles(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, held: how many of its shingles at least one other of the wanted nodes has. No intersection can be larger."""
-    each = sets.join(wanted, "node", "left_semi").select("node", F.explode("shingles").alias("s"))
-    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    return wanted.join(alone, "node", "left").select("node", F.coalesce("alone", F.lit(0)).alias("alone"))
+CELLS = 8  # 64-bit words of a profile
+
+
+def _profiles(sets: DataFrame) -> DataFrame:
+    """node, held: how many of its shingles another node of sets has too; c0 ... c7: which of 512 cells those fall into."""
+    each = sets.select("node", F.explode("shingles").alias("s"))
+    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.collect_list("s").alias("alone"))
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for node, shingles, own in batch.itertuples(index=False):
+                shared = shingles if own is None else np.setdiff1d(shingles, own, assume_unique=True)
+                bits = np.zeros(64 * CELLS, np.uint8)
+                bits[(shared >> 20) & (64 * CELLS - 1)] = 1
+                out.append((node, len(shared), *np.packbits(bits).view(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "held", *[f"c{k}" for k in range(CELLS)]])
+
+    both = sets.join(alone, "node", "left").select("node", "shingles", "alone")
+    return both.mapInPandas(rows, "node long, held long, " + ", ".join(f"c{k} long" for k in range(CELLS)))
 
 
 def _can_link(x: str, y: str) -> Column:
-    """An upper bound of the intersection, by the shingles that each shares with anyone, still reaches the similarity."""
+    """An upper bound of the intersection still reaches the similarity.
+
+    Only shingles that each shares with anyone can be in it, and of those none in a cell where the other has none.
+    """
     nx, ny = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-    most = F.least(nx - F.col(f"{x}.alone"), ny - F.col(f"{y}.alone"))
-    return 100 * most >= PERCENT * (nx + ny - most)
+
+    def most(p: str, q: str) -> Column:
+        apart = [F.bit_count(F.col(f"{p}.c{k}").bitwiseAND(F.bitwise_not(F.col(f"{q}.c{k}")))) for k in range(CELLS)]
+        return F.col(f"{p}.held") - sum(apart, F.lit(0))
+
+    common = F.least(most(x, y), most(y, x))
+    return 100 * common >= PERCENT * (nx + ny - common)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,26 +205,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = materialise(keys.join(shared, "key"), "buckets")  # key, node, size
     weight = met.groupBy("node").agg(F.sum("size").alias("weight"))
-    central = met.select("key", "node").join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", F.xxhash64("node"), "node")).alias("m")).select("key", F.col("m.node").alias("a"))
-    about = nodes.select("node", "n_shingles", "s0", "s1", "s2")
+    sets = materialise(_sets(docs, nodes.select("node", "doc_id", "text_hash").join(weight.select("node"), "node"), id_col, text_col), "sets")
+    about = nodes.select("node", "n_shingles", "s0", "s1", "s2").join(weight, "node").join(_profiles(sets), "node")
+    about = materialise(about, "about")
+    # the centre of a bucket has the least share of shingles for itself: copies are nearer to it than to each other
+    own = (1 - F.col("held") / F.col("n_shingles")).alias("own")
+    central = met.select("key", "node").join(about.select("node", own, (-F.col("weight")).alias("w")), "node")
+    central = central.groupBy("key").agg(F.min(F.struct("own", "w", F.xxhash64("node"), "node")).alias("m")).select("key", F.col("m.node").alias("a"))
     star = met.select("key", F.col("node").alias("b")).join(central, "key").where("a <> b").select("a", "b").distinct()
     x, y = about.alias("x"), about.alias("y")
     star = (
-        star.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_plausible("x", "y"))
-        .select("a", "b", _distance("x", "y").alias("d"))
+        star.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_can_link("x", "y") & _plausible("x", "y"))
+        .select("a", "b", _distance("x", "y").alias("d"), (1 - F.col("x.held") / F.col("x.n_shingles")).alias("own"))
     )
-    sets = materialise(_sets(docs, nodes.select("node", "doc_id", "text_hash").join(weight.select("node"), "node"), id_col, text_col), "sets")
-    nearest = star.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    checked = materialise(_confirm(sets, nearest), "pairs")
+    best = star.groupBy("b").agg(F.min(F.struct("d", "a")).alias("near"), F.min(F.struct("own", "d", "a")).alias("mid"))
+    first = best.select(F.explode(F.array_distinct(F.array("near.a", "mid.a"))).alias("a"), "b")
+    checked = materialise(_confirm(sets, first), "pairs")
     comps = connected_components(checked.where("linked"))
 
     for turn in range(ROUNDS + 1):
         rows = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        open_rows = materialise(rows.join(split, "key").join(about, "node"), "open")
-        if not turn:  # later rounds have fewer open nodes; the bounds stay right
-            bounds = materialise(_shared_shingles(sets, open_rows.select("node").distinct()), "bounds")
-        open_rows = open_rows.join(bounds, "node")
+        open_rows = materialise(rows.join(split, "key").join(about.drop("weight"), "node"), "open")
         p, q = open_rows.alias("p"), open_rows.alias("q")
         across = (
             p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") < F.col("q.comp")) & _can_link("p", "q") & _plausible("p", "q"))
