@@ -20,10 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, shuffle_width
 
-#: Rows of a data block and of a query block, leaf sizes and fan-out of the trees, most pivots (bounds, whatever the input).
+#: Rows of a data block and of a query block, leaf sizes and fan-out of the trees, most pivots (bounds, whatever the input);
+#: PRODUCT: queries by data rows that are scored by one matrix product.
 DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FAN_OUT, PIVOTS = 4096, 1024, 48, 4, 12, 64
+PRODUCT = (64, 512)
 BLOCK_SCHEMA = "block long, pivot int, dims int, n int, rows binary, ids binary, data binary, center array<double>, radius double"
 
 
@@ -38,6 +40,8 @@ class CoverTree:
         self.children: list[list[int]] = []
         if len(x):
             self._build(0, len(x))
+        self.centers, self.radii = np.array(self.center), np.array(self.radius)
+        self.norms = np.linalg.norm(self.centers, axis=-1) if len(x) else np.zeros(0)
 
     def _build(self, a: int, b: int) -> int:
         rows = self.order[a:b]
@@ -50,13 +54,14 @@ class CoverTree:
         self.children.append([])
         if b - a <= self.leaf or self.radius[node] == 0:
             return node
-        # centres that cover the rows within half the radius; what FAN_OUT centres do not cover is a child of its own
-        owner, near = np.full(b - a, FAN_OUT), np.full(b - a, np.inf)
-        pick = int(dist.argmax())
+        # centres, each the row farthest from those before, until they cover all rows within half the radius or are FAN_OUT;
+        # every row goes to its nearest centre, and the child's own radius is measured
+        owner, near = np.zeros(b - a, int), np.full(b - a, np.inf)
+        pick, square = int(dist.argmax()), (pts**2).sum(axis=1)
         for k in range(FAN_OUT):
-            d = np.sqrt(np.maximum(((pts - pts[pick]) ** 2).sum(axis=1), 0))
-            closer = (d < near) & ((d <= self.radius[node] / 2) | (np.arange(b - a) == pick))
-            owner[closer], near = k, np.where(d < near, d, near)
+            d = np.sqrt(np.maximum(square - 2 * (pts @ pts[pick]) + square[pick], 0))
+            owner[d < near] = k
+            near = np.minimum(near, d)
             pick = int(near.argmax())
             if near[pick] <= self.radius[node] / 2:
                 break
@@ -75,49 +80,66 @@ class CoverTree:
         return node
 
 
-def bound(qc: np.ndarray, qr, dc: np.ndarray, dr):
-    """Most that an inner product can be between balls, with room for rounding."""
-    nq, nd = np.linalg.norm(qc, axis=-1), np.linalg.norm(dc, axis=-1)
-    return (qc * dc).sum(axis=-1) + qr * nd + dr * nq + qr * dr + 1e-6 * (1 + (nq + qr) * (nd + dr))
+def bounds(qt: CoverTree, i: list[int], dt: CoverTree, j: list[int]) -> np.ndarray:
+    """Most that an inner product can be between the balls of nodes i and j, with room for rounding; i by j."""
+    nq, qr, nd, dr = qt.norms[i][:, None], qt.radii[i][:, None], dt.norms[j][None, :], dt.radii[j][None, :]
+    return qt.centers[i] @ dt.centers[j].T + qr * nd + dr * nq + qr * dr + 1e-6 * (1 + (nq + qr) * (nd + dr))
 
 
 def search_block(q: np.ndarray, q_rows: np.ndarray, d: np.ndarray, d_rows: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best data rows of each query: (query place, data place, score). d is in order of id; q_rows and d_rows name rows.
 
-    floor: a score of each query below which nothing matters.
+    floor: a score of each query below which nothing matters. A pair of nodes small enough for one matrix product is scored
+    at once unless the children's bounds spare half of it.
     """
     qt, dt = CoverTree(q, QUERY_LEAF), CoverTree(d)
     shift = np.int64(max(len(d) - 1, 1).bit_length())
-    low = np.int64(-(2**62))
+    low, last = np.int64(-(2**62)), np.int64((1 << int(shift)) - 1)
     best = np.full((len(q), k), low)  # score and place in one number: higher score first, then the smaller place
     worst = floor.astype(np.float64).copy()
+
+    def score(i: int, j: int) -> None:
+        (a, b), (c, e) = qt.span[i], dt.span[j]
+        qi, dj = qt.order[a:b], dt.order[c:e]
+        keys = (np.rint(q[qi] @ d[dj].T).astype(np.int64) << shift) | (last - dj)[None, :]
+        keys[q_rows[qi][:, None] == d_rows[dj][None, :]] = low
+        both = np.concatenate([best[qi], keys], axis=1)
+        best[qi] = both[np.arange(len(qi))[:, None], np.argpartition(both, both.shape[1] - k, axis=1)[:, -k:]]
+        kth = best[qi].min(axis=1)
+        worst[qi] = np.where(kth > low, np.maximum(worst[qi], kth >> shift), worst[qi])
+
+    def width(tree: CoverTree, node: int) -> int:
+        return tree.span[node][1] - tree.span[node][0]
+
+    def needed(i: int) -> float:
+        a, b = qt.span[i]
+        return worst[qt.order[a:b]].min()
+
     todo = [(0, 0)] if len(q) and len(d) else []
     while todo:
         i, j = todo.pop()
-        a, b = qt.span[i]
-        qi = qt.order[a:b]
-        if bound(qt.center[i], qt.radius[i], dt.center[j], dt.radius[j]) < worst[qi].min():
+        if bounds(qt, [i], dt, [j])[0, 0] < needed(i):
+            continue
+        kids_i, kids_j = qt.children[i] or [i], dt.children[j] or [j]
+        if kids_i == [i] and kids_j == [j]:
+            score(i, j)
+            continue
+        small = width(qt, i) <= PRODUCT[0] and width(dt, j) <= PRODUCT[1]
+        if not small and kids_j != [j] and (kids_i == [i] or dt.radius[j] >= qt.radius[i]):
+            kids_i = [i]  # the wider ball is opened
+        elif not small and kids_i != [i]:
+            kids_j = [j]
+        most = bounds(qt, kids_i, dt, kids_j)
+        keep = most >= np.array([needed(x) for x in kids_i])[:, None]
+        sizes = np.array([width(qt, x) for x in kids_i])[:, None] * np.array([width(dt, x) for x in kids_j])[None, :]
+        if small and 2 * (sizes * keep).sum() > sizes.sum():
+            score(i, j)
             continue
-        kids_i, kids_j = qt.children[i], dt.children[j]
-        if not kids_i and not kids_j:
-            c, e = dt.span[j]
-            dj = dt.order[c:e]
-            score = np.rint(q[qi] @ d[dj].T).astype(np.int64)
-            keys = (score << shift) | (np.int64((1 << int(shift)) - 1) - dj)[None, :]
-            keys[q_rows[qi][:, None] == d_rows[dj][None, :]] = low
-            both = np.concatenate([best[qi], keys], axis=1)
-            best[qi] = -np.partition(-both, k - 1, axis=1)[:, :k]
-            kth = best[qi].min(axis=1)
-            worst[qi] = np.where(kth > low, np.maximum(worst[qi], kth >> shift), worst[qi])
-        elif kids_j and (not kids_i or dt.radius[j] >= qt.radius[i]):
-            centers = np.array([dt.center[x] for x in kids_j])
-            most = bound(qt.center[i][None, :], qt.radius[i], centers, np.array([dt.radius[x] for x in kids_j]))
-            todo += [(i, kids_j[x]) for x in np.argsort(most)]  # the most promising is searched first
-        else:
-            todo += [(x, j) for x in kids_i]
+        x, y = np.nonzero(keep)
+        todo += [(kids_i[x[n]], kids_j[y[n]]) for n in np.argsort(most[x, y])]  # the most promising is searched first
     qp, col = np.nonzero(best > low)
     keys = best[qp, col]
-    return qp, np.int64((1 << int(shift)) - 1) - (keys & np.int64((1 << int(shift)) - 1)), keys >> shift
+    return qp, last - (keys & last), keys >> shift
 
 
 def usable(vector: Column) -> Column:
@@ -179,7 +201,9 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
                 a, b, score = search_block(q, q_rows, d, d_rows, k, floor)
                 yield pd.DataFrame({"q_block": r.q_block, "query": q_rows[a], "query_id": q_ids[a], "vec_id": d_ids[b], "score": score})
 
-    return pairs.mapInPandas(rows, "q_block long, query long, query_id long, vec_id long, score long")
+    # pairs are few and heavy: they are dealt out by number, not by bytes
+    dealt = pairs.repartition(4 * shuffle_width(pairs.sparkSession), "q_block", "d_block")
+    return dealt.mapInPandas(rows, "q_block long, query long, query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
