@@ -15,7 +15,7 @@ from tidemark.llm.common import materialise
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others, lines that failed go."""
-    good = quality.quality_columns(docs).where("kept").withColumn("text", F.col("clean_text"))
+    good = quality.accepted(docs)
     return good.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

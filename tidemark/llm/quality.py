@@ -103,3 +103,15 @@ def quality_columns(docs: DataFrame, text_col: str = "text", min_kept: float = M
     df = df.withColumn("kept_share", F.when(whole > 0, F.length("clean_text") / whole).otherwise(0.0))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("kept_share") >= min_kept)).drop("_text", "_lines", "_good", "_shouts")
+
+
+def accepted(docs: DataFrame, text_col: str = "text", min_kept: float = MIN_KEPT) -> DataFrame:
+    """The documents that are kept, with the text that is left of them; docs' columns.
+
+    The rows pass through a generator, so that the optimiser doesn't copy the whole computation into the filter.
+    """
+    judged = quality_columns(docs, text_col, min_kept)
+    out = [F.col("clean_text" if c == text_col else c).alias(c) for c in docs.columns if c != "kept"]
+    one = F.struct(*out, F.col("kept").alias("_kept"))
+    rows = judged.select(F.inline(F.array(one))).where("_kept")
+    return rows.select(*[F.lit(True).alias(c) if c == "kept" else F.col(c) for c in docs.columns])
