@@ -34,6 +34,16 @@ def test_encoder_is_exact_on_any_text(text):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_added_tokens_are_the_library_s(name):
+    from tokenizers import Tokenizer
+
+    path = tokens.vocabulary(name)
+    fresh, enc = Tokenizer.from_file(path), tokens.Encoder(path)
+    for text in [*ODD, "end <|endoftext|> now", "<|startoftext|>a<|endoftext|>b", "<|ENDOFTEXT|>", "a <|endoftext|", "x  <|endoftext|>\n日本"]:
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4095, 4096, 4097, 9000])
 @pytest.mark.parametrize("kinds", [1, 2, 500, 60_000, 2**32])
 def test_codec_round_trip(n, kinds):

@@ -80,9 +80,12 @@ class Encoder:
 
         spec = json.loads(open(path, encoding="utf-8").read())
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = spec.get("added_tokens") or []
+        # a text that spells an added token is cut there by the library, so it goes there whole
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added)).search if added else lambda text: None
         pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer"), spec.get("model") or {}
         bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
+        bpe = bpe and not any(t.get("normalized") for t in added)  # those are looked for in the normalised text
         self.kind = "whole"
         if bpe and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
             self.kind = "spaced"
@@ -99,6 +102,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.added(text):
+            return self.whole(text)
         if self.kind == "dropped" and not _ODD_SPACE.search(text):
             return b"".join(map(self.chunks.__getitem__, text.split()))
         if self.kind == "spaced" and "  " not in text and not _ODD_SPACE.search(text):
