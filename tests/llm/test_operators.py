@@ -182,6 +182,19 @@ def test_keep_one(spark):
     assert near_dedup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_each_group_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    texts = [a, b, b, None, None, " ", c, d, c + " x", a + " x", d]
+    ids = [None, None, None, None, None, None, 5, 5, 4, None, 5]  # 5: c is near to a smaller id's text, d is not
+    docs = docs_of(spark, texts, ids=ids)
+    got = near_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    rows = Counter((r.doc_id, r.text) for r in got.collect())
+    kept_a = {t for i, t in rows if i is None and t in (a, a + " x")}
+    assert len(kept_a) == 1
+    assert rows == Counter([(None, kept_a.pop()), (None, b), (None, None), (None, None), (None, " "), (4, c + " x"), (5, d)])
+
+
 def test_min_max_estimates_similarity():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**63, 800).astype(np.uint64)

@@ -194,8 +194,8 @@ def _can_link(x: str, y: str) -> Column:
     return 100 * common >= PERCENT * (nx + ny - common)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of docs: row_id, doc_id, n_shingles, component_id, kept. See the module's text."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row of docs: row_id, doc_id, text_hash, n_shingles, group (a number of its component), component_id."""
     sig = materialise(signatures(docs, id_col, text_col), "signatures")
     node = F.struct("row_id", "doc_id", "text_hash")
     nodes = sig.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(node).alias("x"), F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("bands", "s0", "s1", "s2")])
@@ -245,16 +245,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             comps = connected_components(checked.where("linked"))
 
     least = nodes.select("node", "doc").join(comps, "node").groupBy("comp").agg(F.min("doc").alias("component_id"))
-    of_node = nodes.select("set_a", "set_b", "node", "doc").join(comps.join(least, "comp"), "node", "left").select("set_a", "set_b", F.coalesce("component_id", "doc").alias("component_id"))
-    out = sig.select("row_id", "doc_id", "n_shingles", "set_a", "set_b").join(of_node, ["set_a", "set_b"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("row_id", "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    of_node = nodes.select("set_a", "set_b", "node", "doc").join(comps.join(least, "comp"), "node", "left").select("set_a", "set_b", F.coalesce("comp", "node").alias("group"), F.coalesce("component_id", "doc").alias("component_id"))
+    out = sig.select("row_id", "doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(of_node, ["set_a", "set_b"], "left")
+    return out.select("row_id", "doc_id", "text_hash", "n_shingles", F.coalesce("group", "row_id").alias("group"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of docs: row_id, doc_id, n_shingles, component_id, kept. See the module's text."""
+    out = _grouped(docs, id_col, text_col)
+    return out.select("row_id", "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each near-duplicate group: the one whose id is the group's smallest."""
-    groups = near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), "row_id")
-    groups = groups.groupBy("_id").agg(F.lit(1).alias("_one")).drop("_one")
-    kept = docs.join(groups, docs[id_col].cast("long").eqNullSafe(groups["_id"]), "left_semi")
-    turn = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return kept.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").drop("_turn")
+    """docs with one row of each near-duplicate group, that of the smallest (id, text hash), and all rows without words."""
+    rank = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "text_hash")
+    chosen = _grouped(docs, id_col, text_col).groupBy("group").agg(F.min(rank).alias("m"), F.max("n_shingles").alias("n"))
+    keys = [F.col("m._null"), F.coalesce("m.doc_id", F.lit(0)).alias("_id"), F.col("m.text_hash").alias("_hash")]
+    chosen = chosen.groupBy(*keys).agg((F.max("n") > 0).alias("_words"))
+    own = F.col(id_col).cast("long")
+    rows = docs.withColumns({"_null": own.isNull(), "_id": F.coalesce(own, F.lit(0)), "_hash": F.xxhash64(text_col)}).join(chosen, ["_null", "_id", "_hash"])
+    # rows that share id and text are repeats of each other, but for those without words
+    rows = rows.withColumn("_row", F.when(~F.col("_words"), F.monotonically_increasing_id()))
+    turn = Window.partitionBy("_null", "_id", "_hash", "_row").orderBy("_hash")
+    return rows.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").select(*docs.columns)
