@@ -248,6 +248,24 @@ def test_pii(spark):
     assert pii.pseudonymise(docs_of(spark, texts[:1]), "other").first().text != got[0]
 
 
+def test_pii_in_runs_of_groups(spark):
+    card, iban = "4111 1111 1111 1111", "AT61 1904 3002 3457 3201"
+    runs = [
+        (card, f"card {card} 12/27"), ("4111-1111-1111-1111", "4111-1111-1111-1111 123"), (iban, f"{iban} PAID 2020"), (card, f"123 456 {card}"), (card, f"x 12 {card} 05.2024"),
+        (card, f"\ufdd0{card} 12 \ufdd1"), (card, f"AB12 3456 7890 {card}"), (iban, f"{iban} {card}"), (card, f"{iban} {card} 99"),
+    ]
+    kept = ["4111 1111 1111 1112", "no 1234 5678 9012 3456 7890 1234", "1 " * 3000, "9" * 9000, "XY12 ABCD EFGH IJKL", "4111111111111111123"]
+    got = [r.text for r in pii.pseudonymise(docs_of(spark, [t for _, t in runs] + kept + [f"{card} 01.02.2024"]), "k").orderBy("doc_id").collect()]
+    for (secret, text), new in zip(runs, got, strict=False):
+        assert secret not in new and len(new) == len(text), (text, new)
+        before, after = text.split(secret)
+        assert (iban in before or new.startswith(before)) and (card in after or new.endswith(after)), (text, new)
+    assert got[len(runs) : -1] == kept
+    assert card not in got[-1] and "01.02.2024" not in got[-1]
+    two = pii.pseudonymise(docs_of(spark, [f"{card} 123 4012 8888 8888 1881 456 {iban}"]), "k").first()
+    assert (two.n_card, two.n_iban) == (2, 1)
+
+
 def test_pii_is_a_permutation(spark):
     ips = [f"10.0.{a}.{b}" for a in range(8) for b in range(64)]
     days = [str(np.datetime64("2000-01-01") + k) for k in range(700)]

@@ -7,7 +7,8 @@ different ones. Separators and brackets stay where they are. E-mail addresses ke
 and their domain; their letters and digits are drawn from a keyed hash.
 
 Kinds: email, iban (mod 97), date (year first or last; 1900-01-01 to 2100-04-01), ip (octets to 255), ssn (valid areas), card
-(13 to 19 digits, Luhn), phone (10 to 15 digits). What fails its validation stays as it is.
+(13 to 19 digits, Luhn), phone (10 to 15 digits). What fails its validation stays as it is. Within a longer run of groups
+(a card before its expiry date, an IBAN before a word in capitals) the longest valid card or IBAN from each group on counts.
 
 Nulls and ties: a null text stays null and counts no finding; an empty one stays empty; repeated rows get equal results.
 Very long texts are cut at their findings only. Other columns pass through.
@@ -30,6 +31,12 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])",
 }
+#: In place of two of them: all the groups that an IBAN or a card may share with its neighbours.
+RUNS = {
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?:[ -][A-Z0-9]++(?![a-z]))*+(?![A-Za-z0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+",
+}
+_LONGEST = 43  # characters of an IBAN with its spaces
 _DAYS = (265, 276)  # their product is the number of days of the date domain
 
 
@@ -115,6 +122,22 @@ def _pseudonyms(key: str) -> dict[str, tuple[str, str]]:
     }
 
 
+def _parted(text: str, mark: str, rules: dict[str, tuple[str, str]]) -> str:
+    """text with mark between each valid IBAN or card and the groups that its run has before and after it."""
+    valid = " or ".join(f"regexp(s, {_q('^(?:' + PATTERNS[k] + ')$')}) and {rules[k][0].replace('substr(m,', 'substr(s,')}" for k in ("iban", "card"))
+    valid = _let("s", "substr(m, p, e - p + 1)", _let("d", "regexp_replace(s, '[^0-9]', '')", f"({valid})"))
+    ends = f"filter(sequence(p + 11, least(length(m), p + {_LONGEST - 1})), e -> e = length(m) or substr(m, e + 1, 1) in (' ', '-'))"
+    best = f"if(p + 11 > length(m), null, array_max(filter({ends}, e -> {valid})))"
+    starts = "filter(sequence(1, length(m)), p -> p = 1 or substr(m, p - 1, 1) in (' ', '-'))"
+    grown = f"named_struct('o', concat(z.o, substr(m, z.k, p - z.k), if(p > 1, {mark}, ''), substr(m, p, b - p + 1), if(b < length(m), {mark}, '')), 'k', b + 1)"
+    run = f"aggregate({starts}, named_struct('o', '', 'k', 1), (z, p) -> if(p < z.k, z, {_let('b', best, f'if(b is null, z, {grown})')}), z -> concat(z.o, substr(m, z.k)))"
+    pattern = _q("|".join(RUNS.get(k, PATTERNS[k]) for k in KINDS))
+    whole = _q("^(?:" + "|".join(RUNS[k] for k in RUNS) + ")$")
+    runs = f"transform(regexp_extract_all({text}, {pattern}, 0), m -> if(regexp(m, {whole}), {run}, m))"
+    parted = f"array_join(zip_with(split({text}, {pattern}, -1), concat({runs}, array('')), (g, r) -> concat(g, r)), '')"
+    return f"if(regexp({text}, {_q(PATTERNS['iban'] + '|' + RUNS['card'])}), {parted}, {text})"
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with text_col rewritten and n_email ... n_phone, the findings of each kind (long)."""
     pattern = "|".join(PATTERNS[k] for k in KINDS)
@@ -122,12 +145,15 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     kinds = " ".join(f"when regexp(m, {_q('^(?:' + PATTERNS[k] + ')$')}) and {rules[k][0]} then '{k}'" for k in KINDS)
     found = f"transform(regexp_extract_all(_text, {_q(pattern)}, 0), m -> {_let('d', "regexp_replace(m, '[^0-9]', '')", f"named_struct('m', m, 'd', d, 'kind', case {kinds} end)")})"
     new = " ".join(f"when '{k}' then {_let('m', 'x.m', _let('d', 'x.d', rules[k][1]))}" for k in KINDS)
-    df = docs.withColumn("_text", F.col(text_col))
+    # a mark that no pattern takes in: the first noncharacter that the text does not hold
+    marks = ", ".join(_q(chr(c)) for c in range(0xFDD0, 0xFDF0))
+    df = docs.withColumn("_mark", F.expr(f"coalesce(get(filter(array({marks}), c -> not contains({text_col}, c)), 0), '')"))
+    df = df.withColumn("_text", F.expr(f"if(regexp({text_col}, '[0-9]'), {_parted(text_col, '_mark', rules)}, {text_col})"))
     # texts without a digit or an at sign hold none of the kinds
     df = df.withColumn("_found", F.expr(f"if(regexp(_text, '[0-9@]'), {found}, null)"))
     for k in KINDS:
         df = df.withColumn(f"n_{k}", F.expr(f"if(_found is null, 0L, cast(size(filter(_found, x -> x.kind = '{k}')) as bigint))"))
     df = df.withColumn("_new", F.expr(f"transform(_found, x -> case x.kind {new} else x.m end)"))
     gaps = f"split(_text, {_q(pattern)}, -1)"
-    text = f"if(_found is null or size(filter(_found, x -> x.kind is not null)) = 0, _text, array_join(zip_with({gaps}, concat(_new, array('')), (g, r) -> concat(g, r)), ''))"
-    return df.withColumn(text_col, F.expr(text)).drop("_text", "_found", "_new")
+    text = f"if(_found is null or size(filter(_found, x -> x.kind is not null)) = 0, {text_col}, replace(array_join(zip_with({gaps}, concat(_new, array('')), (g, r) -> concat(g, r)), ''), _mark, ''))"
+    return df.withColumn(text_col, F.expr(text)).drop("_mark", "_text", "_found", "_new")
