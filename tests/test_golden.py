@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars, timeutil
@@ -262,3 +263,20 @@ def test_upsert_stream(spark, tmp_path):
         assert spark.read.parquet(f"{out}/rows").count() == k + 1
     got = {r.bucket: (r.open, r.close, r.point_count) for r in spark.read.parquet(f"{out}/rows").collect()}
     assert got == {at(0): (1.0, 3.0, 2), at(10): (2.0, 2.0, 1)}
+
+
+@pytest.mark.parametrize("parts", [0, 1, 3])
+def test_stream_reads_folders_and_open_slots(spark, tmp_path, parts):
+    import os
+
+    import __spark_entry__ as entry
+    from conftest import SMALL
+
+    if parts:
+        spark.read.parquet(f"{SMALL}/events.parquet").repartition(parts).write.parquet(f"{tmp_path}/events.parquet")
+    else:
+        os.symlink(f"{SMALL}/events.parquet", tmp_path / "events.parquet")
+    columns = ["id", "bucket", "open", "high", "low", "close", "point_count"]
+    got = entry.queries()["stream_tumbling_10m"](spark, str(tmp_path)).select(columns).collect()
+    want = entry.queries()["ohlc_10m"](spark, str(tmp_path)).select(columns).collect()
+    assert len(got) > 100 and sorted(map(tuple, got)) == sorted(map(tuple, want))

@@ -16,22 +16,37 @@ def tumbling(stream: DataFrame, slot: str = "10 minutes", delay: str = "2 minute
     ).select("id", F.col("w.start").cast("timestamp_ntz").alias("bucket"), "open", "high", "low", "close", "point_count")
 
 
+def _events(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the table at path: a folder of part files, or a single file, which its folder is filtered for."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return stream.parquet(path)
+    folder, _, name = path.rpartition("/")
+    return stream.option("pathGlobFilter", name).parquet(folder)
+
+
 def tumbling_once(spark: SparkSession, path: str) -> DataFrame:
-    """All that is there now, run through the stream: closed slots, appended to a table in the shared folder."""
+    """All that is there now, run through the stream: each candle as it was last, those of slots still open too."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         import tempfile
 
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    schema = spark.read.parquet(path).schema
-    folder, _, name = path.rpartition("/")
-    source = spark.readStream.schema(schema).option("pathGlobFilter", name if name.endswith(".parquet") else "*.parquet").parquet(folder if name.endswith(".parquet") else path)
-    q = tumbling(source).writeStream.outputMode("append").format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    values = ["open", "high", "low", "close", "point_count"]
+    schema = "id string, bucket timestamp_ntz, open double, high double, low double, close double, point_count long"
+    spark.createDataFrame([], schema).write.parquet(f"{out}/rows/batch=-1")  # an empty table has no batch
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+
+    q = tumbling(_events(spark, path)).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.schema("id string, bucket timestamp_ntz, open double, high double, low double, close double, point_count long").parquet(f"{out}/rows")
+    rows = spark.read.schema(f"{schema}, batch long").parquet(f"{out}/rows")
+    return rows.groupBy("id", "bucket").agg(F.max_by(F.struct(*values), "batch").alias("_last")).select("id", "bucket", *[f"_last.{v}" for v in values])
 
 
 def upsert_batches(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
