@@ -20,9 +20,11 @@ TEXTS = [*ODD, None, "word " * 3000, "the same text", "the same text"]
 
 @pytest.mark.parametrize("name", NAMES)
 def test_encoder_is_exact(name):
-    enc = tokens.Encoder(tokens.vocabulary(name))
+    from tokenizers import Tokenizer
+
+    enc, fresh = tokens.Encoder(tokens.vocabulary(name)), Tokenizer.from_file(tokens.vocabulary(name))
     for text in ODD:
-        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        want = fresh.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == want, repr(text)
 
 
@@ -56,6 +58,34 @@ def test_codec_predicts():
     assert len(idcodec.encode(ids)) < len(ids) / 10
 
 
+def test_codec_beats_zlib_on_the_same_blocks(spark):
+    """Real ids, block by block: context mixing against zlib on two bytes an id."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    enc = tokens.encoder(tokens.vocabulary("word_bpe_49k.json"))
+    ids = np.concatenate([enc.document(t, 2) for t in texts])
+    zipped = sum(len(zlib.compress(ids[k : k + idcodec.BLOCK].astype("<u2").tobytes(), 9)) for k in range(0, len(ids), idcodec.BLOCK))
+    assert len(idcodec.encode(ids)) < 0.85 * zipped
+
+
+def test_codec_holds_any_number_of_ids(monkeypatch):
+    """A group whose table would be too large is coded in halves; ids beyond 16 and 22 bits."""
+    monkeypatch.setattr(idcodec, "TABLE", 1 << 16)
+    rng = np.random.default_rng(5)
+    for ids in (rng.permutation(120_000).astype(np.uint32), rng.integers(0, 2**32, 80_000).astype(np.uint32)):
+        assert np.array_equal(idcodec.decode(idcodec.encode(ids)), ids)
+    payload = idcodec.encode(ids)
+    assert np.array_equal(idcodec.decode(payload, slice(9, 12)), ids[9 * idcodec.BLOCK : 12 * idcodec.BLOCK])
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_PIECES", 40)
+    enc = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
+    for k in range(300):
+        text = f"word{k} and w{k % 7} 日{k}"
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(enc.pieces) + len(enc.pieces.older) <= 40 and len(enc.chunks) + len(enc.chunks.older) <= 40
+
+
 def test_codec_blocks_are_independent():
     ids = np.random.default_rng(1).integers(0, 300, 3 * idcodec.BLOCK + 10).astype(np.uint32)
     payload = idcodec.encode(ids)

@@ -5,8 +5,8 @@ Hilbert key of its grid cell. Documents are range-sorted by that key, so neighbo
 is packed as one stream cut at the sequence length. What is left at a range's end is cut into lengths that are powers of
 two, which need no padding.
 
-Nulls and ties: a null or empty text is just its end id; equal keys are ordered by doc_id, so exact copies spread over
-ranges like any other rows; rows with the same doc_id are packed each on its own. An empty table gives no piece.
+Nulls and ties: a null or empty text is just its end id; equal keys are ordered by doc_id, then by the ids, so exact copies
+spread over ranges like any other rows; rows with the same doc_id are packed each on its own. An empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -76,14 +76,12 @@ def curve_cells(vectors: np.ndarray, plane: np.ndarray) -> np.ndarray:
 
 
 def tokenise_with_keys(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    end = np.array([end_id], "<u4").tobytes()
-
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, plane = tokens.encoder(tokenizer_path), projection()
         for batch in batches:
             for a in range(0, len(batch), 256):
                 part = batch.iloc[a : a + 256]
-                ids = [np.frombuffer(enc.encode(t) + end, "<u4") for t in part["text"]]
+                ids = [enc.document(t, end_id) for t in part["text"]]
                 keys = hilbert_keys(curve_cells(np.array([hashed_vector(x) for x in ids]), plane))
                 narrow = [x.astype("<u2").tobytes() if int(x.max()) <= 0xFFFF else b"\0" + x.tobytes() for x in ids]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "hkey": keys, "doc_tokens": [len(x) for x in ids], "ids": narrow})
@@ -100,7 +98,8 @@ def unpack_ids(raw: bytes) -> np.ndarray:
 def pack_sequences(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece (PIECE_SCHEMA); sequence_id is unique, not gapless."""
     table = materialise(tokenise_with_keys(docs, tokenizer_path, end_id, id_col, text_col), "curve")
-    ordered = table.repartitionByRange(shuffle_width(docs.sparkSession), "hkey", "doc_id", "doc_tokens").sortWithinPartitions("hkey", "doc_id")
+    ranged = table.repartitionByRange(shuffle_width(docs.sparkSession), "hkey", "doc_id", "doc_tokens")
+    ordered = ranged.sortWithinPartitions("hkey", "doc_id", "ids")  # a task that runs again cuts the same pieces
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sequence, room = TaskContext.get().partitionId() << 40, length

@@ -1,8 +1,9 @@
-"""Whole-text encoding with the tokenizers library, one library call per distinct piece of text.
+"""Whole-text encoding with the tokenizers library, one call of its model per distinct piece of text.
 
-A text is cut where the tokenizer can never join two characters (at white space, or before a single space), and the ids
-of every piece are remembered as little-endian 32-bit bytes, so a text's ids are one join of remembered bytes. Texts for
-which such cuts are not known to be exact are encoded whole by the library.
+A text in Latin-1 letters is cut into the tokenizer's own pieces by one regular expression, and the ids of every piece are
+remembered as little-endian 32-bit bytes, so a text's ids are one join of remembered bytes. Other texts are cut where the
+tokenizer can never join two characters (at white space, or before a single space), and the library encodes each new chunk.
+Texts for which such cuts are not known to be exact, and those that spell an added token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -10,19 +11,22 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Most pieces a worker remembers; beyond it the memory starts afresh.
-MAX_PIECES = 600_000
+#: Most pieces a worker remembers: two halves, of which the older one is forgotten when the newer one is full.
+MAX_PIECES = 1_200_000
 # Characters of Latin-1 whose letter, number and white-space classes are spelt out below.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _NUMBER = "0-9²³¹¼½¾"
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xff]")
-_ODD_SPACE = re.compile(r"[\x1c-\x1f\x85]")
+_WHITE = re.compile(r"[ \t\n\r]+")
+# Where spaces run on so, a cut before each of them isn't exact: the white space before the last one is one piece.
+_LONG_SPACE = re.compile(r"  (?:\s|$)")
 
 
 @lru_cache(1)
@@ -36,82 +40,71 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
-class _Pieces(dict):
-    """piece -> ids as bytes; a miss asks the tokenizer's model."""
+class _Memory(dict):
+    """piece -> ids as bytes; a miss asks the older half, then the tokenizer."""
 
-    def __init__(self, model, lower: bool):
+    def __init__(self, encode):
         super().__init__()
-        self.model, self.lower, self.letters = model, lower, _byte_letters()
+        self.encode, self.older = encode, {}
 
     def __missing__(self, piece: str) -> bytes:
-        text = piece.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(text)], dtype="<u4").tobytes()
-        if len(self) >= MAX_PIECES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", self.encode(piece)).tobytes()
+        if len(self) >= MAX_PIECES // 2:
+            self.older = self.copy()
             self.clear()
         self[piece] = ids
         return ids
 
 
-class _Chunks(dict):
-    """chunk -> ids as bytes; a miss is cut into pieces, or encoded by the library if its characters are unusual."""
-
-    def __init__(self, tokenizer, find, lower: bool):
-        super().__init__()
-        self.tokenizer, self.find, self.lower = tokenizer, find, lower
-        self.pieces = _Pieces(tokenizer.model, lower)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if _UNUSUAL.search(chunk):
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        else:
-            found = self.find(chunk.lower() if self.lower else chunk)
-            ids = b"".join(map(self.pieces.__getitem__, found))
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-
 class Encoder:
     """encode(text) -> the ids of the whole text as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        spec = json.loads(open(path, encoding="utf-8").read())
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         added = spec.get("added_tokens") or []
-        # a text that spells an added token is cut there by the library, so it goes there whole
-        self.added = re.compile("|".join(re.escape(t["content"]) for t in added)).search if added else lambda text: None
+        self.added = [t["content"] for t in added]  # a text that spells one is cut there by the library
         pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer"), spec.get("model") or {}
         bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
         bpe = bpe and not any(t.get("normalized") for t in added)  # those are looked for in the normalised text
         self.kind = "whole"
         if bpe and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
             self.kind = "spaced"
-            find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\\s{_LETTER}{_NUMBER}]+|\\s+(?!\\S)|\\s+").findall
-            self.chunks = _Chunks(self.tokenizer, find, lower=False)
+            pattern = f" ?[{_LETTER}]+| ?[{_NUMBER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\\s{_LETTER}{_NUMBER}]+|\\s+(?!\\S)|\\s+"
         elif bpe and _drops_space(pre, norm):
             self.kind = "dropped"
-            find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+").findall
-            self.chunks = _Chunks(self.tokenizer, find, lower=True)
+            pattern = f"[{_LETTER}]+|[{_NUMBER}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{_LETTER}{_NUMBER}]+"
+        if self.kind != "whole":
+            self.find = re.compile(pattern).findall
+        model, letters = self.tokenizer.model, _byte_letters()
+        self.pieces = _Memory(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+        self.chunks = _Memory(self._library)
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.added(text):
-            return self.whole(text)
-        if self.kind == "dropped" and not _ODD_SPACE.search(text):
-            return b"".join(map(self.chunks.__getitem__, text.split()))
-        if self.kind == "spaced" and "  " not in text and not _ODD_SPACE.search(text):
-            first, *rest = text.split(" ")
-            get = self.chunks.__getitem__
-            head = get(first) if first else b""
-            return head + b"".join([get(" " + x) for x in rest])
-        return self.whole(text)
+        if self.kind == "whole" or any(a in text for a in self.added):
+            return array("I", self._library(text)).tobytes()
+        if not _UNUSUAL.search(text):
+            found = self.find(text.lower() if self.kind == "dropped" else text)
+            return b"".join(map(self.pieces.__getitem__, found))
+        if self.kind == "dropped":
+            return b"".join(map(self.chunks.__getitem__, _WHITE.split(text)))
+        if "\0" in text or _LONG_SPACE.search(text):
+            return array("I", self._library(text)).tobytes()
+        return b"".join(map(self.chunks.__getitem__, text.replace(" ", "\0 ").split("\0")))
+
+    def document(self, text: str | None, end_id: int) -> np.ndarray:
+        """The ids of one document, end_id last."""
+        return np.frombuffer(self.encode(text) + array("I", [end_id]).tobytes(), "<u4")
 
 
 def _drops_space(pre: dict, norm: dict | None) -> bool:
@@ -123,7 +116,10 @@ def _drops_space(pre: dict, norm: dict | None) -> bool:
     split, level = pre["pretokenizers"]
     pattern = (split.get("pattern") or {}).get("Regex")
     wanted = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    return pattern == wanted and split.get("behavior") == "Removed" and split.get("invert") and not level.get("use_regex") and not level.get("add_prefix_space")
+    return (
+        pattern == wanted and split.get("behavior") == "Removed" and split.get("invert")
+        and not level.get("use_regex") and not level.get("add_prefix_space")
+    )
 
 
 @lru_cache(4)
