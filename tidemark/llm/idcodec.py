@@ -1,347 +1,319 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks of BLOCK. Every block starts from an empty model and carries its own CRC-32, so it can be decoded
-alone. The model mixes three id predictions into one distribution for each id:
-
-- order 0: how often each id has come in this block so far, refreshed at fixed steps, with an escape for ids not yet in it;
-- order 1: the id that last followed the previous id;
-- order 2: the id that last followed the previous two ids.
-
-Orders 1 and 2 each put a point mass on the id they predict, as large as they have lately been right; order 0 shares out
-the rest. The mixed interval of an id drives a carry-propagating range coder with 16-bit digits. Blocks do not depend on
-each other, so a worker codes many at once: one numpy step codes the next id of every block.
-
-Payload: magic, flags, counts, the dictionary of ids if any id needs more than 16 bits, then each block's ids, digits and
-CRC-32, then the digits.
+Ids are cut into blocks of BLOCK. Every block starts from the same model and carries its own CRC-32, so it can be decoded
+alone. The model mixes three predictions of the next id into one distribution:
+
+- order 0: how often each id has come in this block so far, weighed against how often it comes in the whole group of blocks
+  (kept in the group's header); refreshed at fixed steps;
+- order 1: the id that last followed the previous id, and how often in a row that context has been right;
+- order 2: the same for the previous two ids.
+
+Orders 1 and 2 each put a point mass on the id they predict. Its size is learnt: every block counts, for each order and each
+number of hits in a row, how often such a prediction comes true. Order 0 shares out the rest. An id's interval in the mixed
+distribution drives a carry-propagating range coder with 24-bit digits. Blocks do not depend on each other, so a worker codes
+a group of them side by side: one numpy step codes the next id of every block.
+
+Payload: magic, block size, ids and groups; for each group its counts, its table (the ids it holds and about how often),
+the digits and CRC-32 of each block, then the digits. Groups are as large as LANES and TABLE allow, so any number of
+different ids can be held.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
 BLOCK = 4096
-#: Blocks coded side by side.
-LANES = 512
-MAGIC = b"TMK1"
-_TOTAL_BITS = 20
-_TOTAL = 1 << _TOTAL_BITS
-_ROOM = _TOTAL - (1 << 16)  # most that orders 1 and 2 may take
-_BITS0 = 15
-_SUM0 = 1 << _BITS0
-_SLOTS_BITS = 12
-_NONE = BLOCK  # a prediction that isn't there: past every place an id can have
+#: Blocks coded side by side, and most cells (blocks by different ids) of a group's order-0 table.
+LANES, TABLE = 1024, 1 << 23
+MAGIC = b"TMK2"
+_TOTAL_BITS, _SUM_BITS, _SLOT_BITS, _DIGIT = 24, 18, 12, 24
+_TOTAL, _SUM = 1 << _TOTAL_BITS, 1 << _SUM_BITS
+_ROOM = _TOTAL - _SUM  # most that orders 1 and 2 may take, so that every id keeps a share of order 0
+_PRIOR = 384  # how many ids of the block the group's counts are worth
+_STEPS = frozenset({*(64 << k for k in range(5)), *range(1536, BLOCK, 512)})
+#: A slot holds the predicted place times _STATES plus its state: 0 for none yet, then one more than its hits in a row.
+_STATES, _NONE = 8, 1 << 20
+#: Shares (of 65536) with which predictions of each state start.
+_TRUST1 = (0, 3000, 19000, 40000, 56000, 60000, 62000, 63000)
+_TRUST2 = (0, 5000, 36000, 55000, 61000, 62000, 63000, 64000)
 _U = np.uint64
-_HASH = (1 << _SLOTS_BITS) - 1
-_WIDTH = BLOCK + 2
+_ALL, _BIG = _U(2**64 - 1), _U(1 << 36)
+
+
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes: four steps for each doubling."""
+    k = np.frexp(counts)[1].astype(np.int64) - 1
+    return (4 * k + ((counts << 2) >> k) - 4).astype(np.uint8)
 
 
-def _refresh_steps(block: int) -> set[int]:
-    steps, n = set(), 64
-    while n < block:
-        steps.add(n)
-        n += min(n, 1024)
-    return steps
+def _of_level(level: np.ndarray) -> np.ndarray:
+    k, m = level.astype(np.int64) >> 2, level.astype(np.int64) & 3
+    return ((4 + m) << k) >> 2
 
 
 class _Model:
-    """The state of `lanes` blocks, each at the same position. An id is known by its place: the how-manieth new id it was.
+    """The state of `lanes` blocks, each at the same position. An id is known by its place in the group's table.
 
-    Tables are flat, a lane's part starting at lane * its width. All steps are the same for every lane; masks are factors.
+    Tables are flat, a lane's part starting at lane * its width; a lane's order-0 shares also start at lane * _SUM, so that
+    one search finds the places of all lanes.
     """
 
-    def __init__(self, lanes: int, decode: bool):
+    def __init__(self, lanes: int, weights: np.ndarray):
         rows = np.arange(lanes)
-        self.lanes, self.at = lanes, rows
-        self.local = np.full(lanes << 16, _NONE, np.uint16)  # id -> place
-        self.local_at = rows << 16
-        self.seen = np.zeros(lanes, np.int64)
-        self.counts = np.zeros(lanes * _WIDTH, np.int64)
-        self.cum = np.zeros(lanes * _WIDTH, np.int32)  # order-0 cumulative; from the last known place on where escape starts
-        self.cum_at = rows * _WIDTH
-        self.esc = np.zeros(lanes, np.int64)
-        self.slot = np.zeros(lanes << _BITS0, np.uint16) if decode else None
-        self.slot_at = rows << _BITS0
-        self.next1 = np.full(lanes << _SLOTS_BITS, _NONE, np.uint16)
-        self.next2 = np.full(lanes << _SLOTS_BITS, _NONE, np.uint16)
-        self.next_at = rows << _SLOTS_BITS
-        self.trust1 = np.full(lanes, 1 << 13, np.int64)
-        self.trust2 = np.full(lanes, 1 << 14, np.int64)
-        self.steps = _refresh_steps(BLOCK)
-        self.counted = 0
-
-    def refresh(self, t: int, places: np.ndarray) -> None:
-        """Order-0 shares from the first t places (position by lane) of every block."""
-        own = places[self.counted : t].astype(np.int64) + self.cum_at
-        self.counts += np.bincount(own.ravel(), minlength=len(self.counts))
-        self.counted = t
-        n = int(self.seen.max())
-        counts = self.counts.reshape(self.lanes, _WIDTH)[:, :n].astype(np.int32)
-        spare = (_SUM0 - 64 - self.seen).astype(np.int32)[:, None]
-        freq = counts * spare // np.int32(t) + (counts > 0)
-        cum = self.cum.reshape(self.lanes, _WIDTH)
-        np.cumsum(freq, axis=1, out=cum[:, 1 : n + 1])
-        self.esc = cum[:, n].astype(np.int64)
-        cum[:, n + 1 :] = cum[:, n : n + 1]
-        if self.slot is not None:
-            marks = np.zeros((self.lanes, _SUM0 + 1), np.uint16)
-            r, c = np.nonzero(freq)
-            marks[r, cum[r, c + 1]] = 1
-            np.cumsum(marks[:, :_SUM0], axis=1, dtype=np.uint16, out=self.slot.reshape(self.lanes, _SUM0))
+        self.lanes, self.width, self.weights = lanes, len(weights), weights
+        self.at = rows * (self.width + 1)
+        self.base = rows << _SUM_BITS
+        self.cum = np.zeros((lanes, self.width + 1), np.int64 if lanes << _SUM_BITS >= 1 << 31 else np.int32)
+        self.counts = np.zeros((lanes, self.width), np.int32)
+        self.next1 = np.full(lanes << _SLOT_BITS, _NONE * _STATES, np.int32)
+        self.next2 = self.next1.copy()
+        self.slot_at = rows << _SLOT_BITS
+        self.trust_at = rows * _STATES
+        self.trust1, self.trust2 = np.tile(np.array(_TRUST1), lanes), np.tile(np.array(_TRUST2), lanes)
+        self.refresh(0, np.zeros((0, lanes), np.int64))
+
+    def refresh(self, t: int, new: np.ndarray) -> None:
+        """Order-0 shares after t ids; new: the places (position by lane) since the last time."""
+        if len(new):
+            own = new + np.arange(self.lanes) * self.width
+            self.counts += np.bincount(own.ravel(), minlength=self.counts.size).reshape(self.counts.shape).astype(np.int32)
+        spare = _SUM - self.width
+        share = 1 + self.weights * (spare * _PRIOR) // (max(int(self.weights.sum()), 1) * (t + _PRIOR))
+        part = self.counts * np.int32(spare) // np.int32(t + _PRIOR) + share.astype(np.int32)
+        np.cumsum(part, axis=1, out=self.cum[:, 1:])
+        self.cum[:, 1:] += self.base[:, None].astype(self.cum.dtype)
+        self.cum[:, 0] = self.base
+        self.flat = self.cum.ravel()
 
     def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
-        """h1, h2: where the contexts' predictions are in next1 and next2."""
-        self.p1, self.p2 = self.next1.take(h1).astype(np.int64), self.next2.take(h2).astype(np.int64)
-        self.has1, self.has2 = self.p1 != _NONE, self.p2 != _NONE
-        self.q2 = (self.trust2 * _ROOM >> 16) * self.has2
-        self.q1 = (self.trust1 * (_ROOM - self.q2) >> 16) * self.has1
+        """h1, h2: the contexts' slots."""
+        self.e1, self.e2 = self.next1.take(h1), self.next2.take(h2)
+        self.p1, self.p2 = self.e1 >> 3, self.e2 >> 3
+        self.k1, self.k2 = self.trust_at + (self.e1 & 7), self.trust_at + (self.e2 & 7)
+        self.t1, self.t2 = self.trust1.take(self.k1), self.trust2.take(self.k2)
+        self.q2 = self.t2 * _ROOM >> 16
+        self.q1 = self.t1 * (_ROOM - self.q2) >> 16
         self.q0 = _TOTAL - self.q1 - self.q2
 
-    def interval(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and size of place i in the mixed distribution, and the lanes where it has none and escape is coded."""
-        k = self.cum_at + i
-        a, b = self.cum.take(k) * self.q0 >> _BITS0, self.cum.take(k + 1) * self.q0 >> _BITS0
+    def share(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where place i's order-0 interval starts and ends."""
+        k = self.at + i
+        return (self.flat.take(k) - self.base) * self.q0 >> _SUM_BITS, (self.flat.take(k + 1) - self.base) * self.q0 >> _SUM_BITS
+
+    def interval(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of place i in the mixed distribution."""
+        a, b = self.share(i)
         self.hit1, self.hit2 = self.p1 == i, self.p2 == i
-        start = a + self.q2 * (self.p2 < i) + self.q1 * (self.p1 < i)
-        size = b - a + self.q2 * self.hit2 + self.q1 * self.hit1
-        k = np.flatnonzero(size == 0)
-        if len(k):
-            escape = self.esc[k] * self.q0[k] >> _BITS0
-            start[k], size[k] = escape + self.q1[k] + self.q2[k], self.q0[k] - escape
-        return start, size, k
+        size = b - a
+        size += self.q2 * self.hit2
+        size += self.q1 * self.hit1
+        a += self.q2 * (self.p2 < i)
+        a += self.q1 * (self.p1 < i)
+        return a, size
+
+    def find(self, target: np.ndarray) -> np.ndarray:
+        """The place whose interval holds target."""
+        plain, hits = target.copy(), []
+        for p, q, other, q_other in ((self.p1, self.q1, self.p2, self.q2), (self.p2, self.q2, self.p1, self.q1)):
+            known = np.minimum(p, self.width - 1)  # where there is none, q is 0 and nothing is hit
+            a, b = self.share(known)
+            a += q_other * (other < p)
+            after = target - a
+            hits.append((after >= 0) & (after < b - a + q_other * (other < p) + q + q_other * (other == p)) & (p < _NONE))
+            plain -= q * (after >= 0)
+        u = np.minimum(((plain + 1 << _SUM_BITS) - 1) // self.q0, _SUM - 1)
+        i = np.searchsorted(self.flat, (u + self.base).astype(self.flat.dtype), "right") - 1 - self.at
+        np.minimum(i, self.width - 1, out=i)  # what no share holds
+        np.copyto(i, self.p1, where=hits[0])
+        np.copyto(i, self.p2, where=hits[1])
+        return i
 
     def learn(self, i: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> None:
-        self.trust1 += ((self.hit1 * 64700 + 300 - self.trust1) >> 5) * self.has1
-        self.trust2 += ((self.hit2 * 64700 + 300 - self.trust2) >> 5) * self.has2
-        self.next1[h1] = i
-        self.next2[h2] = i
-
+        packed = (i << 3).astype(np.int32) + 1
+        for table, h, e, hit, trust, k, t in (
+            (self.next1, h1, self.e1, self.hit1, self.trust1, self.k1, self.t1), (self.next2, h2, self.e2, self.hit2, self.trust2, self.k2, self.t2),
+        ):
+            trust[k] = t + ((hit * 64900 - t) >> 5)
+            table[h] = packed + np.minimum(e & 7, 6) * hit
 
-def _contexts(ids: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the contexts that follow ids, with last before it."""
-    return (ids * 40503 >> 4) & _HASH, (last * 25321 + ids * 40503 >> 4) & _HASH
 
+def _slots(i: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the contexts that follow place i, with last before it."""
+    one = i * 40503
+    return (one >> 4) & ((1 << _SLOT_BITS) - 1), (last * 25321 + one >> 4) & ((1 << _SLOT_BITS) - 1)
 
-_ALL = _U(2**64 - 1)
 
-
-def _encode_lanes(x: np.ndarray) -> list[np.ndarray]:
-    """x: lanes by position, uint16. Returns each lane's digits."""
+def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
+    """x: places, lane by position. Returns each lane's digits, 24 bits each, the highest byte first."""
     lanes, width = x.shape
-    m = _Model(lanes, decode=False)
-    ids_at = np.ascontiguousarray(x.T).astype(np.int64)
-    before = np.zeros_like(ids_at)
-    before[1:] = ids_at[:-1]
-    c1, c2 = _contexts(ids_at, before)
+    m = _Model(lanes, weights)
+    at = np.ascontiguousarray(x.T).astype(np.int64)
+    before = np.zeros_like(at)
+    before[1:] = at[:-1]
+    s1, s2 = _slots(at, before)
     first = np.zeros((1, lanes), np.int64)
-    h1s, h2s = np.concatenate([first, c1[:-1]]) + m.next_at, np.concatenate([first, c2[:-1]]) + m.next_at
-    low, rng = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
-    room = 2 * width + 8
-    digits = np.zeros(lanes * room, np.uint32)
-    at = np.arange(lanes) * room
-    places = np.zeros((width, lanes), np.uint16)
-    low32, least = _U(0xFFFFFFFF), _U(1 << 32)
-
-    def shift(k: np.ndarray) -> None:
-        digits[at[k]] = low[k] >> _U(32)
-        at[k] += 1
-        low[k] = (low[k] & low32) << _U(16)
-        rng[k] <<= _U(16)
-
+    h1s, h2s = np.concatenate([first, s1[:-1]]) + m.slot_at, np.concatenate([first, s2[:-1]]) + m.slot_at
+    low, rng = np.zeros(lanes, _U), np.full(lanes, 1 << 60, _U)
+    digits, moved = np.zeros((width + 2, lanes), np.uint32), np.zeros((width + 2, lanes), bool)
+    since = 0
     for t in range(width):
-        if t in m.steps:
-            m.refresh(t, places)
-        ids = ids_at[t]
-        where = m.local_at + ids
-        i = m.local.take(where).astype(np.int64)
-        k = np.flatnonzero(i == _NONE)
-        if len(k):
-            i[k] = m.seen[k]
-            m.local[where[k]] = i[k]
-            m.seen[k] += 1
+        if t in _STEPS:
+            m.refresh(t, at[since:t])
+            since = t
         m.predict(h1s[t], h2s[t])
-        start, size, escaped = m.interval(i)
-        r = rng >> _U(_TOTAL_BITS)
-        low += r * start.view(_U)
-        rng = r * size.view(_U)
-        small = rng < least  # every lane writes its digit; those that need no shift write over it later
-        digits[at] = low >> _U(32)
-        at += small
-        by = small.astype(_U) << _U(4)
-        low = (low & (_ALL >> (by + by))) << by
+        start, size = m.interval(at[t])
+        rng >>= _U(_TOTAL_BITS)
+        low += rng * start.view(_U)
+        rng *= size.view(_U)
+        small = rng < _BIG
+        digits[t], moved[t] = low >> _U(36), small
+        by = small * _U(_DIGIT)
+        low = (low & (_ALL >> (small * _U(28)))) << by
         rng <<= by
-        k = np.flatnonzero(rng < least)
-        if len(k):
-            shift(k)
-        if len(escaped):
-            r = rng[escaped] >> _U(16)
-            low[escaped] += r * ids[escaped].view(_U)
-            rng[escaped] = r
-            for _ in range(2):
-                k = escaped[rng[escaped] < least]
-                if len(k):
-                    shift(k)
-        places[t] = i
-        m.learn(i, h1s[t], h2s[t])
-    for _ in range(3):
-        digits[at] = low >> _U(32)
-        at += 1
-        low = (low & low32) << _U(16)
-    ends = at - np.arange(lanes) * room
-    table = digits.reshape(lanes, room)
-    while True:  # carries go to the digit before
-        over = table >> 16
-        if not over.any():
-            break
-        table &= 0xFFFF
-        table[:, :-1] += over[:, 1:]
-    return [table[k, : ends[k]].astype("<u2") for k in range(lanes)]
-
-
-def _decode_lanes(codes: list[np.ndarray], width: int) -> np.ndarray:
+        m.learn(at[t], h1s[t], h2s[t])
+    # one digit is enough for a number inside the last interval, as the interval is wider than what it leaves out
+    digits[width], moved[width] = (low + (_BIG - _U(1))) >> _U(36), True
+    own = digits.T
+    out = []
+    for k in range(lanes):
+        code = own[k][moved.T[k]].astype(np.int64)
+        while (over := code >> _DIGIT).any():  # carries go to the digit before
+            code &= (1 << _DIGIT) - 1
+            code[:-1] += over[1:]
+        out.append(code.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes())
+    return out
+
+
+def _decode_lanes(codes: list[bytes], width: int, weights: np.ndarray) -> np.ndarray:
+    """The places of each lane, lane by position."""
     lanes = len(codes)
-    m = _Model(lanes, decode=True)
-    room = max(map(len, codes)) + 8
-    digits = np.zeros(lanes * room, _U)
+    m = _Model(lanes, weights)
+    room = max(map(len, codes)) // 3 + 4
+    digits = np.zeros((lanes, room), _U)
     for k, c in enumerate(codes):
-        digits[k * room : k * room + len(c)] = c
+        raw = np.frombuffer(c, np.uint8).reshape(-1, 3).astype(_U)
+        digits[k, : len(raw)] = (raw[:, 0] << _U(16)) | (raw[:, 1] << _U(8)) | raw[:, 2]
+    digits = digits.ravel()
     at = np.arange(lanes) * room
-    code = (digits[at] << _U(32)) | (digits[at + 1] << _U(16)) | digits[at + 2]
+    code = (digits[at] << _U(36)) | (digits[at + 1] << _U(12)) | (digits[at + 2] >> _U(12))
+    held = digits[at + 2] & _U(0xFFF)  # the code reaches into the middle of a digit
     at += 3
     last_digit = np.arange(lanes) * room + room - 1
-    rng = np.full(lanes, 1 << 48, _U)
-    out, places = np.zeros((width, lanes), np.uint16), np.zeros((width, lanes), np.uint16)
-    ids_of = np.zeros(lanes * _WIDTH, np.uint16)  # place -> id
-    least, most = _U(1 << 32), _U(_TOTAL - 1)
-    last = np.zeros(lanes, np.int64)
-    h1 = h2 = m.next_at
-
-    def shift(k: np.ndarray) -> None:
-        code[k] = (code[k] << _U(16)) | digits[at[k]]
-        at[k] = np.minimum(at[k] + 1, last_digit[k])
-        rng[k] <<= _U(16)
-
+    rng = np.full(lanes, 1 << 60, _U)
+    out = np.zeros((width, lanes), np.int64)
+    last, most, since = np.zeros(lanes, np.int64), _U(_TOTAL - 1), 0
+    h1 = h2 = m.slot_at
     for t in range(width):
-        if t in m.steps:
-            m.refresh(t, places)
+        if t in _STEPS:
+            m.refresh(t, out[since:t])
+            since = t
         m.predict(h1, h2)
-        r = rng >> _U(_TOTAL_BITS)
-        target = np.minimum(code // r, most).view(np.int64)
-        plain, inside = target.copy(), []
-        for p, q, other, q_other in ((m.p1, m.q1, m.p2, m.q2), (m.p2, m.q2, m.p1, m.q1)):
-            k = m.cum_at + p
-            a, b = m.cum.take(k) * m.q0 >> _BITS0, m.cum.take(k + 1) * m.q0 >> _BITS0
-            a += q_other * (other < p)
-            after = target >= a
-            inside.append(after & (target - a < b - (m.cum.take(k) * m.q0 >> _BITS0) + q + q_other * (other == p)))
-            plain -= q * after
-        u = np.minimum(((plain + 1) * _SUM0 - 1) // m.q0, _SUM0 - 1)
-        i = np.minimum(m.slot.take(m.slot_at + np.maximum(u, 0)), _NONE).astype(np.int64)
-        escape = u >= m.esc
-        for p, hit in zip((m.p1, m.p2), inside, strict=True):
-            np.copyto(i, p, where=hit)
-            escape &= ~hit
-        np.copyto(i, _NONE, where=escape)
-        start, size, escaped = m.interval(i)
-        code -= r * start.view(_U)
-        rng = r * size.view(_U)
-        small = rng < least
-        by = small.astype(_U) << _U(4)
-        code = (code << by) | (digits[at] * small)
+        rng >>= _U(_TOTAL_BITS)
+        i = m.find(np.minimum(code // rng, most).view(np.int64))
+        start, size = m.interval(i)
+        code -= rng * start.view(_U)
+        rng *= size.view(_U)
+        small = rng < _BIG
+        by = small * _U(_DIGIT)
+        digit = digits.take(at)
+        fresh = (held << _U(12)) | (digit >> _U(12))
+        code = (code << by) | (fresh * small)
+        np.copyto(held, digit & _U(0xFFF), where=small)
         at = np.minimum(at + small, last_digit)
         rng <<= by
-        k = np.flatnonzero(rng < least)
-        if len(k):
-            shift(k)
-        ids = ids_of.take(m.cum_at + i).astype(np.int64)
-        if len(escaped):
-            k = escaped
-            r = np.maximum(rng[k] >> _U(16), _U(1))
-            raw = np.minimum(code[k] // r, _U(0xFFFF))
-            code[k] -= r * raw
-            rng[k] = r
-            for _ in range(2):
-                j = k[rng[k] < least]
-                if len(j):
-                    shift(j)
-            raw = raw.view(np.int64)
-            ids[k] = raw
-            where = m.local_at[k] + raw
-            place = m.local[where].astype(np.int64)
-            fresh = np.flatnonzero(place == _NONE)
-            f = k[fresh]
-            place[fresh] = m.seen[f]
-            m.local[where[fresh]] = place[fresh]
-            ids_of[m.cum_at[f] + place[fresh]] = raw[fresh]
-            m.seen[f] += 1
-            i[k] = place
-            m.hit1[k] = m.hit2[k] = False
-        out[t], places[t] = ids, i
+        out[t] = i
         m.learn(i, h1, h2)
-        c1, c2 = _contexts(ids, last)
-        h1, h2, last = c1 + m.next_at, c2 + m.next_at, ids
+        s1, s2 = _slots(i, last)
+        h1, h2, last = s1 + m.slot_at, s2 + m.slot_at, i
     return out.T
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different ids in order, each id's place among them, and how often they come."""
+    if not ids.size or int(ids.max()) >= 1 << 22:
+        return np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    table = np.flatnonzero(counts)
+    place = np.zeros(len(counts), np.int32)
+    place[table] = np.arange(len(table))
+    return table.astype(np.uint32), place[ids], counts[table]
+
+
+def _groups(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, table of different ids, their counts, each id's place) of runs of whole blocks that fit LANES and TABLE."""
+    todo = [ids[a : a + BLOCK * LANES] for a in range(0, len(ids), BLOCK * LANES)][::-1]
+    while todo:
+        part = todo.pop()
+        blocks = -(-len(part) // BLOCK)
+        table, place, counts = _distinct(part)
+        if blocks > 1 and blocks * len(table) > TABLE:
+            half = blocks // 2 * BLOCK
+            todo += [part[half:], part[:half]]
+        else:
+            order = np.lexsort((table, -_level(counts).astype(np.int64)))  # frequent ids first: their shares lie together
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            yield part, table[order], counts[order], rank[place]
+
+
 def encode(ids: np.ndarray) -> bytes:
-    """ids: unsigned, 32-bit at most; up to 65,535 different ones beyond 16 bits. Returns one payload."""
+    """ids: unsigned, 32-bit at most. Returns one payload."""
     ids = np.asarray(ids, dtype=np.uint32)
-    table = np.zeros(0, np.uint32)
-    if ids.size and int(ids.max()) > 0xFFFF:
-        table, dense = np.unique(ids, return_inverse=True)
-        if len(table) > 0xFFFF:
-            raise ValueError("more than 65,535 different ids in a payload: encode it in parts")
-        ids16 = dense.astype(np.uint16)
-    else:
-        ids16 = ids.astype(np.uint16)
-    n, blocks = ids.size, -(-ids.size // BLOCK)
-    lengths = np.full(blocks, BLOCK, np.int64)
-    if blocks:
-        lengths[-1] = n - (blocks - 1) * BLOCK
-    codes: list[np.ndarray] = []
-    for b in range(0, blocks, LANES):
-        own = lengths[b : b + LANES]
-        width = int(own.max())
-        x = np.zeros(len(own) * width, np.uint16)  # a short last block is filled up with zeros, which cost next to nothing
-        part = ids16[b * BLOCK : b * BLOCK + int(own.sum())]
-        x[: len(part)] = part
-        codes += _encode_lanes(x.reshape(len(own), width))
-    crcs = [zlib.crc32(ids[b * BLOCK : b * BLOCK + int(lengths[b])].astype("<u4").tobytes()) for b in range(blocks)]
-    head = MAGIC + struct.pack("<IQII", BLOCK, n, blocks, len(table)) + table.astype("<u4").tobytes()
-    index = b"".join(struct.pack("<III", int(k), len(c), crc) for k, c, crc in zip(lengths, codes, crcs, strict=True))
-    return head + index + b"".join(c.tobytes() for c in codes)
+    parts = []
+    for part, table, counts, places in _groups(ids):
+        blocks = -(-len(part) // BLOCK)
+        width = min(BLOCK, len(part))
+        x = np.zeros(blocks * width, np.int64)  # a short last block is filled up with the most frequent id, which costs little
+        x[: len(part)] = places
+        level = _level(counts)
+        by_level = np.concatenate([np.diff(np.sort(table[level == k]), prepend=0) for k in np.unique(level)[::-1]]) if len(table) else table
+        head = zlib.compress(level.tobytes() + by_level.astype("<u4").tobytes())
+        codes = _encode_lanes(x.reshape(blocks, width), _of_level(level))
+        raw = part.astype("<u4")
+        crcs = [zlib.crc32(raw[b * BLOCK : (b + 1) * BLOCK]) for b in range(blocks)]
+        index = np.array([[len(c) // 3, crc] for c, crc in zip(codes, crcs, strict=True)], "<u4").tobytes()
+        body = head + index + b"".join(codes)
+        parts.append(struct.pack("<IIII", len(part), len(table), len(head), len(body)) + body)
+    return MAGIC + struct.pack("<IQI", BLOCK, ids.size, len(parts)) + b"".join(parts)
+
+
+def _table(head: bytes, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """A group's ids and their weights."""
+    raw = zlib.decompress(head)
+    level, steps = np.frombuffer(raw, np.uint8, distinct), np.frombuffer(raw, "<u4", distinct, distinct)
+    table = np.empty(distinct, np.uint32)
+    for k in np.unique(level):
+        table[level == k] = np.cumsum(steps[level == k], dtype=np.uint32)
+    return table, _of_level(level)
 
 
 def decode(payload: bytes, blocks: slice | None = None) -> np.ndarray:
     """The ids of a payload, or of a slice of its blocks; a block whose CRC-32 does not fit raises ValueError."""
     if payload[:4] != MAGIC:
         raise ValueError("not a token-id payload")
-    block, _, count, distinct = struct.unpack_from("<IQII", payload, 4)
+    block, size, groups = struct.unpack_from("<IQI", payload, 4)
     if block != BLOCK:
         raise ValueError(f"block size {block}")
-    pos = 24
-    table = np.frombuffer(payload, "<u4", distinct, pos)
-    pos += 4 * distinct
-    index = np.frombuffer(payload, "<u4", 3 * count, pos).reshape(count, 3)
-    pos += 12 * count
-    starts = pos + 2 * np.concatenate([[0], np.cumsum(index[:, 1].astype(np.int64))])
-    out = []
-    wanted = range(count)[blocks or slice(None)]
-    groups: dict[int, list[int]] = {}
-    for k in wanted:
-        groups.setdefault(k // LANES, []).append(k)
-    for part in groups.values():
-        lengths = np.array([index[k, 0] for k in part], np.int64)
-        # a short last block was coded beside its neighbours, as long as they are
-        first = part[0] // LANES * LANES
-        width = int(index[first : first + LANES, 0].max())
-        x = _decode_lanes([np.frombuffer(payload, "<u2", int(index[k, 1]), int(starts[k])) for k in part], width)
-        for k, row, n in zip(part, x, lengths, strict=True):
-            ids = row[:n].astype(np.uint32)
-            ids = table[ids] if distinct else ids
-            if zlib.crc32(ids.astype("<u4").tobytes()) != int(index[k, 2]):
-                raise ValueError(f"block {k}: checksum does not fit")
-            out.append(ids)
+    wanted = set(range(-(-size // BLOCK))[blocks or slice(None)])
+    out, pos, done = [], 20, 0
+    for _ in range(groups):
+        n, distinct, head, body = struct.unpack_from("<IIII", payload, pos)
+        pos += 16
+        count = -(-n // BLOCK)
+        own = [k for k in range(count) if done + k in wanted]
+        if own:
+            table, weights = _table(payload[pos : pos + head], distinct)
+            index = np.frombuffer(payload, "<u4", 2 * count, pos + head).reshape(count, 2)
+            ends = pos + head + 8 * count + 3 * np.cumsum(index[:, 0].astype(np.int64))
+            codes = [payload[int(ends[k]) - 3 * int(index[k, 0]) : int(ends[k])] for k in own]
+            for k, row in zip(own, _decode_lanes(codes, min(BLOCK, n), weights), strict=True):
+                ids = table[row[: min(BLOCK, n - k * BLOCK)]]
+                if zlib.crc32(ids.astype("<u4")) != int(index[k, 1]):
+                    raise ValueError(f"block {done + k}: checksum does not fit")
+                out.append(ids)
+        pos, done = pos + body, done + count
     return np.concatenate(out) if out else np.zeros(0, np.uint32)

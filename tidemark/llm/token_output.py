@@ -35,25 +35,23 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col:
         .repartitionByRange(shuffle_width(docs.sparkSession), F.col("doc_id"))
         .sortWithinPartitions("doc_id", "text")
     )
-    end = np.array([end_id], "<u4").tobytes()
-
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, shard, seq = tokens.encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         size = 0
 
         def flush() -> pd.DataFrame:
-            counts = [len(p) // 4 for p in parts]
-            payload = idcodec.encode(np.frombuffer(b"".join(parts), "<u4"))
+            counts = [len(p) for p in parts]
+            payload = idcodec.encode(np.concatenate(parts))
             row = (shard, seq, len(ids), sum(counts), list(ids), counts, payload)
             return pd.DataFrame([row], columns=["shard", "seq", "n_docs", "n_tokens", "doc_ids", "doc_tokens", "payload"])
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
-                parts.append(enc.encode(text) + end)
-                size += len(parts[-1]) // 4
+                parts.append(enc.document(text, end_id))
+                size += len(parts[-1])
                 if size >= SEGMENT_TOKENS:
                     yield flush()
                     seq, size = seq + 1, 0
@@ -77,7 +75,8 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard, seq, doc_ids, counts, payload in zip(batch["shard"], batch["seq"], batch["doc_ids"], batch["doc_tokens"], batch["payload"], strict=True):
+            columns = (batch[c] for c in ("shard", "seq", "doc_ids", "doc_tokens", "payload"))
+            for shard, seq, doc_ids, counts, payload in zip(*columns, strict=True):
                 ids = idcodec.decode(payload)
                 raw = ids.astype("<u4").tobytes()
                 ends = np.cumsum(np.asarray(counts, np.int64))
