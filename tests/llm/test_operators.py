@@ -195,6 +195,43 @@ def test_keep_one_keeps_a_row_of_each_group_whatever_the_ids(spark):
     assert rows == Counter([(None, kept_a.pop()), (None, b), (None, None), (None, None), (None, " "), (4, c + " x"), (5, d)])
 
 
+def test_families_that_share_a_passage_are_not_paired_off(spark):
+    """Two families of copies whose templates are alike below the threshold, and a crowd with one common passage: neither
+    forms pairs, while a text between the families joins them."""
+    rng = random.Random(9)
+    common, x, y = ([f"{t}{k}" for k in range(n)] for t, n in (("c", 300), ("x", 75), ("y", 75)))
+    one, two = common + x, common + y
+    texts = [edited(one, rng.randrange(3), rng) for _ in range(60)] + [edited(two, rng.randrange(3), rng) for _ in range(60)]
+    texts += [" ".join(common[:150] + [f"z{k}_{n}" for n in range(80)]) for k in range(80)]
+    for more in ([], [" ".join(common + x[:40] + y[:40])]):
+        comp, sizes = components_by_pairs(texts + more)
+        got = near_dedup.near_duplicates(docs_of(spark, texts + more)).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(k, sizes[k], comp[k]) for k in range(len(comp))]
+
+
+def test_keep_one_loses_nothing_that_does_not_link(spark):
+    """Null and repeated ids, columns with the operator's names, against brute force."""
+    rng = random.Random(4)
+    base = [[f"{t}{k}" for k in range(60)] for t in "abcd"]
+    texts = [edited(base[k % 4], rng.randrange(2), rng) for k in range(40)] + [None, "", None]
+    ids = [rng.choice([None, 1, 2, 3, 1000 + k]) for k in range(len(texts))]
+    rows = [(i, t, k, k, "x", k) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own_id long, row int, words string, `a.b` int")
+    got = near_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    kept = sorted(r["a.b"] for r in got.collect())
+    comp, sizes = components_by_pairs(texts)
+    groups = defaultdict(list)
+    for k, c in enumerate(comp):
+        groups[c].append(k)
+    assert len(kept) == len(groups)
+    for own in groups.values():
+        left = [k for k in kept if k in own]
+        assert len(left) == 1 and (ids[left[0]] is not None or all(ids[k] is None for k in own))
+        assert ids[left[0]] == min((ids[k] for k in own if ids[k] is not None), default=None)
+    assert near_dedup.keep_one(docs.limit(0)).count() == 0
+
+
 def test_min_max_estimates_similarity():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2**63, 800).astype(np.uint64)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, local sessions get a temporary one; a
+    cluster has no folder of its own that all its machines see, so there it is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -27,7 +30,34 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """One struct column, row, with all of df's columns, beside the given ones: working columns never meet df's names.
+
+    A row without columns of its own can't be packed. unpacked() gives df's columns back.
+    """
+    return df.select(F.struct(*[F.col(_quoted(c)) for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of a packed row, those named in new replaced; new ones that the row doesn't have come last."""
+    out = [new[c].alias(c) if c in new else F.col(f"row.{_quoted(c)}").alias(c) for c in columns]
+    return df.select(*out, *[c.alias(k) for k, c in new.items() if k not in columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -5,11 +5,12 @@ minimum and the maximum over the set, so a signature of 2 * PERMUTATIONS values
 BAND values are the bucket keys. At a similarity of 0.75 a pair shares no bucket with probability (1 - 0.75^3)^32 = 2e-8.
 
 Equal sets are one node from the start. A bucket is not expanded into pairs: its most central member (the one with the
-least share of shingles that no one else has) is compared with the rest, and connected components are taken. Only where a bucket still
-holds members of different components are pairs across components formed, inside a join that also asks for a fitting size,
-for an intersection that can be large enough (shingles that no one shares don't count, nor those in cells of the hash range
-where the other has none: copies with edits of their own in different places drop out), and for a sketch distance of at most SKETCH_BITS (a link misses that bound with probability under 1e-8). So
-big groups of copies cost rows in proportion to their members, and no link that could join two components is left out.
+least share of shingles that no one else has) is compared with the rest, and connected components are taken. Where a bucket
+still holds members of different components, its members are looked at once more, in three exact steps (see _across): members
+that meet another component in their rarest shingles; of those, the ones that share enough shingles with all of that
+component together; and only then pairs, with a sketch distance of at most SKETCH_BITS (a link misses that bound with
+probability under 1e-8). So big groups of copies, and crowds of documents that share a passage but don't link, cost rows in
+proportion to their members, and no link that could join two components is left out.
 
 Nulls and ties: null, empty or wordless texts have an empty set, link with nothing and stay. Texts with fewer words than a
 shingle have one shingle, the whole sequence. Rows with equal ids are nodes of their own and end in the same group only if
@@ -25,13 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise, packed, unpacked
 from .components import connected_components
 
 WORDS, PERCENT = 5, 75
 PERMUTATIONS, BAND = 48, 3
 SKETCH_BITS = 60
-ROUNDS = 1
 _U = np.uint64
 SIGNATURE = "row_id long, doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, s0 long, s1 long, s2 long"
 
@@ -103,7 +103,10 @@ def sketch(signature: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    source = docs.select(
+        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"),
+    )
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -223,31 +226,68 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     checked = materialise(_confirm(sets, first), "pairs")
     comps = connected_components(checked.where("linked"))
 
-    for turn in range(ROUNDS + 1):
-        rows = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        open_rows = materialise(rows.join(split, "key").join(about.drop("weight"), "node"), "open")
-        p, q = open_rows.alias("p"), open_rows.alias("q")
-        across = (
-            p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") < F.col("q.comp")) & _can_link("p", "q") & _plausible("p", "q"))
-            .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"), F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb"), _distance("p", "q").alias("d"))
-        )
-        done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        across = across.distinct().join(done, ["a", "b"], "left_anti")
-        if turn < ROUNDS:  # first the nearest pair between each two components; at last whatever is left
-            across = across.groupBy("ca", "cb").agg(F.min(F.struct("d", "a", "b")).alias("m")).select("m.a", "m.b")
-        across = materialise(across.select("a", "b"), "across")
-        if not across.limit(1).count():
-            break
-        new = materialise(_confirm(sets, across), "pairs")
-        checked = checked.unionByName(new)
-        if new.where("linked").limit(1).count():
-            comps = connected_components(checked.where("linked"))
+    rows = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    # a link needs three quarters of a set; what no one shares can't be in it
+    able = about.where(100 * F.col("held") >= PERCENT * F.col("n_shingles")).drop("weight")
+    members = materialise(rows.join(split, "key").select("node", "comp").distinct().join(able, "node"), "open")
+    done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    across = materialise(_across(members, sets).join(done, ["a", "b"], "left_anti"), "across")
+    # first the nearest pair between each two components, then whatever is left between those that are still apart
+    near = materialise(_confirm(sets, across.groupBy("ca", "cb").agg(F.min(F.struct("d", "a", "b")).alias("m")).select("m.a", "m.b")), "pairs")
+    pairs = [checked, near]
+    if near.where("linked").limit(1).count():
+        comps = connected_components(checked.unionByName(near).where("linked"))
+    of = comps.select(F.col("node").alias("n"), F.col("comp").alias("c"))
+    far = across.join(near.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
+    far = far.join(of, far["a"] == of["n"], "left").select("a", "b", F.coalesce("c", "a").alias("ca"))
+    far = far.join(of, far["b"] == of["n"], "left").select("a", "b", "ca", F.coalesce("c", "b").alias("cb")).where("ca <> cb")
+    rest = materialise(_confirm(sets, far.select("a", "b")), "pairs")
+    pairs.append(rest)
+    if rest.where("linked").limit(1).count():
+        comps = connected_components(checked.unionByName(near).unionByName(rest).where("linked"))
 
     least = nodes.select("node", "doc").join(comps, "node").groupBy("comp").agg(F.min("doc").alias("component_id"))
-    of_node = nodes.select("set_a", "set_b", "node", "doc").join(comps.join(least, "comp"), "node", "left").select("set_a", "set_b", F.coalesce("comp", "node").alias("group"), F.coalesce("component_id", "doc").alias("component_id"))
+    of_node = nodes.select("set_a", "set_b", "node", "doc").join(comps.join(least, "comp"), "node", "left")
+    of_node = of_node.select("set_a", "set_b", F.coalesce("comp", "node").alias("group"), F.coalesce("component_id", "doc").alias("component_id"))
     out = sig.select("row_id", "doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(of_node, ["set_a", "set_b"], "left")
-    return out.select("row_id", "doc_id", "text_hash", "n_shingles", F.coalesce("group", "row_id").alias("group"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    group, component = F.coalesce("group", "row_id").alias("group"), F.coalesce("component_id", "doc_id").alias("component_id")
+    groups = materialise(out.select("row_id", "doc_id", "text_hash", "n_shingles", group, component), "groups")
+    discard(sig, nodes, met, sets, about, members, across, *pairs)
+    return groups
+
+
+def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a < b, of components ca and cb, with their sketch distance d) that may still link two components.
+
+    1. Of two sets that link, the rarest n - ceil(3n/4) + 1 shingles of each, in one order of rarity, have one in common.
+       A member is a candidate for every component that has such a shingle of its own: rows by members and components.
+    2. No link can be larger than what the member shares with all the other component's shingles together.
+    3. Pairs are formed between the members of two components that are left on both sides.
+    """
+    own = members.select("node", "comp", F.col("n_shingles").alias("n"))
+    each = materialise(sets.join(own, "node").select("node", "comp", "n", F.explode("shingles").alias("s")), "shingles")
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("often"), (F.min("comp") != F.max("comp")).alias("met"))
+    # shingles of one component only are never met, so they count for the length of a prefix, but needn't be kept as rows
+    ranked = each.join(often, "s").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("often", "s", "met"))).alias("all"))
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
+    prefix = ranked.select("node", "comp", F.explode(F.filter(F.slice("all", F.lit(1), length.cast("int")), lambda x: x["met"])).alias("x")).select("node", "comp", "x.s")
+    prefix = materialise(prefix, "prefixes")
+    other = prefix.select("s", F.col("comp").alias("other")).distinct()
+    candidates = prefix.join(other, "s").where("comp <> other").select("node", "other").distinct()
+    least = own.groupBy(F.col("comp").alias("other")).agg(F.min("n").alias("least"))
+    union = each.select(F.col("comp").alias("other"), "s").distinct()
+    shared = candidates.join(each, "node").join(union, ["other", "s"]).groupBy("node", "comp", "n", "other").agg(F.count(F.lit(1)).alias("c"))
+    enough = 100 * F.col("c") >= PERCENT * (F.col("n") + F.greatest(F.col("least"), F.col("n") * PERCENT / 100) - F.col("c"))
+    able = materialise(shared.join(least, "other").where(enough).select("node", "comp", "other"), "able")
+    p = able.join(members.drop("comp"), "node").alias("p")
+    q = able.join(members.drop("comp"), "node").alias("q")
+    met = (F.col("p.comp") == F.col("q.other")) & (F.col("p.other") == F.col("q.comp")) & (F.col("p.comp") < F.col("q.comp"))
+    pairs = p.join(q, met & _can_link("p", "q") & _plausible("p", "q"))
+    return pairs.select(
+        F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"),
+        F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb"), _distance("p", "q").alias("d"),
+    )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,14 +297,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each near-duplicate group, that of the smallest (id, text hash), and all rows without words."""
-    rank = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "text_hash")
+    """docs with one row of each near-duplicate group, that of the smallest (id, text hash), and all rows without words.
+
+    The survivor is chosen for each group, not for each id: rows that share an id (or have none) stay apart unless their
+    texts link. A null id gives way to any other. Rows that repeat the survivor's id and text go. All columns pass through.
+    """
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     chosen = _grouped(docs, id_col, text_col).groupBy("group").agg(F.min(rank).alias("m"), F.max("n_shingles").alias("n"))
-    keys = [F.col("m._null"), F.coalesce("m.doc_id", F.lit(0)).alias("_id"), F.col("m.text_hash").alias("_hash")]
-    chosen = chosen.groupBy(*keys).agg((F.max("n") > 0).alias("_words"))
-    own = F.col(id_col).cast("long")
-    rows = docs.withColumns({"_null": own.isNull(), "_id": F.coalesce(own, F.lit(0)), "_hash": F.xxhash64(text_col)}).join(chosen, ["_null", "_id", "_hash"])
+    chosen = chosen.groupBy(F.col("m.doc_id").alias("kept_id"), F.col("m.text_hash").alias("kept_hash")).agg((F.max("n") > 0).alias("words"))
+    rows = packed(docs, own_id=F.col(id_col).cast("long"), own_hash=F.xxhash64(text_col))
+    rows = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")))
     # rows that share id and text are repeats of each other, but for those without words
-    rows = rows.withColumn("_row", F.when(~F.col("_words"), F.monotonically_increasing_id()))
-    turn = Window.partitionBy("_null", "_id", "_hash", "_row").orderBy("_hash")
-    return rows.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").select(*docs.columns)
+    rows = rows.withColumn("apart", F.when(~F.col("words"), F.monotonically_increasing_id()))
+    turn = Window.partitionBy("own_id", "own_hash", "apart").orderBy("own_hash")
+    return unpacked(rows.withColumn("turn", F.row_number().over(turn)).where("turn = 1"), docs.columns)
