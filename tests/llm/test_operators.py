@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -30,14 +31,14 @@ def test_top_k_equals_brute_force(spark):
     rows = [(i, rng.normal(size=6).round(2).tolist() if i % 4 else [0.5] * 6, "x") for i in range(300)]
     rows += [(300, None, "x"), (350, [None] * 6, "x"), (400, [float("nan")] * 6, "x"), (450, [math.inf] + [0.0] * 5, "x"), (500, [1.0, 2.0], "x"), (550, [], "x"), (50, [0.1] * 6, "x"), (None, [0.1] * 6, "x")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in cover_tree.top_k(df, F.col("vec_id") % 50 == 0).collect())
-    ok = [(i, np.floor(256 * np.array(v, np.float32).astype(np.float64))) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    got = list((r.query_id, r["rank"], r.vec_id, r.score) for r in cover_tree.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    ok = [(i, np.floor(256 * np.array(v, np.float32).astype(np.float64))) for i, v, _ in rows if v and None not in v and np.isfinite(v).all()]
     want = []
     for k, (i, q) in enumerate(ok):
-        if i % 50 == 0:
-            s = sorted((-int(q @ v), j) for m, (j, v) in enumerate(ok) if m != k and len(v) == len(q))[:5]
-            want += [(i, n + 1, j, -sc) for n, (sc, j) in enumerate(s)]
-    assert got == sorted(want)
+        if i is not None and i % 50 == 0:
+            s = sorted((-int(q @ v), j is None, j or 0) for m, (j, v) in enumerate(ok) if m != k and len(v) == len(q))[:5]
+            want += [(i, n + 1, None if none else j, -sc) for n, (sc, none, j) in enumerate(s)]
+    assert sorted(got, key=str) == sorted(want, key=str)
 
 
 def test_top_k_prunes_and_handles_empty(spark, monkeypatch):
@@ -49,13 +50,49 @@ def test_top_k_prunes_and_handles_empty(spark, monkeypatch):
     seen = []
     real = cover_tree.np.rint
     monkeypatch.setattr(cover_tree.np, "rint", lambda x: (seen.append(x.size), real(x))[1])
-    a, b, s = cover_tree.search_block(q, np.arange(len(q)) + 10**6, d, np.arange(len(d)), 5, np.full(len(q), -np.inf))
+    trees = cover_tree.CoverTree(q, cover_tree.QUERY_LEAF), cover_tree.CoverTree(d)
+    a, b, s = cover_tree.search_trees(trees[0], np.arange(len(q)) + 10**6, trees[1], np.arange(len(d)), 5, -np.inf)
     for i in range(len(q)):
         want = sorted((-int(x), j) for j, x in enumerate(d @ q[i]))[:5]
         assert sorted((-int(s[k]), int(b[k])) for k in np.flatnonzero(a == i)) == want
     assert sum(seen) < 0.5 * len(q) * len(d)
 
 
+def test_cover_tree_invariants():
+    rng = np.random.default_rng(2)
+    x = np.rint(np.concatenate([rng.normal(size=(300, 3)) * 50, np.zeros((90, 3)), rng.normal(size=(60, 3)) * 5 + 400]))
+    tree = pickle.loads(pickle.dumps(cover_tree.CoverTree(x, leaf=6)))
+    assert sorted(tree.order) == list(range(len(x))) and (tree.x == x).all()
+    far = lambda a, b: np.linalg.norm(x[a] - x[b])
+    for node, kids in enumerate(tree.children):
+        own = tree.order[tree.start[node] : tree.stop[node]]
+        assert max(far(r, tree.point[node]) for r in own) <= tree.radii[node] + 1e-9
+        assert len(kids) or len(own) <= 6 or tree.radii[node] == 0
+        for k in kids:  # covering: a child's level names a net whose parents lie within twice its distance
+            assert far(tree.point[k], tree.point[node]) <= 2.0 ** (tree.level[k] + 1)
+        if len(kids):
+            assert tree.point[node] in tree.point[kids]  # nesting
+    for level in set(tree.level):  # separation
+        net = sorted({int(p) for p, n in zip(tree.point, tree.level, strict=True) if n >= level})
+        assert all(far(a, b) > 2.0**level for i, a in enumerate(net) for b in net[:i])
+
+
+def test_top_k_of_large_components(spark):
+    """Scores past 2^53, and past what a score and a place share, are exact; too large ones end the query."""
+    rng = np.random.default_rng(8)
+    for size, n in ((1e5, 400), (3e6, 120), (1e8, 120)):
+        v = np.rint(rng.normal(size=(n, 8)) * size).astype(np.int64)
+        got = cover_tree.top_k(spark.createDataFrame([(k, [float(y) for y in x]) for k, x in enumerate(v)], "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, scale=1)
+        want = []
+        for q in range(0, n, 50):
+            best = sorted((-sum(int(a) * int(b) for a, b in zip(v[q], v[j], strict=True)), j) for j in range(n) if j != q)[:5]
+            want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == want
+    big = spark.createDataFrame([(0, [1e30, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        cover_tree.top_k(big, F.col("vec_id") % 50 == 0).collect()
+
+
 # ---- secrets
 def base_spans(text):
     found = [("assign", m.start(), m.end()) for m in re.finditer(r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(1)) >= 6]

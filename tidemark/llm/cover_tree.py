@@ -1,18 +1,20 @@
 """Exact top-k search by inner product with dual cover trees.
 
-Vectors are cut into blocks of bounded size, alike vectors together; each block has a cover tree. Queries and data are both
-indexed. Two nodes are searched together: the largest inner product they can hold is bounded by their centres and covering
-radii, and the pair is pruned if that is below the worst kth score of the query node's queries. The same bound prunes pairs
-of whole blocks before they are shipped: each query block first searches the data blocks around its own pivot, which gives
-its worst kth score, and then only the blocks that can still beat it.
+Vectors are cut into blocks of bounded size, alike vectors together; each block has a cover tree, built once and kept with
+it. Queries and data are both indexed. Two nodes are searched together: the largest inner product they can hold is bounded
+by their points and covering radii, and the pair is pruned if that is below the worst kth score of the query node's queries.
+The same bound prunes pairs of whole blocks before they are shipped: each query block first searches the data blocks nearest
+to it, which gives its worst kth score, and then only the blocks that can still beat it.
 
 Nulls and ties: null vectors and vectors with a null or non-finite component take no part; vectors meet only vectors of
-their own length. Equal scores go to the smaller vec_id. Rows with equal ids are rows of their own; a query leaves out only
-itself. Empty tables, and queries alone in their table, give no row. Other columns are ignored.
+their own length. Equal scores go to the smaller vec_id, a null one last. Rows with equal ids are rows of their own; a query
+leaves out only itself. Scores are exact; one that does not fit a long ends the query with an error. Empty tables, and
+queries alone in their table, give no row. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,126 +22,229 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_width
+from .common import discard, materialise, shuffle_width
 
-#: Rows of a data block and of a query block, leaf sizes and fan-out of the trees, most pivots (bounds, whatever the input);
-#: PRODUCT: queries by data rows that are scored by one matrix product.
-DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, FAN_OUT, PIVOTS = 4096, 1024, 48, 4, 12, 64
-PRODUCT = (64, 512)
-BLOCK_SCHEMA = "block long, pivot int, dims int, n int, rows binary, ids binary, data binary, center array<double>, radius double"
+#: Rows of a data block and of a query block, leaf sizes of their trees, most pivots that cut the table into blocks, data
+#: blocks that a query block searches first; SMALL: so few scores are formed at once rather than bounded further.
+DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, PIVOTS, NEAREST, SMALL = 2048, 1024, 32, 1, 4096, 2, 1 << 13
+BLOCK_SCHEMA = "block long, dims int, n int, data binary, center array<double>, radius double"
 
 
 class CoverTree:
-    """Nodes over the rows of x (float64): center, radius to the farthest row below, row range, children."""
+    """A cover tree over the rows of x (float64), cut off at leaves of few rows.
+
+    Level by level, rows farther than 2^l from every centre become centres, until there is none. So the centres of level l lie
+    more than 2^l apart (separation), every row but those of the leaves above is within 2^l of one of them (covering), and they are also centres of level l - 1 (nesting). A node is a centre at a level; its children are itself one level down and the new centres nearest to it.
+
+    Nodes as arrays: point (a row), level, radius (measured, to the farthest row below), start and stop in order, children.
+    """
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        self.x, self.order, self.leaf = x, np.arange(len(x)), leaf
-        self.center: list[np.ndarray] = []
-        self.radius: list[float] = []
-        self.span: list[tuple[int, int]] = []
-        self.children: list[list[int]] = []
-        if len(x):
-            self._build(0, len(x))
-        self.centers, self.radii = np.array(self.center), np.array(self.radius)
-        self.norms = np.linalg.norm(self.centers, axis=-1) if len(x) else np.zeros(0)
-
-    def _build(self, a: int, b: int) -> int:
-        rows = self.order[a:b]
-        node, pts = len(self.center), self.x[rows]
-        center = pts.mean(axis=0)
-        dist = np.sqrt(np.maximum(((pts - center) ** 2).sum(axis=1), 0))
-        self.center.append(center)
-        self.radius.append(float(dist.max()))
-        self.span.append((a, b))
-        self.children.append([])
-        if b - a <= self.leaf or self.radius[node] == 0:
-            return node
-        # centres, each the row farthest from those before, until they cover all rows within half the radius or are FAN_OUT;
-        # every row goes to its nearest centre, and the child's own radius is measured
-        owner, near = np.zeros(b - a, int), np.full(b - a, np.inf)
-        pick, square = int(dist.argmax()), (pts**2).sum(axis=1)
-        for k in range(FAN_OUT):
-            d = np.sqrt(np.maximum(square - 2 * (pts @ pts[pick]) + square[pick], 0))
-            owner[d < near] = k
-            near = np.minimum(near, d)
-            pick = int(near.argmax())
-            if near[pick] <= self.radius[node] / 2:
-                break
-        sizes = np.bincount(owner, minlength=FAN_OUT + 1)
-        if sizes.max() == b - a:
-            half = np.argsort(dist, kind="stable")  # nothing was told apart: by distance from the centre
-            owner = np.zeros(b - a, int)
-            owner[half[(b - a) // 2 :]] = 1
-            sizes = np.bincount(owner, minlength=FAN_OUT + 1)
-        self.order[a:b] = rows[np.argsort(owner, kind="stable")]
-        start = a
-        for size in sizes:
-            if size:
-                self.children[node].append(self._build(start, start + int(size)))
-                start += int(size)
-        return node
-
-
-def bounds(qt: CoverTree, i: list[int], dt: CoverTree, j: list[int]) -> np.ndarray:
+        self.x = x
+        centres, level, parents, owner, levels = _nets(x, leaf)
+        below: list[list[int]] = [[] for _ in centres]  # centre -> centres whose parent it is, the coarsest first
+        for c in range(1, len(centres)):
+            below[parents[c]].append(c)
+        rows: list[list[int]] = [[] for _ in centres]
+        for r, c in enumerate(owner):
+            rows[c].append(r)
+        point, node_level, start, stop, children, order = [], [], [], [], [], []
+
+        def open_node(c: int, at: int) -> int:
+            point.append(centres[c])
+            node_level.append(at)
+            start.append(len(order))
+            stop.append(0)
+            children.append([])
+            return len(point) - 1
+
+        # (centre, level, how many of its children are of higher levels, parent node, its number once it is open)
+        todo = [(0, levels, 0, -1, -1)] if len(x) else []
+        while todo:
+            c, at, seen, parent, node = todo.pop()
+            if node >= 0:
+                stop[node] = len(order)
+                continue
+            node = open_node(c, at)
+            if parent >= 0:
+                children[parent].append(node)
+            todo.append((c, at, seen, parent, node))
+            rest = below[c][seen:]
+            if not rest:
+                order.extend(rows[c])
+                continue
+            next_level = level[rest[0]]  # levels that only repeat the centre are passed over
+            new = [k for k in rest if level[k] == next_level]
+            todo.append((c, next_level, seen + len(new), node, -1))
+            todo.extend((k, next_level, 0, node, -1) for k in new)
+        self.order = np.array(order, np.int64)
+        self.point, self.level = np.array(point, np.int64), np.array(node_level)
+        self.start, self.stop = np.array(start, np.int64), np.array(stop, np.int64)
+        self.children = [np.array(k, np.int64) for k in children]
+        self.radii = np.array([_distances(x[order[a:b]], x[p]).max() for p, a, b in zip(point, start, stop, strict=True)])
+        self._derive()
+
+    def _derive(self) -> None:
+        self.centers = self.x[self.point] if len(self.x) else self.x
+        self.norms = np.linalg.norm(self.centers, axis=-1) if len(self.x) else np.zeros(0)
+
+    def __getstate__(self) -> dict:
+        """As it is stored: whole numbers in as few bytes as they need."""
+        state = {k: v for k, v in self.__dict__.items() if k not in ("centers", "norms")}
+        most = np.abs(self.x).max(initial=0)
+        state["x"] = self.x.astype(np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.int64)
+        return state
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.x = self.x.astype(np.float64)
+        self._derive()
+
+
+def _nets(x: np.ndarray, leaf: int) -> tuple[list[int], list[int], list[int], np.ndarray, int]:
+    """(centres; the level each is new at; its parent among the centres; each row's centre; top level).
+
+    Goes on among the rows of centres that have more than leaf, until there is none or its rows are all equal to it.
+    """
+    if not len(x):
+        return [], [], [], np.zeros(0, np.int64), 0
+    root = int(_distances(x, x.mean(axis=0)).argmin())
+    near, owner = _distances(x, x[root]), np.zeros(len(x), np.int64)
+    top = int(np.ceil(np.log2(near.max()))) if near.max() > 0 else 0
+    centres, level, parents, open_rows = [root], [top], [-1], np.full(len(x), len(x) > leaf)
+    while True:
+        far = float(near[open_rows].max(initial=0))
+        if far <= 0:
+            return centres, level, parents, owner, top
+        now = int(np.ceil(np.log2(far))) - 1  # levels without a new centre are passed over
+        above = owner.copy()  # the net of the level above is whole: a new centre's parent is the nearest in it
+        while len(uncovered := np.flatnonzero(open_rows & (near > 2.0**now))):
+            pick = int(uncovered[0])
+            centres.append(pick)
+            level.append(now)
+            parents.append(int(above[pick]))
+            d = _distances(x, x[pick])
+            closer = open_rows & (d < near)
+            owner[closer], near[closer] = len(centres) - 1, d[closer]
+            open_rows &= (np.bincount(owner, minlength=len(centres)) > leaf)[owner]  # the others are a leaf's and stay with it
+
+
+def _distances(x: np.ndarray, point: np.ndarray) -> np.ndarray:
+    return np.sqrt(((x - point) ** 2).sum(axis=1))
+
+
+def bounds(qt: CoverTree, i: np.ndarray, dt: CoverTree, j: np.ndarray) -> np.ndarray:
     """Most that an inner product can be between the balls of nodes i and j, with room for rounding; i by j."""
     nq, qr, nd, dr = qt.norms[i][:, None], qt.radii[i][:, None], dt.norms[j][None, :], dt.radii[j][None, :]
     return qt.centers[i] @ dt.centers[j].T + qr * nd + dr * nq + qr * dr + 1e-6 * (1 + (nq + qr) * (nd + dr))
 
 
-def search_block(q: np.ndarray, q_rows: np.ndarray, d: np.ndarray, d_rows: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best data rows of each query: (query place, data place, score). d is in order of id; q_rows and d_rows name rows.
-
-    floor: a score of each query below which nothing matters. A pair of nodes small enough for one matrix product is scored
-    at once unless the children's bounds spare half of it.
+class _Best:
+    """The k best (score, place) of each query: the higher score, then the smaller place."""
+
+    def __init__(self, queries: int, k: int, places: int, size: float):
+        self.shift = np.int64(max(places - 1, 1).bit_length())
+        self.last = np.int64((1 << int(self.shift)) - 1)
+        self.low = np.int64(-(2**62))
+        self.packs = size * float(1 << int(self.shift)) < 2.0**61  # score and place fit in one number
+        self.keys = np.full((queries, k), self.low)
+        self.rows: list[list[tuple[int, int]]] = [[] for _ in range(0 if self.packs else queries)]
+        self.k = k
+
+    def add(self, qi: np.ndarray, dj: np.ndarray, scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Takes in scores (qi by dj); own marks a query's own row. Returns each query's kth score, or -inf."""
+        if not self.packs:
+            for n, q in enumerate(qi):
+                new = [(int(s), int(p)) for s, p, o in zip(scores[n], dj, own[n], strict=True) if not o]
+                self.rows[q] = sorted(self.rows[q] + new, key=lambda x: (-x[0], x[1]))[: self.k]
+            return np.array([self.rows[q][-1][0] if len(self.rows[q]) == self.k else -np.inf for q in qi], np.float64)
+        keys = (scores.astype(np.int64) << self.shift) | (self.last - dj)[None, :]
+        keys[own] = self.low
+        both = np.concatenate([self.keys[qi], keys], axis=1)
+        self.keys[qi] = both[np.arange(len(qi))[:, None], np.argpartition(both, both.shape[1] - self.k, axis=1)[:, -self.k :]]
+        kth = self.keys[qi].min(axis=1)
+        return np.where(kth > self.low, kth >> self.shift, -np.inf)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.packs:
+            flat = [(q, p, s) for q, own in enumerate(self.rows) for s, p in own]
+            return tuple(np.array([x[n] for x in flat], np.int64) for n in range(3))
+        q, col = np.nonzero(self.keys > self.low)
+        keys = self.keys[q, col]
+        return q, self.last - (keys & self.last), keys >> self.shift
+
+
+def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best data rows of each query: (query place, data place, score). Data places are in order of id; q_rows, d_rows
+    name rows. Nothing below floor matters.
+
+    Every query leaf first gets a floor from the data leaf that promises it most. If the bounds between leaves then spare less
+    than half of all scores (directions without order), all are formed by matrix products. Otherwise both trees are opened
+    together: a query node keeps the data nodes whose bound reaches the worst kth score of its queries.
     """
-    qt, dt = CoverTree(q, QUERY_LEAF), CoverTree(d)
-    shift = np.int64(max(len(d) - 1, 1).bit_length())
-    low, last = np.int64(-(2**62)), np.int64((1 << int(shift)) - 1)
-    best = np.full((len(q), k), low)  # score and place in one number: higher score first, then the smaller place
-    worst = floor.astype(np.float64).copy()
-
-    def score(i: int, j: int) -> None:
-        (a, b), (c, e) = qt.span[i], dt.span[j]
-        qi, dj = qt.order[a:b], dt.order[c:e]
-        keys = (np.rint(q[qi] @ d[dj].T).astype(np.int64) << shift) | (last - dj)[None, :]
-        keys[q_rows[qi][:, None] == d_rows[dj][None, :]] = low
-        both = np.concatenate([best[qi], keys], axis=1)
-        best[qi] = both[np.arange(len(qi))[:, None], np.argpartition(both, both.shape[1] - k, axis=1)[:, -k:]]
-        kth = best[qi].min(axis=1)
-        worst[qi] = np.where(kth > low, np.maximum(worst[qi], kth >> shift), worst[qi])
-
-    def width(tree: CoverTree, node: int) -> int:
-        return tree.span[node][1] - tree.span[node][0]
+    if not len(q_rows) or not len(d_rows):
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    q, d = qt.x, dt.x
+    size = float(np.linalg.norm(q, axis=1).max() * np.linalg.norm(d, axis=1).max())
+    if size >= 2.0**63:
+        raise ValueError("a score may not fit a long: scale the vectors down")
+    whole = (q.astype(np.int64), d.astype(np.int64)) if size >= 2.0**52 else None  # float64 products are exact below
+    best = _Best(len(q), k, len(d), size)
+    worst = np.full(len(q), floor)
+
+    q_width, d_width = qt.stop - qt.start, dt.stop - dt.start
+
+    def scores_of(i: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The node's queries, the data rows below nodes, their scores, and which of these are a query with itself."""
+        qi = qt.order[qt.start[i] : qt.stop[i]]
+        dj = np.concatenate([dt.order[dt.start[j] : dt.stop[j]] for j in nodes])
+        scores = np.rint(q[qi] @ d[dj].T) if whole is None else whole[0][qi] @ whole[1][dj].T
+        return qi, dj, scores, q_rows[qi][:, None] == d_rows[dj][None, :]
+
+    def raise_floor(i: int) -> None:
+        """Scores of the data node that promises most, the smallest that has more than k rows."""
+        j = 0
+        while len(dt.children[j]):
+            best_kid = int(dt.children[j][bounds(qt, np.array([i]), dt, dt.children[j])[0].argmax()])
+            if d_width[best_kid] <= k:
+                break
+            j = best_kid
+        qi, dj, scores, own = scores_of(i, np.array([j]))
+        if len(dj) > k:
+            kth = np.partition(np.where(own, -np.inf, scores), -k, axis=1)[:, -k]
+            worst[qi] = np.maximum(worst[qi], kth)
 
     def needed(i: int) -> float:
-        a, b = qt.span[i]
-        return worst[qt.order[a:b]].min()
-
-    todo = [(0, 0)] if len(q) and len(d) else []
+        return worst[qt.order[qt.start[i] : qt.stop[i]]].min()
+
+    def score(i: int, nodes: np.ndarray) -> None:
+        qi, dj, scores, own = scores_of(i, nodes)
+        worst[qi] = np.maximum(worst[qi], best.add(qi, dj, scores, own))
+
+    top = np.zeros(1, np.int64)
+    q_leaves, d_leaves = (np.array([n for n, kids in enumerate(t.children) if not len(kids)]) for t in (qt, dt))
+    for i in q_leaves:
+        raise_floor(i)
+    keep = bounds(qt, q_leaves, dt, d_leaves) >= np.array([needed(i) for i in q_leaves])[:, None]
+    if 2 * (q_width[q_leaves][:, None] * d_width[d_leaves][None, :] * keep).sum() > len(q) * len(d):
+        score(0, top)
+        return best.found()
+    todo = [(0, top)]
     while todo:
-        i, j = todo.pop()
-        if bounds(qt, [i], dt, [j])[0, 0] < needed(i):
+        i, nodes = todo.pop()
+        nodes = nodes[bounds(qt, np.array([i]), dt, nodes)[0] >= needed(i)]
+        if not len(nodes):
             continue
-        kids_i, kids_j = qt.children[i] or [i], dt.children[j] or [j]
-        if kids_i == [i] and kids_j == [j]:
-            score(i, j)
+        opened = np.concatenate([dt.children[j] if len(dt.children[j]) else [j] for j in nodes]).astype(np.int64)
+        kids = qt.children[i] if len(qt.children[i]) else np.array([i])
+        keep = bounds(qt, kids, dt, opened) >= np.array([needed(c) for c in kids])[:, None]
+        some = opened[keep.any(axis=0)]
+        leaves = not len(qt.children[i]) and not any(len(dt.children[j]) for j in some)
+        if len(some) and (leaves or q_width[i] * d_width[some].sum() <= SMALL):
+            score(i, some)
             continue
-        small = width(qt, i) <= PRODUCT[0] and width(dt, j) <= PRODUCT[1]
-        if not small and kids_j != [j] and (kids_i == [i] or dt.radius[j] >= qt.radius[i]):
-            kids_i = [i]  # the wider ball is opened
-        elif not small and kids_i != [i]:
-            kids_j = [j]
-        most = bounds(qt, kids_i, dt, kids_j)
-        keep = most >= np.array([needed(x) for x in kids_i])[:, None]
-        sizes = np.array([width(qt, x) for x in kids_i])[:, None] * np.array([width(dt, x) for x in kids_j])[None, :]
-        if small and 2 * (sizes * keep).sum() > sizes.sum():
-            score(i, j)
-            continue
-        x, y = np.nonzero(keep)
-        todo += [(kids_i[x[n]], kids_j[y[n]]) for n in np.argsort(most[x, y])]  # the most promising is searched first
-    qp, col = np.nonzero(best > low)
-    keys = best[qp, col]
-    return qp, last - (keys & last), keys >> shift
+        todo += [(int(c), opened[keep[n]]) for n, c in enumerate(kids) if keep[n].any()]
+    return best.found()
 
 
 def usable(vector: Column) -> Column:
@@ -148,62 +253,91 @@ def usable(vector: Column) -> Column:
 
 
 def quantise(vector: Column, scale: int = 256) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int"))
+    """floor(scale * x) as longs; a component that does not fit ends the query."""
 
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < 2.0**52, F.floor(y)).otherwise(F.raise_error(F.lit("a component is too large for a score")).cast("long"))
 
-def _blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """vectors (row, id, v, pivot, dims) to BLOCK_SCHEMA. A pivot's rows are dealt to as many blocks as they need."""
-    spot = ["pivot", "dims"]
-    counts = vectors.groupBy(*spot).agg(F.count(F.lit(1)).alias("_n"))
-    parts = vectors.join(F.broadcast(counts), spot)  # one row per pivot and length
-    parts = parts.withColumn("part", F.pmod(F.xxhash64("row"), F.ceil(F.col("_n") / (0.8 * size))))
+    return F.transform(vector, whole)
 
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "row"], kind="stable")
-        x = np.stack(rows["v"].to_numpy()).astype("<i4")
+
+def _pack(rows: pd.DataFrame, leaf: int) -> bytes:
+    """A block's rows in order of id (null last), and its cover tree."""
+    rows = rows.sort_values(["id", "row"], kind="stable", na_position="last")
+    tree = CoverTree(np.stack(rows["v"].to_numpy()).astype(np.float64), leaf)
+    known = rows["id"].notna().to_numpy()
+    return pickle.dumps((tree, rows["row"].to_numpy(np.int64), rows["id"].fillna(0).to_numpy(np.int64), known))
+
+
+def _blocks(vectors: DataFrame, size: int, leaf: int) -> DataFrame:
+    """vectors (row, id, v, pivot, ring, dims) to BLOCK_SCHEMA. A pivot's rows are dealt to as many blocks as they need:
+    by their distance from the pivot, then, where that doesn't tell them apart, by hash."""
+    spot = ["pivot", "dims"]
+    counts = vectors.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.min("ring").alias("low"), F.max("ring").alias("high"))
+    # rings of equal width, as many as the pivot needs blocks
+    rings = F.ceil(F.col("n") / size)
+    across = F.floor((F.col("ring") - F.col("low")) / (F.col("high") - F.col("low")) * rings)
+    ring = F.when(F.col("high") > F.col("low"), F.least(across, rings - 1)).otherwise(0)
+    placed = vectors.join(F.broadcast(counts), spot).withColumn("zone", ring.cast("int")).drop("n", "low", "high", "ring")  # PIVOTS rows a length at most
+    zones = placed.groupBy(*spot, "zone").agg(F.count(F.lit(1)).alias("n"))
+    parts = placed.join(zones, [*spot, "zone"]).withColumn("part", F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / (0.8 * size))))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(rows["v"].to_numpy()).astype(np.float64)
         center = x.mean(axis=0)
-        radius = float(np.sqrt(((x - center) ** 2).sum(axis=1)).max())
-        block = (int(key[0]) << 40) | (int(key[1]) << 24) | int(key[2])
-        out = (block, int(key[0]), int(key[1]), len(x), rows["row"].to_numpy("<i8").tobytes(), rows["id"].to_numpy("<i8").tobytes(), x.tobytes(), center.tolist(), radius)
+        out = (int(rows["row"].min()), int(rows["dims"].iloc[0]), len(x), _pack(rows, leaf), center.tolist(), float(_distances(x, center).max()))
         return pd.DataFrame([out], columns=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
-    return parts.groupBy("pivot", "dims", "part").applyInPandas(pack, BLOCK_SCHEMA)
+    return parts.groupBy(*spot, "zone", "part").applyInPandas(pack, BLOCK_SCHEMA)
 
 
 def _nearest_pivot(vectors: DataFrame, pivots: list[tuple[int, list[int]]]) -> DataFrame:
-    """pivot: the place of the pivot with the largest inner product among those of the same length, 0 if none."""
-    known = {n: np.array([v for m, v in pivots if m == n], np.float64) for n in {m for m, _ in pivots}}
+    """pivot: the place of a near pivot of the same length, -1 if none; ring: the distance from it.
+
+    Pivots are grouped around their first few; a row goes to the nearest of these, then to the nearest in its group.
+    """
+    known = {}
+    for n in {m for m, _ in pivots}:
+        p = np.array([v for m, v in pivots if m == n], np.float64)
+        heads = p[: int(np.ceil(np.sqrt(len(p))))]
+        known[n] = (p, heads, (2 * p @ heads.T - (heads**2).sum(axis=1)).argmax(axis=1))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            place = np.zeros(len(batch), np.int32)
-            for n, p in known.items():
+            place, ring = np.full(len(batch), -1, np.int32), np.zeros(len(batch))
+            for n, (p, heads, head_of) in known.items():
                 at = np.flatnonzero(batch["dims"].to_numpy() == n)
-                if len(at):
-                    x = np.stack(batch["v"].to_numpy()[at]).astype(np.float64)
-                    place[at] = (2 * x @ p.T - (p**2).sum(axis=1)).argmax(axis=1)
-            batch["pivot"] = place
-            yield batch
+                if not len(at):
+                    continue
+                x = np.stack(batch["v"].to_numpy()[at]).astype(np.float64)
+                head = (2 * x @ heads.T - (heads**2).sum(axis=1)).argmax(axis=1)
+                for h in np.unique(head):
+                    own, of = np.flatnonzero(head == h), np.flatnonzero(head_of == h)
+                    y = x[own]
+                    best = of[(2 * y @ p[of].T - (p[of] ** 2).sum(axis=1)).argmax(axis=1)]
+                    place[at[own]], ring[at[own]] = best, np.sqrt(((y - p[best]) ** 2).sum(axis=1))
+            batch["id"] = batch["id"].astype("Int64")
+            yield batch.assign(pivot=place, ring=ring)
 
-    return vectors.mapInPandas(rows, "row long, id long, v array<int>, dims int, pivot int")
+    return vectors.mapInPandas(rows, "row long, id long, v array<long>, dims int, pivot int, ring double")
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """pairs of a query block (q_*) and a data block (d_*), with floor (per query, or empty): query, query_id, vec_id, score."""
+    """pairs of a query block (q_data) and a data block (d_data), with worst: query, query_id, d_row, vec_id, score."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                q = np.frombuffer(r.q_data, "<i4").reshape(-1, r.dims).astype(np.float64)
-                d = np.frombuffer(r.d_data, "<i4").reshape(-1, r.dims).astype(np.float64)
-                q_rows, d_rows, q_ids, d_ids = (np.frombuffer(b, "<i8") for b in (r.q_rows, r.d_rows, r.q_ids, r.d_ids))
-                floor = np.full(len(q), -np.inf) if r.worst is None or np.isnan(r.worst) else np.full(len(q), r.worst)
-                a, b, score = search_block(q, q_rows, d, d_rows, k, floor)
-                yield pd.DataFrame({"q_block": r.q_block, "query": q_rows[a], "query_id": q_ids[a], "vec_id": d_ids[b], "score": score})
+            for q_block, q_data, d_data, worst in batch.itertuples(index=False):
+                qt, q_rows, q_ids, q_known = pickle.loads(q_data)
+                dt, d_rows, d_ids, d_known = pickle.loads(d_data)
+                a, b, score = search_trees(qt, q_rows, dt, d_rows, k, -np.inf if worst is None or np.isnan(worst) else worst)
+                query_id, vec_id = (pd.Series(x, dtype="Int64").mask(~known) for x, known in ((q_ids[a], q_known[a]), (d_ids[b], d_known[b])))
+                yield pd.DataFrame({"q_block": q_block, "query": q_rows[a], "query_id": query_id, "d_row": d_rows[b], "vec_id": vec_id, "score": score})
 
     # pairs are few and heavy: they are dealt out by number, not by bytes
-    dealt = pairs.repartition(4 * shuffle_width(pairs.sparkSession), "q_block", "d_block")
-    return dealt.mapInPandas(rows, "q_block long, query long, query_id long, vec_id long, score long")
+    dealt = pairs.repartition(4 * shuffle_width(pairs.sparkSession), "q_block", "d_block").select("q_block", "q_data", "d_data", "worst")
+    return dealt.mapInPandas(rows, "q_block long, query long, query_id long, d_row long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -211,33 +345,44 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     source = vectors.where(usable(F.col(vector_col))).select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), quantise(F.col(vector_col), scale).alias("v"),
         F.size(vector_col).alias("dims"), F.coalesce(queries, F.lit(False)).alias("is_query"),
-    ).where("id is not null")
+    )
     table = materialise(source, "vectors")
-    sample = table.orderBy(F.xxhash64("id", "row")).select("dims", "v").limit(max(1, min(PIVOTS, -(-table.count() // DATA_BLOCK)))).collect()  # bounded; any would be right
+    asked = table.where("is_query").count()
+    wanted = max(1, min(PIVOTS, -(-table.count() // DATA_BLOCK)))
+    sample = table.orderBy(F.xxhash64("id", "row")).select("dims", "v").limit(wanted).collect()  # PIVOTS rows at most; any would be right
     pivots = [(r["dims"], list(r["v"])) for r in sample]
-    placed = _nearest_pivot(table.select("row", "id", "v", "dims"), pivots)
-    data = materialise(_blocks(placed, DATA_BLOCK), "blocks")
-    asked = _nearest_pivot(table.where("is_query").select("row", "id", "v", "dims"), pivots)
-    query = materialise(_blocks(asked, QUERY_BLOCK), "queries")
-
-    q_all = query.select(F.col("block").alias("q_block"), F.col("pivot").alias("q_pivot"), "dims", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    d_all = data.select(F.col("block").alias("d_block"), F.col("pivot").alias("d_pivot"), "dims", F.col("rows").alias("d_rows"), F.col("ids").alias("d_ids"), F.col("data").alias("d_data"))
-    home = q_all.join(d_all.withColumnRenamed("d_pivot", "q_pivot"), ["q_pivot", "dims"]).withColumn("worst", F.lit(None).cast("double"))
-    first = materialise(_search(home, k), "home")
-
-    # the worst kth score of each query block, if all its queries have k results
-    kth = first.groupBy("q_block", "query").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k).alias("s"))
-    kth = kth.groupBy("q_block").agg(F.min(F.when(F.size("s") >= k, F.get("s", F.lit(k - 1)))).alias("worst"), F.count_if(F.size("s") >= k).alias("full"))
-    nodes = query.select(F.col("block").alias("q_block"), F.col("pivot").alias("q_pivot"), "dims", F.col("n").alias("q_n"), F.col("center").alias("qc"), F.col("radius").alias("qr"))
-    nodes = nodes.join(kth, "q_block", "left").withColumn("worst", F.when(F.col("full") == F.col("q_n"), F.col("worst").cast("double")))
-    tops = data.select(F.col("block").alias("d_block"), F.col("pivot").alias("d_pivot"), "dims", F.col("center").alias("dc"), F.col("radius").alias("dr"))
+    columns = ["row", "id", "v", "dims"]
+    data = materialise(_blocks(_nearest_pivot(table.select(*columns), pivots), DATA_BLOCK, LEAF), "blocks")
+    few = pivots[: max(1, -(-asked // QUERY_BLOCK))]
+    query = materialise(_blocks(_nearest_pivot(table.where("is_query").select(*columns), few), QUERY_BLOCK, QUERY_LEAF), "queries")
 
     def dot(x: str, y: str) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
-    most = dot("qc", "dc") + F.col("qr") * F.sqrt(dot("dc", "dc")) + F.col("dr") * F.sqrt(dot("qc", "qc")) + F.col("qr") * F.col("dr")
-    pairs = nodes.join(tops, "dims").where("q_pivot <> d_pivot").where(F.col("worst").isNull() | (most * 1.000001 + 1 >= F.col("worst"))).select("q_block", "d_block", "worst")
-    rest = pairs.join(q_all, "q_block").join(d_all.drop("dims"), "d_block")
-    found = first.unionByName(_search(rest, k))
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # pairs of blocks, as centres and radii only; the blocks themselves join the pairs that are left
+    nodes = query.select(F.col("block").alias("q_block"), "dims", F.col("n").alias("q_n"), F.col("center").alias("qc"), F.col("radius").alias("qr"))
+    tops = data.select(F.col("block").alias("d_block"), "dims", F.col("center").alias("dc"), F.col("radius").alias("dr"))
+    width = shuffle_width(vectors.sparkSession)  # vectors mostly have one length: query blocks are spread over as many keys
+    nodes = nodes.withColumn("salt", F.pmod(F.xxhash64("q_block"), F.lit(width)))
+    tops = tops.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))))
+    met = nodes.join(tops, ["dims", "salt"]).withColumn("qd", dot("qc", "dc")).withColumn("qq", dot("qc", "qc")).withColumn("dd", dot("dc", "dc"))
+    near = F.row_number().over(Window.partitionBy("q_block").orderBy(F.col("qq") - 2 * F.col("qd") + F.col("dd"), "d_block"))
+    most = F.col("qd") + F.col("qr") * F.sqrt("dd") + F.col("dr") * F.sqrt("qq") + F.col("qr") * F.col("dr")
+    met = met.withColumn("most_", most)
+    most = F.col("most_")
+    met = materialise(met.select("q_block", "d_block", "q_n", near.alias("near"), (most + 1e-6 * F.abs("most_") + 1).alias("most")), "met")
+    q_all = query.select(F.col("block").alias("q_block"), F.col("data").alias("q_data"))
+    d_all = data.select(F.col("block").alias("d_block"), F.col("data").alias("d_data"))
+
+    home = met.where(F.col("near") <= NEAREST).select("q_block", "d_block", F.lit(None).cast("double").alias("worst"))
+    first = materialise(_search(home.join(q_all, "q_block").join(d_all, "d_block"), k), "home")
+    # the worst kth score of each query block, if all its queries have k results
+    kth = first.groupBy("q_block", "query").agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, k).alias("s")).where(F.size("s") >= k)
+    kth = kth.groupBy("q_block").agg(F.min(F.get("s", F.lit(k - 1))).cast("double").alias("worst"), F.count(F.lit(1)).alias("full"))
+    rest = met.where(F.col("near") > NEAREST).join(kth, "q_block", "left").withColumn("worst", F.when(F.col("full") == F.col("q_n"), F.col("worst")))
+    rest = rest.where(F.col("worst").isNull() | (F.col("most") >= F.col("worst"))).select("q_block", "d_block", "worst")
+    found = first.unionByName(_search(rest.join(q_all, "q_block").join(d_all, "d_block"), k))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "d_row"))
+    out = materialise(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "ranked")
+    discard(table, data, query, met, first)
+    return out
