@@ -7,6 +7,7 @@ import math
 import pickle
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -131,6 +132,42 @@ def test_redaction(spark):
     got = sorted((r.doc_id, r.text) for r in secrets.redact(docs).where("doc_id is not null").collect())
     assert got == [(0, 'a token="[SECRET]" b')] * 2 + list(zip([1, 2, 3], texts[1:4], strict=True))
     assert secrets.redact(docs).columns == docs.columns
+    clash = docs.select("*", F.lit(1).alias("cuts"), F.lit("h").alias("hash"), F.lit(2).alias("row"), F.lit(3).alias("id"))
+    again = secrets.redact(clash)
+    assert again.columns == clash.columns and {(r.cuts, r.hash, r["row"], r.id) for r in again.collect()} == {(1, "h", 2, 3)}
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+def test_ownership_counts_repositories_and_owners(spark):
+    """Against brute force: distinct repositories and owners of each value, and the generic tokens that are live-looking."""
+    rng = random.Random(3)
+    keys = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24)) + "aB12" for _ in range(6)]
+    rows = [(k, f"x {keys[k % 6]} y token=abcdef{k % 4} Aaaaaaaaaaaaaaaaaaaa11", f"o{k // 6 % 3 if k % 2 else 0}", f"l{k % 4}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    owners, repos = defaultdict(set), defaultdict(set)
+    for k, _, o, n in rows:
+        for value in (keys[k % 6], f"abcdef{k % 4}"):
+            h = hashlib.sha256(value.encode()).hexdigest()
+            owners[h].add(o)
+            repos[h].add((o, n))
+    seen = set()
+    for r in secrets.find_secrets(docs, repo=secrets.repository(docs), owner="source").collect():
+        text = rows[r.doc_id][1]
+        for f in r.findings:
+            value = text[f["value_start"] : f["stop"]]
+            h = hashlib.sha256(value.encode()).hexdigest()
+            assert f["hash"] == h and (f["n_repos"], f["n_owners"]) == (len(repos[h]), len(owners[h]))
+            assert f["live"] == (len(owners[h]) <= secrets.MAX_OWNERS and len(repos[h]) <= secrets.MAX_REPOS)
+            seen.add((secrets.KINDS[f["kind"]], value))
+    live = {k for k in keys if len(owners[hashlib.sha256(k.encode()).hexdigest()]) <= 2 and len(repos[hashlib.sha256(k.encode()).hexdigest()]) <= 6}
+    assert {v for kind, v in seen if kind == "mixed"} == live and 0 < len(live) < 6
+
+
+def test_long_texts_are_scanned_in_one_pass():
+    text = "token=abcdef12 Zx9fLq2Rt7Yw4Kp8Mn3Bv6 " * 20_000
+    began = time.time()
+    assert len(secrets.scan_text(text)) == 40_000
+    assert time.time() - began < 20
 
 
 # ---- URLs
@@ -374,6 +411,45 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [mixing.FEW_SOURCES, 1])
+def test_mixing_is_a_budgeted_block_permutation(spark, monkeypatch, few):
+    """Against brute force: whole passes hold every row once, the last one the rows up to the budget in permuted order; every
+    prefix of the mixture holds the sources by weight. Columns with the operator's names pass through or are replaced."""
+    monkeypatch.setattr(mixing, "FEW_SOURCES", few)
+    rng = random.Random(6)
+    rows = [(k, " ".join(["w"] * rng.randrange(1, 30)), ("big", "big", "mid", "big", "small")[k % 5] if k % 7 else None) for k in range(2000)]
+    docs = spark.createDataFrame([(*r, 1, 2, "r", "b", 3) for r in rows], "doc_id long, text string, source string, n int, tokens int, row string, budget string, epoch int")
+    out = mixing.mix(docs, block_rows=40)
+    assert out.columns == [*docs.columns, "block", "turn", "place", "mix_key"]
+    got = out.collect()
+    assert {(r.n, r.tokens, r.row, r.budget) for r in got} == {(1, 2, "r", "b")}
+    size = {k: max(1, len((t or "").split())) for k, t, _ in rows}
+    total = Counter()
+    for k, _, s in rows:
+        total[s] += size[k]
+    shares = [total[s] / sum(total.values()) for s in total]
+    weights = dict(zip(total, mixing.tempered(shares, mixing.fit_exponent(shares)), strict=True))
+    given = max(total[s] / w for s, w in weights.items())
+    for s in total:
+        own = sorted((r for r in got if r.source == s), key=lambda r: (r.epoch, r.turn, r.place, str(r.doc_id)))
+        budget = total[s] if math.isclose(weights[s] * given, total[s], rel_tol=1e-9) else int(weights[s] * given)
+        everyone = sorted(k for k, _, of in rows if of == s)
+        for e in range(budget // total[s]):
+            assert sorted(r.doc_id for r in own if r.epoch == e) == everyone
+        assert sum(size[r.doc_id] for r in own[:-1]) < budget <= sum(size[r.doc_id] for r in own)
+        for e in {r.epoch for r in own}:
+            turns = {r.block: r.turn for r in own if r.epoch == e}
+            assert sorted(turns.values()) == list(range(len(turns))) and len(turns) > 1
+        first = [b for _, b in sorted({(r.turn, r.block) for r in own if r.epoch == 0})]
+        assert first != sorted(first)
+    order = sorted(got, key=lambda r: (r.mix_key, r.source or "", r.epoch, r.turn, r.place))
+    seen, everything = Counter(), sum(size[r.doc_id] for r in got)
+    for r in order:
+        seen[r.source] += size[r.doc_id]
+        done = sum(seen.values()) / everything
+        assert all(abs(seen[s] / everything - done * w) < 0.06 for s, w in weights.items())
+
+
 def test_exponent_meets_targets():
     shares = [0.9] + [0.01] * 10
     a = mixing.fit_exponent(shares, entropy_share=0.9, max_repeats=1e9)

@@ -35,9 +35,11 @@ def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, repo=secrets.repository(docs), owner="source")
     live = F.size(F.filter(F.coalesce("findings", F.array()), lambda f: f["live"])).cast("long")
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), secrets.span_string(F.col("findings")).alias("spans"), live.alias("n_live"))
+    digest, spans = F.sha2("base_spans", 256).alias("base_sha256"), secrets.span_string(F.col("findings")).alias("spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, spans, live.alias("n_live"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +65,7 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "source", "epoch", "block", "place")
+    return mixing.mix(docs).select("doc_id", "source", "epoch", "block", "turn", "place", "mix_key")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
