@@ -5,7 +5,7 @@ removed; a document that loses too much of its text that way, is too short or re
 
 Nulls and ties: a null or empty text has no word and no line, counts nothing and is rejected as too short. Lines that hold
 no word are neither judged nor kept. Rows are judged each on its own, so repeated rows get equal results. Very long texts
-stay within one row's arrays. Other columns pass through.
+stay within one row's arrays. Other columns pass through; those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -13,14 +13,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Least share of a document's line characters that its good lines must hold.
 MIN_KEPT = 0.5
-#: Phrases of boilerplate lines.
+#: Phrases of boilerplate lines, in the languages of the corpus.
 BOILERPLATE = (
     "licensed under", "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
     "accept cookies", "enable javascript", "sign up for our newsletter", "subscribe to our",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookies akzeptieren", "newsletter abonnieren",
+    "tous droits réservés", "conditions d'utilisation", "politique de confidentialité", "accepter les cookies", "abonnez-vous à notre",
+    "todos los derechos reservados", "términos de uso", "política de privacidad", "aceptar cookies", "suscríbete a nuestro",
 )
 
 
@@ -69,7 +74,8 @@ def repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
     """out = words covered by 3-word windows that come twice or more in the row's array of words.
 
     Windows are hashed to 64 bits and packed with their places, hash bits first, so that one sort of a primitive array puts
-    equal windows together; neighbours are then compared by the whole 64-bit hash.
+    equal windows together; neighbours are then compared by the whole 64-bit hash. Where neighbours share the packed bits only
+    (which is rare), the row's whole hashes are sorted instead.
     """
     df = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
     df = df.withColumn("_m", F.greatest(F.size("_h") - 2, F.lit(0)))
@@ -77,20 +83,28 @@ def repeat_words(df: DataFrame, words: str, out: str) -> DataFrame:
     df = df.withColumn("_t", F.zip_with(pair, F.slice("_h", F.lit(3), F.col("_m")), lambda a, b: F.xxhash64(a, b)))
     df = df.withColumn("_mask", F.expr("shiftleft(-1L, length(bin(_m)))"))
     df = df.withColumn("_s", F.expr("sort_array(transform(_t, (x, i) -> (x & _mask) | i))"))
+    # pairs of neighbours: -1 marks two different windows that look alike
     df = df.withColumn("_dup", F.expr("""
-        filter(zip_with(slice(_s, 1, greatest(_m - 1, 0)), slice(_s, 2, greatest(_m - 1, 0)),
-            (a, b) -> if((a & _mask) = (b & _mask), if(get(_t, int(a & ~_mask)) = get(_t, int(b & ~_mask)), array(int(a & ~_mask), int(b & ~_mask)), null), null)),
-            x -> x is not null)"""))
-    df = df.withColumn("_p", F.sort_array(F.array_distinct(F.flatten("_dup"))))
+        flatten(filter(zip_with(slice(_s, 1, greatest(_m - 1, 0)), slice(_s, 2, greatest(_m - 1, 0)),
+            (a, b) -> if((a & _mask) = (b & _mask), if(get(_t, int(a & ~_mask)) = get(_t, int(b & ~_mask)), array(int(a & ~_mask), int(b & ~_mask)), array(-1)), null)),
+            x -> x is not null))"""))
+    exact = """
+        flatten(transform(filter(sequence(2, greatest(_m, 2)), k -> get(q, k - 2).x = get(q, k - 1).x), k -> array(get(q, k - 2).i, get(q, k - 1).i)))"""
+    exact = f"get(transform(array(sort_array(transform(_t, (x, i) -> named_struct('x', x, 'i', i)))), q -> {exact}), 0)"
+    df = df.withColumn("_dup", F.expr(f"if(array_contains(_dup, -1), {exact}, _dup)"))
+    df = df.withColumn("_p", F.sort_array(F.array_distinct("_dup")))
     covered = F.expr("""
         if(size(_p) = 0, 0L, 3L + aggregate(zip_with(slice(_p, 1, size(_p) - 1), slice(_p, 2, size(_p) - 1), (a, b) -> least(3, b - a)), 0L, (s, x) -> s + x))""")
     return df.withColumn(out, F.when(F.col("_m") < 2, F.lit(0).cast("long")).otherwise(covered)).drop("_h", "_m", "_t", "_mask", "_s", "_dup", "_p")
 
 
-def quality_columns(docs: DataFrame, text_col: str = "text", min_kept: float = MIN_KEPT) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, clean_text, kept_share."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text", "kept_share")
+
+
+def _judged(docs: DataFrame, text_col: str, min_kept: float) -> DataFrame:
+    """The packed rows of docs with the columns ADDED."""
+    df = packed(docs, _text=F.coalesce(F.col(text_col), F.lit("")))
+    df = df.withColumn("_words", words_of(F.col("_text")))
     df = df.withColumn("n_words", F.size("_words").cast("long"))
     df = df.withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
     df = repeat_words(df, "_words", "n_repeat_words").drop("_words")
@@ -102,16 +116,19 @@ def quality_columns(docs: DataFrame, text_col: str = "text", min_kept: float = M
     whole = F.length(F.array_join("_lines", "\n"))
     df = df.withColumn("kept_share", F.when(whole > 0, F.length("clean_text") / whole).otherwise(0.0))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("kept_share") >= min_kept)).drop("_text", "_lines", "_good", "_shouts")
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("kept_share") >= min_kept)).select("row", *ADDED)
+
+
+def quality_columns(docs: DataFrame, text_col: str = "text", min_kept: float = MIN_KEPT) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, clean_text, kept_share."""
+    return unpacked(_judged(docs, text_col, min_kept), docs.columns, **{c: F.col(c) for c in ADDED})
 
 
 def accepted(docs: DataFrame, text_col: str = "text", min_kept: float = MIN_KEPT) -> DataFrame:
-    """The documents that are kept, with the text that is left of them; docs' columns.
+    """The documents that are kept, with the text that is left of them; docs' columns, whatever their names.
 
     The rows pass through a generator, so that the optimiser doesn't copy the whole computation into the filter.
     """
-    judged = quality_columns(docs, text_col, min_kept)
-    out = [F.col("clean_text" if c == text_col else c).alias(c) for c in docs.columns if c != "kept"]
-    one = F.struct(*out, F.col("kept").alias("_kept"))
-    rows = judged.select(F.inline(F.array(one))).where("_kept")
-    return rows.select(*[F.lit(True).alias(c) if c == "kept" else F.col(c) for c in docs.columns])
+    one = F.struct("row", F.col("clean_text").alias("clean"), F.col("kept").alias("is_kept"))
+    rows = _judged(docs, text_col, min_kept).select(F.inline(F.array(one))).where("is_kept")
+    return unpacked(rows, docs.columns, **{text_col: F.col("clean")})

@@ -1,8 +1,20 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from .quality import BOILERPLATE
+from .url_filter import TWO_LABELS
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+_PHRASES = "|".join(BOILERPLATE).replace("'", "''")
+_HOST = "regexp_replace(regexp_replace({}, '^.*@', ''), ':[0-9]*$', '')"
+
+
+def _labels(host: str, n: int) -> str:
+    """The last n labels of a host, one more where two make the suffix."""
+    return f"array_to_string(list_slice(string_split({host}, '.'), CASE WHEN regexp_matches({host}, '{TWO_LABELS}') THEN -{n + 1} ELSE -{n} END, -1), '.')"
+
+
 _FIT = """(SELECT CASE WHEN k = 0 OR t = 0 THEN 1000.0 ELSE 1 / least(greatest(coalesce((bb - 2 * p0 * b + p0 * p0 * t - p0 * (1 - p0) * (k - 1)) / nullif(p0 * (1 - p0) * (t - nn / t - (k - 1)), 0), 0), 1.0 / 1001), 0.5) - 1 END
     FROM (SELECT coalesce(sum(bad * bad / n), 0.0) AS bb, coalesce(sum(bad), 0.0) AS b, coalesce(sum(n), 0.0) AS t, coalesce(sum(n * n), 0.0) AS nn, count(*) AS k FROM {g}), corpus)"""
 
@@ -14,8 +26,8 @@ s AS (SELECT q.r AS query, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS INT) AS rank, vec_id, score FROM s QUALIFY rank <= 5""",
     "op5_url_filter": rf"""
 WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), {_AZ}), '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-o AS (SELECT host, CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM labels JOIN p ON p.page_id = labels.doc_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
-hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad FROM o GROUP BY 1, 2, 3),
+o AS (SELECT {_HOST.format("host")} AS host, CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad FROM labels JOIN p ON p.page_id = labels.doc_id WHERE (quality = 0 OR toxic = 1) IS NOT NULL),
+hosts AS (SELECT host, {_labels("host", 2)} AS domain, {_labels("host", 1)} AS suffix, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad FROM o GROUP BY 1, 2, 3),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
 corpus AS (SELECT (coalesce(sum(bad), 0.0) + 1) / (coalesce(sum(n), 0.0) + 2) AS p0, coalesce(sum(bad), 0.0) + 1 AS a0, coalesce(sum(n) - sum(bad), 0.0) + 1 AS b0 FROM suffixes),
@@ -23,8 +35,8 @@ fit AS (SELECT p0, a0, b0, {_FIT.format(g="suffixes")} AS m1, {_FIT.format(g="do
 s AS (SELECT suffix, m1 * p0 + bad AS a1, m1 * (1 - p0) + n - bad AS b1 FROM suffixes, fit),
 dd AS (SELECT domain, m2 * a1 / (a1 + b1) + bad AS a2, m2 * (1 - a1 / (a1 + b1)) + n - bad AS b2 FROM domains JOIN s USING (suffix), fit),
 h AS (SELECT host, m3 * a2 / (a2 + b2) + bad AS a3, m3 * (1 - a2 / (a2 + b2)) + n - bad AS b3 FROM hosts JOIN dd USING (domain), fit),
-j AS (SELECT page_id, p.host, path, coalesce(a3, a2, a1, a0) AS a, coalesce(b3, b2, b1, b0) AS b FROM p LEFT JOIN h ON h.host = p.host
-    LEFT JOIN dd ON dd.domain = array_to_string(list_slice(string_split(p.host, '.'), -2, -1), '.') LEFT JOIN s ON s.suffix = string_split(p.host, '.')[-1], fit),
+j AS (SELECT page_id, p.host, path, coalesce(a3, a2, a1, a0) AS a, coalesce(b3, b2, b1, b0) AS b FROM (SELECT *, {_HOST.format("host")} AS bare FROM p) p LEFT JOIN h ON h.host = p.bare
+    LEFT JOIN dd ON dd.domain = {_labels("p.bare", 2)} LEFT JOIN s ON s.suffix = {_labels("p.bare", 1)}, fit),
 r AS (SELECT *, CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/7') THEN 'example.com/en/7'
     WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/de/8') THEN 'example.net/de/8'
     WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/en/') THEN 'com/en/' WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/de/') THEN 'net/de/'
@@ -42,7 +54,7 @@ g AS (SELECT *, list_filter(lines, lambda x: (len(regexp_extract_all(x, ' [|] ')
     AND (len(regexp_extract_all(x, '[#*$%&|<>]')) < 3 OR len(regexp_extract_all(x, '[#*$%&|<>]')) * 10 <= (len(regexp_extract_all(x, '[ \t]+')) + 1) * 3)
     AND (len(regexp_extract_all(x, '[!?]')) < 3 OR len(regexp_extract_all(x, '[!?]')) * 10 <= (len(regexp_extract_all(x, '[ \t]+')) + 1) * 3)
     AND (len(regexp_extract_all(x, '[ \t]+')) >= 3 OR regexp_matches(x, '[.!?:;…)"''»”]\s*$'))
-    AND NOT regexp_matches(lower(x), 'licensed under|all rights reserved|terms of use|terms of service|privacy policy|cookie policy|accept cookies|enable javascript|sign up for our newsletter|subscribe to our')) AS good FROM l),
+    AND NOT regexp_matches(lower(x), '{_PHRASES}')) AS good FROM l),
 c AS (SELECT g.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, length(array_to_string(good, chr(10))) AS kept_chars, length(array_to_string(lines, chr(10))) AS all_chars FROM g LEFT JOIN rep ON rep.doc_id = g.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

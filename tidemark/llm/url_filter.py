@@ -1,13 +1,13 @@
 """URL filter by rules and empirical-Bayes host reputation, in DataFrame functions only.
 
-Labelled page outcomes (bad or not) are counted per host. Rates are shrunk down a chain of beta-binomial priors: suffix
+Labelled page outcomes (bad or not) are counted per host, without user name and port. Rates are shrunk down a chain of beta-binomial priors: suffix
 (last label) towards the whole corpus, registered domain towards its suffix, host towards its domain. The strength of each
 level's prior is fitted by moments from the spread of that level's rates. A page is blocked if the lower bound of its host's
 posterior bad rate is above a limit; hosts without a label use their domain's, suffix's or the corpus's posterior.
 
 Nulls and ties: a null url, or one without "://", has an empty host and path, fits no rule and is judged by the corpus
 rate; labels with a null outcome or id are ignored; repeated label rows count each; repeated pages stay. Empty label tables
-allow every page that no rule blocks. A page and its label meet on ids; other columns are ignored.
+allow every page that no rule blocks. Other columns pass through; those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -15,15 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise, packed, unpacked
 
 #: Fixed values: (verdict, host, path).
 RULES = (
     ("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"),
     ("block", "example.net", "/de/8"), ("block", "org", "/es/"),
 )
-#: Suffixes of two labels, under which domains are registered (fixed values; a parameter).
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in", "com.mx", "co.za")
+#: Domains are registered under the last label, or under two: one of these before a country's two letters.
+SECOND_LEVEL = "ac|co|com|edu|gob|gouv|gov|ltd|mil|ne|net|nom|or|org|sch"
+TWO_LABELS = rf"(?:^|\.)(?:{SECOND_LEVEL})\.[a-z]{{2}}$"
 Z, MAX_BAD = 1.645, 0.25
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -37,14 +38,17 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PARTS, 2), F.lit(""))
 
 
-def suffix_of(host: Column, two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*two_label), two).otherwise(F.substring_index(host, ".", -1))
+def bare_host(host: Column) -> Column:
+    """The host that a reputation belongs to: without user name and port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
 
 
-def domain_of(host: Column, two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*two_label), F.substring_index(host, ".", -3)).otherwise(two)
+def suffix_of(host: Column) -> Column:
+    return F.when(F.rlike(host, F.lit(TWO_LABELS)), F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1))
+
+
+def domain_of(host: Column) -> Column:
+    return F.when(F.rlike(host, F.lit(TWO_LABELS)), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -56,44 +60,50 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def host_reputation(outcomes: DataFrame, two_label: tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
+def _strength(groups: DataFrame, p: float) -> float:
+    """A prior's strength, fitted by moments from the spread of the groups' rates around p."""
+    n, bad = F.col("n"), F.col("bad")
+    sums = groups.agg(F.sum(bad * bad / n), F.sum(bad), F.sum(n), F.sum(n * n), F.count(F.lit(1))).first()
+    if not sums[4]:
+        return 1000.0
+    bb, b, t, nn, k = sums
+    within = p * (1 - p)
+    spread = within * (t - nn / t - (k - 1))
+    rho = (bb - 2 * p * b + p * p * t - within * (k - 1)) / spread if spread else 0.0
+    return 1 / min(max(rho, 1 / 1001), 0.5) - 1
+
+
+def host_reputation(outcomes: DataFrame) -> DataFrame:
     """outcomes: host, bad (0/1). Posterior beta parameters per level: level, key, alpha, beta.
 
-    Level 0 is the corpus, 1 suffixes, 2 domains, 3 hosts. One row per key: few beside the pages, joined by key.
+    Level 0 is the corpus, 1 suffixes, 2 domains, 3 hosts. One row per key: few beside the pages, joined by key. The driver
+    sees one row of sums for each level.
     """
-    hosts = materialise(outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad")), "hosts")
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"), two_label)).withColumn("suffix", suffix_of(F.col("host"), two_label))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    corpus = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0.0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 2)).alias("p0"), (F.coalesce(F.sum("bad"), F.lit(0.0)) + 1).alias("alpha"), (F.coalesce(F.sum("n") - F.sum("bad"), F.lit(0.0)) + 1).alias("beta"))
-    fit = corpus
-    for name, groups in (("m1", suffixes), ("m2", domains), ("m3", hosts)):  # one row each
-        fit = fit.crossJoin(F.broadcast(_fit(groups, corpus, name)))
-    fit = F.broadcast(fit.select("p0", "m1", "m2", "m3"))
-    s = suffixes.crossJoin(fit).select("suffix", (F.col("m1") * F.col("p0") + F.col("bad")).alias("a1"), (F.col("m1") * (1 - F.col("p0")) + F.col("n") - F.col("bad")).alias("b1"), "m2", "m3")
-    rate = F.col("a1") / (F.col("a1") + F.col("b1"))
-    d = domains.join(s, "suffix").select("domain", (F.col("m2") * rate + F.col("bad")).alias("a2"), (F.col("m2") * (1 - rate) + F.col("n") - F.col("bad")).alias("b2"), "m3")
-    rate = F.col("a2") / (F.col("a2") + F.col("b2"))
-    h = hosts.join(d, "domain").select("host", (F.col("m3") * rate + F.col("bad")).alias("a3"), (F.col("m3") * (1 - rate) + F.col("n") - F.col("bad")).alias("b3"))
-    return (
-        corpus.select(F.lit(0).alias("level"), F.lit("").alias("key"), "alpha", "beta")
-        .union(s.select(F.lit(1), "suffix", "a1", "b1")).union(d.select(F.lit(2), "domain", "a2", "b2")).union(h.select(F.lit(3), "host", "a3", "b3"))
-    )
-
-
-def _fit(groups: DataFrame, corpus: DataFrame, name: str) -> DataFrame:
-    """One row: the strength fitted from the groups. The sums are expanded around the rate, which is joined afterwards."""
-    n, bad = F.col("n"), F.col("bad")
-    sums = groups.agg(
-        F.coalesce(F.sum(bad * bad / n), F.lit(0.0)).alias("bb"), F.coalesce(F.sum(bad), F.lit(0.0)).alias("b"), F.coalesce(F.sum(n), F.lit(0.0)).alias("t"),
-        F.coalesce(F.sum(n * n), F.lit(0.0)).alias("nn"), F.count(F.lit(1)).alias("k"),
-    )
-    p = F.col("p0")
-    within = p * (1 - p)
-    s = F.col("bb") - 2 * p * F.col("b") + p * p * F.col("t")
-    spread = within * (F.col("t") - F.try_divide(F.col("nn"), F.col("t")) - (F.col("k") - 1))
-    rho = F.coalesce(F.try_divide(s - within * (F.col("k") - 1), spread), F.lit(0.0))
-    return sums.crossJoin(F.broadcast(corpus.select("p0"))).select((1 / F.least(F.greatest(rho, F.lit(1 / 1001)), F.lit(0.5)) - 1).alias(name))
+    n, bad = F.sum("n").alias("n"), F.sum("bad").alias("bad")
+    counts = outcomes.where(F.col("bad").isNotNull()).groupBy(bare_host(F.col("host")).alias("host"))
+    counts = counts.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
+    hosts = materialise(counts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    domains = materialise(hosts.groupBy("domain", "suffix").agg(n, bad), "domains")
+    suffixes = materialise(domains.groupBy("suffix").agg(n, bad), "suffixes")
+    total = suffixes.agg(F.coalesce(n, F.lit(0.0)), F.coalesce(bad, F.lit(0.0))).first()
+    p0 = (total[1] + 1) / (total[0] + 2)
+    m1, m2, m3 = (_strength(groups, p0) for groups in (suffixes, domains, hosts))
+
+    def posterior(groups: DataFrame, key: str, strength: float, rate: Column) -> DataFrame:
+        alpha, beta = F.lit(strength) * rate + F.col("bad"), F.lit(strength) * (1 - rate) + F.col("n") - F.col("bad")
+        return groups.select(F.col(key).alias("key"), alpha.alias("alpha"), beta.alias("beta"))
+
+    def below(upper: DataFrame, name: str) -> DataFrame:
+        return upper.select(F.col("key").alias(name), (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("rate"))
+
+    s = posterior(suffixes, "suffix", m1, F.lit(p0))
+    d = posterior(domains.join(below(s, "suffix"), "suffix"), "domain", m2, F.col("rate"))
+    h = posterior(hosts.join(below(d, "domain"), "domain"), "host", m3, F.col("rate"))
+    corpus = suffixes.sparkSession.createDataFrame([("", float(total[1] + 1), float(total[0] - total[1] + 1))], "key string, alpha double, beta double")
+    levels = [x.select(F.lit(level).alias("level"), "key", "alpha", "beta") for level, x in enumerate((corpus, s, d, h))]
+    out = materialise(levels[0].union(levels[1]).union(levels[2]).union(levels[3]), "reputation")
+    discard(hosts, domains, suffixes)
+    return out
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, url_col: str = "url", rules=RULES, z: float = Z, max_bad: float = MAX_BAD) -> DataFrame:
@@ -102,18 +112,17 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, url_col: str = "url", rule
     outcomes: host, bad. Levels are joined from host to suffix; a hot host is one row on the small side, and the join is
     plain, so Spark may split its pages over tasks.
     """
-    col = F.col(url_col)
-    rep = materialise(host_reputation(outcomes), "reputation")  # read once for each level
-    rule, rule_verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    out = pages.withColumn("host", host_of(col)).withColumn("path", path_of(col)).withColumn("rule", rule).withColumn("_verdict", rule_verdict)
-    keys = {1: suffix_of(F.col("host")), 2: domain_of(F.col("host")), 3: F.col("host")}
-    for level, key in keys.items():
-        side = rep.where(F.col("level") == level).select(F.col("key").alias("_k"), F.struct("alpha", "beta").alias(f"_p{level}"))
-        out = out.withColumn("_key", key).join(side, F.col("_key") == F.col("_k"), "left").drop("_key", "_k")
-    corpus = rep.where(F.col("level") == 0).select(F.struct("alpha", "beta").alias("_p0"))
-    out = out.crossJoin(F.broadcast(corpus)).withColumn("_p", F.coalesce("_p3", "_p2", "_p1", "_p0"))
-    a, b = F.col("_p.alpha"), F.col("_p.beta")
-    mean, var = a / (a + b), a * b / ((a + b) * (a + b) * (a + b + 1))
-    out = out.withColumn("bad_bound", mean - z * F.sqrt(var))
-    verdict = F.coalesce("_verdict", F.when(F.col("bad_bound") > max_bad, "block").otherwise("allow"))
-    return out.withColumn("verdict", verdict).drop("_verdict", "_p", "_p0", "_p1", "_p2", "_p3")
+    rep = host_reputation(outcomes)
+    corpus = rep.where("level = 0").first()
+    out = packed(pages, host=host_of(F.col(url_col)), path=path_of(F.col(url_col)))
+    bare = bare_host(F.col("host"))
+    for level, key in ((1, suffix_of(bare)), (2, domain_of(bare)), (3, bare)):
+        side = rep.where(F.col("level") == level).select(F.col("key").alias("known"), F.struct("alpha", "beta").alias(f"p{level}"))
+        out = out.withColumn("key", key).join(side, F.col("key") == F.col("known"), "left").drop("key", "known")
+    p0 = F.struct(F.lit(corpus["alpha"]).alias("alpha"), F.lit(corpus["beta"]).alias("beta"))
+    out = out.withColumn("p", F.coalesce("p3", "p2", "p1", p0))
+    a, b = F.col("p.alpha"), F.col("p.beta")
+    bound = a / (a + b) - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+    rule, of_rule = rule_columns(F.col("host"), F.col("path"), rules)
+    verdict = F.coalesce(of_rule, F.when(bound > max_bad, "block").otherwise("allow"))
+    return unpacked(out, pages.columns, host=F.col("host"), path=F.col("path"), rule=rule, verdict=verdict, bad_bound=bound)
