@@ -326,6 +326,27 @@ def test_extract(page, want):
     assert html_extract.extract(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body><article><div hidden>secret</div><p>Seen. " + "More text. " * 20 + "</article>", ("Seen. " + "More text. " * 20).strip()),
+        ("<body><div class=content><div class='article-header'><h1>Title</h1></div><p class='lead notice-of-x'>" + "Lead text. " * 20 + "</div>", ("Title " + "Lead text. " * 20).strip()),
+        ("<body><div class=content><p>" + "Text here. " * 20 + "</p><div class='cookie-notice'>We use cookies</div><div id=comments-list><p>" + "I say. " * 50 + "</div></div>", ("Text here. " * 20).strip()),
+        ("<div>" * 1000 + "<nav>menu</nav><p>" + "Deep text. " * 20, ("Deep text. " * 20).strip()),
+        ('<p>a <b class="x>y">bold</b> <i title=\'it"s\'>it</i> 1 < 2 <a b="c', 'a bold it 1 < 2'),
+    ],
+)
+def test_extract_odd_pages(page, want):
+    assert html_extract.extract(page) == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 150_000 + '"', '<a "' * 150_000, "<b>" * 150_000 + "x", "<p><b><i>x" * 60_000, "</div>" * 200_000, "<!-" * 200_000, "<x y='" * 150_000 + '">', "<li>a" * 60_000])
+def test_extract_takes_time_in_proportion(page):
+    began = time.time()
+    html_extract.extract(page)
+    assert time.time() - began < 20
+
+
 def test_extract_pages(spark):
     df = spark.createDataFrame([(k, "u", p, "t", 1) for k, (p, _) in enumerate([*PAGES, PAGES[0]])], "page_id long, url string, html string, text string, n_chars int")
     got = html_extract.extract_pages(df).orderBy("page_id").collect()

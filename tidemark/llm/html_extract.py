@@ -6,11 +6,13 @@ text. A node's density sum adds its children's densities. The subtree with the l
 the threshold, the least density on the path from the body to the densest node, is the main content.
 
 Inside it, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out, by
-element and by the words of their class, id and role. Blocks are joined in page order.
+element and by the words of their class, id and role; words that articles use of themselves, too, count only where nothing
+else is said ("notice", "cookie-notice", but not "article-header"). Blocks are joined in page order.
 
 Nulls and ties: a null, empty or tagless page without text gives an empty text; of equal density sums the outermost node
 wins, then the first in page order; repeated pages are rows of their own. Tags that are not closed, stray end tags and
-unfinished comments are read as browsers read them, nearly. Very long pages are read in one pass over their tags.
+unfinished comments are read as browsers read them, nearly; a tag that another "<" interrupts ends there. Pages of any length
+and depth are read in one pass over their tags.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,18 +43,22 @@ CLOSED_BY = {
 #: Elements that hold another start tag's scope: an unclosed li outside of them is not closed.
 SCOPE = frozenset("ul ol menu dl table article section div main aside nav header footer form body html td th".split())
 DROPPED = frozenset("nav header footer aside form script style noscript template svg math iframe object canvas select textarea button head title dialog menu".split())
-_CLUTTER = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|footer|sidebar|side|aside|ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|"
-    r"cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|"
-    r"comment|comments|respond|disqus|replies|reply|pagination|pager|toolbar|search|login|copyright|widget|masthead|skip)(?=$|[\s_-]|\d)",
-    re.IGNORECASE,
+#: Words of clutter in a class or id, those that need company, and the company that changes nothing.
+CLUTTER = frozenset(
+    "nav navbar navigation menu footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr popup modal overlay "
+    "newsletter subscribe signup share sharing breadcrumb breadcrumbs comment comments respond disqus replies reply pagination pager toolbar copyright masthead".split()
 )
+WEAK = frozenset("header side promo banner notice notices alert social related recommended search login widget skip".split())
+GENERIC = frozenset(
+    "site page top bottom left right main wrapper container content box bar area block list section inner outer global primary secondary fixed sticky small large "
+    "links link posts articles items item button buttons icons icon form text slot unit col column row group panel js is u c".split()
+)
+_PARTS = re.compile(r"[A-Za-z]+")
 _ROLES = re.compile(r"navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu|menubar", re.IGNORECASE)
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-_ATTR = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_PLAIN = re.compile(r"[^<>\"']*")  # of a tag, up to a quote or its end
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
-#: Most open elements; deeper ones are read into the last of them.
-DEPTH = 400
 
 
 class _Node:
@@ -72,56 +79,130 @@ def _is_clutter(tag: str, attrs: str) -> bool:
     for name, *values in _ATTR.findall(attrs):
         value = next((v for v in values if v), "")
         name = name.lower()
-        if name in ("class", "id") and _CLUTTER.search(value) or name == "role" and _ROLES.search(value):
+        if name in ("class", "id") and any(map(_names_clutter, value.split())) or name == "role" and _ROLES.search(value):
             return True
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
             return True
     return False
 
 
+@lru_cache(100_000)
+def _names_clutter(name: str) -> bool:
+    """A class or id that names clutter: by a word of CLUTTER, or by WEAK words in no other company than GENERIC ones."""
+    words = [w.lower() for w in _PARTS.findall(name)]
+    return any(w in CLUTTER for w in words) or any(w in WEAK for w in words) and all(w in WEAK or w in GENERIC for w in words)
+
+
+class _Tags:
+    """The tags of a page, in order: (start, end, closing, name, attributes); name is None for comments and the like."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {q: page.rfind(q) for q in "\"'>"}
+
+    def next(self, pos: int) -> tuple[int, int, bool, str | None, str] | None:
+        page, size = self.page, len(self.page)
+        while (start := page.find("<", pos)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, size if end < 0 else end + 3, False, None, ""
+            if page.startswith(("<!", "<?"), start):
+                end = page.find(">", start) if start < self.last[">"] else -1
+                return start, size if end < 0 else end + 1, False, None, ""
+            m = _NAME.match(page, start + 1)
+            if m:
+                begin, end = m.end(), self._end(m.end())
+                stop = end - 1 if page[end - 1 : end] == ">" else end
+                return start, end, bool(m.group(1)), m.group(2).lower(), page[begin:stop]
+            pos = start + 1
+        return None
+
+    def _end(self, pos: int) -> int:
+        """Past the tag's ">"; or where another "<" or the page's end interrupts it. Quoted values may hold either sign."""
+        page, size = self.page, len(self.page)
+        while True:
+            pos = _PLAIN.match(page, pos).end()
+            if pos >= size or page[pos] == "<":
+                return pos
+            if page[pos] == ">":
+                return pos + 1
+            quote = page[pos]
+            pos = page.find(quote, pos + 1) + 1 if pos < self.last[quote] else pos + 1  # a quote that is never closed is skipped
+
+
+class _Open:
+    """The open elements, innermost last, with the places of each name among them."""
+
+    def __init__(self, root: _Node):
+        self.stack, self.of, self.scopes, self.content = [root], {}, [], []
+
+    def push(self, node: _Node) -> None:
+        at = len(self.stack)
+        self.stack.append(node)
+        self.of.setdefault(node.tag, []).append(at)
+        if node.tag in SCOPE:
+            self.scopes.append(at)
+        if node.tag in ("article", "main", "body"):
+            self.content.append(at)
+
+    def cut(self, at: int) -> None:
+        """Closes the element at this place and all inside it."""
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            self.of[tag].pop()
+            for kind in (self.scopes, self.content):
+                if kind and kind[-1] == len(self.stack):
+                    kind.pop()
+
+    def close(self, tag: str) -> None:
+        """An end tag: a stray one doesn't close the content around it."""
+        places = self.of.get(tag)
+        if places and (tag in ("body", "html", "main", "article", "section", "div") or not self.content or places[-1] >= self.content[-1]):
+            self.cut(places[-1])
+
+    def make_room(self, tag: str) -> None:
+        """A start tag closes the innermost element whose end tag may be left out before it, within the innermost scope."""
+        scope = self.scopes[-1] if self.scopes else 0
+        places = [self.of[x][-1] for x in _CLOSES.get(tag, ()) if self.of.get(x)]
+        at = max(places, default=0)
+        if at and at >= scope:
+            self.cut(at)
+
+
+_CLOSES: dict[str, list[str]] = {}
+for _open, _by in CLOSED_BY.items():
+    for _tag in _by:
+        _CLOSES.setdefault(_tag, []).append(_open)
+
+
 def parse(page: str) -> _Node:
     """The page's DOM: a root with everything below it."""
     root = _Node("#root", None, False)
-    stack = [root]
+    tags, elements = _Tags(page), _Open(root)
     pos, end = 0, len(page)
-    find = _TAG.search
     while pos < end:
-        m = find(page, pos)
-        start = m.start() if m else end
+        found = tags.next(pos)
+        start = found[0] if found else end
         if start > pos:
-            stack[-1].items.append(page[pos:start])
-        if not m:
+            elements.stack[-1].items.append(page[pos:start])
+        if not found:
             break
-        pos = m.end()
-        tag = m.group(2)
+        _, pos, closing, tag, attrs = found
         if tag is None:
             continue
-        tag = tag.lower()
-        if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "body") and tag not in ("body", "html", "main", "article", "section", "div"):
-                    break  # a stray end tag doesn't close the content around it
+        if closing:
+            elements.close(tag)
             continue
-        for k in range(len(stack) - 1, 0, -1):
-            open_tag = stack[k].tag
-            if tag in CLOSED_BY.get(open_tag, ()):
-                del stack[k:]
-                break
-            if open_tag in SCOPE:
-                break
-        node = _Node(tag, stack[-1], _is_clutter(tag, m.group(3)))
-        stack[-1].items.append(node)
-        if tag in VOID or m.group(3).endswith("/") and tag not in BLOCK:
+        elements.make_room(tag)
+        node = _Node(tag, elements.stack[-1], _is_clutter(tag, attrs))
+        elements.stack[-1].items.append(node)
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.IGNORECASE).search(page, pos)
             node.items.append(page[pos : close.start() if close else end])
             pos = close.end() if close else end
-        elif len(stack) < DEPTH:
-            stack.append(node)
+        else:
+            elements.push(node)
     return root
 
 
@@ -160,15 +241,11 @@ def _measure(root: _Node) -> list[_Node]:
 def main_node(root: _Node) -> _Node:
     order = _measure(root)
     body = next((x for x in order if x.tag == "body"), root)
-    inside = []
-    for x in order:
-        p = x
-        while p is not None and p is not body:
-            p = p.parent
-        if p is body:
-            inside.append(x)
-    if not inside:
-        return root
+    inside, todo = [], [body]
+    while todo:  # in page order
+        x = todo.pop()
+        inside.append(x)
+        todo.extend(k for k in reversed(x.items) if isinstance(k, _Node) and not k.dropped)
     densest = max(inside, key=lambda x: x.total)
     threshold, p = densest.density, densest
     while p is not None:  # the least density on the path from the body
