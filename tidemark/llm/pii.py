@@ -7,11 +7,11 @@ different ones. Separators and brackets stay where they are. E-mail addresses ke
 and their domain; their letters and digits are drawn from a keyed hash.
 
 Kinds: email, iban (mod 97), date (year first or last; 1900-01-01 to 2100-04-01), ip (octets to 255), ssn (valid areas), card
-(13 to 19 digits, Luhn), phone (10 to 15 digits). What fails its validation stays as it is. Within a longer run of groups
+(13 to 19 digits, Luhn), phone (10 to 15 digits; without any sign among them 10 or 11: longer ones are clocks and counters). What fails its validation stays as it is. Within a longer run of groups
 (a card before its expiry date, an IBAN before a word in capitals) the longest valid card or IBAN from each group on counts.
 
 Nulls and ties: a null text stays null and counts no finding; an empty one stays empty; repeated rows get equal results.
-Very long texts are cut at their findings only. Other columns pass through.
+Very long texts are cut at their findings only. Other columns pass through; those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 ROUNDS = 10
 KINDS = ("email", "iban", "date", "ip", "ssn", "card", "phone")
 #: Fixed patterns, tried in this order.
@@ -67,9 +69,20 @@ def _permute_digits(d: str, tweak: str, key: str) -> str:
     return _let("p", net, f"concat(lpad(cast(p.l as string), {u}, '0'), lpad(cast(p.r as string), {v}, '0'))")
 
 
-def _fill(template: str, digits: str) -> str:
-    """template with its digits, in order, replaced by those of digits."""
-    step = "if(c between '0' and '9', named_struct('o', concat(t.o, substr(t.d, t.k, 1)), 'k', t.k + 1, 'd', t.d), named_struct('o', concat(t.o, c), 'k', t.k, 'd', t.d))"
+def _permute_letters(y: str, tweak: str, key: str) -> str:
+    """1 to 20 capital letters, permuted among those of their number."""
+    u = f"(length({y}) div 2)"
+    number = "cast(aggregate(split({}, ''), 0L, (z, c) -> if(c = '', z, z * 26 + ascii(c) - 65)) as bigint)"
+    letters = "aggregate(sequence(1, {n}), named_struct('v', {v}, 'o', ''), (z, k) -> if(k > {n}, z, named_struct('v', z.v div 26, 'o', concat(char(65 + z.v % 26), z.o))), z -> z.o)"
+    left, right = number.format(f"substr({y}, 1, {u})"), number.format(f"substr({y}, {u} + 1)")
+    net = _feistel(left, right, f"pow(26, {u})", f"pow(26, length({y}) - {u})", f"concat({tweak}, length({y}))", key)
+    first = f"if({u} = 0, '', {letters.format(n=u, v='p.l')})"
+    return _let("p", net, f"concat({first}, {letters.format(n=f'(length({y}) - {u})', v='p.r')})")
+
+
+def _fill(template: str, digits: str, first: str = "0", last: str = "9") -> str:
+    """template with its digits, in order, replaced by those of digits (or characters between two others)."""
+    step = f"if(c between '{first}' and '{last}', named_struct('o', concat(t.o, substr(t.d, t.k, 1)), 'k', t.k + 1, 'd', t.d), named_struct('o', concat(t.o, c), 'k', t.k, 'd', t.d))"
     return f"aggregate(split({template}, ''), named_struct('o', '', 'k', 1, 'd', {digits}), (t, c) -> {step}, t -> t.o)"
 
 
@@ -104,10 +117,12 @@ def _pseudonyms(key: str) -> dict[str, tuple[str, str]]:
     body = _permute_digits("substr(d, 1, length(d) - 1)", "'card'", key)
     card = _let("y", body, _fill("m", f"concat(y, cast((10 - {_luhn("concat(y, '0')")} % 10) % 10 as string))"))
     phone = _fill("m", f"concat(substr(d, 1, length(d) - 10), {_permute_digits('substr(d, -10)', "'phone'", key)})")
-    # IBAN: the digits after country and check digits are permuted, then the check digits computed anew
+    # IBAN: the digits and the letters after country and check digits are permuted, then the check digits computed anew
     tail = "regexp_replace(substr(m, 5), '[^0-9]', '')"
     moved = _let("y", tail, f"if(length(y) < 2, y, {_permute_digits('y', "'iban'", key)})")
-    iban = _let("f", _fill("substr(m, 5)", moved), f"concat(substr(m, 1, 2), lpad(cast(98 - {_mod97("concat(f, substr(m, 1, 2), '00')")} as string), 2, '0'), f)")
+    names = "regexp_replace(substr(m, 5), '[^A-Z]', '')"
+    named = _let("y", names, f"if(length(y) between 1 and 20, {_permute_letters('y', "'ibanletters'", key)}, y)")
+    iban = _let("f", _fill(_fill("substr(m, 5)", moved), named, "A", "Z"), f"concat(substr(m, 1, 2), lpad(cast(98 - {_mod97("concat(f, substr(m, 1, 2), '00')")} as string), 2, '0'), f)")
     char = "cast(conv(substr(h, 1 + (k * 2) % 62, 2), 16, 10) as int)"
     letter = f"if(c between 'a' and 'z', char(97 + {char} % 26), if(c between 'A' and 'Z', char(65 + {char} % 26), if(c between '0' and '9', cast({char} % 10 as string), c)))"
     email = _let("h", f"sha2(concat_ws(':', {_q(key)}, 'email', lower(m)), 256)", f"concat(array_join(transform(split(substring_index(m, '@', 1), ''), (c, k) -> {letter}), ''), '@', substring_index(m, '@', -1))")
@@ -118,7 +133,7 @@ def _pseudonyms(key: str) -> dict[str, tuple[str, str]]:
         "ip": ("forall(split(m, '[.]'), o -> cast(o as int) <= 255)", ip),
         "ssn": (f"{area} between 1 and 899 and {area} <> 666 and {group} > 0 and {serial} > 0", ssn),
         "card": (f"length(d) between 13 and 19 and {_luhn('d')} % 10 = 0", card),
-        "phone": ("length(d) between 10 and 15", phone),
+        "phone": ("length(d) between 10 and 15 and (length(d) < 12 or regexp(m, '[^0-9]'))", phone),
     }
 
 
@@ -147,13 +162,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     new = " ".join(f"when '{k}' then {_let('m', 'x.m', _let('d', 'x.d', rules[k][1]))}" for k in KINDS)
     # a mark that no pattern takes in: the first noncharacter that the text does not hold
     marks = ", ".join(_q(chr(c)) for c in range(0xFDD0, 0xFDF0))
-    df = docs.withColumn("_mark", F.expr(f"coalesce(get(filter(array({marks}), c -> not contains({text_col}, c)), 0), '')"))
-    df = df.withColumn("_text", F.expr(f"if(regexp({text_col}, '[0-9]'), {_parted(text_col, '_mark', rules)}, {text_col})"))
+    df = packed(docs, source=F.col(text_col)).withColumn("_mark", F.expr(f"coalesce(get(filter(array({marks}), c -> not contains(source, c)), 0), '')"))
+    df = df.withColumn("_text", F.expr(f"if(regexp(source, '[0-9]'), {_parted('source', '_mark', rules)}, source)"))
     # texts without a digit or an at sign hold none of the kinds
     df = df.withColumn("_found", F.expr(f"if(regexp(_text, '[0-9@]'), {found}, null)"))
-    for k in KINDS:
-        df = df.withColumn(f"n_{k}", F.expr(f"if(_found is null, 0L, cast(size(filter(_found, x -> x.kind = '{k}')) as bigint))"))
+    counts = {f"n_{k}": F.expr(f"if(_found is null, 0L, cast(size(filter(_found, x -> x.kind = '{k}')) as bigint))") for k in KINDS}
     df = df.withColumn("_new", F.expr(f"transform(_found, x -> case x.kind {new} else x.m end)"))
     gaps = f"split(_text, {_q(pattern)}, -1)"
-    text = f"if(_found is null or size(filter(_found, x -> x.kind is not null)) = 0, {text_col}, replace(array_join(zip_with({gaps}, concat(_new, array('')), (g, r) -> concat(g, r)), ''), _mark, ''))"
-    return df.withColumn(text_col, F.expr(text)).drop("_mark", "_text", "_found", "_new")
+    joined = f"replace(array_join(zip_with({gaps}, concat(_new, array('')), (g, r) -> concat(g, r)), ''), _mark, '')"
+    text = f"if(_found is null or size(filter(_found, x -> x.kind is not null)) = 0, source, {joined})"
+    return unpacked(df, docs.columns, **{text_col: F.expr(text)}, **counts)
