@@ -7,13 +7,17 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Wordings that tell kinds of refused requests apart, first match wins.
-ERROR_WORDS = (
-    ("monthly", ("monthly", "month limit", "plan limit")),
-    ("quota", ("quota", "credit", "exhausted")),
-    ("rate_limit", ("rate limit", "too many requests", "429", "throttl")),
-    ("transient", ("timeout", "timed out", "connection reset", "temporarily unavailable", "503", "502")),
-)
+#: Wordings of refused requests.
+CALL_CAP = ("calls limit", "call limit", "api call limit", "request limit")
+CAP_REACHED = ("you've reached", "you have reached", "limit reached", "exceeded")
+PLAN_HINT = ("developer dashboard", "subscribe", "pricing", "plan")
+QUOTA = ("monthly", "credit", "quota", "usage cap", "plan limit", "billing", "upgrade plan")
+QUOTA_HINT = ("monthly", "credit", "quota", "usage cap")
+PER_MINUTE = ("per minute", "minute rate", "too many requests")
+CREDIT_LIKE = ("credit", "quota", "allowance", "usage cap", "plan limit")
+MONTH_LIKE = ("month", "billing cycle", "resets")
+RATE_LIMIT = ("rate limit", "too many requests", "429", "throttl", "per minute", "minute rate")
+TRANSIENT = ("timeout", "timed out", "connection reset", "temporarily unavailable", "503", "502")
 
 
 def number(x: Column, fallback: Column | None = None) -> Column:
@@ -31,13 +35,43 @@ def category_or_other(c: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("Other"))
 
 
-def error_class(text: Column) -> Column:
-    low = F.lower(text)
-    kinds = [(k, reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])) for k, words in ERROR_WORDS]
-    out = F.lit("other")
-    for kind, hit in reversed(kinds):
-        out = F.when(hit, kind).otherwise(out)
-    return out
+def error_class(text: Column, small_plan: bool = False) -> Column:
+    """monthly: credit wording and month wording together, or the small plan's call cap; quota: any other credit wording that
+    isn't mere throttling; rate_limit; transient; other. small_plan: every call cap is the month's."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+
+    def says(*words: str) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+
+    cap = says(*CALL_CAP) & (says(*CAP_REACHED) | says(*PLAN_HINT))
+    throttled = says(*PER_MINUTE) & ~(cap | says(*QUOTA_HINT))
+    quota = (cap | says(*QUOTA)) & ~throttled
+    month_cap = says("calls limit", "call limit") & says("you've reached", "you have reached", "developer dashboard", "pricing")
+    monthly = (month_cap | says(*CREDIT_LIKE)) & (says(*MONTH_LIKE) | month_cap & (says("10,000", "10000") | F.lit(small_plan)))
+    return F.when(monthly, "monthly").when(quota, "quota").when(says(*RATE_LIMIT), "rate_limit").when(says(*TRANSIENT), "transient").otherwise("other")
+
+
+def csv_list(text: Column) -> Column:
+    """The items of a comma-separated text, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim), lambda x: x != "")
+
+
+def masked(key: Column) -> Column:
+    """The first and last four characters of a key longer than eight; else only stars."""
+    return F.when(F.length(key) <= 8, "***").otherwise(F.concat(F.left(key, F.lit(4)), F.lit("..."), F.right(key, F.lit(4))))
+
+
+def shortened(text: Column, most: int) -> Column:
+    """White space collapsed, at most so many characters."""
+    return F.left(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")), F.lit(most))
+
+
+def with_bits(old: Column, new: Column) -> Column:
+    """Two bitmaps of the same layout, hexadecimal, ORed; a missing one has no bits, a shorter one is filled up."""
+    width = F.greatest(F.length(F.coalesce(old, F.lit(""))), F.length(F.coalesce(new, F.lit(""))))
+    at = lambda c, k: F.conv(F.substring(F.rpad(F.coalesce(c, F.lit("")), width, F.lit("0")), k * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    bytes_ = F.transform(F.sequence(F.lit(0), F.greatest((width / 2).cast("int") - 1, F.lit(0))), lambda k: F.lpad(F.hex(at(old, k).bitwiseOR(at(new, k))), 2, "0"))
+    return F.when(width == 0, "").otherwise(F.array_join(bytes_, ""))
 
 
 def route(hint: Column, n: int) -> Column:
@@ -56,3 +90,9 @@ def bitmap(slot_rows: Column, size_bytes: int) -> Column:
 
 def clamp(x: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(x, F.lit(low)), F.lit(high))
+
+
+def popcount(bits: Column) -> Column:
+    """Bits set in a hexadecimal bitmap."""
+    digit = F.transform(F.filter(F.split(bits, ""), lambda c: c != ""), lambda c: F.bit_count(F.conv(c, 16, 10).cast("int")))
+    return F.aggregate(digit, F.lit(0).cast("long"), lambda z, n: z + n)

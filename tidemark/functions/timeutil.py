@@ -58,6 +58,17 @@ def next_month_start(day: Column) -> Column:
     return F.add_months(F.trunc(day, "month"), 1)
 
 
+def month_bounds(day: Column, grace_days: int = 3) -> tuple[Column, Column, Column]:
+    """(first day, last day, whether the month before may still be written: the day is among the month's first ones)."""
+    first = F.trunc(day, "month")
+    return first, F.last_day(day), F.datediff(day, first) < grace_days
+
+
+def end_of(text: Column) -> Column:
+    """An end given as text: a plain date means the midnight after it."""
+    return F.when(F.rlike(text, F.lit(r"^\s*\d{4}-\d{2}-\d{2}\s*$")), (F.date_add(F.try_to_date(F.trim(text)), 1)).cast("timestamp_ntz")).otherwise(parse_time(text))
+
+
 def lock_bucket(ts: Column, hours: int = 2) -> Column:
     """Name of the ts's lock bucket, e.g. 2024010104 for 2-hour buckets."""
     return F.date_format(F.date_trunc("hour", ts) - F.make_dt_interval(hours=F.pmod(F.hour(ts), F.lit(hours))), "yyyyMMddHH")

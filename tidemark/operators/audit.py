@@ -30,6 +30,20 @@ def gap_score(missing: DataFrame, slots_per_day: int = 144, key: str = "id") ->
     return out.withColumn("gap_score", F.col("missing_days") * 1000 + F.col("missing_slots"))
 
 
+def bad_day(source: Column, points: Column, last_updated: Column, day: Column) -> Column:
+    """A daily row that is there but no good: invalid, older than its day, weak by its label, or without a point."""
+    label = F.lower(F.trim(F.coalesce(source, F.lit(""))))
+    stale = F.coalesce(F.to_date(last_updated) < day, F.lit(False))
+    return F.coalesce(ohlc_invalid(), F.lit(True)) | stale | F.rlike(label, F.lit("carry|interp|partial")) | F.coalesce(points <= 0, F.lit(False))
+
+
+def worst_first(findings: DataFrame, size: Column, n: int, *ties: str) -> DataFrame:
+    """The n largest findings with their place from 1; a missing size counts as 0."""
+    ordered = findings.withColumn("_size", F.coalesce(size, F.lit(0.0))).orderBy(F.desc("_size"), *ties).limit(n)
+    place = F.row_number().over(Window.orderBy(F.desc("_size"), *ties))  # over n rows
+    return ordered.withColumn("place", place).drop("_size")
+
+
 def drift(raw: DataFrame, stored: DataFrame, relative: float = 0.03, absolute: float = 50e9, min_rows: int = 700, slot: str = "slot") -> DataFrame:
     """raw: slot, raw_cap, contributors. stored: slot, stored_cap. Findings of slots with enough contributors."""
     j = raw.where(F.col("contributors") >= min_rows).join(stored, slot, "left")

@@ -58,13 +58,16 @@ def monthly(daily: DataFrame, day: str = "day", volume: str = "volume_24h") -> D
     return out.where("open is not null and close is not null")
 
 
-def overlay_live(candles: DataFrame, live: DataFrame, start: Column) -> DataFrame:
+def overlay_live(candles: DataFrame, live: DataFrame, start: Column, end: Column) -> DataFrame:
     """Open-bucket candles merged with a live quote that is not older than the bucket.
 
-    live: id, price, last_updated. Open stays, close follows the quote, extremes take it in; points are at least one.
+    live: id, price, last_updated and metrics. Open stays, close follows the quote, extremes take it in; points are at least
+    one. A quote from after the bucket counts as of its last second. Metrics that the quote has replace the candle's.
     """
-    q = live.select(F.col("id").alias("_id"), F.col("price").alias("_p"), F.col("last_updated").alias("_t"))
-    use = F.col("_p").isNotNull() & (F.col("_t") >= start)
+    both = [m for m in METRICS if m in live.columns and m in candles.columns]
+    q = live.select(F.col("id").alias("_id"), F.col("price").alias("_p"), F.col("last_updated").alias("_lu"), *[F.col(m).alias(f"_{m}") for m in both])
+    at = F.when(F.col("_lu") < end, F.col("_lu")).otherwise(end - F.expr("interval 1 second"))
+    use = F.col("_p").isNotNull() & (F.col("_lu") >= start)
     pick = lambda new, old: F.when(use, new).otherwise(F.col(old))
     j = candles.join(q, candles["id"] == q["_id"], "left")
     o, h, lo, c, p = (F.col(x) for x in ("open", "high", "low", "close", "_p"))
@@ -72,7 +75,8 @@ def overlay_live(candles: DataFrame, live: DataFrame, start: Column) -> DataFram
         "id", "bucket", pick(F.coalesce(o, c, p), "open").alias("open"), pick(F.greatest(h, lo, c, o, p), "high").alias("high"),
         pick(F.least(h, lo, c, o, p), "low").alias("low"), pick(p, "close").alias("close"),
         pick(F.greatest(F.lit(1), F.coalesce("point_count", F.lit(0))), "point_count").cast("long").alias("point_count"),
-        F.greatest(F.col("last_updated"), F.when(use, F.col("_t"))).alias("last_updated"), F.when(use, "live_partial").otherwise("10m_partial").alias("candle_source"),
+        *[pick(F.coalesce(f"_{m}", m), m).alias(m) for m in both],
+        F.greatest(F.col("last_updated"), F.when(use, at)).alias("last_updated"), F.when(use, "live_partial").otherwise("10m_partial").alias("candle_source"),
     )
     return out
 

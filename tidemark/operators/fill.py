@@ -5,26 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutil import minutes_between
+from tidemark.functions.timeutil import SLOT_MINUTES, minutes_between
 from tidemark.operators.provenance import lineage
 
 
-def spine(entities: DataFrame, slots: DataFrame) -> DataFrame:
-    """Every entity at every slot. The calendar is one row per slot of a bounded window."""
-    calendar = slots.agg(F.sort_array(F.collect_set("slot")).alias("_slots"))
-    return entities.crossJoin(F.broadcast(calendar)).select(*entities.columns, F.explode("_slots").alias("slot"))
+def spine(entities: DataFrame, bounds: DataFrame, minutes: int = SLOT_MINUTES) -> DataFrame:
+    """Every entity at every slot in [start, end); bounds: one row. Only the two bounds go to the tasks."""
+    slots = F.sequence("_start", F.col("_end") - F.make_dt_interval(mins=F.lit(minutes)), F.make_dt_interval(mins=F.lit(minutes)))
+    one = bounds.select(F.col("start").alias("_start"), F.col("end").alias("_end"))
+    return entities.crossJoin(F.broadcast(one)).where("_start < _end").select(*entities.columns, F.explode(slots).alias("slot"))
+
+
+def whole_days(rows: DataFrame, ts: str = "ts") -> DataFrame:
+    """One row: start of the first and end of the last day of the rows."""
+    first, last = F.date_trunc("day", F.min(ts)), F.date_trunc("day", F.max(ts)) + F.expr("interval 1 day")
+    return rows.agg(first.cast("timestamp_ntz").alias("start"), last.cast("timestamp_ntz").alias("end"))
 
 
 def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, values: list[str], strict: bool = True, max_age_min: int | None = None) -> DataFrame:
-    """left with the values of the latest right row before left_time (or at it, unless strict), by union and one window."""
+    """left with the values of the latest right row before left_time (or at it, unless strict).
+
+    One window for each entity and day over the union of both sides; what a day starts with comes from one row an entity and
+    day. So an entity with a long or crowded history is spread over its days.
+    """
     names = [f"asof_{v}" for v in values]
     at = F.struct(F.col(right_time).alias("t"), *[F.col(v).alias(v) for v in values])
-    r = right.where(F.col(right_time).isNotNull()).select(F.col(on), F.col(right_time).alias("_t"), F.lit(1 if strict else 0).alias("_side"), at.alias("_r"), *[F.lit(None).cast(left.schema[c].dataType).alias(f"_l_{c}") for c in left.columns if c != on])
-    lf = left.select(F.col(on), F.col(left_time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"), *[F.col(c).alias(f"_l_{c}") for c in left.columns if c != on])
+    known = right.where(F.col(right_time).isNotNull())
+    blank = [F.lit(None).cast(left.schema[c].dataType).alias(f"_l_{c}") for c in left.columns if c != on]
+    r = known.select(F.col(on), F.col(right_time).alias("_t"), F.lit(1 if strict else 0).alias("_side"), at.alias("_r"), *blank)
+    own = [F.col(c).alias(f"_l_{c}") for c in left.columns if c != on]
+    lf = left.select(F.col(on), F.col(left_time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.lit(None).cast(r.schema["_r"].dataType).alias("_r"), *own)
+    both = r.withColumn("_left", F.lit(False)).unionByName(lf.withColumn("_left", F.lit(True))).withColumn("_day", F.to_date("_t"))
     # at equal times the row that may see the other comes last
-    w = Window.partitionBy(on).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = r.withColumn("_left", F.lit(False)).unionByName(lf.withColumn("_left", F.lit(True)))
-    seen = both.withColumn("_seen", F.last("_r", ignorenulls=True).over(w)).where("_left")
+    within = Window.partitionBy(on, "_day").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumn("_in", F.last("_r", ignorenulls=True).over(within)).where("_left")
+    days = both.groupBy(on, "_day").agg(F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct("_t"))).alias("_last"))
+    carried = F.last("_last", ignorenulls=True).over(Window.partitionBy(on).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    before = days.select(F.col(on).alias("_on"), F.col("_day").alias("_d"), carried.alias("_before"))
+    seen = seen.join(before, F.col(on).eqNullSafe(F.col("_on")) & F.col("_day").eqNullSafe(F.col("_d")), "left").withColumn("_seen", F.coalesce("_in", "_before"))
     if max_age_min is not None:
         young = minutes_between(F.col("_t"), F.col("_seen.t")) <= max_age_min
         seen = seen.withColumn("_seen", F.when(young, F.col("_seen")))
@@ -117,3 +135,37 @@ def donor_cascade(slots: DataFrame) -> DataFrame:
         .when(F.col("_carry").isNotNull(), "bf_10m_carry_10m").when(F.col("prev_hour").isNotNull(), "bf_10m_carry_hourly").when(F.col("prev_day").isNotNull(), "bf_10m_carry_daily")
     )
     return s.withColumn("close", close).withColumn("candle_source", label).drop("_x", "_carry")
+
+
+def rollup_cascade(targets: DataFrame, finer: DataFrame, coarser: DataFrame | None, unit: str, carry: bool = True) -> DataFrame:
+    """Missing candles of one resolution (targets: id, at, has, own_close, own_source) from a finer one, else a coarser one,
+    else the candle before (stored or just filled, unless carry is off).
+
+    finer: id, at, open, high, low, close, points, sources (the set of its labels' leaves) and via, the candles it was made of,
+    if not of 10m; coarser: id, at, close, source.
+    unit names the candle: hourly (from 10m, from daily) or daily (from 10m, from hourly).
+    """
+    finer = finer if "via" in finer.columns else finer.withColumn("via", F.lit("10m"))
+    j = targets.join(finer.withColumn("_f", F.lit(True)), ["id", "at"], "left")
+    if coarser is not None:
+        j = j.join(coarser.select("id", "at", F.col("close").alias("_cc"), F.col("source").alias("_cs")), ["id", "at"], "left")
+    else:
+        j = j.withColumn("_cc", F.lit(None).cast("double")).withColumn("_cs", F.lit(None).cast("string"))
+    fine = ~F.col("has") & F.coalesce("_f", F.lit(False))
+    coarse = ~F.col("has") & ~fine & F.col("_cc").isNotNull()
+    made = F.when(F.col("has"), F.col("own_close")).when(fine, F.col("close")).when(coarse, F.col("_cc"))
+    # the candle before is the last one that is there, even if it has no close
+    there = F.when(F.col("has") | fine | coarse, F.struct(made.alias("close")))
+    before = F.last(there, ignorenulls=True).over(Window.partitionBy("id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    j = j.withColumn("_before", before["close"])
+    carried = ~F.col("has") & ~fine & ~coarse & F.col("_before").isNotNull() & F.lit(carry)
+    one = F.when(carried, F.col("_before")).otherwise(made)
+    leaf = F.when(F.size("sources") == 1, F.get("sources", F.lit(0))).otherwise("mixed")
+    label = (
+        F.when(F.col("has"), F.col("own_source")).when(fine, F.when(F.col("via") == "10m", lineage(f"bf_{unit}_from_10m", leaf)).otherwise(lineage(f"bf_{unit}_from_hourly", leaf))).when(coarse, lineage(f"bf_{unit}_from_daily", F.col("_cs")))
+        .when(carried, f"bf_{unit}_carry_{unit}")
+    )
+    pick = lambda c: F.when(fine, F.col(c)).otherwise(one)
+    points = F.when(fine, F.col("points")).when(coarse | carried, F.lit(1).cast("long"))
+    out = j.select("id", "at", pick("open").alias("open"), pick("high").alias("high"), pick("low").alias("low"), one.alias("close"), label.alias("candle_source"), points.alias("point_count"))
+    return out.where("candle_source is not null")

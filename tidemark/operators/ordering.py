@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import pinned
+
 
 def with_running_sum(df: DataFrame, part: str, order: list[str], value: str, out: str) -> DataFrame:
     """out: sum of value over the rows before, in order of (part, *order). part: the number of a range of rows."""
@@ -21,11 +23,14 @@ def with_position(df: DataFrame, part: str, order: list[str], out: str) -> DataF
     return with_running_sum(df.withColumn("_one", F.lit(1).cast("long")), part, order, "_one", out).drop("_one", part)
 
 
-def budget_prefix(plans: DataFrame, cost: str, budget: int, order: list[str], tie: str) -> DataFrame:
-    """Plans in order while their running cost stays within the budget.
+def ranged(df: DataFrame, order: list[str], part: str) -> DataFrame:
+    """df in ranges of the order, numbered by part. The numbers are pinned, as both levels of a running sum read them."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pinned(df.repartitionByRange(width, *order).withColumn(part, F.spark_partition_id()))
 
-    Costs are first added per value of the leading order column; only that small table is summed across.
-    """
-    first = order[0]
-    out = with_running_sum(plans, first, [*order[1:], tie], cost, "spent_before")
+
+def budget_prefix(plans: DataFrame, cost: str, budget: int, order: list[str], tie: str) -> DataFrame:
+    """Plans in order while their running cost stays within the budget; ranges of (order, tie), so equal costs spread too."""
+    keys = list(dict.fromkeys([*order, tie]))
+    out = with_running_sum(ranged(plans, keys, "_range"), "_range", keys, cost, "spent_before").drop("_range")
     return out.where(F.col("spent_before") + F.col(cost) <= budget)

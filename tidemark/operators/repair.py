@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import plus_minutes
@@ -15,6 +15,53 @@ def _unsound(has: Column, source: Column, ts: Column, last_updated: Column, poin
     return ~has | F.coalesce(ohlc_invalid(), F.lit(True)) | stale | weak_future(source) | (F.coalesce(points, F.lit(0)) < least)
 
 
+def stale_slot(last_updated: Column, ts: Column) -> Column:
+    return F.coalesce(last_updated < plus_minutes(ts, -20), F.lit(False))
+
+
+def stale_day(last_updated: Column, day: Column) -> Column:
+    return F.coalesce(F.to_date(last_updated) < day, F.lit(False))
+
+
+def stale_live(last_updated: Column, now: Column, minutes: int = 10) -> Column:
+    """Worth a warning, no more."""
+    return F.coalesce(last_updated < plus_minutes(now, -minutes), F.lit(False))
+
+
+def catchup(hours: DataFrame, now: Column, recent: int, bootstrap_hours: int, most_hours: int, final: str = "10m_final") -> DataFrame:
+    """hours: id, ts, candle_source. Per id the watermark, its latest final hour if that is among its recent last ones, and the
+    hour to start from: the one after it, or bootstrap_hours back, but no more than most_hours back."""
+    n = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("ts")))
+    last = hours.withColumn("_n", n).where(F.col("_n") <= recent)
+    w = last.groupBy("id").agg(F.max(F.when(F.col("candle_source") == final, F.col("ts"))).alias("watermark"))
+    start = F.coalesce(plus_minutes(F.col("watermark"), 60), plus_minutes(now, -60 * bootstrap_hours))
+    return w.withColumn("catchup_start", F.greatest(start, plus_minutes(now, -60 * most_hours)))
+
+
+def gap_fill_plan(spine: DataFrame, have: DataFrame, lock: Column) -> DataFrame:
+    """Per id and lock bucket its missing slots: how many, the first, and that no aggregates are made."""
+    missing = spine.join(have, ["id", "slot"], "left_anti")
+    return missing.groupBy("id", lock.alias("lock")).agg(F.count(F.lit(1)).alias("slots"), F.min("slot").alias("first_slot"), F.lit(False).alias("aggregates"))
+
+
+def rollup_with_sources(candles: DataFrame, at: Column) -> DataFrame:
+    """Candles (id, bucket, OHLC, candle_source) to id, at, OHLC, points and the set of their labels' leaves."""
+    leaf = F.element_at(F.split("candle_source", ":"), -1)
+    return candles.withColumn("at", at).groupBy("id", "at").agg(
+        F.min_by("open", "bucket").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "bucket").alias("close"),
+        F.count(F.lit(1)).alias("points"), F.array_sort(F.collect_set(leaf)).alias("sources"),
+    )
+
+
+def first_of(kinds: dict[str, DataFrame]) -> DataFrame:
+    """Candles of the first kind that has the id and time; via names it."""
+    out = None
+    for kind, rows in kinds.items():
+        rows = rows.withColumn("via", F.lit(kind))
+        out = rows if out is None else out.unionByName(rows.join(out.select("id", "at"), ["id", "at"], "left_anti"))
+    return out
+
+
 def needs_rebuild(has: Column, source: Column, points: Column, ts: Column, last_updated: Column, final: tuple[str, ...], least: int = 4) -> Column:
     """A closed candle to be rolled up anew. An authoritative row never is."""
     return ~(has & authoritative(source, final, points)) & _unsound(has, source, ts, last_updated, points, least)
@@ -45,8 +92,12 @@ def seed_from_daily(days: DataFrame) -> DataFrame:
     return days.select("id", end.alias("ts"), F.coalesce("close", "price_usd", zero).alias("price_usd"), F.coalesce("market_cap", zero).alias("market_cap"), F.coalesce("volume_24h", zero).alias("volume_24h"), "market_cap_rank")
 
 
-def coverage_ratio(targets: DataFrame, have: DataFrame, keys: list[str]) -> DataFrame:
-    """Per id the share of its target slots that are there."""
+def coverage_ratio(targets: DataFrame, have: DataFrame, keys: list[str], entities: DataFrame | None = None) -> DataFrame:
+    """Per id the share of its target slots that are there; 1 for entities without a target."""
+    if entities is not None:
+        some = coverage_ratio(targets, have, keys)
+        j = entities.select("id").distinct().join(some, "id", "left")
+        return j.select("id", F.coalesce("coverage", F.lit(1.0)).alias("coverage"), F.coalesce("targets", F.lit(0)).alias("targets"))
     j = targets.join(have.select(*keys).distinct().withColumn("_has", F.lit(1)), keys, "left")
     return j.groupBy("id").agg(F.avg(F.coalesce("_has", F.lit(0)).cast("double")).alias("coverage"), F.count(F.lit(1)).alias("targets"))
 

@@ -62,3 +62,8 @@ def slot_decision(has_data: Column, required_ok: Column, v_shape: Column, covera
         F.when(~has_data, "no_slot_data").when(quarantine & prev.isNotNull(), "quarantine_prev").when(quarantine, "quarantine_skip")
         .when(low_count & F.lit(carry_low) & prev.isNotNull(), "carry_low_coin_count").when(low_count, "skip_low_coin_count").otherwise("direct")
     )
+
+
+def report_order(category: str = "category") -> list[Column]:
+    """ALL first, then by name whatever the case."""
+    return [F.when(F.col(category) == "ALL", 0).otherwise(1), F.lower(category)]

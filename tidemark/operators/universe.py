@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import category_or_other
+from tidemark.operators.ordering import ranged, with_position
 
 UNRANKED = 2_000_000_000
 
@@ -24,10 +25,8 @@ def missing_ids(wanted: DataFrame, live: DataFrame) -> DataFrame:
 
 def shard(ids: DataFrame, shards: int, number: int) -> DataFrame:
     """Every shards-th of the sorted ids. Positions come from per-range counts, so no task sorts all ids."""
-    ranged = ids.select("id").distinct().repartitionByRange("id").withColumn("_p", F.spark_partition_id())
-    from tidemark.operators.ordering import with_position
-
-    return with_position(ranged, "_p", ["id"], "position").where(F.col("position") % shards == number).select("id", "position")
+    parts = ranged(ids.select("id").distinct(), ["id"], "_p")
+    return with_position(parts, "_p", ["id"], "position").where(F.col("position") % shards == number).select("id", "position")
 
 
 def with_category(live: DataFrame, by_id: DataFrame, by_symbol: DataFrame) -> DataFrame:
@@ -48,8 +47,29 @@ def union_ids(*frames: DataFrame) -> DataFrame:
 def unique_ranks(live: DataFrame, rank: str = "market_cap_rank") -> DataFrame:
     """Of assets that share a rank, the latest (then largest, then by id) keeps it; the others lose theirs."""
     w = Window.partitionBy(rank).orderBy(F.desc_nulls_last("last_updated"), F.desc_nulls_last("market_cap"), "id")
-    turn = F.when(F.col(rank).isNotNull(), F.row_number().over(w))
-    return live.withColumn("demoted", F.coalesce(turn > 1, F.lit(False))).withColumn(rank, F.when(turn == 1, F.col(rank)))
+    ranks = live.where(F.col(rank).isNotNull()).withColumn("demoted", F.row_number().over(w) > 1)
+    # rows without a rank never meet in a window
+    return ranks.withColumn(rank, F.when(~F.col("demoted"), F.col(rank))).unionByName(live.where(F.col(rank).isNull()).withColumn("demoted", F.lit(False)))
+
+
+def first_ids(ids: DataFrame, n: int) -> DataFrame:
+    """The first n of the sorted ids."""
+    return ids.select("id").where("id is not null").distinct().orderBy("id").limit(n)
+
+
+def with_meta(ids: DataFrame, live: DataFrame) -> DataFrame:
+    """ids with the live row's symbol, name and rank; a stub where there is none: the id in capitals, the id, no rank."""
+    meta = live.select(F.col("id").alias("_id"), "symbol", "name", "market_cap_rank")
+    j = ids.select("id").distinct().join(meta, F.col("id") == F.col("_id"), "left")
+    known = F.col("_id").isNotNull()
+    return j.select("id", F.coalesce("symbol", F.upper("id")).alias("symbol"), F.coalesce("name", "id").alias("name"), "market_cap_rank", known.alias("known"))
+
+
+def complete(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with an id and a time of update; one row: how many there are and how many were dropped)."""
+    whole = F.col("id").isNotNull() & (F.trim("id") != "") & F.col("last_updated").isNotNull()
+    whole = F.coalesce(whole, F.lit(False))
+    return rows.where(whole), rows.agg(F.count_if(whole).alias("kept"), F.count_if(~whole).alias("dropped"))
 
 
 def unranked_last(rank: Column) -> Column:

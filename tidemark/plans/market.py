@@ -230,12 +230,27 @@ def protect_authoritative(spark: SparkSession, d: str) -> DataFrame:
     return j.select("id", "day", merge.protects(auth, share).alias("protected"))
 
 
-@query("unchanged_filter", "WITH {DAILY}, " + STORED_DAILY + """ SELECT n.id, n.day FROM daily n LEFT JOIN old o USING (id, day) WHERE o.candle_source IS NULL OR NOT (coalesce(n.close IS NOT DISTINCT FROM o.close OR abs(n.close - o.close) <= 1e-12, false)
-    AND coalesce(n.market_cap IS NOT DISTINCT FROM o.market_cap OR abs(n.market_cap - o.market_cap) <= 1e-12, false) AND coalesce(n.volume_24h IS NOT DISTINCT FROM o.volume_24h OR abs(n.volume_24h - o.volume_24h) <= 1e-12, false))""")
+SAME_FIELDS = ("open", "high", "low", "close", "price_usd", "market_cap", "volume_24h")
+FULL_STORED = """fs AS (SELECT id, day, CASE WHEN k = 1 THEN open + 1 ELSE open END AS open, CASE WHEN k = 2 THEN high + 1 ELSE high END AS high, low, CASE WHEN k = 3 THEN close + 5e-13 ELSE close END AS close, price_usd,
+    CASE WHEN k = 4 THEN NULL ELSE market_cap END AS market_cap, volume_24h, CASE WHEN k = 5 THEN coalesce(market_cap_rank, 0) + 1 ELSE market_cap_rank END AS market_cap_rank, CASE WHEN k = 6 THEN '10m_partial' ELSE '10m_final' END AS candle_source
+    FROM (SELECT *, (point_count + extract(day FROM day)) % 8 AS k FROM daily) WHERE k < 7)"""
+
+
+@query("unchanged_filter", "WITH {DAILY}, " + FULL_STORED + " SELECT n.id, n.day FROM daily n LEFT JOIN fs o USING (id, day) WHERE o.candle_source IS DISTINCT FROM '10m_final' OR n.market_cap_rank IS DISTINCT FROM o.market_cap_rank OR NOT ("
+    + " AND ".join(f"coalesce(n.{c} IS NOT DISTINCT FROM o.{c} OR abs(n.{c} - o.{c}) <= 1e-12, false)" for c in SAME_FIELDS) + ")")
 def unchanged_filter(spark: SparkSession, d: str) -> DataFrame:
-    new, old = _candidate(spark, d)
-    columns = ["close", "market_cap", "volume_24h"]
-    return merge.with_stored(new, old, ["id", "day"], columns).where(~merge.unchanged(columns)).select("id", "day")
+    """Candidates that differ from the stored final row in any field: prices and metrics within tolerance, rank and label exactly."""
+    new = daily(spark, d).withColumn("candle_source", F.lit("10m_final"))
+    k = (F.col("point_count") + F.day("day")) % 8
+    old = new.withColumn("k", k).where("k < 7").withColumns({
+        "open": F.when(F.col("k") == 1, F.col("open") + 1).otherwise(F.col("open")), "high": F.when(F.col("k") == 2, F.col("high") + 1).otherwise(F.col("high")),
+        "close": F.when(F.col("k") == 3, F.col("close") + 5e-13).otherwise(F.col("close")), "market_cap": F.when(F.col("k") != 4, F.col("market_cap")),
+        "market_cap_rank": F.when(F.col("k") == 5, F.coalesce("market_cap_rank", F.lit(0)) + 1).otherwise(F.col("market_cap_rank")),
+        "candle_source": F.when(F.col("k") == 6, "10m_partial").otherwise("10m_final"),
+    })
+    exact = ("market_cap_rank", "candle_source")
+    columns = [*SAME_FIELDS, *exact]
+    return merge.with_stored(new, old, ["id", "day"], columns).where(~merge.unchanged(columns, exact)).select("id", "day")
 
 
 @query("fill_missing_from_existing", "WITH {DAILY}, shifted AS (SELECT id, day, price_usd * 10 AS market_cap, volume_24h FROM daily WHERE point_count = 1) SELECT n.id, n.day, coalesce(n.market_cap, o.market_cap, 0.0) AS market_cap, coalesce(n.volume_24h, o.volume_24h, 0.0) AS volume_24h FROM daily n LEFT JOIN shifted o USING (id, day)")
@@ -332,16 +347,32 @@ def json_metrics_parse(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("m.k").alias("sum_k"))
 
 
-@query("crc32_routing")
+@query("crc32_routing", """SELECT c_custkey, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda acc, b: list_reduce([xor(acc, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)), 4294967295::BIGINT) % 7 AS INT) AS key_no FROM customer""")
 def crc32_routing(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", scalars.route(F.col("c_name"), 7).alias("key_no"))
 
 
-@query("error_text_classify", """SELECT event_id, CASE WHEN t LIKE '%monthly%' THEN 'monthly' WHEN t LIKE '%credit%' THEN 'quota' WHEN t LIKE '%429%' OR t LIKE '%too many requests%' THEN 'rate_limit' WHEN t LIKE '%timed out%' THEN 'transient' ELSE 'other' END AS kind
-    FROM (SELECT event_id, CASE event_type WHEN 'view' THEN 'monthly limit of plan' WHEN 'click' THEN 'no credits left' WHEN 'error' THEN 'http 429: too many requests' WHEN 'signup' THEN 'read timed out' ELSE 'bad gateway ' || event_id END AS t FROM events)""".replace("'bad gateway ' || event_id", "'bad request'"))
+#: Texts of refused requests; every event stands for one of them.
+REFUSALS = (
+    "Monthly credits used up", "no CREDITS left", "HTTP 429: Too many requests", "read timed out", "bad request", "Monthly report ready", "You've reached 10,000 calls limit",
+    "API call limit exceeded, see pricing", "too many requests per minute, upgrade plan", "quota of 100 per minute", "Quota resets next month", "503 Service", "call limit", "",
+)
+
+
+def _any(*words: str) -> str:
+    return "(" + " OR ".join("contains(t, '" + w.replace("'", "''") + "')" for w in words) + ")"
+
+
+CLASSES = f"""c AS (SELECT *, {_any(*scalars.CALL_CAP)} AND ({_any(*scalars.CAP_REACHED)} OR {_any(*scalars.PLAN_HINT)}) AS cap, {_any("calls limit", "call limit")} AND {_any("you've reached", "you have reached", "developer dashboard", "pricing")} AS month_cap FROM e),
+    k AS (SELECT *, (cap OR {_any(*scalars.QUOTA)}) AND NOT ({_any(*scalars.PER_MINUTE)} AND NOT (cap OR {_any(*scalars.QUOTA_HINT)})) AS quota,
+        (month_cap OR {_any(*scalars.CREDIT_LIKE)}) AND ({_any(*scalars.MONTH_LIKE)} OR month_cap AND {_any("10,000", "10000")}) AS monthly FROM c)"""
+
+
+@query("error_text_classify", f"""WITH e AS (SELECT event_id, lower(['{"', '".join(x.replace("'", "''") for x in REFUSALS)}'][CAST(event_id % {len(REFUSALS)} AS INT) + 1]) AS t FROM events), {CLASSES}
+    SELECT event_id, CASE WHEN monthly THEN 'monthly' WHEN quota THEN 'quota' WHEN {_any(*scalars.RATE_LIMIT)} THEN 'rate_limit' WHEN {_any(*scalars.TRANSIENT)} THEN 'transient' ELSE 'other' END AS kind FROM k""")
 def error_text_classify(spark: SparkSession, d: str) -> DataFrame:
-    e = F.col("event_type")
-    text = F.when(e == "view", "Monthly limit of plan").when(e == "click", "no CREDITS left").when(e == "error", "HTTP 429: Too many requests").when(e == "signup", "read timed out").otherwise("bad request")
+    text = F.get(F.array(*[F.lit(x) for x in REFUSALS]), (F.col("event_id") % len(REFUSALS)).cast("int"))
     return table(spark, d, "events").select("event_id", scalars.error_class(text).alias("kind"))
 
 
@@ -394,7 +425,7 @@ def retention_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").where(F.col("ts") >= F.lit(datetime(2024, 1, 23))).select("event_id", "ts")
 
 
-@query("stream_tumbling_10m")
+@query("stream_tumbling_10m", "WITH {TICKS}, {BARS} SELECT id, bucket, open, high, low, close, point_count FROM bars")
 def stream_tumbling_10m(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.streaming.bars import tumbling_once
 

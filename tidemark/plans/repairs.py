@@ -53,7 +53,7 @@ def target_coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 ADVANCE = """, c AS (SELECT id, min(day) AS first_day, max(day) AS last_day, count(DISTINCT day) AS have_any, count(DISTINCT CASE WHEN close IS NOT NULL THEN day END) AS have_price, count(DISTINCT CASE WHEN volume_24h IS NOT NULL THEN day END) AS have_volume,
-    count(DISTINCT CASE WHEN market_cap IS NOT NULL THEN day END) AS have_mcap FROM daily WHERE day < DATE '1998-07-02' AND CAST(id AS BIGINT) % 3 <> 0 GROUP BY 1),
+    count(DISTINCT CASE WHEN market_cap IS NOT NULL THEN day END) AS have_mcap FROM daily WHERE day < DATE '1998-07-02' GROUP BY 1),
     k AS (SELECT *, CAST(last_day - first_day + 1 AS BIGINT) AS expected_days, last_day AS open_range_start FROM c), t AS (SELECT * FROM daily WHERE day = DATE '1998-07-02'),
     j AS (SELECT coalesce(k.id, t.id) AS id, k.* EXCLUDE (id), t.id IS NOT NULL AND coalesce(last_day < DATE '1998-07-02', true) AS change, t.close AS tc, t.volume_24h AS tv, t.market_cap AS tm FROM k FULL JOIN t ON t.id = k.id),
     n AS (SELECT id, CASE WHEN change AND first_day IS NULL THEN DATE '1998-07-02' ELSE first_day END AS first_day, CASE WHEN change THEN DATE '1998-07-02' ELSE last_day END AS last_day,
@@ -67,7 +67,7 @@ ADVANCE = """, c AS (SELECT id, min(day) AS first_day, max(day) AS last_day, cou
 def availability_incremental(spark: SparkSession, d: str) -> DataFrame:
     target = F.lit(date(1998, 7, 2))
     days = daily(spark, d)
-    past = days.where((F.col("day") < target) & (F.col("id").cast("long") % 3 != 0))
+    past = days.where(F.col("day") < target)
     span = F.datediff(F.max("day"), F.min("day")) + 1
     counters = coverage.availability(past, F.lit(0)).drop("expected_days", *[f"missing_{n}" for n in ("any", "price", "volume", "mcap")])
     counters = counters.join(past.groupBy("id").agg(span.cast("long").alias("expected_days"), F.max("day").alias("open_range_start")), "id")

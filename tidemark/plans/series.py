@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import bitmap
-from tidemark.functions.timeutil import floor_hour, floor_slot, minutes_between, plus_minutes, slot_index, slots
+from tidemark.functions.scalars import bitmap, popcount, with_bits
+from tidemark.functions.timeutil import floor_hour, floor_slot, minutes_between, plus_minutes, slot_index
 from tidemark.operators import audit, bars, coverage, fill, provenance
 from tidemark.plans.base import bars_10m, daily, query, table, ticks
 
@@ -75,13 +75,14 @@ def api_points_min2_daily(spark: SparkSession, d: str) -> DataFrame:
 @query("live_overlay_partial", """WITH {TICKS}, {BARS}, last_bar AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY id ORDER BY bucket DESC) = 1),
     q AS (SELECT event_type AS id, max(value) AS price, max(ts) AS t FROM events WHERE event_id % 2 = 0 GROUP BY 1)
     SELECT b.id, bucket, open, CASE WHEN t >= bucket THEN greatest(high, low, close, open, price) ELSE high END AS high, CASE WHEN t >= bucket THEN least(high, low, close, open, price) ELSE low END AS low,
-    CASE WHEN t >= bucket THEN price ELSE close END AS close, point_count, CASE WHEN t >= bucket THEN greatest(last_updated, t) ELSE last_updated END AS last_updated,
+    CASE WHEN t >= bucket THEN price ELSE close END AS close, point_count, CASE WHEN t >= bucket THEN greatest(last_updated, CASE WHEN t < bucket + INTERVAL 10 MINUTE THEN t ELSE bucket + INTERVAL 599 SECOND END) ELSE last_updated END AS last_updated,
     CASE WHEN t >= bucket THEN 'live_partial' ELSE '10m_partial' END AS candle_source FROM last_bar b LEFT JOIN q ON b.id = q.id""")
 def live_overlay_partial(spark: SparkSession, d: str) -> DataFrame:
     b = bars_10m(spark, d)
     last = b.groupBy("id").agg(F.max_by(F.struct(*b.columns), F.col("bucket")).alias("m")).select("m.*")
     quotes = table(spark, d, "events").where("event_id % 2 = 0").groupBy(F.col("event_type").alias("id")).agg(F.max("value").alias("price"), F.max("ts").alias("last_updated"))
-    return bars.overlay_live(last, quotes, F.col("bucket"))
+    end = F.col("bucket") + F.expr("interval 10 minutes")
+    return bars.overlay_live(last, quotes, F.col("bucket"), end).drop(*bars.METRICS)
 
 
 @query("last_n_rows", """WITH {USER_TICKS} SELECT id, ts, price, CAST(row_number() OVER (PARTITION BY id ORDER BY ts DESC) AS INT) AS n FROM ticks QUALIFY n <= 12""")
@@ -103,12 +104,13 @@ def first_last_key(spark: SparkSession, d: str) -> DataFrame:
     return ticks(spark, d, "user_id").groupBy("id").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-SPINE = """slots AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-11 23:50:00', INTERVAL '10 minutes')) AS slot), ids AS (SELECT DISTINCT event_type AS id FROM events), spine AS (SELECT id, slot FROM ids, slots)"""
+#: Every id at every slot of all days that the table covers.
+SPINE = """slots AS (SELECT unnest(generate_series(CAST(date_trunc('day', min(ts)) AS TIMESTAMP), CAST(date_trunc('day', max(ts)) AS TIMESTAMP) + INTERVAL '23 hours 50 minutes', INTERVAL '10 minutes')) AS slot FROM events), ids AS (SELECT DISTINCT event_type AS id FROM events), spine AS (SELECT id, slot FROM ids, slots)"""
 
 
 def _spine(spark: SparkSession, d: str) -> DataFrame:
-    ids = table(spark, d, "events").select(F.col("event_type").alias("id")).distinct()
-    return fill.spine(ids, slots(spark, START, END))
+    events = table(spark, d, "events")
+    return fill.spine(events.select(F.col("event_type").alias("id")).distinct(), fill.whole_days(events))
 
 
 @query("slot_spine", f"WITH {SPINE} SELECT id, slot FROM spine")
@@ -135,9 +137,9 @@ def locf_max_age(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _with_stored(spark: SparkSession, d: str) -> DataFrame:
-    """The spine with what was observed and what is stored: purchases stand for stored rows, every other one strong."""
+    """The spine with what was observed and what is stored: by the slot's place in five, one stored strong, one stored weak."""
     b = bars_10m(spark, d).select("id", F.col("bucket").alias("slot"), "close", "point_count")
-    spine = _spine(spark, d).where("id <> 'purchase'")
+    spine = _spine(spark, d)
     kind = F.pmod(F.hour("slot") + F.minute("slot") / 10, F.lit(5)).cast("int")
     j = spine.join(b, ["id", "slot"], "left").withColumn("k", kind)
     return j.select(
@@ -146,7 +148,7 @@ def _with_stored(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-STORED = """b AS (SELECT s.id, s.slot, close, CAST(floor((extract(hour FROM slot) + extract(minute FROM slot) / 10) % 5) AS INT) AS k FROM spine s LEFT JOIN bars ON bars.id = s.id AND bars.bucket = s.slot WHERE s.id <> 'purchase'),
+STORED = """b AS (SELECT s.id, s.slot, close, CAST(floor((extract(hour FROM slot) + extract(minute FROM slot) / 10) % 5) AS INT) AS k FROM spine s LEFT JOIN bars ON bars.id = s.id AND bars.bucket = s.slot),
     st AS (SELECT id, slot, CASE WHEN k > 1 THEN close END AS point, CASE WHEN k <= 1 THEN close END AS stored, k = 0 AND close IS NOT NULL AS stored_strong, k <= 1 AND close IS NOT NULL AS has_stored FROM b)"""
 
 
@@ -281,13 +283,22 @@ def intraday_slot_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("bitmap_or_popcount", """WITH {TICKS}, s AS (SELECT DISTINCT id, CAST(ts AS DATE) AS day, CAST(extract(hour FROM ts) * 6 + extract(minute FROM ts) // 10 AS INT) AS slot FROM ticks),
     b AS (SELECT id, day, slot // 8 AS byte, CAST(sum(1 << (slot % 8)) AS INT) AS v FROM s GROUP BY 1, 2, 3), k AS (SELECT DISTINCT id, day, unnest(generate_series(0, 17)) AS byte FROM s),
-    f AS (SELECT k.id, k.day, k.byte, coalesce(v, 0) AS v FROM k LEFT JOIN b USING (id, day, byte))
-    SELECT id, day, string_agg(printf('%02X', v), '' ORDER BY byte) AS bitmap_hex, CAST(sum(bit_count(v)) AS BIGINT) AS set_count FROM f GROUP BY 1, 2""")
+    f AS (SELECT k.id, k.day, k.byte, coalesce(v, 0) AS v FROM k LEFT JOIN b USING (id, day, byte)), seen AS (SELECT id, CAST(ts AS DATE) AS day, min(ts) AS first_seen, max(ts) AS last_seen FROM ticks GROUP BY 1, 2)
+    SELECT id, day, string_agg(printf('%02X', v), '' ORDER BY byte) AS bitmap_hex, CAST(sum(bit_count(v)) AS BIGINT) AS set_count, min(first_seen) AS first_seen, max(last_seen) AS last_seen FROM f JOIN seen USING (id, day) GROUP BY 1, 2""")
 def bitmap_or_popcount(spark: SparkSession, d: str) -> DataFrame:
-    """18-byte bitmaps of a day's ten-minute slots, merged over the halves of the day."""
+    """18-byte bitmaps of a day's ten-minute slots: what is stored (mornings) ORed with what is new (afternoons), as one side
+    or both have it; first seen stays, last seen moves on."""
     t = ticks(spark, d)
-    sets = coverage.slot_sets(t, slot_index(F.col("ts")), F.to_date("ts"))
-    return sets.select("id", "day", F.hex(bitmap(F.col("slots"), 18)).alias("bitmap_hex"), F.size("slots").cast("long").alias("set_count"))
+
+    def maps(rows: DataFrame, p: str) -> DataFrame:
+        sets = coverage.slot_sets(rows, slot_index(F.col("ts")), F.to_date("ts"))
+        return sets.select("id", "day", F.hex(bitmap(F.col("slots"), 18)).alias(f"{p}_bits"), F.col("first_seen").alias(f"{p}_first"), F.col("last_seen").alias(f"{p}_last"))
+
+    j = maps(t.where(F.hour("ts") < 12), "old").join(maps(t.where(F.hour("ts") >= 12), "new"), ["id", "day"], "full")
+    bits = with_bits(F.col("old_bits"), F.col("new_bits"))
+    return j.select(
+        "id", "day", bits.alias("bitmap_hex"), popcount(bits).alias("set_count"), F.coalesce("old_first", "new_first").alias("first_seen"), F.coalesce("new_last", "old_last").alias("last_seen"),
+    )
 
 
 @query("audit_day_gaps", """WITH {DAILY}, n AS (SELECT id, day, lead(day) OVER (PARTITION BY id ORDER BY day) AS nxt FROM daily) SELECT id, day + 1 AS gap_start, nxt - 1 AS gap_end, CAST(nxt - day - 1 AS BIGINT) AS gap_days FROM n WHERE nxt - day > 30""")

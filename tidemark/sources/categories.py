@@ -28,3 +28,14 @@ def last_wins(rows: DataFrame, key: str) -> DataFrame:
     first = rows.where(F.coalesce(F.col(key), F.lit("")) != "").withColumn("_n", F.row_number().over(w))
     many = F.max("category").over(Window.partitionBy(key)) != F.min("category").over(Window.partitionBy(key))
     return first.withColumn("conflict", many).where("_n = 1").select(key, "category", "conflict")
+
+
+def load_dimension(live: DataFrame, manual: DataFrame, path: str) -> DataFrame:
+    """Replaces the category dimension at path: every live id with its category from the manual file, else Other, and which
+    of the two it is (manual_csv, default_other). Returns the table as read back."""
+    m = manual.select(F.col("id").alias("_id"), F.col("category").alias("_category"))
+    j = live.where("id is not null").join(m, F.col("id") == F.col("_id"), "left")
+    source = F.when(F.col("_id").isNotNull(), "manual_csv").otherwise("default_other")
+    out = j.select("id", "symbol", category_or_other(F.col("_category")).alias("category"), source.alias("source"))
+    out.write.mode("overwrite").parquet(path)
+    return live.sparkSession.read.schema(out.schema).parquet(path)

@@ -7,15 +7,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Names of time columns, the first one there is decides.
 TIME_COLUMNS = ("ts", "date", "last_updated", "updated_at", "created_at")
 
 
 def recent_rows(df: DataFrame, cutoff: datetime, candidates: tuple[str, ...] = TIME_COLUMNS) -> DataFrame:
-    """Rows from cutoff on by the first time column there is; rows without a time pass, as do tables without a column."""
+    """Rows from cutoff on by the first time column there is; rows without a time, or with a text that is none, pass, as
+    do tables without a column."""
     column = next((c for c in candidates if c in df.columns), None)
     if column is None:
         return df
-    return df.where(F.col(column).isNull() | (F.col(column) >= F.lit(cutoff)))
+    at = F.try_to_timestamp(F.col(column)) if df.schema[column].dataType.simpleString() == "string" else F.col(column)
+    return df.where(at.isNull() | (at >= F.lit(cutoff)))
 
 
 def copy_table(spark: SparkSession, source: str, target: str, cutoff: datetime | None = None, truncate: bool = False, dry_run: bool = False) -> DataFrame:

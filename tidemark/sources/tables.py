@@ -52,3 +52,20 @@ def retained(df: DataFrame, column: str, now: Column, days: int) -> DataFrame:
 
 def describe(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def record_runs(runs: DataFrame, path: str, key: str = "script", at: str = "updated_at") -> tuple[DataFrame, DataFrame]:
+    """Run-health rows appended to path/history and merged into path/latest (one row a key, the newest); returns both tables.
+
+    The latest table is written beside the old one and named by a number, so that a lost run leaves the old one whole.
+    """
+    spark = runs.sparkSession
+    runs.write.mode("append").parquet(f"{path}/history")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/latest")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+    rows = runs if not numbers else runs.unionByName(spark.read.schema(runs.schema).parquet(f"{path}/latest/{numbers[-1]}"))
+    latest = rows.groupBy(key).agg(F.max_by(F.struct(*runs.columns), F.col(at)).alias("m")).select("m.*")
+    now = f"{path}/latest/{numbers[-1] + 1 if numbers else 0}"
+    latest.write.parquet(now)
+    return spark.read.schema(runs.schema).parquet(f"{path}/history"), spark.read.schema(latest.schema).parquet(now)

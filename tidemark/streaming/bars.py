@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import shared_dir
+
 
 def tumbling(stream: DataFrame, slot: str = "10 minutes", delay: str = "2 minutes", key: str = "event_type", value: str = "value") -> DataFrame:
     """Candles per key and slot of an event stream (ts, key, value); a slot closes once the watermark has passed it."""
@@ -28,12 +30,7 @@ def _events(spark: SparkSession, path: str) -> DataFrame:
 
 def tumbling_once(spark: SparkSession, path: str) -> DataFrame:
     """All that is there now, run through the stream: each candle as it was last, those of slots still open too."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     values = ["open", "high", "low", "close", "point_count"]
     schema = "id string, bucket timestamp_ntz, open double, high double, low double, close double, point_count long"
     spark.createDataFrame([], schema).write.parquet(f"{out}/rows/batch=-1")  # an empty table has no batch
@@ -56,16 +53,14 @@ def upsert_batches(stream: DataFrame, path: str, keys: list[str], checkpoint: st
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         fresh = batch.withColumn("day", F.to_date("bucket"))
-        target = f"{path}/rows"
-        try:
-            stored = spark.read.parquet(target).join(fresh.select("day").distinct(), "day", "left_semi")
-            merged = upsert(stored, fresh, keys)
-        except Exception as e:  # noqa: BLE001  no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            merged = fresh
-        staged = f"{path}/staged-{number}"
+        target, staged = f"{path}/rows", f"{path}/staged-{number}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        merged = fresh
+        if fs.exists(folder):
+            merged = upsert(spark.read.parquet(target).join(fresh.select("day").distinct(), "day", "left_semi"), fresh, keys)
         merged.write.mode("overwrite").parquet(staged)
         spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
 
     return stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).start()
