@@ -151,12 +151,8 @@ def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
     """x: places, lane by position. Returns each lane's digits, 24 bits each, the highest byte first."""
     lanes, width = x.shape
     m = _Model(lanes, weights)
-    at = np.ascontiguousarray(x.T).astype(np.int64)
-    before = np.zeros_like(at)
-    before[1:] = at[:-1]
-    s1, s2 = _slots(at, before)
-    first = np.zeros((1, lanes), np.int64)
-    h1s, h2s = np.concatenate([first, s1[:-1]]) + m.slot_at, np.concatenate([first, s2[:-1]]) + m.slot_at
+    at = np.ascontiguousarray(x.T)
+    last, h1, h2 = np.zeros(lanes, np.int64), m.slot_at, m.slot_at
     low, rng = np.zeros(lanes, _U), np.full(lanes, 1 << 60, _U)
     digits, moved = np.zeros((width + 2, lanes), np.uint32), np.zeros((width + 2, lanes), bool)
     since = 0
@@ -164,8 +160,9 @@ def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
         if t in _STEPS:
             m.refresh(t, at[since:t])
             since = t
-        m.predict(h1s[t], h2s[t])
-        start, size = m.interval(at[t])
+        i = at[t].astype(np.int64)
+        m.predict(h1, h2)
+        start, size = m.interval(i)
         rng >>= _U(_TOTAL_BITS)
         low += rng * start.view(_U)
         rng *= size.view(_U)
@@ -174,7 +171,9 @@ def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
         by = small * _U(_DIGIT)
         low = (low & (_ALL >> (small * _U(28)))) << by
         rng <<= by
-        m.learn(at[t], h1s[t], h2s[t])
+        m.learn(i, h1, h2)
+        s1, s2 = _slots(i, last)
+        h1, h2, last = s1 + m.slot_at, s2 + m.slot_at, i
     # one digit is enough for a number inside the last interval, as the interval is wider than what it leaves out
     digits[width], moved[width] = (low + (_BIG - _U(1))) >> _U(36), True
     own = digits.T
@@ -204,7 +203,7 @@ def _decode_lanes(codes: list[bytes], width: int, weights: np.ndarray) -> np.nda
     at += 3
     last_digit = np.arange(lanes) * room + room - 1
     rng = np.full(lanes, 1 << 60, _U)
-    out = np.zeros((width, lanes), np.int64)
+    out = np.zeros((width, lanes), np.int32)
     last, most, since = np.zeros(lanes, np.int64), _U(_TOTAL - 1), 0
     h1 = h2 = m.slot_at
     for t in range(width):
@@ -255,7 +254,7 @@ def _groups(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             todo += [part[half:], part[:half]]
         else:
             order = np.lexsort((table, -_level(counts).astype(np.int64)))  # frequent ids first: their shares lie together
-            rank = np.empty(len(order), np.int64)
+            rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
             yield part, table[order], counts[order], rank[place]
 
@@ -267,7 +266,7 @@ def encode(ids: np.ndarray) -> bytes:
     for part, table, counts, places in _groups(ids):
         blocks = -(-len(part) // BLOCK)
         width = min(BLOCK, len(part))
-        x = np.zeros(blocks * width, np.int64)  # a short last block is filled up with the most frequent id, which costs little
+        x = np.zeros(blocks * width, np.int32)  # a short last block is filled up with the most frequent id, which costs little
         x[: len(part)] = places
         level = _level(counts)
         by_level = np.concatenate([np.diff(np.sort(table[level == k]), prepend=0) for k in np.unique(level)[::-1]]) if len(table) else table

@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Most pieces a worker remembers: two halves, of which the older one is forgotten when the newer one is full.
-MAX_PIECES = 1_200_000
+MAX_PIECES = 900_000
 # Characters of Latin-1 whose letter, number and white-space classes are spelt out below.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _NUMBER = "0-9²³¹¼½¾"
