@@ -6,11 +6,13 @@ BAND values are the bucket keys. At a similarity of 0.75 a pair shares no bucket
 
 Equal sets are one node from the start. A bucket is not expanded into pairs: its most central member (the one with the
 least share of shingles that no one else has) is compared with the rest, and connected components are taken. Where a bucket
-still holds members of different components, its members are looked at once more, in three exact steps (see _across): members
-that meet another component in their rarest shingles; of those, the ones that share enough shingles with all of that
-component together; and only then pairs, with a sketch distance of at most SKETCH_BITS (a link misses that bound with
-probability under 1e-8). So big groups of copies, and crowds of documents that share a passage but don't link, cost rows in
-proportion to their members, and no link that could join two components is left out.
+still holds members of different components, pairs across components are formed inside a join that also asks for a fitting
+size, for an intersection that can be large enough (shingles that no one shares don't count, nor those in cells of the hash
+range where the other has none: copies with edits of their own in different places drop out), and for a sketch distance of at
+most SKETCH_BITS (a link misses that bound with probability under 1e-8). Members most of whose shingles no one shares can't
+link at all and are left out before. So big groups of copies, and crowds that share a passage, cost rows in proportion to
+their members, and no link that could join two components is left out. (Candidates by rarest shingles instead of buckets were
+tried: on tables with very frequent passages they grow with the square of a group.)
 
 Nulls and ties: null, empty or wordless texts have an empty set, link with nothing and stay. Texts with fewer words than a
 shingle have one shingle, the whole sequence. Rows with equal ids are nodes of their own and end in the same group only if
@@ -230,9 +232,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     # a link needs three quarters of a set; what no one shares can't be in it
     able = about.where(100 * F.col("held") >= PERCENT * F.col("n_shingles")).drop("weight")
-    members = materialise(rows.join(split, "key").select("node", "comp").distinct().join(able, "node"), "open")
+    members = materialise(rows.join(split, "key").join(able, "node"), "open")
     done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = materialise(_across(members, sets).join(done, ["a", "b"], "left_anti"), "across")
+    across = materialise(_across(members).join(done, ["a", "b"], "left_anti"), "across")
     # first the nearest pair between each two components, then whatever is left between those that are still apart
     near = materialise(_confirm(sets, across.groupBy("ca", "cb").agg(F.min(F.struct("d", "a", "b")).alias("m")).select("m.a", "m.b")), "pairs")
     pairs = [checked, near]
@@ -257,37 +259,15 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return groups
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a < b, of components ca and cb, with their sketch distance d) that may still link two components.
-
-    1. Of two sets that link, the rarest n - ceil(3n/4) + 1 shingles of each, in one order of rarity, have one in common.
-       A member is a candidate for every component that has such a shingle of its own: rows by members and components.
-    2. No link can be larger than what the member shares with all the other component's shingles together.
-    3. Pairs are formed between the members of two components that are left on both sides.
-    """
-    own = members.select("node", "comp", F.col("n_shingles").alias("n"))
-    each = materialise(sets.join(own, "node").select("node", "comp", "n", F.explode("shingles").alias("s")), "shingles")
-    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("often"), (F.min("comp") != F.max("comp")).alias("met"))
-    # shingles of one component only are never met, so they count for the length of a prefix, but needn't be kept as rows
-    ranked = each.join(often, "s").groupBy("node", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("often", "s", "met"))).alias("all"))
-    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
-    prefix = ranked.select("node", "comp", F.explode(F.filter(F.slice("all", F.lit(1), length.cast("int")), lambda x: x["met"])).alias("x")).select("node", "comp", "x.s")
-    prefix = materialise(prefix, "prefixes")
-    other = prefix.select("s", F.col("comp").alias("other")).distinct()
-    candidates = prefix.join(other, "s").where("comp <> other").select("node", "other").distinct()
-    least = own.groupBy(F.col("comp").alias("other")).agg(F.min("n").alias("least"))
-    union = each.select(F.col("comp").alias("other"), "s").distinct()
-    shared = candidates.join(each, "node").join(union, ["other", "s"]).groupBy("node", "comp", "n", "other").agg(F.count(F.lit(1)).alias("c"))
-    enough = 100 * F.col("c") >= PERCENT * (F.col("n") + F.greatest(F.col("least"), F.col("n") * PERCENT / 100) - F.col("c"))
-    able = materialise(shared.join(least, "other").where(enough).select("node", "comp", "other"), "able")
-    p = able.join(members.drop("comp"), "node").alias("p")
-    q = able.join(members.drop("comp"), "node").alias("q")
-    met = (F.col("p.comp") == F.col("q.other")) & (F.col("p.other") == F.col("q.comp")) & (F.col("p.comp") < F.col("q.comp"))
-    pairs = p.join(q, met & _can_link("p", "q") & _plausible("p", "q"))
-    return pairs.select(
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs (a < b, of components ca and cb, with their sketch distance d) that share a bucket and may link."""
+    p, q = members.alias("p"), members.alias("q")
+    met = (F.col("p.key") == F.col("q.key")) & (F.col("p.comp") < F.col("q.comp")) & _can_link("p", "q") & _plausible("p", "q")
+    pairs = p.join(q, met).select(
         F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"),
         F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb"), _distance("p", "q").alias("d"),
     )
+    return pairs.distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
