@@ -280,3 +280,10 @@ def test_stream_reads_folders_and_open_slots(spark, tmp_path, parts):
     got = entry.queries()["stream_tumbling_10m"](spark, str(tmp_path)).select(columns).collect()
     want = entry.queries()["ohlc_10m"](spark, str(tmp_path)).select(columns).collect()
     assert len(got) > 100 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_rounded_is_binary(spark):
+    """Halves that binary doubles hold go away from zero; a product a hair below a half goes down; nulls stay null."""
+    rows = spark.createDataFrame([(0, 0.5), (1, -0.5), (2, 33.1896875), (3, None), (4, 2.25)], "k int, x double")
+    got = {r.k: (r.a, r.b) for r in rows.select("k", scalars.rounded(F.col("x"), 0).alias("a"), scalars.rounded(F.col("x"), 1).alias("b")).collect()}
+    assert got == {0: (1.0, 0.5), 1: (-1.0, -0.5), 2: (33.0, 33.2), 3: (None, None), 4: (2.0, 2.3)}

@@ -26,6 +26,14 @@ def number(x: Column, fallback: Column | None = None) -> Column:
     return value if fallback is None else F.coalesce(value, fallback)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x * 10^digits to the nearest whole number, halves away from zero, then back: what binary rounding in SQL engines gives.
+
+    F.round takes the shortest decimal text instead, so a value stored a hair below a half goes up there and down here.
+    """
+    return F.round(x * float(10**digits)) / float(10**digits)
+
+
 def same(a: Column, b: Column, tolerance: float = 1e-12) -> Column:
     """Equal within an absolute tolerance; nulls are equal to nulls only."""
     return F.coalesce(a.eqNullSafe(b) | (F.abs(a - b) <= tolerance), F.lit(False))

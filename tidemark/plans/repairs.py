@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import rounded
 from tidemark.functions.timeutil import floor_hour
 from tidemark.operators import coverage, fill, repair
 from tidemark.operators.provenance import FINAL_HOURLY
@@ -87,7 +88,7 @@ def daily_repaired_from_10m(spark: SparkSession, d: str) -> DataFrame:
 @query("interp_flat_edges", INTERP + " SELECT id, slot, round(coalesce(value, inner_value, lv, rv), 6) AS filled FROM m")
 def interp_flat_edges(spark: SparkSession, d: str) -> DataFrame:
     """Interpolated at the instant, flat beyond both ends, whatever the gap."""
-    return fill.interpolate(_interp_input(spark, d), edges=True).select("id", "slot", F.round("filled", 6).alias("filled"))
+    return fill.interpolate(_interp_input(spark, d), edges=True).select("id", "slot", rounded(F.col("filled"), 6).alias("filled"))
 
 
 @query("negative_cache_filter", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import bitmap, popcount, with_bits
+from tidemark.functions.scalars import bitmap, popcount, rounded, with_bits
 from tidemark.functions.timeutil import floor_hour, floor_slot, minutes_between, plus_minutes, slot_index
 from tidemark.operators import audit, bars, coverage, fill, provenance
 from tidemark.plans.base import bars_10m, daily, query, table, ticks
@@ -177,15 +177,16 @@ def _interp_input(spark: SparkSession, d: str) -> DataFrame:
 @query("interp_linear_edges", INTERP + " SELECT id, slot, round(coalesce(value, CASE WHEN lv IS NOT NULL AND rv IS NOT NULL THEN CASE WHEN span <= 60 THEN inner_value ELSE lv END END, lv, rv), 6) AS filled FROM m")
 def interp_linear_edges(spark: SparkSession, d: str) -> DataFrame:
     out = fill.interpolate(_interp_input(spark, d), edges=True, max_gap_min=60, wide="left")
-    return out.select("id", "slot", F.round("filled", 6).alias("filled"))
+    return out.select("id", "slot", rounded(F.col("filled"), 6).alias("filled"))
 
 
 @query("interp_interior_maxgap", INTERP + """ SELECT id, slot, round(coalesce(value, CASE WHEN span <= 40 THEN inner_value END), 6) AS close, round(lv, 6) AS open, round(greatest(lv, coalesce(value, CASE WHEN span <= 40 THEN inner_value END)), 6) AS high,
     round(least(lv, coalesce(value, CASE WHEN span <= 40 THEN inner_value END)), 6) AS low FROM m WHERE coalesce(value, CASE WHEN span <= 40 THEN inner_value END) IS NOT NULL""")
 def interp_interior_maxgap(spark: SparkSession, d: str) -> DataFrame:
     out = fill.interpolate(_interp_input(spark, d), max_gap_min=40).where("filled is not null")
-    r = lambda c: F.round(c, 6)
-    return out.select("id", "slot", r("filled").alias("close"), r("left_value").alias("open"), r(F.greatest("left_value", "filled")).alias("high"), r(F.least("left_value", "filled")).alias("low"))
+    high, low = F.greatest("left_value", "filled"), F.least("left_value", "filled")
+    named = {"close": F.col("filled"), "open": F.col("left_value"), "high": high, "low": low}
+    return out.select("id", "slot", *[rounded(c, 6).alias(n) for n, c in named.items()])
 
 
 @query("donor_cascade_10m", f"""WITH {SPINE}, {{TICKS}}, {{BARS}}, own AS (SELECT s.id, s.slot, b.close AS own, b.bucket IS NOT NULL AND extract(minute FROM s.slot) >= 20 AS has_own FROM spine s LEFT JOIN bars b ON b.id = s.id AND b.bucket = s.slot),

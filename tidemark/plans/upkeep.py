@@ -206,7 +206,7 @@ def heal_last_slots(spark: SparkSession, d: str) -> DataFrame:
 @query("interp_interior", INTERP + " SELECT id, slot, round(coalesce(value, inner_value), 6) AS filled FROM m")
 def interp_interior(spark: SparkSession, d: str) -> DataFrame:
     """Linear between known values, null outside."""
-    return fill.interpolate(_interp_input(spark, d)).select("id", "slot", F.round("filled", 6).alias("filled"))
+    return fill.interpolate(_interp_input(spark, d)).select("id", "slot", scalars.rounded(F.col("filled"), 6).alias("filled"))
 
 
 @query("donor_cascade_all", f"""WITH {SPINE}, {{TICKS}}, {{BARS}}, own AS (SELECT s.id, s.slot, b.close AS own, b.bucket IS NOT NULL AND extract(minute FROM s.slot) >= 40 AS has_own FROM spine s LEFT JOIN bars b ON b.id = s.id AND b.bucket = s.slot),
