@@ -99,7 +99,8 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     s = posterior(suffixes, "suffix", m1, F.lit(p0))
     d = posterior(domains.join(below(s, "suffix"), "suffix"), "domain", m2, F.col("rate"))
     h = posterior(hosts.join(below(d, "domain"), "domain"), "host", m3, F.col("rate"))
-    corpus = suffixes.sparkSession.createDataFrame([("", float(total[1] + 1), float(total[0] - total[1] + 1))], "key string, alpha double, beta double")
+    beliefs = {"alpha": float(total[1] + 1), "beta": float(total[0] - total[1] + 1)}
+    corpus = suffixes.sparkSession.range(1).select(F.lit("").alias("key"), *[F.lit(x).alias(n) for n, x in beliefs.items()])
     levels = [x.select(F.lit(level).alias("level"), "key", "alpha", "beta") for level, x in enumerate((corpus, s, d, h))]
     out = materialise(levels[0].union(levels[1]).union(levels[2]).union(levels[3]), "reputation")
     discard(hosts, domains, suffixes)
