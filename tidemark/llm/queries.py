@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, html_extract, mixing, near_dedup, packing, pii, quality, secrets, token_output, tokens, url_filter
+from . import alignment, cover_tree, fill_middle, html_extract, mixing, near_dedup, packing, pii, quality, secrets, token_output, tokens, url_filter
 from .common import scratch_path
 from .sql import SQL
 
-WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_TOKENIZER, BYTE_TOKENIZER, PIECE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A key for the test tables; a deployment passes its own.
 PII_KEY = "test-tables"
 
@@ -72,6 +72,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents"), tokens.vocabulary(BYTE_TOKENIZER), end_id=0)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score_alignments(table(spark, sf_dir, "documents"), tokens.vocabulary(BYTE_TOKENIZER), tokens.vocabulary(PIECE_TOKENIZER))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), again)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(own.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))

@@ -43,15 +43,15 @@ def _byte_letters() -> dict[int, str]:
 class _Memory(dict):
     """piece -> ids as bytes; a miss asks the older half, then the tokenizer."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int = MAX_PIECES):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             ids = array("I", self.encode(piece)).tobytes()
-        if len(self) >= MAX_PIECES // 2:
+        if len(self) >= self.most // 2:
             self.older = self.copy()
             self.clear()
         self[piece] = ids
@@ -59,16 +59,17 @@ class _Memory(dict):
 
 
 class Encoder:
-    """encode(text) -> the ids of the whole text as little-endian unsigned 32-bit bytes."""
+    """encode(text) -> the ids of the whole text as little-endian unsigned 32-bit bytes. plain: added tokens are plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         added = spec.get("added_tokens") or []
-        self.added = [t["content"] for t in added]  # a text that spells one is cut there by the library
+        self.tokenizer.encode_special_tokens = plain
+        self.added = [t["content"] for t in added if not (plain and t.get("special"))]  # a text that spells one is cut there by the library
         pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer"), spec.get("model") or {}
         bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges")
         bpe = bpe and not any(t.get("normalized") for t in added)  # those are looked for in the normalised text
@@ -122,10 +123,63 @@ def _drops_space(pre: dict, norm: dict | None) -> bool:
     )
 
 
+class PieceEncoder:
+    """The same for a sentencepiece model that adds a space in front.
+
+    Where no piece holds a space after another character, or a line break, nothing joins across the start of a run of spaces
+    or a line break, so the model is asked once for each distinct one with what follows it. A model that rewrites texts is
+    asked for each whole text.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        probe = " a  ﬁ ｆ\tÉ é \n x "
+        faithful = self.model.normalize(probe) == "▁" + probe.replace(" ", "▁")
+        self.cut = faithful and all("▁" not in p.lstrip("▁") and "\n" not in p for p in self.names)
+        self.find = re.compile(" +[^ \n]*|\n[^ \n]*").findall
+        self.space = self.model.piece_to_id("▁")
+        self.pieces = _Memory(self._piece, MAX_PIECES // 2)
+
+    def _piece(self, piece: str) -> list[int]:
+        if piece[0] == "\n":
+            return self.model.encode(piece)[1:]  # without the space in front
+        return self.model.encode(piece[1:]) if len(piece) > 1 else [self.space]  # it puts the first space there itself
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id stands for."""
+        byte = [self.model.is_byte(i) for i in range(len(self.names))]
+        return [bytes([int(p[3:5], 16)]) if b else p.replace("▁", " ").encode() for p, b in zip(self.names, byte, strict=True)]
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if not self.cut or "▁" in text:
+            return array("I", self.model.encode(text)).tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.find(" " + text)))
+
+
 @lru_cache(4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder for a tokenizer file, kept between tasks."""
-    return Encoder(path)
+    return Encoder(path, plain)
+
+
+@lru_cache(2)
+def piece_encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
+def byte_level_tokens(enc: Encoder) -> list[bytes]:
+    """The bytes that each id of a byte-level tokenizer stands for."""
+    back = {letter: byte for byte, letter in _byte_letters().items()}
+    vocab = enc.tokenizer.get_vocab(with_added_tokens=False)
+    out = [b""] * (max(vocab.values(), default=-1) + 1)
+    for token, i in vocab.items():
+        out[i] = bytes(back[c] for c in token)
+    return out
 
 
 def vocabulary(name: str) -> str:
