@@ -50,36 +50,61 @@ def asof(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time:
     return seen.select(*back, F.col("_seen.t").alias("asof_time"), *[F.col(f"_seen.{v}").alias(n) for v, n in zip(values, names, strict=True)])
 
 
+def known_before(df: DataFrame, key: str, at: str, day: str, **known: tuple[Column, str]) -> DataFrame:
+    """df with one column more for each name: its value in the nearest row that has one.
+
+    known: name = (value, side), the side being "before" (earlier rows only), "upto" (the row itself too) or "from" (the row
+    itself and later ones). Windows run over an entity's day; what lies outside the day comes from one row an entity and day,
+    carried on over the days. So an entity's history is spread over its days, and each window is passed once.
+    """
+    forward, backward = Window.partitionBy(key, day).orderBy(at), Window.partitionBy(key, day).orderBy(F.desc(at))
+    values = df.select("*", *[v.alias(f"_v_{n}") for n, (v, _) in known.items()])
+    inside, edges, over_days = [], [], []
+    by_day = {True: Window.partitionBy(key).orderBy("_d"), False: Window.partitionBy(key).orderBy(F.desc("_d"))}
+    for n, (_, side) in known.items():
+        ahead = side != "from"
+        w = (forward if ahead else backward).rowsBetween(Window.unboundedPreceding, -1 if side == "before" else 0)
+        inside.append(F.last(f"_v_{n}", ignorenulls=True).over(w).alias(f"_i_{n}"))
+        there = F.when(F.col(f"_v_{n}").isNotNull(), F.col(at))
+        edges.append((F.max_by if ahead else F.min_by)(f"_v_{n}", there).alias(f"_e_{n}"))
+        over_days.append(F.last(f"_e_{n}", ignorenulls=True).over(by_day[ahead].rowsBetween(Window.unboundedPreceding, -1)).alias(f"_o_{n}"))
+    days = values.groupBy(F.col(key).alias(key), F.col(day).alias("_d")).agg(*edges)
+    outside = days.select(F.col(key).alias("_k"), "_d", *over_days)
+    j = values.select("*", *inside).join(outside, F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d")), "left")
+    return j.select(*df.columns, *[F.coalesce(f"_i_{n}", f"_o_{n}").alias(n) for n in known])
+
+
 def carry_capped(slots: DataFrame, cap: int = 4) -> DataFrame:
     """slots: id, slot, point (observed here), stored, stored_strong, has_stored, prior (last point before the window).
 
     action: existing (a strong row is stored), direct, carry, or skip; value. A carry repeats the anchor, the last strong
-    stored value or point, at most cap eligible slots long; weak stored rows with a value use up the cap too.
+    stored value or point, at most cap eligible slots long; weak stored rows with a value use up the cap too, stored rows
+    without a value change nothing. Slots since the
+    last anchor are counted within the day; a day that starts with none gets the count of the days before.
     """
-    reset = F.coalesce("stored_strong", F.lit(False)) | F.col("point").isNotNull()
-    eligible = ~reset & (~F.col("has_stored") | F.col("stored").isNotNull())
-    anchor = F.when(F.coalesce("stored_strong", F.lit(False)), F.col("stored")).otherwise(F.col("point"))
-    w = Window.partitionBy("id").orderBy("slot")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    s = slots.withColumn("_reset", reset).withColumn("_group", F.sum(reset.cast("int")).over(run))
-    s = s.withColumn("_n", F.sum(eligible.cast("int")).over(Window.partitionBy("id", "_group").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.withColumn("_anchor", F.coalesce(F.last(anchor, ignorenulls=True).over(run), F.col("prior")))
     strong = F.coalesce("stored_strong", F.lit(False))
+    reset = (strong & F.col("stored").isNotNull()) | F.col("point").isNotNull()
+    eligible = ~reset & (~F.col("has_stored") | F.col("stored").isNotNull())
+    anchor = F.when(strong, F.col("stored")).otherwise(F.col("point"))
+    s = slots.withColumn("_day", F.to_date("slot")).withColumn("_reset", reset.cast("int"))
+    run = Window.partitionBy("id", "_day").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_group", F.sum("_reset").over(run))
+    s = s.withColumn("_n", F.sum(eligible.cast("int")).over(Window.partitionBy("id", "_day", "_group").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
+    days = s.groupBy("id", F.col("_day").alias("_d")).agg(F.max_by("_n", "slot").alias("_tail"), F.max("_reset").alias("_any"))
+    by_day = Window.partitionBy("id").orderBy("_d")
+    days = days.withColumn("_g", F.sum("_any").over(by_day.rowsBetween(Window.unboundedPreceding, 0)))
+    so_far = F.sum("_tail").over(Window.partitionBy("id", "_g").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0))
+    days = days.withColumn("_so_far", so_far).select(F.col("id").alias("_k"), "_d", F.lag("_so_far").over(by_day).alias("_carried"))
+    s = known_before(s, "id", "slot", "_day", _anchor=(anchor, "upto"))
+    s = s.join(days, (F.col("id") == F.col("_k")) & (F.col("_day") == F.col("_d")), "left")
+    n = F.col("_n") + F.when(F.col("_group") == 0, F.coalesce("_carried", F.lit(0))).otherwise(0)
+    held = F.coalesce("_anchor", "prior")
     action = (
         F.when(strong, "existing").when(F.col("point").isNotNull(), "direct").when(F.col("has_stored"), "existing")
-        .when(F.col("_anchor").isNotNull() & (F.col("_n") <= cap), "carry").otherwise("skip")
+        .when(held.isNotNull() & (n <= cap), "carry").otherwise("skip")
     )
-    s = s.withColumn("action", action)
-    value = F.when(F.col("action") == "existing", F.col("stored")).when(F.col("action") == "direct", F.col("point")).when(F.col("action") == "carry", F.col("_anchor"))
-    return s.withColumn("value", value).drop("_reset", "_group", "_n", "_anchor")
-
-
-def _neighbours(df: DataFrame, key: str, at: str, value: str) -> DataFrame:
-    known = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
-    w = Window.partitionBy(key).orderBy(at)
-    left = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.first(known, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return df.withColumn("_left", left).withColumn("_right", right)
+    value = F.when(F.col("action") == "existing", F.col("stored")).when(F.col("action") == "direct", F.col("point")).when(F.col("action") == "carry", held)
+    return s.withColumn("action", action).withColumn("value", value).select(*slots.columns, "action", "value")
 
 
 def interpolate(df: DataFrame, key: str = "id", at: str = "slot", value: str = "value", edges: bool = False, max_gap_min: int | None = None, wide: str = "null", out: str = "filled") -> DataFrame:
@@ -87,7 +112,8 @@ def interpolate(df: DataFrame, key: str = "id", at: str = "slot", value: str = "
 
     edges: outside, the nearest known value (else null). max_gap_min: wider gaps give null, or the left value (wide="left").
     """
-    d = _neighbours(df, key, at, value)
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
+    d = known_before(df.withColumn("_day", F.to_date(at)), key, at, "_day", _left=(known, "upto"), _right=(known, "from")).drop("_day")
     lv, rv = F.col("_left.v"), F.col("_right.v")
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     span, past = us(F.col("_right.t")) - us(F.col("_left.t")), us(F.col(at)) - us(F.col("_left.t"))
@@ -101,19 +127,22 @@ def interpolate(df: DataFrame, key: str = "id", at: str = "slot", value: str = "
     return d.withColumn(out, filled).withColumn("left_value", lv).drop("_left", "_right")
 
 
+def _close_before(candles: DataFrame, order: str) -> DataFrame:
+    """candles with _prev: a struct of the close of the candle before, which may be null there; null for the first candle."""
+    return known_before(candles.withColumn("_day", F.to_date(order)), "id", order, "_day", _prev=(F.struct("close"), "before")).drop("_day")
+
+
 def previous_close_open(candles: DataFrame, order: str = "bucket") -> DataFrame:
     """open: the previous candle's close, where there is one; extremes widened to hold it."""
-    prev = F.lag("close").over(Window.partitionBy("id").orderBy(order))
-    c = candles.withColumn("open", F.coalesce(prev, "open"))
+    c = _close_before(candles, order).withColumn("open", F.coalesce("_prev.close", "open")).drop("_prev")
     return c.withColumn("high", F.greatest("high", "open", "close")).withColumn("low", F.least("low", "open", "close"))
 
 
 def chained_open(repaired: DataFrame, seed: DataFrame, order: str = "bucket") -> DataFrame:
     """Over repaired rows only: open is the previous repaired close, the first one's the stored close before it (seed)."""
-    j = repaired.join(seed.select("id", F.col("close").alias("_seed")), "id", "left")
-    prev = F.lag("close").over(Window.partitionBy("id").orderBy(order))
-    o = F.coalesce(prev, "_seed", "close")
-    return j.withColumn("open", o).withColumn("high", F.greatest(o, "close")).withColumn("low", F.least(o, "close")).drop("_seed")
+    j = _close_before(repaired, order).join(seed.select("id", F.col("close").alias("_seed")), "id", "left")
+    o = F.coalesce("_prev.close", "_seed", "close")
+    return j.withColumn("open", o).withColumn("high", F.greatest("open", "close")).withColumn("low", F.least("open", "close")).drop("_seed", "_prev")
 
 
 def donor_cascade(slots: DataFrame) -> DataFrame:
@@ -123,9 +152,8 @@ def donor_cascade(slots: DataFrame) -> DataFrame:
     before the window. A stored row without a close is not filled from the slot before.
     """
     x = F.coalesce("own", F.when(~F.col("has_own"), F.coalesce("hour", "day")))
-    w = Window.partitionBy("id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    s = slots.withColumn("_x", x)
-    s = s.withColumn("_carry", F.last("_x", ignorenulls=True).over(w))
+    s = slots.withColumn("_x", x).withColumn("_day", F.to_date("slot"))
+    s = known_before(s, "id", "slot", "_day", _carry=(F.col("_x"), "before")).drop("_day")
     missing = ~F.col("has_own")
     close = F.coalesce("_x", F.when(missing, F.coalesce("_carry", "prev_hour", "prev_day")))
     label = (
@@ -156,8 +184,8 @@ def rollup_cascade(targets: DataFrame, finer: DataFrame, coarser: DataFrame | No
     made = F.when(F.col("has"), F.col("own_close")).when(fine, F.col("close")).when(coarse, F.col("_cc"))
     # the candle before is the last one that is there, even if it has no close
     there = F.when(F.col("has") | fine | coarse, F.struct(made.alias("close")))
-    before = F.last(there, ignorenulls=True).over(Window.partitionBy("id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
-    j = j.withColumn("_before", before["close"])
+    span = F.to_date("at") if unit == "hourly" else F.trunc("at", "year")  # daily candles are cut by year
+    j = known_before(j.withColumn("_span", span), "id", "at", "_span", _there=(there, "before")).withColumn("_before", F.col("_there.close"))
     carried = ~F.col("has") & ~fine & ~coarse & F.col("_before").isNotNull() & F.lit(carry)
     one = F.when(carried, F.col("_before")).otherwise(made)
     leaf = F.when(F.size("sources") == 1, F.get("sources", F.lit(0))).otherwise("mixed")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import market, repairs, series, upkeep  # noqa: F401  they register themselves
+from tidemark.plans import flows, market, repairs, series, upkeep  # noqa: F401  they register themselves
 from tidemark.plans.base import QUERIES, SQL, Query
 
 
