@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import fill
+from tidemark.sources import api, pages
 from tidemark.streaming import carry
 
 T0 = datetime(2024, 1, 1)
@@ -107,3 +108,49 @@ def test_carry_stream_equals_batch(spark, batches):
 def test_carry_stream_of_nothing(spark):
     empty = spark.createDataFrame([], "id string, ts timestamp_ntz, price double")
     assert carry.replay(empty, F.lit(carry.OBSERVED)).count() == 0
+
+
+def stored_pages(tmp_path, contents):
+    import json
+
+    for page, records in contents.items():
+        (tmp_path / f"page={page}").mkdir()
+        (tmp_path / f"page={page}" / "part-0.txt").write_text(json.dumps(records))
+        (tmp_path / f"page={page}" / "_SUCCESS").write_text("")
+    return f"file://{tmp_path}"
+
+
+def test_listing_ends_at_a_short_page(spark, tmp_path):
+    full = lambda p: [{"id": f"{p}-{k}"} for k in range(3)]
+    path = stored_pages(tmp_path, {1: full(1), 2: full(2), 3: [{"id": "3-0"}, "no record"], 4: full(4), 5: full(5)})
+    for each in (1, 2, 10):
+        rows = pages.whole_listing(pages.read_pages(spark, path, 9, per_page=3, pages_per_task=each), 3)
+        assert sorted((r["page"], r["place"]) for r in rows.collect()) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2), (3, 0)]
+
+
+def test_listing_ends_at_a_missing_page_or_no_list(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    gap = stored_pages(tmp_path / "a", {1: [{"id": "x"}], 3: [{"id": "y"}]})
+    error = stored_pages(tmp_path / "b", {1: [{"id": "x"}], 2: {"error": "limit"}, 3: [{"id": "y"}]})
+    for path in (gap, error):
+        assert [r["payload"] for r in pages.whole_listing(pages.read_pages(spark, path, 5, per_page=1, pages_per_task=1), 1).collect()] == ['{"id": "x"}']
+    assert pages.whole_listing(pages.read_pages(spark, f"file://{tmp_path}/none", 5, per_page=1), 1).count() == 0
+
+
+def test_page_filters_reach_the_source(spark, tmp_path):
+    path = stored_pages(tmp_path, {p: [{"id": str(p)}] for p in range(1, 31)})
+    rows = pages.read_pages(spark, path, 30, per_page=1, pages_per_task=1).where("page >= 4 and page < 7 and place is not null")
+    assert rows.rdd.getNumPartitions() == 3
+    assert sorted(r["page"] for r in rows.collect()) == [4, 5, 6]
+    assert pages.read_pages(spark, path, 30, per_page=1).where("page = 31").count() == 0
+
+
+def test_window_pages():
+    assert pages.window_pages(1, 250) == (1, 1) and pages.window_pages(250, 251) == (1, 2) and pages.window_pages(251, 251) == (2, 2)
+
+
+def test_first_and_last_seen(spark):
+    rows = spark.createDataFrame([(1, 0, "a", 1), (2, 5, "a", 2), (1, 1, None, 3), (1, 2, "b", 4)], "page int, place int, id string, v int")
+    assert sorted((r["id"], r["v"]) for r in api.listing(rows).collect()) == [("a", 1), ("b", 4)]
+    assert sorted((r["id"], r["v"]) for r in api.listing(rows, first_seen=False).collect()) == [("a", 2), ("b", 4)]

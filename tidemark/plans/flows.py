@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.base import query, ticks
+from tidemark.functions.scalars import rounded
+from tidemark.functions.scratch import shared_dir
+from tidemark.operators.ordering import ranged, with_position
+from tidemark.plans.base import live, query, table, ticks
 from tidemark.plans.series import SPINE, STORED
+from tidemark.sources import api, fx, pages
 from tidemark.streaming import carry
 
 
+def _folder(spark: SparkSession, tag: str) -> str:
+    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+# ---- streams
+
+
 @query("carry_stream", f"""WITH {SPINE}, {{TICKS}}, {{BARS}}, {STORED},
     r AS (SELECT *, (stored_strong OR point IS NOT NULL) AS reset FROM st),
     g AS (SELECT *, sum(CAST(reset AS INT)) OVER (PARTITION BY id ORDER BY slot) AS grp, last_value(CASE WHEN stored_strong THEN stored ELSE point END IGNORE NULLS) OVER (PARTITION BY id ORDER BY slot) AS anchor FROM r),
@@ -22,3 +35,80 @@ def carry_stream(spark: SparkSession, d: str) -> DataFrame:
     place = F.pmod(F.hour("ts") + F.floor(F.minute("ts") / 10), F.lit(5)).cast("int")
     kind = F.when(place == 0, carry.STRONG).when(place == 1, carry.WEAK).otherwise(carry.OBSERVED)
     return carry.replay(ticks(spark, d).select("id", "ts", "price"), kind)
+
+
+# ---- stored API responses
+
+
+#: A listing of 250 assets a page: ranked customers by account balance; every tenth comes again further down, with a later
+#: value; some records have no id. Behind its end, one page further on, lie pages that a client never gets to.
+LISTING = """{LIVE}, seen AS (SELECT key, id, symbol, market_cap, 0 AS again FROM live WHERE market_cap_rank IS NOT NULL UNION ALL SELECT key, id, symbol, market_cap - 500, 1 FROM live WHERE market_cap_rank IS NOT NULL AND key % 10 = 4),
+    placed AS (SELECT CASE WHEN key % 97 <> 1 THEN id END AS id, symbol, market_cap, CAST(row_number() OVER (ORDER BY market_cap DESC, key, again) - 1 AS INT) AS pos FROM seen),
+    listing AS (SELECT id, symbol, market_cap, pos // 250 + 1 AS page, pos % 250 AS place, pos + 1 AS market_cap_rank FROM placed)"""
+
+
+def _stored_listing(spark: SparkSession, d: str) -> tuple[str, int]:
+    """Where the listing is stored, and the last page a client may ask for."""
+    known = live(spark, d)
+    ranked = known.where("market_cap_rank is not null").select("key", "id", "symbol", "market_cap", F.lit(0).alias("again"))
+    again = ranked.where("key % 10 = 4").withColumn("market_cap", F.col("market_cap") - 500).withColumn("again", F.lit(1))
+    seen = ranked.unionByName(again).withColumn("falling", -F.col("market_cap"))
+    order = ["falling", "key", "again"]
+    placed = with_position(ranged(seen, order, "_range"), "_range", order, "pos")
+    behind = with_position(ranged(known.where("market_cap_rank is null").select("key", "id", "symbol", "market_cap"), ["key"], "_range"), "_range", ["key"], "pos")
+    ends = placed.agg((F.floor(F.max("pos") / 250) + 3).alias("from"))  # the listing may end with a full page
+    behind = behind.crossJoin(F.broadcast(ends)).select("key", "id", "symbol", "market_cap", "pos", (F.floor(F.col("pos") / 250) + F.col("from")).alias("page"))
+    rows = placed.withColumn("page", F.floor(F.col("pos") / 250) + 1).unionByName(behind, allowMissingColumns=True)
+    record = F.struct(F.when(F.col("key") % 97 != 1, F.col("id")).alias("id"), "symbol", "market_cap", (F.col("pos") + 1).alias("market_cap_rank"))
+    path = pages.write_pages(rows.select(F.col("page").cast("int").alias("page"), (F.col("pos") % 250).cast("int").alias("place"), F.to_json(record).alias("payload")), _folder(spark, "listing"))
+    return path, -(-2 * table(spark, d, "customer").count() // 250) + 3
+
+
+def _records(rows: DataFrame) -> DataFrame:
+    record = F.from_json("payload", "id string, symbol string, market_cap double, market_cap_rank int")
+    return rows.select("page", "place", record.alias("r")).select("page", "place", "r.*")
+
+
+@query("paged_listing_first_seen", "WITH " + LISTING + " SELECT id, page, place, symbol, market_cap, market_cap_rank FROM listing WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY page, place) = 1")
+def paged_listing_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    """The listing through the data source: pages dealt out to tasks, cut at the first short one, each asset as first seen."""
+    path, last = _stored_listing(spark, d)
+    return api.listing(_records(pages.whole_listing(pages.read_pages(spark, path, last)))).select("id", "page", "place", "symbol", "market_cap", "market_cap_rank")
+
+
+@query("paged_rank_window_last_seen", "WITH " + LISTING + " SELECT id, page, place, symbol, market_cap, market_cap_rank FROM listing WHERE id IS NOT NULL AND market_cap_rank BETWEEN 40 AND 620 QUALIFY row_number() OVER (PARTITION BY id ORDER BY page DESC, place DESC) = 1")
+def paged_rank_window_last_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Only the pages on which a window of ranks lies are fetched (the filter goes to the source); of an asset's records in the
+    window the last one counts."""
+    path, last = _stored_listing(spark, d)
+    first, end = pages.window_pages(40, 620)
+    rows = pages.read_pages(spark, path, last, stop_at_short="false").where((F.col("page") >= first) & (F.col("page") <= end) & F.col("place").isNotNull())
+    return api.listing(_records(rows).where("market_cap_rank between 40 and 620"), first_seen=False).select("id", "page", "place", "symbol", "market_cap", "market_cap_rank")
+
+
+@query("chart_range_responses", """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS id, time_bucket(INTERVAL '1 second', ts) AS ts, max(value) AS v FROM events GROUP BY 1, 2)
+    SELECT id, ts, v AS price, v * 1000 AS market_cap, v + 1 AS volume_24h FROM e WHERE CAST(ts AS DATE) < DATE '2024-01-20'""")
+def chart_range_responses(spark: SparkSession, d: str) -> DataFrame:
+    """Range responses (lists of [milliseconds, value] for three metrics), stored by week and a thousandth of the ids; a filter on
+    the week prunes the stored folders, then instants meet again over the metrics."""
+    second = F.date_trunc("second", "ts")
+    e = table(spark, d, "events").groupBy(F.col("user_id").cast("string").alias("id"), second.cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("v"))
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("double")
+    series = lambda v: F.collect_list(F.array(ms, v))
+    chunk = e.groupBy("id", F.weekofyear("ts").alias("week")).agg(series(F.col("v")).alias("prices"), series(F.col("v") * 1000).alias("market_caps"), series(F.col("v") + 1).alias("total_volumes"))
+    lines = chunk.select("week", F.pmod(F.crc32("id"), F.lit(16)).alias("share"), F.to_json(F.struct("id", "prices", "market_caps", "total_volumes")).alias("json"))
+    stored = pages.write_responses(lines, _folder(spark, "charts"), "week", "share")
+    kept = spark.read.schema("value string, week int, share int").text(stored).where("week <= 3")
+    points = api.chart_points(kept.select(F.get_json_object("value", "$.id").alias("id"), F.col("value").alias("json")))
+    return api.chart_rows(points).where("ts < timestamp_ntz'2024-01-20 00:00:00'")
+
+
+@query("fx_range_responses", """SELECT CAST(o_orderdate AS DATE) AS asof_date, o_orderpriority AS symbol, round(avg(o_totalprice), 4) AS rate FROM orders WHERE extract(year FROM o_orderdate) = 1995 GROUP BY 1, 2""")
+def fx_range_responses(spark: SparkSession, d: str) -> DataFrame:
+    """Range responses of rates ({day: {symbol: rate}}) stored by month, read back for one year only."""
+    o = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("symbol"), "o_totalprice")
+    rates = o.groupBy("day", "symbol").agg(rounded(F.avg("o_totalprice"), 4).alias("rate"))
+    days = rates.groupBy("day").agg(F.map_from_entries(F.collect_list(F.struct("symbol", "rate"))).alias("r"))
+    months = days.groupBy(F.year("day").alias("year"), F.month("day").alias("month")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("day").cast("string"), "r"))).alias("rates"))
+    stored = pages.write_responses(months.select("year", "month", F.to_json(F.struct("rates")).alias("json")), _folder(spark, "rates"), "year", "month")
+    return fx.range_payload(pages.read_responses(spark, stored, "year int, month int").where("year = 1995"))
