@@ -9,9 +9,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import fill
-from tidemark.sources import api, pages
-from tidemark.streaming import carry
+from tidemark.operators import cascade, fill
+from tidemark.sources import api, pages, stored
+from tidemark.streaming import carry, late
 
 T0 = datetime(2024, 1, 1)
 STEP = timedelta(minutes=10)
@@ -154,3 +154,106 @@ def test_first_and_last_seen(spark):
     rows = spark.createDataFrame([(1, 0, "a", 1), (2, 5, "a", 2), (1, 1, None, 3), (1, 2, "b", 4)], "page int, place int, id string, v int")
     assert sorted((r["id"], r["v"]) for r in api.listing(rows).collect()) == [("a", 1), ("b", 4)]
     assert sorted((r["id"], r["v"]) for r in api.listing(rows, first_seen=False).collect()) == [("a", 2), ("b", 4)]
+
+
+# ---- late data
+
+
+def run_late(spark, path, runs, lookback=2):
+    for number, rows in enumerate(runs):
+        late.apply_arrivals(spark.createDataFrame(rows, late.TICKS), number, path, lookback)
+
+
+def hours_of(spark, path):
+    rows = spark.read.schema(f"{late.HOURS}, day date").parquet(f"{path}/hours").collect()
+    return {(r["id"], r["bucket"]): (r["open"], r["close"], r["point_count"], r["candle_source"], r["changed_in"]) for r in rows}
+
+
+def at(hours, minutes=0):
+    return T0 + timedelta(hours=hours, minutes=minutes)
+
+
+def test_late_rows_change_partial_hours_and_never_final_ones(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    run_late(spark, path, [
+        [("a", at(0, 10), 1.0), ("a", at(0, 50), 2.0), ("a", at(1, 5), 3.0)],
+        [("a", at(0, 55), 9.0), ("b", at(2, 0), 4.0)],  # late, but in time
+        [("a", at(3, 30), 5.0)],  # now 3:30: the hour 0 is over by two hours
+        [("a", at(0, 20), 7.0), ("a", at(1, 10), 8.0)],  # too late for the hour 0, not for the hour 1
+        [("a", at(50), 6.0)],  # days later: all before is final, though nothing came for it
+    ])
+    got = hours_of(spark, path)
+    assert got["a", at(0)] == (1.0, 9.0, 3, late.FINAL, 2)
+    assert got["a", at(1)] == (3.0, 8.0, 2, late.FINAL, 4)
+    assert got["b", at(2)] == (4.0, 4.0, 1, late.FINAL, 4)
+    assert got["a", at(50)] == (6.0, 6.0, 1, late.PARTIAL, 4)
+    aside = spark.read.parquet(f"{path}/too_late").collect()
+    assert [(r["id"], r["ts"], r["price"], r["batch"]) for r in aside] == [("a", at(0, 20), 7.0, 3)]
+    finals = spark.read.schema(f"{late.HOURS}, batch long").parquet(f"{path}/emitted").where(F.col("candle_source") == late.FINAL)
+    assert finals.count() == finals.select("id", "bucket").distinct().count() == 4
+
+
+def test_a_repeated_run_makes_the_same(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    runs = [[("a", at(0, 10), 1.0)], [("a", at(4, 10), 2.0), ("a", at(0, 20), 3.0)], [("a", at(5, 0), 4.0)]]
+    run_late(spark, path, runs)
+    want = hours_of(spark, path), sorted(map(str, spark.read.parquet(f"{path}/emitted").collect()))
+    late.apply_arrivals(spark.createDataFrame(runs[2], late.TICKS), 2, path, 2)
+    assert (hours_of(spark, path), sorted(map(str, spark.read.parquet(f"{path}/emitted").collect()))) == want
+
+
+def test_an_empty_run(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    run_late(spark, path, [[], [("a", at(0), 1.0)], []])
+    assert hours_of(spark, path) == {("a", at(0)): (1.0, 1.0, 1, late.PARTIAL, 1)}
+
+
+# ---- stored levels and tables
+
+
+def slots_table(spark, days=40):
+    n = spark.range(days * 144).select(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 600).cast("timestamp_ntz").alias("bucket"), F.explode(F.array(*map(F.lit, "abc"))).alias("id"), (F.col("id") % 17 + 1.0).alias("v"))
+    return n.select("id", "bucket", *[F.col("v").alias(c) for c in ("open", "high", "low", "close")], F.lit(1).cast("long").alias("point_count"), F.lit(1).cast("long").alias("rows_seen"), F.col("v").alias("market_cap"), F.col("v").alias("volume_24h"), F.col("bucket").alias("last_updated"))
+
+
+def levels_of(spark, path):
+    names = [f"{level.name}{t}" for level in cascade.LEVELS for t in ("", "_totals")]
+    return {n: sorted(map(str, spark.read.parquet(f"{path}/{n}").withColumn("part", F.col("part").cast("string")).collect())) for n in names}
+
+
+def test_cascade_equals_a_full_recompute_and_leaves_other_partitions(spark, tmp_path):
+    slots = slots_table(spark)
+    categories = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "id string, category string")
+    one, two = f"file://{tmp_path}/one", f"file://{tmp_path}/two"
+    cascade.build(slots, categories, one)
+    before = {level.name: stored.files(spark, f"{one}/{level.name}") for level in cascade.LEVELS}
+    hit = (F.col("id") == "b") & (F.dayofmonth("bucket") == 5) & (F.hour("bucket") == 3) & (F.month("bucket") == 1)
+    changed = slots.where(hit).withColumn("market_cap", F.lit(500.0)).withColumn("high", F.lit(99.0))
+    written = cascade.recompute(changed, categories, one)
+    assert [list(map(str, written[n])) for n in ("slots", "hours", "days")] == [["2024-01-05"], ["2024-01-05"], ["2024-01-01"]]
+    cascade.build(slots.where(~hit).unionByName(changed), categories, two)
+    assert levels_of(spark, one) == levels_of(spark, two)
+    for level in cascade.LEVELS:
+        after = stored.files(spark, f"{one}/{level.name}")
+        assert {p for p in after if after[p] != before[level.name][p]} == set(map(str, written[level.name]))
+        assert len(after) > 1
+    assert cascade.recompute(changed.limit(0), categories, one)["days"] == []
+    assert levels_of(spark, one) == levels_of(spark, two)
+
+
+def test_retention_and_deletes_touch_only_their_partitions(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    schema = "id long, v long, day date"
+    rows = spark.range(60).select("id", (F.col("id") % 6).alias("v"), F.date_add(F.lit("2024-02-25").cast("date"), (F.col("id") % 10).cast("int")).alias("day"))
+    stored.replace_partitions(rows, path, "day")
+    before = stored.files(spark, path)
+    assert len(before) == 10 and stored.retain(spark, path, datetime(2024, 2, 28).date()) == ["2024-02-25", "2024-02-26", "2024-02-27"]
+    changed = stored.delete_rows(spark, path, F.col("id").isin(4, 14), schema)
+    assert list(map(str, changed)) == ["2024-02-29"]
+    assert list(map(str, stored.delete_rows(spark, path, F.col("v") >= 0, schema, within=F.col("day") == "2024-03-01"))) == ["2024-03-01"]
+    assert stored.delete_rows(spark, path, F.col("v") > 99, schema) == []
+    after = stored.files(spark, path)
+    assert set(before) - set(after) == {"2024-02-25", "2024-02-26", "2024-02-27", "2024-03-01"}
+    assert {p for p in after if after[p] != before[p]} == {"2024-02-29"}
+    left = {r["id"] for r in spark.read.schema(schema).parquet(path).collect()}
+    assert left == {i for i in range(60) if i % 10 >= 3 and i not in (4, 14) and i % 10 != 5}

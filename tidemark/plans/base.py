@@ -50,8 +50,8 @@ def ticks(spark: SparkSession, d: str, key: str = "event_type") -> DataFrame:
     )
 
 
-def bars_10m(spark: SparkSession, d: str) -> DataFrame:
-    return bars.bars_from_ticks(ticks(spark, d), floor_slot(F.col("ts")))
+def bars_10m(spark: SparkSession, d: str, key: str = "event_type") -> DataFrame:
+    return bars.bars_from_ticks(ticks(spark, d, key), floor_slot(F.col("ts")))
 
 
 def live(spark: SparkSession, d: str) -> DataFrame:

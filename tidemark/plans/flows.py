@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import rounded
 from tidemark.functions.scratch import shared_dir
+from tidemark.functions.timeutil import plus_minutes
+from tidemark.operators import cascade
 from tidemark.operators.ordering import ranged, with_position
-from tidemark.plans.base import live, query, table, ticks
+from tidemark.plans.base import bars_10m, live, query, table, ticks
 from tidemark.plans.series import SPINE, STORED
-from tidemark.sources import api, fx, pages
-from tidemark.streaming import carry
+from tidemark.sources import api, fx, pages, stored
+from tidemark.sources.tables import replace_partitions
+from tidemark.streaming import carry, late
 
 
 def _folder(spark: SparkSession, tag: str) -> str:
@@ -37,6 +41,64 @@ def carry_stream(spark: SparkSession, d: str) -> DataFrame:
     return carry.replay(ticks(spark, d).select("id", "ts", "price"), kind)
 
 
+@query("late_hours_stream", """WITH {TICKS}, h AS (SELECT id, date_trunc('hour', ts) AS bucket, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, count(*) AS point_count FROM ticks GROUP BY 1, 2)
+    SELECT id, bucket, open, high, low, close, point_count, CASE WHEN final THEN '10m_final' ELSE '10m_partial' END AS candle_source, CASE WHEN final THEN 1 ELSE 0 END AS times_final
+    FROM (SELECT *, bucket + INTERVAL 7 HOUR <= (SELECT max(ts) FROM events) AS final FROM h)""")
+def late_hours_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Events that arrive up to six hours late, out of order, in five runs: each hour as it stands after them, and how often it
+    was given out as final."""
+    t = ticks(spark, d)
+    arrives = plus_minutes(F.col("ts"), F.pmod(F.col("event_id") * 7919, F.lit(360)))
+    rows, base = t.select("id", "ts", "price", arrives.alias("arrives")), _folder(spark, "late")
+    late.in_runs(rows, late.equal_spans(rows, F.col("arrives"), 5), 5, f"{base}/in", lambda s: late.late_hours(s, base, f"{base}/state"))
+    hours = spark.read.schema(f"{late.HOURS}, day date").parquet(f"{base}/hours")
+    given = spark.read.schema(f"{late.HOURS}, batch long").parquet(f"{base}/emitted").where(F.col("candle_source") == late.FINAL)
+    times = given.groupBy("id", "bucket").agg(F.count(F.lit(1)).cast("int").alias("times_final"))
+    return hours.join(times, ["id", "bucket"], "left").select("id", "bucket", "open", "high", "low", "close", "point_count", "candle_source", F.coalesce("times_final", F.lit(0)).alias("times_final"))
+
+
+# ---- stored levels
+
+
+@query("cascade_recompute", """WITH {LIVE}, {USER_TICKS}, {BARS}, ch AS (SELECT *, epoch(bucket) // 600 % 100 = 7 AND extract(day FROM bucket) % 3 = 1 AS c FROM bars),
+    s AS (SELECT id, bucket, open, CASE WHEN c THEN greatest(high, close * 1.5) ELSE high END AS high, low, CASE WHEN c THEN close * 1.5 ELSE close END AS close, CASE WHEN c THEN market_cap * 1.5 ELSE market_cap END AS market_cap, volume_24h, last_updated FROM ch),
+    h AS (SELECT id, date_trunc('hour', bucket) AS bucket, arg_max(market_cap, bucket) FILTER (WHERE market_cap IS NOT NULL) AS market_cap, arg_max(volume_24h, bucket) AS volume_24h, max(last_updated) AS last_updated, max(high) AS high FROM s GROUP BY 1, 2),
+    dy AS (SELECT id, date_trunc('day', bucket) AS bucket, arg_max(market_cap, bucket) FILTER (WHERE market_cap IS NOT NULL) AS market_cap, arg_max(volume_24h, bucket) AS volume_24h, max(last_updated) AS last_updated, max(high) AS high FROM h GROUP BY 1, 2),
+    a AS (SELECT 'slots' AS level, id, CAST(bucket AS TIMESTAMP) AS bucket, market_cap, volume_24h, last_updated FROM s UNION ALL SELECT 'hours', id, CAST(bucket AS TIMESTAMP), market_cap, volume_24h, last_updated FROM h UNION ALL SELECT 'days', id, CAST(bucket AS TIMESTAMP), market_cap, volume_24h, last_updated FROM dy),
+    n AS (SELECT a.*, coalesce(nullif(trim(category), ''), 'Other') AS category FROM a LEFT JOIN live ON live.id = a.id)
+    SELECT level, bucket, CASE WHEN grouping(category) = 1 THEN 'ALL' ELSE category END AS category, round(sum(coalesce(market_cap, 0)), 4) AS market_cap, round(sum(coalesce(volume_24h, 0)), 4) AS volume_24h, max(last_updated) AS last_updated, count(*) AS contributors
+    FROM n GROUP BY GROUPING SETS ((level, bucket, category), (level, bucket))""")
+def cascade_recompute(spark: SparkSession, d: str) -> DataFrame:
+    """Slots, hours and days are stored with their category totals; then one slot in a hundred of every third day changes, and only
+    what depends on those is made anew. All totals of the three levels, as stored after it."""
+    slots, categories, base = bars_10m(spark, d, "user_id"), live(spark, d).select("id", "category"), _folder(spark, "levels")
+    cascade.build(slots, categories, base)
+    hit = (F.pmod(F.floor(F.unix_seconds(F.col("bucket").cast("timestamp")) / 600), F.lit(100)) == 7) & (F.dayofmonth("bucket") % 3 == 1)
+    close = F.col("close") * 1.5
+    changed = slots.where(hit).withColumn("high", F.greatest("high", close)).withColumn("close", close).withColumn("market_cap", F.col("market_cap") * 1.5)
+    cascade.recompute(changed, categories, base)
+    parts = [spark.read.schema(cascade.TOTALS).parquet(f"{base}/{level.name}_totals").withColumn("level", F.lit(level.name)) for level in cascade.LEVELS]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.select("level", "bucket", "category", F.round("market_cap", 4).alias("market_cap"), F.round("volume_24h", 4).alias("volume_24h"), "last_updated", "contributors")
+
+
+@query("stored_after_retention_and_deletes", """WITH {TICKS}, {BARS}, e AS (SELECT CAST(max(ts) AS DATE) AS last FROM events)
+    SELECT id, bucket, open, high, low, close, point_count, CAST(bucket AS DATE) AS day FROM bars, e WHERE CAST(bucket AS DATE) >= last - 20 AND NOT coalesce(id = 'error' AND CAST(bucket AS DATE) >= last - 2 OR point_count = 1 AND extract(day FROM bucket) % 5 = 0, false)""")
+def stored_after_retention_and_deletes(spark: SparkSession, d: str) -> DataFrame:
+    """Candles stored by day; days older than three weeks are dropped unread, then rows are deleted: one id's last days, and the
+    single-point candles of some days. What the table holds after it."""
+    path, schema = _folder(spark, "candles"), "id string, bucket timestamp_ntz, open double, high double, low double, close double, point_count long, day date"
+    rows = bars_10m(spark, d).withColumn("day", F.to_date("bucket")).select(*[c.split()[0] for c in schema.split(", ")])
+    replace_partitions(rows, path, "day")
+    days = stored.partitions(spark, path)
+    if days:
+        last = max(map(date.fromisoformat, days))
+        stored.retain(spark, path, last - timedelta(days=20))
+        stored.delete_rows(spark, path, F.col("id") == "error", schema, within=F.col("day") >= F.lit(last - timedelta(days=2)))
+        stored.delete_rows(spark, path, F.col("point_count") == 1, schema, within=F.dayofmonth("day") % 5 == 0)
+    return spark.read.schema(schema).parquet(path)
+
+
 # ---- stored API responses
 
 

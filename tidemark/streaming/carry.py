@@ -14,12 +14,13 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tidemark.functions.scratch import shared_dir
 from tidemark.functions.timeutil import SLOT_MINUTES
+from tidemark.streaming.late import equal_spans, in_runs
 
 OBSERVED, STRONG, WEAK = 2, 0, 1
 OUT = "id string, slot timestamp_ntz, action string, value double"
@@ -116,28 +117,19 @@ def replay(rows: DataFrame, kind: Column, batches: int = 3, cap: int = 4, delay:
     """
     spark = rows.sparkSession
     base = f"{shared_dir(spark)}/carry-{uuid.uuid4().hex}"
-    bounds = rows.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
     spark.createDataFrame([], OUT).write.parquet(f"{base}/out/batch=-1")
-    if bounds["a"] is not None:
-        width = (bounds["b"] - bounds["a"]) // batches + 1
-        part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - bounds["a"]) / width)
-        provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # the only one that has timers
-        try:
-            for n in range(batches):
-                rows.where(part == n).write.mode("append").parquet(f"{base}/in")
-                _run(spark, rows.schema, base, n, kind, cap, delay)
-        finally:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
-    return spark.read.schema(f"{OUT}, batch long").parquet(f"{base}/out").drop("batch")
-
 
-def _run(spark: SparkSession, schema, base: str, n: int, kind: Column, cap: int, delay: str) -> None:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
 
-    stream = carried(spark.readStream.schema(schema).parquet(f"{base}/in"), kind, cap, delay)
-    q = stream.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    def start(stream: DataFrame):
+        given = carried(stream, kind, cap, delay).writeStream.foreachBatch(write).outputMode("append")
+        return given.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)  # the only one that has timers
+    try:
+        in_runs(rows, equal_spans(rows, F.col("ts"), batches), batches, f"{base}/in", start)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    return spark.read.schema(f"{OUT}, batch long").parquet(f"{base}/out").drop("batch")
