@@ -9,8 +9,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cascade, fill
-from tidemark.sources import api, pages, stored
+from tidemark.operators import cascade, coverage, fill
+from tidemark.sources import api, catalogue, copy, fx, pages, stored, tables
 from tidemark.streaming import carry, late
 
 T0 = datetime(2024, 1, 1)
@@ -257,3 +257,89 @@ def test_retention_and_deletes_touch_only_their_partitions(spark, tmp_path):
     assert {p for p in after if after[p] != before[p]} == {"2024-02-29"}
     left = {r["id"] for r in spark.read.schema(schema).parquet(path).collect()}
     assert left == {i for i in range(60) if i % 10 >= 3 and i not in (4, 14) and i % 10 != 5}
+
+
+# ---- bitmaps, rates, copies, the catalogue
+
+
+def test_bitmaps_of_batches_equal_one_pass(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), T0 + timedelta(minutes=rng.randint(0, 5000)), rng.randint(0, 2)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "id string, ts timestamp_ntz, batch int")
+    slot, day = F.hour("ts") * 6 + F.floor(F.minute("ts") / 10), F.to_date("ts")
+    maps = [coverage.slot_bitmaps(df.where(F.col("batch") == n), slot, day) for n in range(3)]
+    got = coverage.merged_bitmaps(maps[0].union(maps[1]).union(maps[2]), ["id", "day"]).collect()
+    assert len(got) == len({(i, t.date()) for i, t, _ in rows})
+    for r in got:
+        mine = [t for i, t, _ in rows if i == r["id"] and t.date() == r["day"]]
+        slots = {t.hour * 6 + t.minute // 10 for t in mine}
+        assert len(r["bitmap"]) == 18 and {8 * k + b for k, v in enumerate(r["bitmap"]) for b in range(8) if v >> b & 1} == slots
+        assert (r["set_count"], r["first_seen"], r["last_seen"]) == (len(slots), min(mine), max(mine))
+    again = coverage.merged_bitmaps(coverage.merged_bitmaps(maps[0].union(maps[1]), ["id", "day"]).drop("set_count").unionByName(maps[2]), ["id", "day"])
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
+D = lambda day: datetime(2024, 3, day).date()
+
+
+def rates_on(spark, *days, rate=None):
+    return spark.createDataFrame([(s, D(d), float(rate or d)) for d in days for s in ("EUR", "CHF")], fx.RATES)
+
+
+def published(spark, path):
+    history = {(r["symbol"], r["asof_date"]): r["rate"] for r in spark.read.parquet(f"{path}/history").collect()}
+    return {k[1].day: v for k, v in history.items() if k[0] == "EUR"}, {r["symbol"]: (r["asof_date"].day, r["rate"]) for r in fx.live_rates(spark, path).collect()}, fx.status_of(spark, path)[:2]
+
+
+def test_rates_are_published_run_by_run(spark, tmp_path):
+    path = f"file://{tmp_path}/fx"
+    with pytest.raises(RuntimeError):
+        fx.publish(spark, path, 1, D(1), None, None)  # nothing to fall back on
+    assert fx.publish(spark, path, 2, D(1), rates_on(spark, 1), None) == "first"
+    assert fx.publish(spark, path, 3, D(4), rates_on(spark, 4), rates_on(spark, 1, 2, 4)) == "span"
+    assert published(spark, path) == ({1: 1.0, 2: 2.0, 4: 4.0}, {"EUR": (4, 4.0), "CHF": (4, 4.0)}, ("span", D(4)))
+    assert fx.publish(spark, path, 4, D(8), rates_on(spark, 8), None) == "degraded"
+    assert published(spark, path) == ({1: 1.0, 2: 2.0, 4: 4.0, 8: 8.0}, {"EUR": (8, 8.0), "CHF": (8, 8.0)}, ("degraded", D(4)))
+    want = published(spark, path)
+    assert fx.publish(spark, path, 5, D(7), None, None) == "stale" and published(spark, path)[:2] == want[:2]
+    with pytest.raises(RuntimeError):
+        fx.publish(spark, path, 6, D(8), None, None)  # the watermark is four days old
+    assert fx.publish(spark, path, 6, D(8), rates_on(spark, 8), rates_on(spark, 4, 6)) == "span"  # the latest day isn't in the span
+    assert published(spark, path) == ({1: 1.0, 2: 2.0, 4: 4.0, 6: 6.0, 8: 8.0}, {"EUR": (8, 8.0), "CHF": (8, 8.0)}, ("span", D(8)))
+    assert fx.publish(spark, path, 7, D(9), rates_on(spark, 8, rate=80), None) == "refresh"
+    assert fx.publish(spark, path, 8, D(12), rates_on(spark, 12), rates_on(spark, 12).limit(0)) == "empty"
+    assert published(spark, path) == ({1: 1.0, 2: 2.0, 4: 4.0, 6: 6.0, 8: 80.0, 12: 12.0}, {"EUR": (12, 12.0), "CHF": (12, 12.0)}, ("empty", D(12)))
+
+
+def test_a_repeated_publication_makes_the_same(spark, tmp_path):
+    path = f"file://{tmp_path}/fx"
+    fx.publish(spark, path, 1, D(1), rates_on(spark, 1), None)
+    fx.publish(spark, path, 2, D(3), rates_on(spark, 3), rates_on(spark, 2, 3))
+    want = published(spark, path)
+    assert fx.publish(spark, path, 2, D(3), rates_on(spark, 3), rates_on(spark, 2, 3)) == "span" and published(spark, path) == want
+
+
+def test_copy_counts_while_it_writes(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    times = ["2024-01-01 00:00:00", "2024-03-01 00:00:00", None, *[f"bad {k}" for k in range(40)]]
+    spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, ts string").write.parquet(source)
+    r = copy.copy_table(spark, source, target, datetime(2024, 2, 1)).first()
+    assert (r["rows_read"], r["rows_kept"], r["rows_written"], r["rows_skipped"], r["unparsable"]) == (43, 42, 42, 1, 40)
+    assert 0 < len(r["samples"]) <= copy.SAMPLES and all(s.startswith("bad") for s in r["samples"])
+    assert spark.read.parquet(target).count() == 42
+    dry = copy.copy_table(spark, source, str(tmp_path / "none"), datetime(2024, 2, 1), dry_run=True).first()
+    assert dry["rows_written"] == 0 and dry["rows_kept"] == 42 and not (tmp_path / "none").exists()
+    plain = copy.copy_table(spark, source, target, candidates=("none",)).first()
+    assert plain["rows_written"] == 43 and plain["unparsable"] == 0 and plain["samples"] == []
+
+
+def test_catalogue(spark, tmp_path):
+    db = catalogue.database(spark, "catalogue_test")
+    made = catalogue.create_missing(spark, db)
+    assert sorted(made) == sorted(tables.SCHEMAS) == catalogue.tables(spark, db) and catalogue.create_missing(spark, db) == []
+    got = [(r["table_name"], r["column_name"]) for r in catalogue.columns(spark, db).orderBy("table_name", "ordinal").collect()]
+    assert got == [(k, c.split()[0]) for k in sorted(tables.SCHEMAS) for c in tables.SCHEMAS[k].split(", ")]
+    spark.range(3).write.parquet(str(tmp_path / "x"))
+    clone = catalogue.clone_schema(spark, catalogue.register(spark, db, "given", str(tmp_path / "x")), f"{db}.clone")
+    assert spark.table(clone).count() == 0 and spark.table(clone).columns == ["id"] and spark.table(f"{db}.given").count() == 3
+    spark.sql(f"DROP DATABASE {db} CASCADE")

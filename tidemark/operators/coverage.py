@@ -49,3 +49,19 @@ def padded_windows(ranges: DataFrame, pad: int, low: Column, high: Column, longe
     r = ranges.withColumn("_a", a).withColumn("_b", b).where("_a <= _b")
     cut = r.withColumn("window_start", F.explode(F.expr(f"sequence(_a, _b, interval {longest} days)")))
     return cut.withColumn("window_end", F.least(F.col("_b"), F.date_add("window_start", longest - 1))).drop("_a", "_b")
+
+
+def slot_bitmaps(rows: DataFrame, slot: Column, day: Column, ts: str = "ts", key: str = "id", slots: int = 144) -> DataFrame:
+    """Per id and day the bitmap of the slots that have a row (bit slot % 8 of byte slot / 8), and first and last seen.
+
+    The bits are set before the shuffle; a bitmap is cut to the bytes that a day's slots need.
+    """
+    at = F.bitmap_bit_position((slot + 1).cast("long"))
+    maps = rows.withColumn("day", day).groupBy(key, "day").agg(F.bitmap_construct_agg(at).alias("bitmap"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"))
+    return maps.withColumn("bitmap", F.substring("bitmap", 1, -(-slots // 8)))
+
+
+def merged_bitmaps(stored: DataFrame, keys: list[str], slots: int = 144) -> DataFrame:
+    """Stored bitmaps ORed by keys, with the number of set slots, first and last seen; no slot is looked at again."""
+    out = stored.groupBy(*keys).agg(F.bitmap_or_agg("bitmap").alias("bitmap"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    return out.withColumn("bitmap", F.substring("bitmap", 1, -(-slots // 8))).withColumn("set_count", F.bitmap_count("bitmap"))

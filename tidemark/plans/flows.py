@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import rounded
 from tidemark.functions.scratch import shared_dir
-from tidemark.functions.timeutil import plus_minutes
-from tidemark.operators import cascade
+from tidemark.functions.timeutil import plus_minutes, slot_index
+from tidemark.operators import cascade, coverage
 from tidemark.operators.ordering import ranged, with_position
 from tidemark.plans.base import bars_10m, live, query, table, ticks
 from tidemark.plans.series import SPINE, STORED
-from tidemark.sources import api, fx, pages, stored
+from tidemark.sources import api, catalogue, copy, fx, pages, stored
 from tidemark.sources.tables import replace_partitions
 from tidemark.streaming import carry, late
 
@@ -174,3 +174,101 @@ def fx_range_responses(spark: SparkSession, d: str) -> DataFrame:
     months = days.groupBy(F.year("day").alias("year"), F.month("day").alias("month")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("day").cast("string"), "r"))).alias("rates"))
     stored = pages.write_responses(months.select("year", "month", F.to_json(F.struct("rates")).alias("json")), _folder(spark, "rates"), "year", "month")
     return fx.range_payload(pages.read_responses(spark, stored, "year int, month int").where("year = 1995"))
+
+
+# ---- stored bitmaps
+
+
+@query("bitmaps_of_stored_batches", """WITH {USER_TICKS}, t AS (SELECT id, CAST(ts AS DATE) AS day, ts, CAST(extract(hour FROM ts) * 6 + extract(minute FROM ts) // 10 AS INT) AS slot FROM ticks), s AS (SELECT DISTINCT id, day, slot FROM t),
+    b AS (SELECT id, day, slot // 8 AS byte, CAST(sum(1 << (slot % 8)) AS INT) AS v FROM s GROUP BY 1, 2, 3), k AS (SELECT DISTINCT id, day, unnest(generate_series(0, 17)) AS byte FROM s),
+    f AS (SELECT k.id, k.day, k.byte, coalesce(v, 0) AS v FROM k LEFT JOIN b USING (id, day, byte)), seen AS (SELECT id, day, min(ts) AS first_seen, max(ts) AS last_seen FROM t GROUP BY 1, 2),
+    m AS (SELECT id, day, string_agg(printf('%02X', v), '' ORDER BY byte) AS bitmap_hex, CAST(sum(bit_count(v)) AS BIGINT) AS set_count FROM f GROUP BY 1, 2)
+    SELECT m.id, m.day, bitmap_hex, set_count, first_seen, last_seen FROM m JOIN seen USING (id, day)""")
+def bitmaps_of_stored_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Bitmaps of three batches of arrivals, each made and stored on its own, ORed from what is stored."""
+    t, path = ticks(spark, d, "user_id"), _folder(spark, "bitmaps")
+    for n in range(3):
+        batch = t.where(F.col("event_id") % 3 == n)
+        coverage.slot_bitmaps(batch, slot_index(F.col("ts")), F.to_date("ts")).write.parquet(f"{path}/batch={n}")
+    merged = coverage.merged_bitmaps(spark.read.parquet(path), ["id", "day"])
+    return merged.select("id", "day", F.hex("bitmap").alias("bitmap_hex"), "set_count", "first_seen", "last_seen")
+
+
+@query("slots_ever_seen", """WITH {USER_TICKS} SELECT id, count(DISTINCT CAST(extract(hour FROM ts) * 6 + extract(minute FROM ts) // 10 AS INT)) AS set_count, min(ts) AS first_seen, max(ts) AS last_seen FROM ticks GROUP BY 1""")
+def slots_ever_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Which slots of the day an id was ever seen in: the day bitmaps ORed, as they would be from a stored table of them."""
+    days = coverage.slot_bitmaps(ticks(spark, d, "user_id"), slot_index(F.col("ts")), F.to_date("ts"))
+    return coverage.merged_bitmaps(days, ["id"]).select("id", "set_count", "first_seen", "last_seen")
+
+
+# ---- rates, copies and the catalogue
+
+
+#: Rates by brand and day, and five of the days, a sixth of the time apart.
+PROVIDER = """fx AS (SELECT p_brand AS symbol, CAST(l_shipdate AS DATE) AS asof_date, round(avg(l_extendedprice / l_quantity), 6) AS rate FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+    b AS (SELECT min(asof_date) AS a, (max(asof_date) - min(asof_date)) // 6 AS step FROM fx),
+    ds AS (SELECT max(CASE WHEN asof_date <= a + CAST(step AS INT) THEN asof_date END) AS d1, max(CASE WHEN asof_date <= a + CAST(2 * step AS INT) THEN asof_date END) AS d2, max(CASE WHEN asof_date <= a + CAST(3 * step AS INT) THEN asof_date END) AS d3,
+    max(CASE WHEN asof_date <= a + CAST(4 * step AS INT) THEN asof_date END) AS d4, max(CASE WHEN asof_date <= a + CAST(5 * step AS INT) THEN asof_date END) AS d5 FROM fx, b)"""
+
+
+@query("fx_publication", "WITH " + PROVIDER + """, h AS (SELECT symbol, asof_date, CASE WHEN asof_date = d5 THEN rate * 2 ELSE rate END AS rate FROM fx, ds WHERE asof_date BETWEEN d1 AND d4 OR asof_date = d5),
+    l AS (SELECT symbol, max(asof_date) AS asof_date FROM h GROUP BY 1)
+    SELECT 'history' AS kind, 0 AS run, symbol AS name, asof_date, rate FROM h UNION ALL SELECT 'live', 0, h.symbol, h.asof_date, rate FROM h JOIN l ON l.symbol = h.symbol AND l.asof_date = h.asof_date
+    UNION ALL SELECT 'status', r, m, day, NULL FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS r, unnest(['first', 'span', 'degraded', 'span', 'stale', 'empty', 'refresh']) AS m, unnest([d1, d2, d2, d4, d4, d5, d5]) AS day FROM ds)""")
+def fx_publication(spark: SparkSession, d: str) -> DataFrame:
+    """Seven runs of the loader: the first, one over a span, one whose span fails, the one that makes up for it, one without the
+    latest day, one with an empty span, and one that corrects its day. The history, the live table and the statuses after them."""
+    li, p = table(spark, d, "lineitem"), table(spark, d, "part")
+    day = F.to_date("l_shipdate").alias("asof_date")
+    rate = rounded(F.avg(F.col("l_extendedprice") / F.col("l_quantity")), 6).alias("rate")
+    rates, path = li.join(p, li["l_partkey"] == p["p_partkey"]).groupBy(F.col("p_brand").alias("symbol"), day).agg(rate), _folder(spark, "fx")
+    rates.write.parquet(f"{path}/provider")
+    rates = spark.read.parquet(f"{path}/provider")
+    first, last = rates.agg(F.min("asof_date"), F.max("asof_date")).first()
+    until = [first + timedelta(days=k * ((last - first).days // 6)) for k in range(1, 6)]
+    days = list(rates.agg(*[F.max(F.when(F.col("asof_date") <= F.lit(u), F.col("asof_date"))).alias(str(u)) for u in until]).first())
+    of = lambda k: rates.where(F.col("asof_date") == F.lit(days[k]))
+    span = lambda a, b: rates.where((F.col("asof_date") >= F.lit(days[a])) & (F.col("asof_date") <= F.lit(days[b])))
+    runs = [(of(0), None), (of(1), span(0, 1)), (of(2), None), (of(3), span(1, 3)), (None, None), (of(4), rates.limit(0)), (of(4).withColumn("rate", F.col("rate") * 2), None)]
+    for n, (latest, between) in enumerate(runs, 1):
+        fx.publish(spark, path, n, days[3] + timedelta(days=2) if n == 5 else days[4], latest, between)
+    none = F.lit(None)
+    history = spark.read.schema(f"{fx.RATES}, asof_year int").parquet(f"{path}/history").select(F.lit("history").alias("kind"), F.lit(0).alias("run"), F.col("symbol").alias("name"), "asof_date", "rate")
+    live_now = fx.live_rates(spark, path).select(F.lit("live").alias("kind"), F.lit(0).alias("run"), F.col("symbol").alias("name"), "asof_date", "rate")
+    status = spark.read.schema(f"{fx.STATUS}, run int").parquet(f"{path}/status").select(F.lit("status").alias("kind"), "run", F.col("mode").alias("name"), F.col("latest_date").alias("asof_date"), none.cast("double").alias("rate"))
+    return history.unionByName(live_now).unionByName(status)
+
+
+@query("copy_summaries", """WITH o AS (SELECT CASE WHEN o_orderkey % 37 = 5 THEN 'n/a ' || CAST(o_orderkey % 11 AS VARCHAR) WHEN o_orderkey % 41 <> 7 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS created_at FROM orders),
+    r AS (SELECT *, TRY_CAST(created_at AS TIMESTAMP) AS t FROM o), m AS (SELECT ascii(right(created_at, 1)) % 5 AS k, min(created_at) AS s FROM r WHERE created_at IS NOT NULL AND t IS NULL GROUP BY 1),
+    s AS (SELECT count(*) AS rows_read, count(*) FILTER (WHERE t IS NULL OR t >= TIMESTAMP '1996-01-01') AS rows_kept, count(*) FILTER (WHERE t IS NULL AND created_at IS NOT NULL) AS unparsable FROM r)
+    SELECT n AS table_name, rows_read, rows_kept, CASE WHEN n = 'dry' THEN 0 ELSE rows_kept END AS rows_written, rows_read - rows_kept AS rows_skipped, unparsable, (SELECT coalesce(string_agg(s, ', ' ORDER BY s), '') FROM m) AS samples FROM s, (VALUES ('copied'), ('dry')) v(n)""")
+def copy_summaries(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with their dates as texts, some of which are none, copied from a cutoff on, and tried out: each in one pass that
+    also gives the counts and some of the texts."""
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    text = F.when(key % 37 == 5, F.concat(F.lit("n/a "), (key % 11).cast("string"))).when(key % 41 != 7, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    path = _folder(spark, "copies")
+    o.select("o_orderkey", text.alias("created_at")).write.parquet(f"{path}/source")
+    done = {n: copy.copy_table(spark, f"{path}/source", f"{path}/target", datetime(1996, 1, 1), dry_run=n == "dry") for n in ("copied", "dry")}
+    return copy.summaries(done).withColumn("samples", F.array_join("samples", ", "))
+
+
+@query("catalogue_clones", """SELECT c.table_name, c.ordinal_position AS ordinal, c.column_name, n.rows FROM information_schema.columns c JOIN (SELECT 'nation' AS t, count(*) AS rows FROM nation UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
+    UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events) n ON n.t = c.table_name""")
+def catalogue_clones(spark: SparkSession, d: str) -> DataFrame:
+    """Given tables registered in a catalogue, their schemas cloned into another one, their rows copied there: the clones' columns
+    and rows. Tables of all known kinds are made beside them, once."""
+    names, tag = ("nation", "customer", "orders", "lineitem", "events"), uuid.uuid4().hex
+    given, clones = catalogue.database(spark, f"given_{tag}"), catalogue.database(spark, f"clones_{tag}")
+    for n in names:
+        source = catalogue.register(spark, given, n, f"{d}/{n}.parquet")
+        target = catalogue.clone_schema(spark, source, f"{clones}.{n}")
+        spark.table(source).write.insertInto(target)
+    catalogue.create_missing(spark, clones)
+    counts = [spark.table(f"{clones}.{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n in names]
+    rows = counts[0]
+    for c in counts[1:]:
+        rows = rows.unionByName(c)
+    return catalogue.columns(spark, clones).join(rows, "table_name").select("table_name", "ordinal", "column_name", "rows")
