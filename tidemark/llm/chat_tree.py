@@ -89,19 +89,18 @@ def _prefixes(turns: DataFrame) -> DataFrame:
 
 
 def _placed(prefixes: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """A table with cid, n_turns, shard and path of each distinct conversation, and (cid, leaf): the one that every conversation
-    is a copy of."""
+    """A table with cid, leaf, n_turns, shard and path of one conversation of each content, and (cid, leaf) of all: the leaf is named
+    by the content, so that copies need not be looked up."""
     ends = prefixes.groupBy("cid").agg((F.max("rank") + 1).alias("n_turns"), F.max_by(F.struct("p1", "p2"), "rank").alias("last"))
-    distinct = ends.groupBy("n_turns", "last").agg(F.min("cid").alias("leaf"))
-    same = distinct.select(F.col("n_turns").alias("_n"), F.col("last").alias("_last"), "leaf")
-    members = ends.join(same, (F.col("n_turns") == F.col("_n")) & (F.col("last") == F.col("_last"))).select("cid", "leaf")
-    own = prefixes.join(distinct.select(F.col("leaf").alias("_leaf")), F.col("cid") == F.col("_leaf"), "left_semi")
+    members = ends.select("cid", "n_turns", F.concat_ws(".", "n_turns", "last.p1", "last.p2").alias("leaf"))
+    distinct = members.groupBy("leaf", "n_turns").agg(F.min("cid").alias("cid"))
+    own = prefixes.join(distinct.select(F.col("cid").alias("_cid")), F.col("cid") == F.col("_cid"), "left_semi")
     shared = own.groupBy("rank", "p1", "p2").count().where("count > 1").select((F.col("rank") + 1).alias("_rank"), F.col("p1").alias("_p1"), F.col("p2").alias("_p2"))
     parent = (F.col("rank") == F.col("_rank")) & (F.col("p1").bitwiseXOR(F.col("h1")) == F.col("_p1")) & (F.col("p2").bitwiseXOR(F.col("h2")) == F.col("_p2"))
     forks = own.where("rank = 0").unionByName(own.join(shared, parent, "left_semi"))
     paths = forks.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("rank", "p1", "p2"))).alias("path"))
-    paths = paths.join(distinct.select(F.col("leaf").alias("cid"), "n_turns"), "cid")
-    return materialise(paths.repartitionByRange(shards, "path", "cid").withColumn("shard", F.spark_partition_id()), "paths"), members
+    paths = paths.join(distinct, "cid")
+    return materialise(paths.repartitionByRange(shards, "path", "cid").withColumn("shard", F.spark_partition_id()), "paths"), members.drop("n_turns")
 
 
 def _walk(tokenizer_path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +112,7 @@ def _walk(tokenizer_path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     rows: list[tuple] = []
     size = 0
     for batch in batches:
-        for s, c, cid, n_turns, role, shown, text, answer in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+        for s, c, leaf, n_turns, role, shown, text, answer in zip(*(col.to_pylist() for col in batch.columns), strict=True):
             if s != shard:
                 shard, conv, seq, stream = s, -1, 0, 0
                 stack.clear()
@@ -132,7 +131,7 @@ def _walk(tokenizer_path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
             _, parent, position, closed, a, b = stack[-1] if stack else (b"", None, 0, (), stream, stream)
             open_ = ((a, b),) if b > a else ()
             loss = (len(head), len(head) + len(body), len(parts[0]), len(parts[0]) + len(parts[1])) if answer else (None,) * 4
-            rows.append((s, seq, parent, rank, cid if last else None, head + body + foot, *loss[:2], ids, *loss[2:], position, stream, [{"start": x, "end": y} for x, y in closed + open_]))
+            rows.append((s, seq, parent, rank, leaf if last else None, head + body + foot, *loss[:2], ids, *loss[2:], position, stream, [{"start": x, "end": y} for x, y in closed + open_]))
             span = (closed, a, stream + len(ids)) if b == stream else (closed + open_, stream, stream + len(ids))
             stack.append((digest, seq, position + len(ids), *span))
             seq, stream, rank, size = seq + 1, stream + len(ids), rank + 1, size + len(text)
@@ -151,17 +150,17 @@ def _node_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def write_trees(convs: DataFrame, path: str, tokenizer_path: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> str:
-    """Writes path/nodes (NODES; shard and seq give the order, ends names the conversation that ends there) and
-    path/conversations (conv_col, leaf): the name in ends of each conversation's last node."""
+    """Writes path/nodes (NODES; shard and seq give the order, ends names the content that ends there) and path/conversations
+    (conv_col, leaf): the name in ends of each conversation's last node."""
     spark, shards = convs.sparkSession, shuffle_width(convs.sparkSession)
     turns = _turns(convs, conv_col, turn_col, role_col, text_col)
     prefixes = _prefixes(turns)
     paths, members = _placed(prefixes, shards)
-    placed = paths.select("cid", "n_turns", "shard", F.row_number().over(Window.partitionBy("shard").orderBy("path", "cid")).alias("conv"))
+    placed = paths.select("cid", "leaf", "n_turns", "shard", F.row_number().over(Window.partitionBy("shard").orderBy("path", "cid")).alias("conv"))
     names = convs.select(F.col(conv_col).alias("conv_id"), F.when(F.col(conv_col).isNull(), "-").otherwise(F.concat(F.lit("="), F.col(conv_col).cast("string"))).alias("cid")).distinct()
     names.join(members, "cid").select(F.col("conv_id").alias(conv_col), "leaf").write.parquet(f"{path}/conversations")
     rows = turns.join(placed, "cid").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "conv", "at", "role", "c1", "c2")
-    shown = rows.select("shard", "conv", "cid", "n_turns", "role", _role_out(F.col("role")).alias("shown"), escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("answer"))
+    shown = rows.select("shard", "conv", "leaf", "n_turns", "role", _role_out(F.col("role")).alias("shown"), escaped(F.col("text")).alias("text"), (F.col("role") == "assistant").alias("answer"))
     shown.mapInArrow(lambda batches: _walk(tokenizer_path, batches), NODES).write.parquet(f"{path}/nodes")
     discard(prefixes, paths)
     return path
