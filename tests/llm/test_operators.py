@@ -571,3 +571,17 @@ def test_exponent_meets_targets():
     w = mixing.tempered(shares, b)
     assert abs(max(x / s for x, s in zip(w, shares, strict=True)) / min(x / s for x, s in zip(w, shares, strict=True)) - 3) < 1e-6
     assert mixing.fit_exponent([1.0]) == 1.0 and mixing.fit_exponent([0.5, 0.5]) == 1.0
+
+
+def test_extract_pages_leaves_other_columns_alone(spark):
+    rows = [(9007199254740993, 1, "<p>one two three</p>"), (None, 2, None)]
+    pages = spark.createDataFrame(rows, "`page.id` long, _html int, html string").withColumn("s", F.struct(F.lit(1).alias("a b"), F.map_from_arrays(F.array(F.lit("k")), F.array(F.lit(2.5))).alias("m")))
+    got = sorted(html_extract.extract_pages(pages).collect(), key=lambda r: r["_html"])
+    assert [(r["page.id"], r["_html"], r["text"], r["n_chars"], r["s"]["a b"]) for r in got] == [(9007199254740993, 1, "one two three", 13, 1), (None, 2, "", 0, 1)]
+
+
+def test_cover_tree_bounds_scores_not_norms(spark):
+    rows = [(0, [3e7, 0.0]), (1, [0.0, 3e7]), (50, [1.0, 1.0])]
+    got = cover_tree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=5).collect()
+    n = int(3e7) * 256
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 50, n * 256), (0, 2, 1, 0), (50, 1, 0, n * 256), (50, 2, 1, n * 256)]

@@ -55,3 +55,61 @@ def test_run(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 30
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_repeats_are_far_apart(spark, tmp_path):
+    """A small source beside a large one is given out twice; its documents' copies are not neighbours."""
+    rows = [(k, words(f"d{k}x", 120) + ".", "en", "small" if k < 40 else "large", 0) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = materialise(corpus_pipeline.source_mixing(spark, docs, ""), "mixed")
+    times = Counter(r.doc_id for r in mixed.select("doc_id").collect())
+    repeated = {k for k, n in times.items() if n > 1}
+    assert len(repeated) >= 20 and set(times) == set(range(400))
+    pieces = corpus_pipeline.sequence_packing(spark, mixed, "").collect()
+    place = {s: n for n, s in enumerate(sorted({p.sequence_id for p in pieces}))}
+    starts = defaultdict(list)
+    for p in pieces:
+        if p.start == 0:
+            starts[p.doc_id].append(place[p.sequence_id])
+    assert {k: len(v) for k, v in starts.items()} == dict(times)
+    gaps = [max(starts[k]) - min(starts[k]) for k in repeated]
+    assert min(gaps) > 10 and sum(gaps) / len(gaps) > len(place) / 3
+    for s in place:
+        inside = sorted((p.offset, p.length) for p in pieces if p.sequence_id == s)
+        assert all(a + n == b for (a, n), (b, _) in zip(inside, inside[1:], strict=False)) and inside[0][0] == 0
+
+
+def odd_rows():
+    rows = [(k, words(f"o{k}x") + ".", "en", ["a", "b", None][k % 3], k, 100 + k, k) for k in range(12)]
+    rows += [(None, words("null1") + ".", "en", "a", None, 1, 1), (None, words("null2") + ".", None, None, None, 2, 2), (3, words("same id") + ".", "en", "b", 3, 3, 3)]
+    rows += [(20, words("twice") + ".", "en", "a", 4, 4, 4)] * 2 + [(21, None, "en", "a", 5, 5, 5), (22, "", "en", None, 6, 6, 6)]
+    return rows
+
+
+ODD_SCHEMA = "doc_id long, text string, lang string, source string, epoch long, `dotted.name` long, row long"
+
+
+def test_every_stage_takes_odd_rows_and_names(spark):
+    docs = spark.createDataFrame(odd_rows(), ODD_SCHEMA)
+    before = {(r["doc_id"], r["text"]): (r["epoch"], r["dotted.name"], r["row"]) for r in docs.collect()}
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        if name == "sequence_packing":
+            assert {r.doc_id for r in out.collect()} == {r[0] for r in odd_rows()}
+            continue
+        assert out.columns == docs.columns
+        rows = out.collect()
+        kept[name] = Counter((r["doc_id"], r["text"]) for r in rows)
+        assert all((r["epoch"], r["dotted.name"], r["row"]) == before[r["doc_id"], r["text"]] for r in rows)
+    texts = {r[1] for r in odd_rows()}
+    assert {t for _, t in kept["quality_rules"]} == texts - {None, ""} and kept["quality_rules"][20, words("twice") + "."] == 2
+    assert {t for _, t in kept["near_duplicates"]} == texts and kept["near_duplicates"][20, words("twice") + "."] == 1
+    assert kept["secret_scan"] == Counter((r[0], r[1]) for r in odd_rows())
+    assert set(kept["source_mixing"]) == {(r[0], r[1]) for r in odd_rows()}
+
+
+def test_every_stage_takes_no_rows(spark):
+    docs = spark.createDataFrame([], ODD_SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0

@@ -168,6 +168,8 @@ class _Best:
     def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self.packs:
             flat = [(q, p, s) for q, own in enumerate(self.rows) for s, p in own]
+            if any(abs(s) >= 2**63 for _, _, s in flat):
+                raise ValueError("a score does not fit a long: scale the vectors down")
             return tuple(np.array([x[n] for x in flat], np.int64) for n in range(3))
         q, col = np.nonzero(self.keys > self.low)
         keys = self.keys[q, col]
@@ -186,9 +188,9 @@ def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.nd
         return tuple(np.zeros(0, np.int64) for _ in range(3))
     q, d = qt.x, dt.x
     size = float(np.linalg.norm(q, axis=1).max() * np.linalg.norm(d, axis=1).max())
-    if size >= 2.0**63:
-        raise ValueError("a score may not fit a long: scale the vectors down")
-    whole = (q.astype(np.int64), d.astype(np.int64)) if size >= 2.0**52 else None  # float64 products are exact below
+    # float64 products are exact below 2**52; where a score may not fit a long, Python's integers are exact
+    kind = np.int64 if size < 2.0**62 else object
+    whole = (q.astype(np.int64).astype(kind), d.astype(np.int64).astype(kind)) if size >= 2.0**52 else None
     best = _Best(len(q), k, len(d), size)
     worst = np.full(len(q), floor)
 
@@ -223,7 +225,7 @@ def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.nd
 
     top = np.zeros(1, np.int64)
     q_leaves, d_leaves = (np.array([n for n, kids in enumerate(t.children) if not len(kids)]) for t in (qt, dt))
-    for i in q_leaves:
+    for i in q_leaves if size < 2.0**52 else ():  # beyond, a floor could be rounded up
         raise_floor(i)
     keep = bounds(qt, q_leaves, dt, d_leaves) >= np.array([needed(i) for i in q_leaves])[:, None]
     if 2 * (q_width[q_leaves][:, None] * d_width[d_leaves][None, :] * keep).sum() > len(q) * len(d):

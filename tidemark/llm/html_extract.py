@@ -20,13 +20,14 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 #: Fixed values of HTML: elements without content, with raw content, and blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object canvas textarea title select option button xmp noembed".split())
@@ -289,18 +290,13 @@ def extract(page: str | None) -> str:
     return text_of(main_node(parse(page))) if page else ""
 
 
+def _texts(pages: pa.Array) -> pa.Array:
+    return pa.array([extract(x) for x in pages.to_pylist()], pa.string())
+
+
 def extract_pages(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
-    """pages without html_col, with out_col and n_chars; one row for each page."""
+    """pages without html_col, with out_col and n_chars; one row for each page. Only the page's source goes through Python; all
+    other columns pass as they are, whatever their names and types."""
     others = [c for c in pages.columns if c not in (html_col, out_col, "n_chars")]
-    source = pages.select(*others, F.col(html_col).alias("_html"))
-    fields = [f for f in source.schema.fields if f.name != "_html"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{out_col}` string", "n_chars long"])
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [extract(x) for x in batch["_html"]]
-            out = batch.drop(columns="_html")
-            out[out_col], out["n_chars"] = texts, [len(t) for t in texts]
-            yield out
-
-    return source.mapInPandas(rows, schema)
+    p = packed(pages, html=F.col(html_col)).withColumn("extracted", F.arrow_udf(_texts, "string")("html"))
+    return unpacked(p, others, **{out_col: F.col("extracted"), "n_chars": F.length("extracted").cast("long")})

@@ -117,9 +117,9 @@ def source_weights(sources: DataFrame, budget: int | None = None, entropy_share:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 11,
-    block_rows: int = BLOCK_ROWS, tokens: Callable[[Column], Column] = token_count, **limits,
+    block_rows: int = BLOCK_ROWS, tokens: Callable[[Column], Column] = token_count, with_order: bool = True, **limits,
 ) -> DataFrame:
-    """docs' columns with epoch (from 0), block, turn (the block's place among its source's in that epoch), place (that of the
+    """docs' columns with, unless the order is left out, epoch (from 0), block, turn (the block's place among its source's in that epoch), place (that of the
     row in its block) and mix_key (0 to 1).
 
     Sizes are summed once, by source and hash; blocks are joins of hash cells. Prefix sums run over blocks, and inside the one
@@ -177,4 +177,4 @@ def mix(
     some = last.withColumn("given", F.coalesce(F.sum("tokens").over(within), F.lit(0))).where(F.col("start") + F.col("given") < F.col("most"))
     columns = ["row", "epoch", "block", "turn", "place", "mix_key"]
     out = whole.select(*columns).unionByName(some.select(*columns))
-    return unpacked(out, docs.columns, **{c: F.col(c) for c in columns[1:]})
+    return unpacked(out, docs.columns, **({c: F.col(c) for c in columns[1:]} if with_order else {}))

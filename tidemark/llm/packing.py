@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -95,14 +95,23 @@ def unpack_ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4", offset=1) if len(raw) % 2 else np.frombuffer(raw, "<u2").astype("<u4")
 
 
-def pack_sequences(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece (PIECE_SCHEMA); sequence_id is unique, not gapless."""
+def pack_sequences(docs: DataFrame, tokenizer_path: str, end_id: int, length: int = 1024, id_col: str = "doc_id", text_col: str = "text", repeats_apart: bool = False) -> DataFrame:
+    """One row per piece (PIECE_SCHEMA); sequence_id is unique, not gapless.
+
+    repeats_apart: documents that come several times (the same id and ids, as mixing gives them out in epochs) are neighbours on
+    the curve. Their second rows are packed among themselves, behind the first ones, in sequences with larger numbers than all
+    of those, and so on: in order of sequence_id a repeat is a pass over the corpus away from the one before.
+    """
     table = materialise(tokenise_with_keys(docs, tokenizer_path, end_id, id_col, text_col), "curve")
-    ranged = table.repartitionByRange(shuffle_width(docs.sparkSession), "hkey", "doc_id", "doc_tokens")
-    ordered = ranged.sortWithinPartitions("hkey", "doc_id", "ids")  # a task that runs again cuts the same pieces
+    keys = ["hkey", "doc_id", "doc_tokens"]
+    ranged = table.repartitionByRange(shuffle_width(docs.sparkSession), *keys).withColumn("epoch", F.lit(0))
+    if repeats_apart:  # ranges of the keys hold all rows of a key, so this window moves nothing
+        ranged = ranged.withColumn("epoch", F.row_number().over(Window.partitionBy(*keys, "ids").orderBy("ids")) - 1)
+    ordered = ranged.sortWithinPartitions("epoch", "hkey", "doc_id", "ids")  # a task that runs again cuts the same pieces
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sequence, room = TaskContext.get().partitionId() << 40, length
+        first, epoch = TaskContext.get().partitionId() << 32, 0
+        sequence, room = first, length
         held: list[list] = []  # pieces of the open sequence, with their bytes
         done: list[tuple] = []
 
@@ -110,8 +119,27 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, end_id: int, length: in
             done.extend(tuple(p[:-1]) for p in held)
             held.clear()
 
+        def tail() -> None:
+            """The open sequence, cut into lengths that are powers of two."""
+            nonlocal sequence
+            left = length - room
+            size, offset = 1 << max(left.bit_length() - 1, 0), 0
+            for doc, start, take, _, n, _, _, data in held:
+                while take:
+                    if offset == size:
+                        left, offset, sequence = left - size, 0, sequence + 1
+                        size = 1 << (left.bit_length() - 1)
+                    k = min(take, size - offset)
+                    done.append((doc, start, k, zlib.crc32(data[: 4 * k]), n, sequence, offset))
+                    start, take, data, offset = start + k, take - k, data[4 * k :], offset + k
+            held.clear()
+
         for batch in batches:
-            for doc_id, raw in zip(batch["doc_id"], batch["ids"], strict=True):
+            for doc_id, raw, turn in zip(batch["doc_id"], batch["ids"], batch["epoch"], strict=True):
+                if turn != epoch:
+                    tail()
+                    epoch, room = int(turn), length
+                    sequence = (epoch << 52) | first
                 ids = unpack_ids(raw)
                 data, n, start = ids.tobytes(), len(ids), 0
                 doc = None if pd.isna(doc_id) else int(doc_id)
@@ -126,21 +154,11 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, end_id: int, length: in
             if len(done) >= 20_000:
                 yield _piece_frame(done)
                 done.clear()
-        left = length - room
-        size = 1 << max(left.bit_length() - 1, 0)
-        offset = 0
-        for doc, start, take, crc, n, _, _, part in held:  # the range's tail, in powers of two
-            while take:
-                if offset == size:
-                    left, offset, sequence = left - size, 0, sequence + 1
-                    size = 1 << (left.bit_length() - 1)
-                k = min(take, size - offset)
-                done.append((doc, start, k, zlib.crc32(part[: 4 * k]), n, sequence, offset))
-                start, take, part, offset = start + k, take - k, part[4 * k :], offset + k
+        tail()
         if done:
             yield _piece_frame(done)
 
-    return ordered.select("doc_id", "ids").mapInPandas(pieces, PIECE_SCHEMA)
+    return ordered.select("doc_id", "ids", "epoch").mapInPandas(pieces, PIECE_SCHEMA)
 
 
 def _piece_frame(rows: list[tuple]) -> pd.DataFrame:

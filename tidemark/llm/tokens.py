@@ -43,9 +43,9 @@ def _byte_letters() -> dict[int, str]:
 class _Memory(dict):
     """piece -> ids as bytes; a miss asks the older half, then the tokenizer."""
 
-    def __init__(self, encode, most: int = MAX_PIECES):
+    def __init__(self, encode, most: int | None = None):
         super().__init__()
-        self.encode, self.most, self.older = encode, most, {}
+        self.encode, self.most, self.older = encode, most or MAX_PIECES, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
