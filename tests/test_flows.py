@@ -9,8 +9,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cascade, coverage, fill
-from tidemark.sources import api, catalogue, copy, fx, pages, stored, tables
+from tidemark.functions import scalars, timeutil
+from tidemark.operators import cascade, coverage, fill, rollup
+from tidemark.sources import api, catalogue, copy, fx, negative_cache, pages, stored, tables
 from tidemark.streaming import carry, late
 
 T0 = datetime(2024, 1, 1)
@@ -343,3 +344,47 @@ def test_catalogue(spark, tmp_path):
     clone = catalogue.clone_schema(spark, catalogue.register(spark, db, "given", str(tmp_path / "x")), f"{db}.clone")
     assert spark.table(clone).count() == 0 and spark.table(clone).columns == ["id"] and spark.table(f"{db}.given").count() == 3
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+# ---- small state and scalars of runs
+
+
+def test_coverage_against_stored_totals(spark):
+    rows = [(at(k), "ALL", float(v)) for k, v in enumerate([100, 80, 60, 50, 90])]
+    totals = spark.createDataFrame(rows, "slot timestamp_ntz, category string, market_cap double")
+    kept = totals.where(F.col("slot").isin(at(0), at(3)))
+    got = {r["slot"]: (r["prev_slot"], r["prev_all"], r["coverage_ratio"], r["drop_pct"]) for r in rollup.coverage_against_stored(totals, kept).collect()}
+    assert got[at(0)][1] is None and got[at(0)][2] is None
+    assert got[at(1)] == (at(0), 100.0, 0.8, pytest.approx(0.2)) and got[at(3)][:3] == (at(0), 100.0, 0.5)  # its own stored total doesn't count
+    assert got[at(4)][:3] == (at(3), 50.0, 1.8) and got[at(4)][3] == 0.0
+
+
+def test_negative_cache(spark, tmp_path):
+    path = f"file://{tmp_path}/cache"
+    assert negative_cache.read(spark, path).count() == 0
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    negative_cache.append(ids("a", " b ", "", None), path)
+    negative_cache.append(ids("b", "c"), path)
+    assert sorted(r["id"] for r in negative_cache.read(spark, path).collect()) == ["a", "b", "c"]
+    assert spark.read.text(path).count() == 3
+    assert sorted(str(r["id"]) for r in negative_cache.without_known(ids("a", "d", None), path).collect()) == ["None", "d"]
+
+
+def test_whole_slots_and_hours(spark):
+    rows = [(at(0, 1), at(2, 5)), (at(1), at(3)), (at(1, 55), at(2, 5)), (at(2), at(1))]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(timeutil.whole_slots(F.col("a"), F.col("b")), timeutil.whole_hours(F.col("a"), F.col("b"))).collect()
+    assert got[0][0][0] == at(0, 10) and got[0][0][-1] == at(1, 50) and got[0][1] == [at(1)]
+    assert got[1][1] == [at(1), at(2)] and len(got[1][0]) == 12
+    assert got[2][0] == [] and got[2][1] == [] and got[3][0] == [] and got[3][1] == []
+
+
+def test_metrics_texts(spark):
+    texts = ['{"b": 1, "a": "x"}', '{"errors": 2, "wrote": 3, "zz": 1, "coins": 9, "api_failures": 0, "missing_slots": 4}', "[1]", "nonsense", "", None, "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(scalars.metrics_preview(scalars.metrics_of(F.col("t")))).collect()]
+    assert got == ["a=x, b=1", "coins=9, wrote=3, missing_slots=4, api_failures=0", "-", "-", "-", "-", "-"]
+    m = F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), F.lit("2"))
+    assert spark.range(1).select(scalars.metrics_dump(m), scalars.metrics_dump(F.lit(None).cast("map<string,string>"))).first()[:] == ('{"a":"2","b":"1"}', "{}")
+    long = F.create_map(F.lit("k"), F.repeat(F.lit("x"), 20_000))
+    assert len(spark.range(1).select(scalars.metrics_dump(long)).first()[0]) == scalars.MAX_METRICS_JSON

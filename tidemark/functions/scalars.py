@@ -104,3 +104,27 @@ def popcount(bits: Column) -> Column:
     """Bits set in a hexadecimal bitmap."""
     digit = F.transform(F.filter(F.split(bits, ""), lambda c: c != ""), lambda c: F.bit_count(F.conv(c, 16, 10).cast("int")))
     return F.aggregate(digit, F.lit(0).cast("long"), lambda z, n: z + n)
+
+
+#: Metrics that a preview names first, and the most characters of a dump.
+PREFERRED_METRICS = ("coins", "coins_scoped", "wrote", "wrote_10m", "wrote_hourly", "wrote_daily", "wrote_monthly", "wrote_live", "wrote_rolling", "wrote_mcap", "missing_slots", "api_failures", "errors")
+MAX_METRICS_JSON = 16_000
+
+
+def metrics_dump(metrics: Column) -> Column:
+    """A map of metrics as compact JSON text with sorted keys, cut where it is too long; none gives {}."""
+    ordered = F.map_from_entries(F.array_sort(F.map_entries(metrics)))
+    return F.coalesce(F.substring(F.to_json(ordered), 1, MAX_METRICS_JSON), F.lit("{}"))
+
+
+def metrics_of(text: Column) -> Column:
+    """The metrics of a dump, as texts; an empty map where the text is null, blank or no JSON object."""
+    return F.coalesce(F.from_json(F.trim(text), "map<string,string>"), F.create_map().cast("map<string,string>"))
+
+
+def metrics_preview(metrics: Column, most: int = 4) -> Column:
+    """key=value of up to four metrics: the preferred ones that are there, in their order; without any, the first by name."""
+    named = F.filter(F.array(*map(F.lit, PREFERRED_METRICS)), lambda k: F.map_contains_key(metrics, k))
+    keys = F.when(F.size(named) > 0, named).otherwise(F.array_sort(F.map_keys(metrics)))
+    shown = F.transform(F.slice(keys, 1, most), lambda k: F.concat(k, F.lit("="), F.coalesce(F.try_element_at(metrics, k), F.lit("None"))))
+    return F.when(F.size(shown) > 0, F.array_join(shown, ", ")).otherwise("-")

@@ -33,6 +33,30 @@ def floor_hour(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
+def ceil_hour(ts: Column) -> Column:
+    down = floor_hour(ts)
+    return F.when(down < ts, plus_minutes(down, 60)).otherwise(down)
+
+
+def whole_slots(start: Column, end: Column, minutes: int = SLOT_MINUTES) -> Column:
+    """Starts of the slots that lie wholly in [start, end): the first one due, up to the last one over. Empty if there is none."""
+    step = F.expr(f"interval {minutes} minutes")
+    first, last = ceil_slot(start, minutes), floor_slot(end, minutes)
+    return F.when(first < last, F.sequence(first, last - step, step)).otherwise(F.array().cast("array<timestamp_ntz>"))
+
+
+def whole_hours(start: Column, end: Column) -> Column:
+    """Starts of the hours that lie wholly in [start, end)."""
+    step = F.expr("interval 1 hour")
+    first, last = ceil_hour(start), floor_hour(end)
+    return F.when(first < last, F.sequence(first, last - step, step)).otherwise(F.array().cast("array<timestamp_ntz>"))
+
+
+def last_days(last: Column, days: int) -> Column:
+    """So many days up to and with the last one."""
+    return F.sequence(F.date_sub(last, days - 1), last)
+
+
 def minutes_between(late: Column, early: Column) -> Column:
     return F.floor((_micros(late) - _micros(early)) / 60_000_000).cast("long")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import category_or_other
+from tidemark.operators.fill import asof
 
 ALL = "ALL"
 
@@ -40,19 +41,30 @@ def min_contributors(top_n: int, share: float = 0.7) -> Column:
     return F.bround(F.lit(share * top_n)).cast("int")
 
 
-def v_shapes(all_rows: DataFrame, drop: float = 0.07, floor: float = 50e9, slot: str = "slot", key: str | None = None) -> DataFrame:
-    """Slots whose total falls by the share and the amount from the slot before and comes back in the next one."""
-    w = Window.partitionBy(key).orderBy(slot) if key else Window.orderBy(slot)
+def v_shapes(all_rows: DataFrame, drop: float = 0.07, floor: float = 50e9, slot: str = "slot", *, key: str) -> DataFrame:
+    """Slots whose total falls by the share and the amount from the slot before and comes back in the next one, by key."""
+    w = Window.partitionBy(key).orderBy(slot)
     prev, nxt, cur = F.lag("market_cap").over(w), F.lead("market_cap").over(w), F.col("market_cap")
     deep = lambda other: (other > 0) & ((other - cur) / other >= drop) & ((other - cur) >= floor)
     return all_rows.withColumn("prev_cap", prev).withColumn("next_cap", nxt).withColumn("v_shape", F.coalesce(deep(prev) & deep(nxt), F.lit(False)))
 
 
-def coverage_against_previous(all_rows: DataFrame, slot: str = "slot", key: str | None = None) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(slot) if key else Window.orderBy(slot)
-    prev = F.lag("market_cap").over(w)
-    ratio = F.when(prev > 0, F.col("market_cap") / prev)
-    return all_rows.withColumn("prev_all", prev).withColumn("coverage_ratio", ratio).withColumn("drop_pct", F.greatest(1 - ratio, F.lit(0.0)))
+def _against(rows: DataFrame) -> DataFrame:
+    ratio = F.when(F.col("prev_all") > 0, F.col("market_cap") / F.col("prev_all"))
+    return rows.withColumn("coverage_ratio", ratio).withColumn("drop_pct", F.greatest(1 - ratio, F.lit(0.0)))
+
+
+def coverage_against_previous(all_rows: DataFrame, slot: str = "slot", *, key: str) -> DataFrame:
+    """Each total against that of the slot before among the rows themselves."""
+    return _against(all_rows.withColumn("prev_all", F.lag("market_cap").over(Window.partitionBy(key).orderBy(slot))))
+
+
+def coverage_against_stored(all_rows: DataFrame, stored: DataFrame, slot: str = "slot", *, key: str = "category") -> DataFrame:
+    """Each total against the last one that is stored before its slot, however long ago; decisions on new slots come before any of
+    them is stored, so none sees another. A total with none before it, or a zero one, has no ratio."""
+    before = stored.select(F.col(key), F.col(slot).alias("_at"), "market_cap")
+    seen = asof(all_rows, before, key, slot, "_at", ["market_cap"]).withColumnRenamed("asof_market_cap", "prev_all").withColumnRenamed("asof_time", "prev_slot")
+    return _against(seen)
 
 
 def slot_decision(has_data: Column, required_ok: Column, v_shape: Column, coverage: Column, prev: Column, low_count: Column, min_coverage: float = 0.90, carry_low: bool = False) -> Column:

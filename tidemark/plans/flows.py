@@ -8,14 +8,14 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import rounded
-from tidemark.functions.scratch import shared_dir
-from tidemark.functions.timeutil import plus_minutes, slot_index
+from tidemark.functions.scalars import metrics_dump, metrics_of, metrics_preview, rounded
+from tidemark.functions.scratch import pinned, shared_dir
+from tidemark.functions.timeutil import last_days, plus_minutes, slot_index, whole_hours, whole_slots
 from tidemark.operators import cascade, coverage
 from tidemark.operators.ordering import ranged, with_position
 from tidemark.plans.base import bars_10m, live, query, table, ticks
 from tidemark.plans.series import SPINE, STORED
-from tidemark.sources import api, catalogue, copy, fx, pages, stored
+from tidemark.sources import api, catalogue, copy, fx, negative_cache, pages, stored
 from tidemark.sources.tables import replace_partitions
 from tidemark.streaming import carry, late
 
@@ -272,3 +272,52 @@ def catalogue_clones(spark: SparkSession, d: str) -> DataFrame:
     for c in counts[1:]:
         rows = rows.unionByName(c)
     return catalogue.columns(spark, clones).join(rows, "table_name").select("table_name", "ordinal", "column_name", "rows")
+
+
+# ---- small state and scalars of runs
+
+
+@query("negative_cache_runs", """WITH u AS (SELECT DISTINCT user_id FROM events WHERE event_type <> 'view'), c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey, user_id IS NULL AS none FROM customer LEFT JOIN u ON u.user_id = c_custkey)
+    SELECT id, CASE WHEN none AND c_custkey % 2 = 0 THEN 1 WHEN none THEN 2 END AS cached_in, NOT none AS asked_in_3 FROM c""")
+def negative_cache_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs ask for customers (those of even numbers, then all that aren't known to have nothing) and note those without events;
+    a third one asks for the rest only. When each customer was noted, and whether the third run asks for it."""
+    ids = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_custkey").cast("string").alias("id"))
+    have = table(spark, d, "events").where("event_type <> 'view'").select(F.col("user_id").cast("string").alias("id")).distinct()
+    path, noted = _folder(spark, "no-data"), []
+    for run, asked in ((1, ids.where("key % 2 = 0")), (2, ids)):
+        asked = negative_cache.without_known(asked, path)
+        negative_cache.append(asked.join(have, "id", "left_anti"), path)
+        noted.append(pinned(negative_cache.read(spark, path)).withColumn("run", F.lit(run)))  # as it is now
+    first = noted[0].unionByName(noted[1]).groupBy("id").agg(F.min("run").alias("cached_in"))
+    left = negative_cache.without_known(ids, path).select("id", F.lit(True).alias("_asked"))
+    return ids.join(first, "id", "left").join(left, "id", "left").select("id", "cached_in", F.coalesce("_asked", F.lit(False)).alias("asked_in_3"))
+
+
+@query("calendar_sequences", """WITH u AS (SELECT CAST(user_id AS VARCHAR) AS id, min(ts) AS a, min(ts) + INTERVAL 1 MINUTE * CAST(count(*) * 37 AS INT) AS b FROM events GROUP BY 1),
+    s AS (SELECT id, 'slot' AS kind, unnest(generate_series(CASE WHEN time_bucket(INTERVAL '10 minutes', a) < a THEN time_bucket(INTERVAL '10 minutes', a) + INTERVAL 10 MINUTE ELSE a END, time_bucket(INTERVAL '10 minutes', b) - INTERVAL 10 MINUTE, INTERVAL 10 MINUTE)) AS starts FROM u),
+    h AS (SELECT id, 'hour' AS kind, unnest(generate_series(CASE WHEN date_trunc('hour', a) < a THEN date_trunc('hour', a) + INTERVAL 1 HOUR ELSE a END, date_trunc('hour', b) - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS starts FROM u),
+    d AS (SELECT id, 'day' AS kind, CAST(unnest(generate_series(CAST(b AS DATE) - 2, CAST(b AS DATE), INTERVAL 1 DAY)) AS TIMESTAMP) AS starts FROM u)
+    SELECT id, kind, CAST(starts AS TIMESTAMP) AS starts FROM (SELECT * FROM s UNION ALL SELECT * FROM h UNION ALL SELECT * FROM d)""")
+def calendar_sequences(spark: SparkSession, d: str) -> DataFrame:
+    """The whole slots and hours of a window of each user, and the three days up to its end."""
+    u = table(spark, d, "events").groupBy(F.col("user_id").cast("string").alias("id")).agg(F.min("ts").alias("a"), F.count(F.lit(1)).alias("n"))
+    u = u.withColumn("b", plus_minutes(F.col("a"), F.col("n") * 37)).withColumn("a", F.col("a").cast("timestamp_ntz"))
+    days = F.transform(last_days(F.to_date("b"), 3), lambda x: x.cast("timestamp_ntz"))
+    parts = {"slot": whole_slots(F.col("a"), F.col("b")), "hour": whole_hours(F.col("a"), F.col("b")), "day": days}
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("starts")) for k, v in parts.items()])
+    return u.select("id", F.inline(kinds)).select("id", "kind", F.explode("starts").alias("starts"))
+
+
+@query("metrics_dump_preview", """SELECT event_id, '{"a_value":"' || CAST(event_id % 7 AS VARCHAR) || '","errors":"' || CAST(event_id % 3 AS VARCHAR) || '","wrote":"' || CAST(user_id AS VARCHAR) || '"}' AS dump,
+    CASE WHEN event_id % 5 = 0 THEN '-' WHEN event_id % 5 = 1 THEN 'a_value=' || CAST(event_id % 7 AS VARCHAR) || ', b_value=x' ELSE 'wrote=' || CAST(user_id AS VARCHAR) || ', errors=' || CAST(event_id % 3 AS VARCHAR) END AS preview FROM events""")
+def metrics_dump_preview(spark: SparkSession, d: str) -> DataFrame:
+    """Metrics of a run dumped with sorted keys, and the preview of what a stored text holds: broken texts give none, texts
+    without a preferred metric their first ones."""
+    text = lambda c: c.cast("string")
+    k = F.col("event_id")
+    metrics = F.create_map(F.lit("wrote"), text(F.col("user_id")), F.lit("a_value"), text(k % 7), F.lit("errors"), text(k % 3))
+    dump = metrics_dump(metrics)
+    other = F.concat(F.lit('{"b_value": "x", "a_value": '), text(k % 7), F.lit("}"))
+    stored_text = F.when(k % 5 == 0, F.when(k % 2 == 0, "{broken").when(k % 3 == 0, "  ")).when(k % 5 == 1, other).otherwise(dump)
+    return table(spark, d, "events").select("event_id", dump.alias("dump"), metrics_preview(metrics_of(stored_text)).alias("preview"))

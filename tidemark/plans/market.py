@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars
 from tidemark.functions.timeutil import floor_hour, floor_slot, lock_bucket, next_month_start, parse_time, slot_index, year_month
 from tidemark.operators import audit, merge, provenance, rollup, universe
+from tidemark.operators.ordering import ranged, with_position
 from tidemark.plans.base import bars_10m, daily, live, query, table, ticks
 
 LIVE_OUT = ("id", "market_cap_rank", "market_cap")
@@ -57,9 +58,13 @@ def rank_dedupe_keep_latest(spark: SparkSession, d: str) -> DataFrame:
     return universe.unique_ranks(live(spark, d)).select("id", "market_cap_rank", "demoted")
 
 
-@query("unranked_sentinel_sort", "WITH {LIVE} SELECT id, CAST(CASE WHEN market_cap_rank > 0 THEN market_cap_rank ELSE 2000000000 END AS INT) AS sort_rank FROM live")
+@query("unranked_sentinel_sort", """WITH {LIVE}, s AS (SELECT id, key, CAST(CASE WHEN market_cap_rank > 0 THEN market_cap_rank ELSE 2000000000 END AS INT) AS sort_rank FROM live)
+    SELECT id, sort_rank, row_number() OVER (ORDER BY sort_rank, key) - 1 AS position FROM s""")
 def unranked_sentinel_sort(spark: SparkSession, d: str) -> DataFrame:
-    return live(spark, d).select("id", universe.unranked_last(F.col("market_cap_rank")).alias("sort_rank"))
+    """Assets in order of rank, unranked ones last, with their place in it; the order is cut into ranges."""
+    rows = live(spark, d).select("id", "key", universe.unranked_last(F.col("market_cap_rank")).alias("sort_rank"))
+    order = ["sort_rank", "key"]
+    return with_position(ranged(rows, order, "_range"), "_range", order, "position").select("id", "sort_rank", "position")
 
 
 @query("new_entrants", """WITH {LIVE}, f AS (SELECT CAST(user_id AS VARCHAR) AS id, CAST(min(ts) AS DATE) AS first_day FROM events GROUP BY 1)
@@ -140,6 +145,18 @@ def prev_slot_coverage(spark: SparkSession, d: str) -> DataFrame:
     return out.select("category", "slot", "prev_all", F.round("coverage_ratio", 6).alias("coverage_ratio"), F.round(drop, 6).alias("drop_pct"))
 
 
+@query("stored_all_coverage", "WITH {LIVE}, " + HOURLY_ROWS + """, a AS (SELECT slot, round(market_cap, 4) AS market_cap, contributors FROM totals WHERE category = 'ALL'), st AS (SELECT slot, market_cap FROM a WHERE contributors % 3 <> 0),
+    j AS (SELECT a.slot, a.market_cap, st.slot AS prev_slot, st.market_cap AS prev_all FROM a ASOF LEFT JOIN st ON a.slot > st.slot) SELECT slot, prev_slot, prev_all, round(CASE WHEN prev_all > 0 THEN market_cap / prev_all END, 6) AS coverage_ratio,
+    round(greatest(1 - CASE WHEN prev_all > 0 THEN market_cap / prev_all END, 0.0), 6) AS drop_pct FROM j""")
+def stored_all_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Each hour's grand total against the last one that was stored before it; hours whose number of contributors is a multiple of
+    three were not stored."""
+    t = _totals(spark, d).where("category = 'ALL'").select("slot", "category", F.round("market_cap", 4).alias("market_cap"), "contributors")
+    out = rollup.coverage_against_stored(t, t.where("contributors % 3 <> 0"))
+    drop = F.when(F.col("prev_all") > 0, F.col("drop_pct"))
+    return out.select("slot", "prev_slot", "prev_all", F.round("coverage_ratio", 6).alias("coverage_ratio"), F.round(F.when(F.col("prev_all").isNotNull(), F.coalesce(drop, F.lit(0.0))).otherwise(0.0), 6).alias("drop_pct"))
+
+
 REQUIRED = "req AS (SELECT slot, bool_or(id = '1') AND bool_or(id = '2') AS ok FROM rows_ GROUP BY 1)"
 
 
@@ -280,9 +297,9 @@ def upsert_merge(spark: SparkSession, d: str) -> DataFrame:
 def partial_bar_merge(spark: SparkSession, d: str) -> DataFrame:
     """A live quote folded into the stored partial candle of its slot."""
     b = bars_10m(spark, d)
-    q = b.where("point_count = 1").select("id", "bucket", (F.col("close") + 1).alias("p"), F.expr("last_updated + interval 1 minute").alias("t"))
-    o, h, lo, c, p = (F.col(x) for x in ("open", "high", "low", "close", "p"))
-    return b.join(q, ["id", "bucket"], "left").select("id", "bucket", "open", F.when(p.isNotNull(), F.greatest(h, lo, c, o, p)).otherwise(h).alias("high"), F.when(p.isNotNull(), F.least(h, lo, c, o, p)).otherwise(lo).alias("low"), F.coalesce(p, c).alias("close"), F.greatest("last_updated", "t").alias("last_updated"))
+    q = b.where("point_count = 1").select("id", "bucket", (F.col("close") + 1).alias("price"), F.expr("last_updated + interval 1 minute").alias("at"))
+    folded = merge.fold_quote(b.withColumn("candle_source", F.lit("10m_partial")), q, ["id", "bucket"])
+    return folded.select("id", "bucket", "open", "high", "low", "close", "last_updated")
 
 
 @query("relabel_sources", """WITH {TICKS} SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN candle_source WHEN coalesce(candle_source, '') LIKE '%repair_api%' THEN 'legacy_api' ELSE 'legacy_non_api' END AS candle_source FROM ticks""")

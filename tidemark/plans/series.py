@@ -73,14 +73,15 @@ def api_points_min2_daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("live_overlay_partial", """WITH {TICKS}, {BARS}, last_bar AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY id ORDER BY bucket DESC) = 1),
-    q AS (SELECT event_type AS id, max(value) AS price, max(ts) AS t FROM events WHERE event_id % 2 = 0 GROUP BY 1)
+    q AS (SELECT event_type AS id, max(value) AS price, max(ts) - INTERVAL 1 HOUR * CAST(length(event_type) % 2 AS INT) AS t FROM events GROUP BY 1)
     SELECT b.id, bucket, open, CASE WHEN t >= bucket THEN greatest(high, low, close, open, price) ELSE high END AS high, CASE WHEN t >= bucket THEN least(high, low, close, open, price) ELSE low END AS low,
     CASE WHEN t >= bucket THEN price ELSE close END AS close, point_count, CASE WHEN t >= bucket THEN greatest(last_updated, CASE WHEN t < bucket + INTERVAL 10 MINUTE THEN t ELSE bucket + INTERVAL 599 SECOND END) ELSE last_updated END AS last_updated,
     CASE WHEN t >= bucket THEN 'live_partial' ELSE '10m_partial' END AS candle_source FROM last_bar b LEFT JOIN q ON b.id = q.id""")
 def live_overlay_partial(spark: SparkSession, d: str) -> DataFrame:
     b = bars_10m(spark, d)
     last = b.groupBy("id").agg(F.max_by(F.struct(*b.columns), F.col("bucket")).alias("m")).select("m.*")
-    quotes = table(spark, d, "events").where("event_id % 2 = 0").groupBy(F.col("event_type").alias("id")).agg(F.max("value").alias("price"), F.max("ts").alias("last_updated"))
+    late = F.make_dt_interval(hours=F.length("event_type") % 2)  # the quotes of some ids are an hour old
+    quotes = table(spark, d, "events").groupBy("event_type").agg(F.max("value").alias("price"), F.max("ts").alias("t")).select(F.col("event_type").alias("id"), "price", (F.col("t") - late).alias("last_updated"))
     end = F.col("bucket") + F.expr("interval 10 minutes")
     return bars.overlay_live(last, quotes, F.col("bucket"), end).drop(*bars.METRICS)
 
@@ -361,21 +362,22 @@ def watermark_catchup(spark: SparkSession, d: str) -> DataFrame:
     return t.withColumn("catchup_start", F.greatest(plus_minutes(floor_hour(F.col("watermark")), 60), plus_minutes(now, -48 * 60)))
 
 
-@query("latest_snapshot_three_sources", """WITH {TICKS}, {BARS}, a AS (SELECT id, max(bucket) AS "at", arg_max(close, bucket) AS close, 0 AS p FROM bars WHERE id <> 'view' GROUP BY 1),
-    h AS (SELECT id, max(date_trunc('hour', bucket)) AS "at", arg_max(close, bucket) AS close, 1 AS p FROM bars GROUP BY 1), dd AS (SELECT id, CAST(max(CAST(bucket AS DATE)) AS TIMESTAMP) + INTERVAL '23 hours 59 minutes' AS "at", arg_max(close, bucket) AS close, 2 AS p FROM bars WHERE id <> 'error' AND bucket < TIMESTAMP '2024-01-20' GROUP BY 1),
+@query("latest_snapshot_three_sources", """WITH {TICKS}, {BARS}, a AS (SELECT id, max(bucket) AS "at", arg_max(close, bucket) AS close, 0 AS p FROM bars WHERE point_count > 1 GROUP BY 1),
+    h AS (SELECT id, max(date_trunc('hour', bucket)) AS "at", arg_max(close, bucket) AS close, 1 AS p FROM bars GROUP BY 1), dd AS (SELECT id, CAST(max(CAST(bucket AS DATE)) AS TIMESTAMP) + INTERVAL '23 hours 59 minutes' AS "at", arg_max(close, bucket) AS close, 2 AS p FROM bars WHERE extract(day FROM bucket) % 2 = length(id) % 2 GROUP BY 1),
     u AS (SELECT * FROM a UNION ALL SELECT * FROM h UNION ALL SELECT * FROM dd) SELECT id, "at", close, p AS priority FROM u QUALIFY row_number() OVER (PARTITION BY id ORDER BY "at" DESC, p) = 1""")
 def latest_snapshot_three_sources(spark: SparkSession, d: str) -> DataFrame:
     b = bars_10m(spark, d)
     one = lambda rows, at, p: rows.groupBy("id").agg(F.max(at).alias("at"), F.max_by("close", "bucket").alias("close")).withColumn("priority", F.lit(p))
     end = (F.to_date("bucket").cast("timestamp_ntz") + F.expr("interval 1439 minutes"))
-    u = one(b.where("id <> 'view'"), F.col("bucket"), 0).unionByName(one(b, floor_hour(F.col("bucket")), 1)).unionByName(one(b.where((F.col("id") != "error") & (F.col("bucket") < F.lit(datetime(2024, 1, 20)))), end, 2))
+    u = one(b.where("point_count > 1"), F.col("bucket"), 0).unionByName(one(b, floor_hour(F.col("bucket")), 1)).unionByName(one(b.where(F.dayofmonth("bucket") % 2 == F.length("id") % 2), end, 2))
     return u.groupBy("id").agg(F.max_by(F.struct("at", "close", "priority"), F.struct("at", -F.col("priority"))).alias("m")).select("id", "m.*")
 
 
-@query("rolling_vs_stored_mismatch", """WITH {TICKS}, {BARS}, r AS (SELECT id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, arg_max(price, ts) AS price FROM ticks WHERE event_id % 3 <> 0 GROUP BY 1, 2)
+@query("rolling_vs_stored_mismatch", """WITH {TICKS}, {BARS}, r AS (SELECT id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, arg_max(CASE WHEN event_id % 3 = 0 THEN price * 1.001 ELSE price END, ts) AS price FROM ticks GROUP BY 1, 2)
     SELECT b.id, count(*) AS overlap, count(*) FILTER (WHERE abs(b.close - r.price) > 1e-10 * greatest(abs(b.close), abs(r.price))) AS mismatches FROM bars b JOIN r USING (id, bucket) GROUP BY 1""")
 def rolling_vs_stored_mismatch(spark: SparkSession, d: str) -> DataFrame:
-    r = ticks(spark, d).where("event_id % 3 <> 0").groupBy("id", floor_slot(F.col("ts")).alias("bucket")).agg(F.max_by("price", "ts").alias("price"))
+    rolling = F.when(F.col("event_id") % 3 == 0, F.col("price") * 1.001).otherwise(F.col("price"))  # what was seen live differs in places
+    r = ticks(spark, d).groupBy("id", floor_slot(F.col("ts")).alias("bucket")).agg(F.max_by(rolling, "ts").alias("price"))
     j = bars_10m(spark, d).join(r, ["id", "bucket"])
     apart = F.abs(F.col("close") - F.col("price")) > 1e-10 * F.greatest(F.abs("close"), F.abs("price"))
     return j.groupBy("id").agg(F.count(F.lit(1)).alias("overlap"), F.count_if(apart).alias("mismatches"))

@@ -186,15 +186,15 @@ def partial_merge_skips_final(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("heal_last_slots", """WITH {TICKS}, st AS (SELECT id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, arg_max_null(candle_source, ts) AS candle_source, arg_max_null(point_count, ts) AS point_count FROM ticks GROUP BY 1, 2),
-    pts AS (SELECT id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, count(*) AS n FROM ticks WHERE event_id % 2 = 0 GROUP BY 1, 2),
+    pts AS (SELECT id, time_bucket(INTERVAL '10 minutes', ts) AS bucket, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, count(*) AS n FROM ticks GROUP BY 1, 2),
     last3 AS (SELECT * FROM pts QUALIFY row_number() OVER (PARTITION BY id, CAST(bucket AS DATE) ORDER BY bucket DESC) <= 3),
     j AS (SELECT l.*, s.candle_source AS old, s.point_count AS op, s.id IS NOT NULL AS has FROM last3 l LEFT JOIN st s USING (id, bucket))
     SELECT id, bucket, open, high, low, close, n AS point_count, NOT has OR 400 + n >= CASE WHEN lower(trim(coalesce(old, ''))) = 'repair_api_points' THEN 400 + coalesce(op, 0) WHEN coalesce(op, 0) > 0 THEN 300 + op WHEN old LIKE '%interp%' THEN 220 WHEN old LIKE '%carry%' THEN 120 ELSE 0 END AS healed FROM j""")
 def heal_last_slots(spark: SparkSession, d: str) -> DataFrame:
-    """The last three slots of each day from API points (half of the events), written where the stored row isn't better."""
+    """The last three slots of each day from API points, written where the stored row isn't better."""
     t = ticks(spark, d)
     stored = t.groupBy("id", floor_slot(F.col("ts")).alias("bucket")).agg(F.max_by(F.struct("candle_source", "point_count"), "ts").alias("m")).select("id", "bucket", "m.*")
-    points = bars.bars_from_points(t.where("event_id % 2 = 0").select("id", "ts", F.col("price").alias("value")), floor_slot(F.col("ts")), min_points=1)
+    points = bars.bars_from_points(t.select("id", "ts", F.col("price").alias("value")), floor_slot(F.col("ts")), min_points=1)
     turn = F.row_number().over(Window.partitionBy("id", F.to_date("bucket")).orderBy(F.desc("bucket")))
     last = points.withColumn("turn", turn).where("turn <= 3").drop("turn")
     return merge.heal(stored, last, ["id", "bucket"]).select("id", "bucket", "open", "high", "low", "close", "point_count", "healed")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import shared_dir
+from tidemark.sources.stored import merge_rows
 
 
 def tumbling(stream: DataFrame, slot: str = "10 minutes", delay: str = "2 minutes", key: str = "event_type", value: str = "value") -> DataFrame:
@@ -47,20 +48,10 @@ def tumbling_once(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_batches(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
-    """Starts a stream whose batches replace the partitions (by day) that they touch, merged by key with what is stored."""
-    from tidemark.operators.merge import upsert
+    """Starts a stream whose batches replace the partitions (by day) that they touch, merged by key with what is stored there; no
+    other partition is read. A batch that is repeated makes the same rows."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.withColumn("day", F.to_date("bucket"))
-        target, staged = f"{path}/rows", f"{path}/staged-{number}"
-        folder = spark._jvm.org.apache.hadoop.fs.Path(target)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        merged = fresh
-        if fs.exists(folder):
-            merged = upsert(spark.read.parquet(target).join(fresh.select("day").distinct(), "day", "left_semi"), fresh, keys)
-        merged.write.mode("overwrite").parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
+        merge_rows(batch.withColumn("day", F.to_date("bucket")), f"{path}/rows", keys)
 
     return stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).start()
