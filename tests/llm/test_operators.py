@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tidemark.llm import cover_tree, html_extract, mixing, near_dedup, pii, quality, secrets, url_filter
@@ -435,33 +436,71 @@ def pseudonymised(text, key):
     def mod97(t):
         return int("".join(str(int(c, 36)) for c in t if c.isalnum())) % 97
 
-    def day_of(m):
-        y, n, d = (m[:4], m[5:7], m[8:]) if m[4].isdigit() is False else (m[6:], m[3:5], m[:2])
+    def cells_of(values, sizes, tweak):
+        for i in range(pii._PASSES * len(values)):
+            j = i % len(values)
+            others = ",".join("" if k == j else str(v) for k, v in enumerate(values))
+            h = int(hashlib.sha256(f"{key}:{tweak}:{i}:{others}".encode()).hexdigest()[:14], 16)
+            values = [*values[:j], (values[j] + h) % sizes[j], *values[j + 1 :]]
+        return values
+
+    def email_of(m):
+        name, domain = m.split("@")
+        kind = ["d" if c in "0123456789" else "a" if c.lower() in "abcdefghijklmnopqrstuvwxyz" and ord(c) < 128 else "o" if ord(c) > 127 else "s" for c in name]
+        value = {"d": int, "a": lambda c: ord(c.lower()) - 97, "o": lambda c: ord(c) % 16, "s": lambda c: 0}
+        new = cells_of([value[k](c) for k, c in zip(kind, name, strict=True)], [{"d": 10, "a": 26, "o": 16, "s": 1}[k] for k in kind], f"email{domain.lower()}")
+        spell = {"d": lambda c, v: str(v), "a": lambda c, v: chr(v + (97 if c.islower() else 65)), "o": lambda c, v: chr(ord(c) - ord(c) % 16 + v), "s": lambda c, v: c}
+        return "".join(spell[k](c, v) for k, c, v in zip(kind, name, new, strict=True)) + "@" + domain
+
+    def date_of(m):
+        """The date's pseudonym, or none."""
+        w = re.split("[-/.]", m)
+        sep, year_first = re.sub("[0-9]", "", m)[0], len(w[0]) == 4
+        year, month, day = w if year_first else reversed(w)
+        y, n, d = int(year), int(month), int(day)
+        y += 0 if len(year) == 4 else 1900 if y > 68 else 2000
         try:
-            return (datetime.date(int(y), int(n), int(d)) - datetime.date(1900, 1, 1)).days
+            date = datetime.date(y, n, d)
         except ValueError:
-            return -1
+            return None
+        if not 1800 <= y < 2200:
+            return None
+        if len(month) == len(day) == 2:
+            first, a, b = pii._DAYS[len(year)]
+            first = datetime.date.fromisoformat(first)
+            left, right = net((date - first).days // b, (date - first).days % b, a, b, f"date{len(year)}")
+            new = first + datetime.timedelta(left * b + right)
+            return fill(m, new.strftime("%Y%m%d" if year_first else "%d%m%y" if len(year) == 2 else "%d%m%Y") if new.year > 999 else "", "0123456789")
+        low_n, months = (1, 9) if len(month) == 1 or n < 10 else (10, 3)
+        low_d, days = (1, 9) if len(day) == 1 or d < 10 else (10, 19)
+        if d < 29:
+            left, right = net((y - 1800) * months + n - low_n, d - low_d, 400 * months, days, f"date{low_n}:{low_d}")
+            y, n, d = 1800 + left // months, left % months + low_n, right + low_d
+        elif n != 2:
+            left, right = net((y - 1800) // 20, (y - 1800) % 20, 20, 20, f"year{n}:{d}")
+            y = 1800 + left * 20 + right
+        parts = [str(y), str(n).zfill(len(month)), str(d).zfill(len(day))]
+        return sep.join(parts if year_first else reversed(parts))
 
     def one(match):
         m = match.group()
         d = re.sub("[^0-9]", "", m)
-        is_ = lambda kind: re.fullmatch(pii.PATTERNS[kind], m) is not None
+        is_ = lambda kind: regex.fullmatch(pii.PATTERNS[kind], m) is not None
         if is_("email"):
-            h = hashlib.sha256(f"{key}:email:{m.lower()}".encode()).hexdigest()
-            name, domain = m.split("@")
-            char = [int(h[k * 2 % 62 : k * 2 % 62 + 2], 16) for k in range(len(name))]
-            draw = lambda c, x: chr(97 + x % 26) if c.islower() else chr(65 + x % 26) if c.isupper() else str(x % 10) if c.isdigit() else c
-            return "".join(map(draw, name, char)) + "@" + domain
+            return email_of(m)
         if is_("iban") and mod97(m[4:] + m[:4]) == 1:
+            small, m = m == m.lower(), m.upper()
             rest, own = m[4:], re.sub("[^0-9]", "", m[4:])
             rest = fill(rest, digits_of(own, "iban") if len(own) > 1 else own, "0123456789")
             names = re.sub("[^A-Z]", "", rest)
             rest = fill(rest, letters_of(names) if names else "", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-            return m[:2] + str(98 - mod97(rest + m[:2] + "00")).zfill(2) + rest
-        if is_("date") and 0 <= day_of(m) < 265 * 276:
-            left, right = net(day_of(m) // 276, day_of(m) % 276, 265, 276, "date")
-            new = datetime.date(1900, 1, 1) + datetime.timedelta(left * 276 + right)
-            return fill(m, new.strftime("%Y%m%d" if not m[4].isdigit() else "%d%m%Y"), "0123456789")
+            new = m[:2] + str(98 - mod97(rest + m[:2] + "00")).zfill(2) + rest
+            return new.lower() if small else new
+        if is_("date") and (new := date_of(m)):
+            return new
+        if is_("ip6") and re.search("[0-9]", m) and m.count(":") < 8:
+            new = cells_of([0 if c == ":" else int(c, 16) for c in m], [1 if c == ":" else 16 for c in m], "ip6")
+            return "".join(":" if c == ":" else f"{v:X}" if m == m.upper() else f"{v:x}" for c, v in zip(m, new, strict=True))
         if is_("ip") and all(int(o) <= 255 for o in m.split(".")):
             a, b, c, e = map(int, m.split("."))
             left, right = net(a * 256 + b, c * 256 + e, 65536, 65536, "ip")
@@ -474,18 +513,48 @@ def pseudonymised(text, key):
         if is_("card") and luhn(d):
             y = digits_of(d[:-1], "card")
             return fill(m, y + next(c for c in "0123456789" if luhn(y + c)), "0123456789")
-        if is_("phone") and 10 <= len(d) <= 15 and (len(d) < 12 or re.search("[^0-9]", m)):
-            return fill(m, d[:-10] + digits_of(d[-10:], "phone"), "0123456789")
+        if is_("phone") and 10 <= len(d) <= 15 and (len(d) < 12 or re.search("[^0-9]", m) or d.startswith("00")):
+            code = re.match("[+]([0-9]{1,3})[ .(-]", m)
+            n = min(10, len(d) - ((len(code[1]) if code else 2) if m[0] == "+" else 4 if d.startswith("00") else 0))
+            return fill(m, d[: len(d) - n] + digits_of(d[len(d) - n :], "phone"), "0123456789")
         return m
 
-    return re.sub("|".join(pii.PATTERNS[k] for k in pii.KINDS), one, text)
+    return regex.sub("|".join(pii.PATTERNS[k] for k in pii.KINDS), one, text)
+
+
+#: Each holds one finding, in a form of its own.
+FORMS = [
+    "4111.1111.1111.1111", "4111  1111  1111  1111", "de89370400440532013000", "gb29 nwbk 6016 1331 9268 19", "jos\u00e9@example.com", "o'brien@example.com", "\u0438\u0432\u0430\u043d@\u043f\u043e\u0447\u0442\u0430.\u0440\u0444", "123 45 6789", "2024-2-9", "9.12.2024",
+    "2023/1/31", "2024-12-9", "29/02/24", "01/01/69", "1850-01-01", "2199-12-31", "2001:db8::1", "FE80::1FF:FE23:4567:890A", "2001:0db8:0000:0000:0000:ff00:0042:8329", "00491701234567", "+49 30 123456", "+49301234567", "(030) 1234-5678",
+]
+
+
+def test_pii_in_many_forms(spark):
+    kept = ["v1.2.3.4", "1799-12-31", "2024-2-30", "10:30:45", "12:30", "std::sort", "1.2.3", "10.11.12", "2024-02-29T", "x@y", "31/04/24"]
+    texts = [f"see {t} here" for t in FORMS + kept]
+    got = [r.text for r in pii.pseudonymise(docs_of(spark, texts), "k").orderBy("doc_id").collect()]
+    for form, text, new in zip(FORMS, texts, got, strict=False):
+        assert form not in new and len(new) == len(text) and new.startswith("see ") and new.endswith(" here"), (text, new)
+    assert got[FORMS.index("+49 30 123456")].startswith("see +49 ") and got[FORMS.index("+49301234567")].startswith("see +49") and got[FORMS.index("00491701234567")].startswith("see 0049")
+    unchanged = [t for t, new in zip(texts, got, strict=True) if t == new]
+    assert set(texts[len(FORMS) :]) - set(unchanged) <= {"see 2024-02-29T here"}
+
+
+def test_pii_mails_and_loose_dates_stay_apart(spark):
+    mails = [f"u{i}@x.com" for i in range(1500)] + [f"{c}@x.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    dates = [f"{y}-{n}-{d}" for y in (2000, 2023) for n in range(1, 13) for d in range(1, 29)]
+    for values in (mails, dates):
+        got = [r.text for r in pii.pseudonymise(docs_of(spark, values), "k").collect()]
+        assert len(set(got)) == len(set(values))
+    cases = [r.text for r in pii.pseudonymise(docs_of(spark, ["Bob@X.com", "bob@x.com"]), "k").collect()]
+    assert cases[0].lower() == cases[1] and cases[0][0].isupper()
 
 
 def test_pii_equals_brute_force(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     own = [
         "GB29 NWBK 6016 1331 9268 19 and MT84MALT011000012345MTLCAST001S", "at 1700000000000 or 1234567890123 ms, 5551234567, +15551234567", "tel 49 30 1234567, (030) 1234 5678",
-        "899-12-3456 666-12-3456 000-12-3456 123-00-4567", "1899-12-31 1900-01-01 2100-03-31 2100-12-01", "A.b-C9@x.example.org", "255.255.255.255 256.1.1.1", None, "",
+        "899-12-3456 666-12-3456 000-12-3456 123-00-4567", "1899-12-31 1900-01-01 2100-03-31 2100-12-01", "A.b-C9@x.example.org", "255.255.255.255 256.1.1.1", *FORMS, None, "",
     ]
     texts = [r.text for r in table.select("text").collect()] + own
     docs = docs_of(spark, texts)
