@@ -15,7 +15,7 @@ SQL = queries.oracle_sql()
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     want = con.execute(SQL[name]).fetchdf()
     result = queries.queries()[name](spark, SMALL)
