@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import corpus_pipeline
 from tidemark.llm import tokens
@@ -52,7 +53,10 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark, tmp_path):
     make(spark, tmp_path)
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.iterdir())
     out = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(set(shared.iterdir()) - before) == 1  # the result's own table
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 30
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
 

@@ -34,6 +34,8 @@ from .common import materialise
 
 #: Text after which a chunk is aligned; a chunk's arrays take about sixty times that.
 CHUNK_BYTES = 2_000_000
+#: Links of a group from which its ids are counted first; bits of an id.
+MANY, ID_BITS = 64, 20
 _DIGEST = [("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("n_links", "long"), ("groups_sha256", "string")]
 
 
@@ -75,18 +77,19 @@ def vocabularies(a_path: str, b_path: str) -> Vocabularies:
 
 
 def _token_table(lists: pa.ListArray, sizes: pa.Array) -> pa.Table:
-    """One row per token: its document, its id, the byte offset at which it ends in the document, its number."""
+    """One row per token: its document, its id, its number, and its key: document and the byte offset at which it ends there."""
     flat, doc = lists.flatten(), pc.list_parent_indices(lists)
     end = pc.cumulative_sum(sizes.take(flat))
     before = pa.concat_arrays([pa.array([0], pa.int64()), end]).take(lists.offsets)  # bytes of all documents before each one
     end = pc.subtract(end, before.take(doc))
-    return pa.table({"doc": doc, "end": end, "id": flat, "at": pa.array(np.arange(len(flat)))})
+    key = pc.add(pc.shift_left(doc.cast(pa.int64()), 40), end)
+    return pa.table({"doc": doc, "key": key, "id": flat, "at": pa.array(np.arange(len(flat)))})
 
 
 def align(a_lists: pa.ListArray, b_lists: pa.ListArray, vocab: Vocabularies) -> tuple[pa.Table, pa.Table]:
     """The tokens of A and of B, in order, each with its group; groups are numbered through all the documents."""
     sides = [_token_table(lists, sizes) for lists, sizes in zip((a_lists, b_lists), vocab.sizes, strict=True)]
-    ends = sides[0].select(["doc", "end", "at"]).join(sides[1].select(["doc", "end", "at"]), ["doc", "end"], join_type="inner", right_suffix="_b", use_threads=False)
+    ends = sides[0].select(["key", "at"]).join(sides[1].select(["key", "at"]), "key", join_type="inner", right_suffix="_b", use_threads=False)
     out = []
     for side, at in zip(sides, ("at", "at_b"), strict=True):
         closes = np.zeros(len(side), np.int64)
@@ -97,13 +100,29 @@ def align(a_lists: pa.ListArray, b_lists: pa.ListArray, vocab: Vocabularies) ->
 
 
 def links(a: pa.Table, b: pa.Table) -> pa.Table:
-    """doc, a_id, b_id and n: how many links of the document have these ids."""
-    counted = [t.select(["doc", "group", "id"]).group_by(["doc", "group", "id"], use_threads=False).aggregate([("id", "count")]) for t in (a, b)]
-    left = counted[0].rename_columns(["doc", "group", "a_id", "a_n"])
-    right = counted[1].select(["group", "id", "id_count"]).rename_columns(["group", "b_id", "b_n"])
-    pairs = left.join(right, "group", join_type="inner", use_threads=False)
-    pairs = pairs.append_column("n", pc.multiply(pairs["a_n"], pairs["b_n"]))
-    return pairs.group_by(["doc", "a_id", "b_id"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["doc", "a_id", "b_id", "n"])
+    """doc, a_id, b_id and n: how many links of the document have these ids. In groups of many links, equal ids of a side are
+    counted before they meet those of the other."""
+    ga, gb = a["group"].to_numpy(), b["group"].to_numpy()
+    groups = int(ga[-1]) + 1 if len(ga) else 0
+    many = np.bincount(ga, minlength=groups) * np.bincount(gb, minlength=groups) > MANY
+    left, right = (_counted(t, many[g]) for t, g in ((a, ga), (b, gb)))
+    pairs = left.join(right.drop_columns("doc"), "group", join_type="inner", right_suffix="_b", use_threads=False)
+    key = pc.bit_wise_or(pc.shift_left(pairs["doc"].cast(pa.int64()), 2 * ID_BITS), pc.bit_wise_or(pc.shift_left(pairs["id"].cast(pa.int64()), ID_BITS), pairs["id_b"].cast(pa.int64())))
+    each = pa.table({"key": key, "n": pc.multiply(pairs["n"], pairs["n_b"])}).group_by("key", use_threads=False).aggregate([("n", "sum")])
+    key, low = each["key"], (1 << ID_BITS) - 1
+    ids = [pc.bit_wise_and(pc.shift_right(key, shift), low).cast(pa.int32()) for shift in (ID_BITS, 0)]
+    return pa.table({"doc": pc.shift_right(key, 2 * ID_BITS), "a_id": ids[0], "b_id": ids[1], "n": each["n_sum"]})
+
+
+def _counted(side: pa.Table, many: np.ndarray) -> pa.Table:
+    """group, doc, id and n of a side's tokens; equal ids of a group are one row where many is set."""
+    rows = side.select(["group", "doc", "id"])
+    out = [rows.filter(pa.array(~many))]
+    out[0] = out[0].append_column("n", pa.array(np.ones(len(out[0]), np.int64)))
+    if many.any():
+        some = rows.filter(pa.array(many)).group_by(["group", "doc", "id"], use_threads=False).aggregate([([], "count_all")])
+        out.append(some.rename_columns(["group", "doc", "id", "n"]))
+    return pa.concat_tables(out)
 
 
 def written_groups(a: pa.Table, b: pa.Table, n_docs: int, vocab: Vocabularies) -> list[bytes]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,8 +11,25 @@ from pyspark.sql import functions as F
 from tidemark.functions.scratch import shared_dir
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def only_result(make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """make()'s result as a table of its own; all other tables that were written for it are deleted."""
+    _scopes.append([])
+    try:
+        out = materialise(make(), tag)
+    finally:
+        written = _scopes.pop()
+    _delete(out.sparkSession, [p for p in written if p != out._scratch])
+    return out
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
@@ -26,8 +44,13 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing reads any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, [df._scratch])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(df: DataFrame, **columns: Column) -> DataFrame:
