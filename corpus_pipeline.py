@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, near_dedup, packing, quality, secrets, tokens
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, only_result
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -73,7 +73,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages over documents. Each writes a table that the next one reads; only the last one's is left in the end."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        out = only_result(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        docs = before = out
+    return docs
