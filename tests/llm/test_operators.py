@@ -61,6 +61,21 @@ def test_top_k_prunes_and_handles_empty(spark, monkeypatch):
     assert sum(seen) < 0.5 * len(q) * len(d)
 
 
+def test_trees_are_opened_where_it_pays():
+    """Clusters beside directions without order: the latter are formed whole, of the former most pairs are pruned."""
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(30, 48)) * 60
+    near = np.concatenate([c + rng.normal(size=(60, 48)) for c in centers])
+    d = np.rint(np.concatenate([near, rng.normal(size=(400, 48)) * 60]) * 10)
+    q = d[::20] + 1
+    formed: list[int] = []
+    a, b, s = cover_tree.search_trees(cover_tree.CoverTree(q, 1), np.arange(len(q)) + 10**6, cover_tree.CoverTree(d), np.arange(len(d)), 5, -np.inf, formed)
+    for i in range(len(q)):
+        want = sorted((-int(x), j) for j, x in enumerate(d @ q[i]))[:5]
+        assert sorted((-int(s[k]), int(b[k])) for k in np.flatnonzero(a == i)) == want
+    assert len(formed) > 1 and sum(formed) < 0.75 * len(q) * len(d)
+
+
 def test_cover_tree_invariants():
     rng = np.random.default_rng(2)
     x = np.rint(np.concatenate([rng.normal(size=(300, 3)) * 50, np.zeros((90, 3)), rng.normal(size=(60, 3)) * 5 + 400]))

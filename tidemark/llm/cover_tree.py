@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from .common import discard, materialise, shuffle_width
 
 #: Rows of a data block and of a query block, leaf sizes of their trees, most pivots that cut the table into blocks, data
-#: blocks that a query block searches first; SMALL: so few scores are formed at once rather than bounded further.
-DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, PIVOTS, NEAREST, SMALL = 2048, 1024, 32, 1, 4096, 2, 1 << 13
+#: blocks that a query block searches first; SMALL: so few scores are formed at once rather than bounded further; WORTH: the
+#: share of a pair's scores that may be left for it to be opened.
+DATA_BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF, PIVOTS, NEAREST, SMALL, WORTH = 2048, 1024, 32, 1, 4096, 2, 1 << 13, 0.8
 BLOCK_SCHEMA = "block long, dims int, n int, data binary, center array<double>, radius double"
 
 
@@ -176,13 +177,14 @@ class _Best:
         return q, self.last - (keys & self.last), keys >> self.shift
 
 
-def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.ndarray, k: int, floor: float, formed: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best data rows of each query: (query place, data place, score). Data places are in order of id; q_rows, d_rows
     name rows. Nothing below floor matters.
 
-    Every query leaf first gets a floor from the data leaf that promises it most. If the bounds between leaves then spare less
-    than half of all scores (directions without order), all are formed by matrix products. Otherwise both trees are opened
-    together: a query node keeps the data nodes whose bound reaches the worst kth score of its queries.
+    Every query leaf first gets a floor from the data leaf that promises it most. Then both trees are opened together: a query
+    node keeps the data nodes whose bound reaches the worst kth score of its queries. A node is scored against its data nodes by
+    one matrix product where opening them further would spare less than a fifth of these scores, by the bounds between leaves.
+    formed, if given, takes the number of scores of each product.
     """
     if not len(q_rows) or not len(d_rows):
         return tuple(np.zeros(0, np.int64) for _ in range(3))
@@ -221,6 +223,8 @@ def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.nd
 
     def score(i: int, nodes: np.ndarray) -> None:
         qi, dj, scores, own = scores_of(i, nodes)
+        if formed is not None:
+            formed.append(scores.size)
         worst[qi] = np.maximum(worst[qi], best.add(qi, dj, scores, own))
 
     top = np.zeros(1, np.int64)
@@ -228,15 +232,20 @@ def search_trees(qt: CoverTree, q_rows: np.ndarray, dt: CoverTree, d_rows: np.nd
     for i in q_leaves if size < 2.0**52 else ():  # beyond, a floor could be rounded up
         raise_floor(i)
     keep = bounds(qt, q_leaves, dt, d_leaves) >= np.array([needed(i) for i in q_leaves])[:, None]
-    if 2 * (q_width[q_leaves][:, None] * d_width[d_leaves][None, :] * keep).sum() > len(q) * len(d):
-        score(0, top)
-        return best.found()
+    # the scores that would be left below each query node if all its leaves met the data leaves one by one
+    promised = np.zeros(len(q) + 1)
+    promised[qt.start[q_leaves]] = q_width[q_leaves] * (keep @ d_width[d_leaves])
+    promised = np.concatenate([[0], np.cumsum(promised)])
+    promised = promised[qt.stop] - promised[qt.start]
     todo = [(0, top)]
     while todo:
         i, nodes = todo.pop()
         nodes = nodes[bounds(qt, np.array([i]), dt, nodes)[0] >= needed(i)]
         if not len(nodes):
             continue
+        if promised[i] > WORTH * q_width[i] * d_width[nodes].sum():
+            score(i, nodes)
+            continue
         opened = np.concatenate([dt.children[j] if len(dt.children[j]) else [j] for j in nodes]).astype(np.int64)
         kids = qt.children[i] if len(qt.children[i]) else np.array([i])
         keep = bounds(qt, kids, dt, opened) >= np.array([needed(c) for c in kids])[:, None]
