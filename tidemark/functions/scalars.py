@@ -124,7 +124,11 @@ def metrics_of(text: Column) -> Column:
 
 def metrics_preview(metrics: Column, most: int = 4) -> Column:
     """key=value of up to four metrics: the preferred ones that are there, in their order; without any, the first by name."""
-    named = F.filter(F.array(*map(F.lit, PREFERRED_METRICS)), lambda k: F.map_contains_key(metrics, k))
-    keys = F.when(F.size(named) > 0, named).otherwise(F.array_sort(F.map_keys(metrics)))
-    shown = F.transform(F.slice(keys, 1, most), lambda k: F.concat(k, F.lit("="), F.coalesce(F.try_element_at(metrics, k), F.lit("None"))))
-    return F.when(F.size(shown) > 0, F.array_join(shown, ", ")).otherwise("-")
+
+    def shown(m: Column) -> Column:
+        named = F.filter(F.array(*map(F.lit, PREFERRED_METRICS)), lambda k: F.map_contains_key(m, k))
+        keys = F.when(F.size(named) > 0, named).otherwise(F.array_sort(F.map_keys(m)))
+        pairs = F.transform(F.slice(keys, 1, most), lambda k: F.concat(k, F.lit("="), F.coalesce(F.try_element_at(m, k), F.lit("None"))))
+        return F.when(F.size(pairs) > 0, F.array_join(pairs, ", ")).otherwise("-")
+
+    return F.get(F.transform(F.array(metrics), shown), F.lit(0))  # the map is made once

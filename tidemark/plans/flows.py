@@ -205,7 +205,7 @@ def slots_ever_seen(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Rates by brand and day, and five of the days, a sixth of the time apart.
-PROVIDER = """fx AS (SELECT p_brand AS symbol, CAST(l_shipdate AS DATE) AS asof_date, round(avg(l_extendedprice / l_quantity), 6) AS rate FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+PROVIDER = """fx AS (SELECT p_brand AS symbol, CAST(l_shipdate AS DATE) AS asof_date, max(l_extendedprice / l_quantity) AS rate FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
     b AS (SELECT min(asof_date) AS a, (max(asof_date) - min(asof_date)) // 6 AS step FROM fx),
     ds AS (SELECT max(CASE WHEN asof_date <= a + CAST(step AS INT) THEN asof_date END) AS d1, max(CASE WHEN asof_date <= a + CAST(2 * step AS INT) THEN asof_date END) AS d2, max(CASE WHEN asof_date <= a + CAST(3 * step AS INT) THEN asof_date END) AS d3,
     max(CASE WHEN asof_date <= a + CAST(4 * step AS INT) THEN asof_date END) AS d4, max(CASE WHEN asof_date <= a + CAST(5 * step AS INT) THEN asof_date END) AS d5 FROM fx, b)"""
@@ -220,7 +220,7 @@ def fx_publication(spark: SparkSession, d: str) -> DataFrame:
     latest day, one with an empty span, and one that corrects its day. The history, the live table and the statuses after them."""
     li, p = table(spark, d, "lineitem"), table(spark, d, "part")
     day = F.to_date("l_shipdate").alias("asof_date")
-    rate = rounded(F.avg(F.col("l_extendedprice") / F.col("l_quantity")), 6).alias("rate")
+    rate = F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("rate")
     rates, path = li.join(p, li["l_partkey"] == p["p_partkey"]).groupBy(F.col("p_brand").alias("symbol"), day).agg(rate), _folder(spark, "fx")
     rates.write.parquet(f"{path}/provider")
     rates = spark.read.parquet(f"{path}/provider")
