@@ -63,8 +63,8 @@ def test_category_rollup(spark):
 
 def test_v_shape(spark):
     for caps, flag in (((1000e9, 900e9, 1000e9), True), ((1000e9, 940e9, 1000e9), False), ((600e9, 552e9, 600e9), False)):
-        df = spark.createDataFrame([(at(10 * k), c) for k, c in enumerate(caps)], "slot timestamp_ntz, market_cap double")
-        assert [r.v_shape for r in rollup.v_shapes(df).orderBy("slot").collect()] == [False, flag, False]
+        df = spark.createDataFrame([("ALL", at(10 * k), c) for k, c in enumerate(caps)], "category string, slot timestamp_ntz, market_cap double")
+        assert [r.v_shape for r in rollup.v_shapes(df, key="category").orderBy("slot").collect()] == [False, flag, False]
 
 
 def test_slot_decision(spark):

@@ -120,8 +120,8 @@ def _stored_listing(spark: SparkSession, d: str) -> tuple[str, int]:
     behind = with_position(ranged(known.where("market_cap_rank is null").select("key", "id", "symbol", "market_cap"), ["key"], "_range"), "_range", ["key"], "pos")
     ends = placed.agg((F.floor(F.max("pos") / 250) + 3).alias("from"))  # the listing may end with a full page
     behind = behind.crossJoin(F.broadcast(ends)).select("key", "id", "symbol", "market_cap", "pos", (F.floor(F.col("pos") / 250) + F.col("from")).alias("page"))
-    rows = placed.withColumn("page", F.floor(F.col("pos") / 250) + 1).unionByName(behind, allowMissingColumns=True)
-    record = F.struct(F.when(F.col("key") % 97 != 1, F.col("id")).alias("id"), "symbol", "market_cap", (F.col("pos") + 1).alias("market_cap_rank"))
+    rows = placed.withColumn("page", F.floor(F.col("pos") / 250) + 1).withColumn("rank", F.col("pos") + 1).unionByName(behind, allowMissingColumns=True)
+    record = F.struct(F.when(F.col("key") % 97 != 1, F.col("id")).alias("id"), "symbol", "market_cap", F.col("rank").alias("market_cap_rank"))
     path = pages.write_pages(rows.select(F.col("page").cast("int").alias("page"), (F.col("pos") % 250).cast("int").alias("place"), F.to_json(record).alias("payload")), _folder(spark, "listing"))
     return path, -(-2 * table(spark, d, "customer").count() // 250) + 3
 
