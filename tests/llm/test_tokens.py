@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -77,6 +78,71 @@ def test_codec_holds_any_number_of_ids(monkeypatch):
     assert np.array_equal(idcodec.decode(payload, slice(9, 12)), ids[9 * idcodec.BLOCK : 12 * idcodec.BLOCK])
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_texts_cut_together_are_exact(name, monkeypatch):
+    """Texts that are cut together, in one go or in several, give what the library gives for each."""
+    from tokenizers import Tokenizer
+
+    enc, fresh = tokens.Encoder(tokens.vocabulary(name)), Tokenizer.from_file(tokens.vocabulary(name))
+    odd = [*TEXTS, "\xada \xa1b\xff\xb5\xaa", "é1²b.9..", "A\0b", "'s", "x <|endoftext|>", "last"]
+    for texts in (odd, odd[::-1], [], [None], ["'"], ["a"]):
+        want = [fresh.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+        for most in (1, 50, 16_000_000):
+            monkeypatch.setattr(tokens, "_BATCH", most)
+            assert [ids.tolist() for ids in enc.documents(texts, 2)] == want
+
+
+def test_pieces_are_looked_up_once_a_batch():
+    """A batch asks the memory for its different pieces, not for all of them."""
+    enc, asked = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json")), []
+
+    class Counting(tokens._Memory):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    enc.pieces = Counting(enc.pieces.encode)
+    enc.documents(["the same words, the same text"] * 500, 2)
+    assert sorted(asked) == sorted({"the", "same", "words", ",", "text"})
+
+
+def test_codec_takes_followers_from_counts(spark):
+    """Real ids: below what their counts alone would take (1.04 bytes an id), as order 1 knows several followers of an id."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    enc = tokens.encoder(tokens.vocabulary("word_bpe_49k.json"))
+    ids = np.concatenate(enc.documents(texts, 2))
+    assert len(idcodec.encode(ids)) < 0.85 * len(ids)
+
+
+def test_codec_learns_second_order():
+    """What follows 9 depends on what came before it: order 1 alone would take two bits for each three ids."""
+    pick = np.random.default_rng(2).integers(0, 2, 40_000)
+    ids = np.array([[1, 9, 2], [3, 9, 4]], np.uint32)[pick].ravel()
+    payload = idcodec.encode(ids)
+    assert np.array_equal(idcodec.decode(payload), ids)
+    assert len(payload) < 0.9 * 2 * len(pick) / 8
+
+
+def test_codec_groups_are_even():
+    """Blocks beyond LANES make two groups of about the same size, not a full one and a rest."""
+    sizes = [len(part) for part, *_ in idcodec._groups(np.zeros(idcodec.BLOCK * (idcodec.LANES + 3) + 1, np.uint32))]
+    assert len(sizes) == 2 and max(sizes) - min(sizes) <= 2 * idcodec.BLOCK
+
+
+def test_codec_finds_any_damage():
+    rng = np.random.default_rng(6)
+    ids = rng.zipf(1.3, 9000).clip(0, 5000).astype(np.uint32)
+    payload = idcodec.encode(ids)
+    head = struct.unpack_from("<IIII", payload, 20)[2]
+    for at in rng.integers(20 + 16 + head, len(payload), 25):
+        damaged = bytearray(payload)
+        damaged[at] ^= 1 << int(rng.integers(8))
+        try:
+            assert np.array_equal(idcodec.decode(bytes(damaged)), ids)  # bits behind a block's last interval
+        except ValueError as e:
+            assert "checksum" in str(e)
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "MAX_PIECES", 40)
     enc = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"))
@@ -118,6 +184,20 @@ def test_token_output(spark):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
 
 
+def test_shards_end_in_no_short_segment(spark, monkeypatch):
+    monkeypatch.setattr(token_output, "SEGMENT_TOKENS", 1000)
+    docs = spark.createDataFrame([(k, "word " * 149) for k in range(60)] + [(99, "word " * 5000)], "doc_id long, text string").coalesce(1)
+    path = token_output.write_tokens(docs, scratch_path(spark, "t"), tokens.vocabulary("word_bpe_49k.json"), 2)
+    table = spark.read.parquet(path)
+    assert table.count() > 3
+    short = table.groupBy("shard").agg({"n_tokens": "min", "seq": "max"}).where("`min(n_tokens)` < 500 and `max(seq)` > 0")
+    assert short.count() == 0
+    got = sorted(token_output.read_tokens(spark, path, with_ids=True).collect(), key=lambda r: r.start)
+    enc = tokens.encoder(tokens.vocabulary("word_bpe_49k.json"))
+    want = [enc.tokenizer.encode(r.text, add_special_tokens=False).ids + [2] for r in sorted(docs.collect())]
+    assert [list(r.ids) for r in got] == want and [r.start for r in got] == np.cumsum([0, *map(len, want)])[:-1].tolist()
+
+
 def test_token_output_empty(spark):
     path = token_output.write_tokens(_docs(spark, []), scratch_path(spark, "t"), tokens.vocabulary("word_bpe_49k.json"), 2)
     assert token_output.read_tokens(spark, path).count() == 0

@@ -1,21 +1,24 @@
-"""Adaptive context-mixing range coder for token ids.
+"""Context-mixing range coder for token ids.
 
 Ids are cut into blocks of BLOCK. Every block starts from the same model and carries its own CRC-32, so it can be decoded
-alone. The model mixes three predictions of the next id into one distribution:
+alone with its group's header. The model mixes three predictions of the next id:
 
-- order 0: how often each id has come in this block so far, weighed against how often it comes in the whole group of blocks
-  (kept in the group's header); refreshed at fixed steps;
-- order 1: the id that last followed the previous id, and how often in a row that context has been right;
-- order 2: the same for the previous two ids.
+- order 0: how often each id comes in the group of blocks (kept in the group's header);
+- order 1: the ids that follow the previous id there, and how often; pairs that would not earn their place are left out;
+- order 2: the id that last followed the previous two ids in this block (a slot also keeps a check of its context).
 
-Orders 1 and 2 each put a point mass on the id they predict. Its size is learnt: every block counts, for each order and each
-number of hits in a row, how often such a prediction comes true. Order 0 shares out the rest. An id's interval in the mixed
-distribution drives a carry-propagating range coder with 24-bit digits. Blocks do not depend on each other, so a worker codes
-a group of them side by side: one numpy step codes the next id of every block.
+Each has a share of the range, one behind the other: order 2 gives all of its own to one id, orders 1 and 0 by their counts. An
+id is coded in the highest order that knows it. The shares are learnt: every block counts how often order 2 comes true after
+each number of hits in a row, and how often order 1 knows the id, for contexts of each kind; at fixed steps the shares follow
+the counts. The interval drives a carry-propagating range coder with 24-bit digits.
 
-Payload: magic, block size, ids and groups; for each group its counts, its table (the ids it holds and about how often),
-the digits and CRC-32 of each block, then the digits. Groups are as large as LANES and TABLE allow, so any number of
-different ids can be held.
+Blocks do not depend on each other, so a worker codes a group of them side by side. The encoder knows all ids beforehand and
+finds every interval by sorting contexts; its only loop over positions is the coder's. The decoder takes one numpy step for
+the next id of every block; the tables of orders 0 and 1 are the same for all of them, so they stay in the cache.
+
+Payload: magic, block size, ids and groups; for each group its counts, its tables (the ids it holds and about how often; the
+pairs and about how often), the digits and CRC-32 of each block, then the digits. Groups are as large as LANES and TABLE allow,
+so any number of different ids can be held.
 """
 
 from __future__ import annotations
@@ -27,21 +30,25 @@ from collections.abc import Iterator
 import numpy as np
 
 BLOCK = 4096
-#: Blocks coded side by side, and most cells (blocks by different ids) of a group's order-0 table.
-LANES, TABLE = 1024, 1 << 23
-MAGIC = b"TMK2"
-_TOTAL_BITS, _SUM_BITS, _SLOT_BITS, _DIGIT = 24, 18, 12, 24
-_TOTAL, _SUM = 1 << _TOTAL_BITS, 1 << _SUM_BITS
-_ROOM = _TOTAL - _SUM  # most that orders 1 and 2 may take, so that every id keeps a share of order 0
-_PRIOR = 384  # how many ids of the block the group's counts are worth
-_STEPS = frozenset({*(64 << k for k in range(5)), *range(1536, BLOCK, 512)})
-#: A slot holds the predicted place times _STATES plus its state: 0 for none yet, then one more than its hits in a row.
-_STATES, _NONE = 8, 1 << 20
-#: Shares (of 65536) with which predictions of each state start.
-_TRUST1 = (0, 3000, 19000, 40000, 56000, 60000, 62000, 63000)
-_TRUST2 = (0, 5000, 36000, 55000, 61000, 62000, 63000, 64000)
+#: Blocks coded side by side, and most different ids of a group.
+LANES, TABLE = 1536, 1 << 17
+MAGIC = b"TMK3"
+_TOTAL_BITS, _SLOT_BITS, _DIGIT = 24, 12, 24
+_TOTAL = 1 << _TOTAL_BITS
+_STEPS = (0, *(64 << k for k in range(5)), *range(1536, BLOCK, 512))
+#: A slot holds a check of its context, the place predicted and a state: 0 for none yet, then one more than its hits in a row.
+_STATES, _PLACE_BITS = 8, 20
+_CHECK = (1 << 31) - (1 << _PLACE_BITS)
+#: Shares (of 65536) with which states of order 2 start, and how many ids that is worth.
+_TRUST, _TRUST_PRIOR = (0, 9000, 26000, 45000, 56000, 60000, 62000, 63000), 24
+#: Kinds of contexts, by how many 64ths of their followers order 1 knows, their first shares and what those are worth.
+_KINDS, _KNOWN, _KNOWN_PRIOR = (20, 32, 44, 52, 57, 60, 62), (14000, 27000, 39000, 49000, 56000, 60000, 62500, 64800), 48
+#: Bits by which order 0 is dearer than its counts say, as it comes behind order 1; bits that a pair takes in the header.
+_SPARES, _COSTS = 3, 16
 _U = np.uint64
 _ALL, _BIG = _U(2**64 - 1), _U(1 << 36)
+#: Blocks whose pairs are sorted at once, and whose intervals are found at once (so that they stay in the cache).
+_SORTED, _CHUNK = 128, 16
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
@@ -55,131 +62,196 @@ def _of_level(level: np.ndarray) -> np.ndarray:
     return ((4 + m) << k) >> 2
 
 
-class _Model:
-    """The state of `lanes` blocks, each at the same position. An id is known by its place in the group's table.
+class _Tables:
+    """Orders 0 and 1 of a group. An id is known by its place in the group's table.
 
-    Tables are flat, a lane's part starting at lane * its width; a lane's order-0 shares also start at lane * _SUM, so that
-    one search finds the places of all lanes.
+    Row 0 is order 0, an entry for each place; every context with followers has a row of them. A row's entries share 1 << bits,
+    and rows lie one behind the other in `start`, so one search finds an entry in any row. A context without followers uses row 0.
     """
 
-    def __init__(self, lanes: int, weights: np.ndarray):
-        rows = np.arange(lanes)
-        self.lanes, self.width, self.weights = lanes, len(weights), weights
-        self.at = rows * (self.width + 1)
-        self.base = rows << _SUM_BITS
-        self.cum = np.zeros((lanes, self.width + 1), np.int64 if lanes << _SUM_BITS >= 1 << 31 else np.int32)
-        self.counts = np.zeros((lanes, self.width), np.int32)
-        self.next1 = np.full(lanes << _SLOT_BITS, _NONE * _STATES, np.int32)
-        self.next2 = self.next1.copy()
-        self.slot_at = rows << _SLOT_BITS
-        self.trust_at = rows * _STATES
-        self.trust1, self.trust2 = np.tile(np.array(_TRUST1), lanes), np.tile(np.array(_TRUST2), lanes)
-        self.refresh(0, np.zeros((0, lanes), np.int64))
-
-    def refresh(self, t: int, new: np.ndarray) -> None:
-        """Order-0 shares after t ids; new: the places (position by lane) since the last time."""
-        if len(new):
-            own = new + np.arange(self.lanes) * self.width
-            self.counts += np.bincount(own.ravel(), minlength=self.counts.size).reshape(self.counts.shape).astype(np.int32)
-        spare = _SUM - self.width
-        share = 1 + self.weights * (spare * _PRIOR) // (max(int(self.weights.sum()), 1) * (t + _PRIOR))
-        part = self.counts * np.int32(spare) // np.int32(t + _PRIOR) + share.astype(np.int32)
-        np.cumsum(part, axis=1, out=self.cum[:, 1:])
-        self.cum[:, 1:] += self.base[:, None].astype(self.cum.dtype)
-        self.cum[:, 0] = self.base
-        self.flat = self.cum.ravel()
-
-    def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
-        """h1, h2: the contexts' slots."""
-        self.e1, self.e2 = self.next1.take(h1), self.next2.take(h2)
-        self.p1, self.p2 = self.e1 >> 3, self.e2 >> 3
-        self.k1, self.k2 = self.trust_at + (self.e1 & 7), self.trust_at + (self.e2 & 7)
-        self.t1, self.t2 = self.trust1.take(self.k1), self.trust2.take(self.k2)
-        self.q2 = self.t2 * _ROOM >> 16
-        self.q1 = self.t1 * (_ROOM - self.q2) >> 16
-        self.q0 = _TOTAL - self.q1 - self.q2
-
-    def share(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where place i's order-0 interval starts and ends."""
-        k = self.at + i
-        return (self.flat.take(k) - self.base) * self.q0 >> _SUM_BITS, (self.flat.take(k + 1) - self.base) * self.q0 >> _SUM_BITS
-
-    def interval(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of place i in the mixed distribution."""
-        a, b = self.share(i)
-        self.hit1, self.hit2 = self.p1 == i, self.p2 == i
-        size = b - a
-        size += self.q2 * self.hit2
-        size += self.q1 * self.hit1
-        a += self.q2 * (self.p2 < i)
-        a += self.q1 * (self.p1 < i)
-        return a, size
-
-    def find(self, target: np.ndarray) -> np.ndarray:
-        """The place whose interval holds target."""
-        plain, hits = target.copy(), []
-        for p, q, other, q_other in ((self.p1, self.q1, self.p2, self.q2), (self.p2, self.q2, self.p1, self.q1)):
-            known = np.minimum(p, self.width - 1)  # where there is none, q is 0 and nothing is hit
-            a, b = self.share(known)
-            a += q_other * (other < p)
-            after = target - a
-            hits.append((after >= 0) & (after < b - a + q_other * (other < p) + q + q_other * (other == p)) & (p < _NONE))
-            plain -= q * (after >= 0)
-        u = np.minimum(((plain + 1 << _SUM_BITS) - 1) // self.q0, _SUM - 1)
-        i = np.searchsorted(self.flat, (u + self.base).astype(self.flat.dtype), "right") - 1 - self.at
-        np.minimum(i, self.width - 1, out=i)  # what no share holds
-        np.copyto(i, self.p1, where=hits[0])
-        np.copyto(i, self.p2, where=hits[1])
-        return i
-
-    def learn(self, i: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> None:
-        packed = (i << 3).astype(np.int32) + 1
-        for table, h, e, hit, trust, k, t in (
-            (self.next1, h1, self.e1, self.hit1, self.trust1, self.k1, self.t1), (self.next2, h2, self.e2, self.hit2, self.trust2, self.k2, self.t2),
-        ):
-            trust[k] = t + ((hit * 64900 - t) >> 5)
-            table[h] = packed + np.minimum(e & 7, 6) * hit
-
-
-def _slots(i: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the contexts that follow place i, with last before it."""
-    one = i * 40503
-    return (one >> 4) & ((1 << _SLOT_BITS) - 1), (last * 25321 + one >> 4) & ((1 << _SLOT_BITS) - 1)
-
-
-def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
-    """x: places, lane by position. Returns each lane's digits, 24 bits each, the highest byte first."""
+    def __init__(self, weights: np.ndarray, context: np.ndarray, follower: np.ndarray, pair_weights: np.ndarray):
+        width = len(weights)
+        self.width, self.bits = width, min(max(width.bit_length() + 4, 14), 19)
+        per = np.bincount(context, minlength=width)
+        held = per > 0
+        row = np.where(held, np.cumsum(held), 0)
+        self.rows = int(held.sum()) + 1
+        self.place = np.concatenate([np.arange(width), follower]).astype(np.int64)
+        counts = np.concatenate([weights, pair_weights]).astype(np.int64)
+        sizes = np.concatenate([[width], per[held]]).astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        sums = np.add.reduceat(counts, first) if width else np.zeros(1, np.int64)
+        of = np.repeat(np.arange(self.rows), sizes)
+        share = 1 + counts * ((1 << self.bits) - sizes[of]) // np.maximum(sums[of], 1)
+        if width:
+            share[first] += (1 << self.bits) - np.add.reduceat(share, first)
+        self.share, self.start = share, np.zeros(len(share) + 1, np.int64)
+        np.cumsum(share, out=self.start[1:])
+        self.within = self.start[:-1] & ((1 << self.bits) - 1)
+        # what follows a place, and at the end what starts a block
+        self.base = np.append(row << self.bits, 0)
+        known = np.bincount(context, pair_weights, width).astype(np.int64) * 64 // np.maximum(weights, 1)
+        self.kind = np.append(np.where(held, np.searchsorted(_KINDS, known, "right"), len(_KINDS)), len(_KINDS))
+
+    def index(self) -> tuple[np.ndarray, int]:
+        """For each bucket of a row the entry in which it starts, and by how many bits a bucket is found."""
+        shift = self.bits - min(max(18 - self.rows.bit_length(), 2), 10)
+        buckets = np.arange(self.rows << (self.bits - shift)) << shift
+        return np.searchsorted(self.start, buckets, "right") - 1, shift
+
+    def shares(self, trust: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What orders 2 and 1 get of _TOTAL; orders 1 and 0 keep enough for each of their entries."""
+        room = _TOTAL - (2 << self.bits)
+        two = trust * room >> 16
+        return two, ((room - two) * known >> 16) + (1 << self.bits)
+
+
+def _trust(counts: np.ndarray) -> np.ndarray:
+    """counts: by block, state, and whether order 2 came true. Returns its shares by block and state."""
+    out = (np.array(_TRUST) * _TRUST_PRIOR + (counts[..., 1] << 16)) // (_TRUST_PRIOR + counts.sum(-1))
+    out = np.clip(out, 300, 65000)
+    out[..., 0] = 0
+    return out
+
+
+def _known(counts: np.ndarray) -> np.ndarray:
+    """counts: by block, kind, and whether order 0 was needed. Returns order 1's shares by block and kind."""
+    return (np.array(_KNOWN) * _KNOWN_PRIOR + (counts[..., 0] << 16)) // (_KNOWN_PRIOR + counts.sum(-1))
+
+
+def _contexts(last: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slot and check (in the bits behind a place and a state) of the context that is place i after place last."""
+    h = last * last.dtype.type(0x9E3779B1) + i * last.dtype.type(0x85EBCA6B)
+    return (h >> 7) & ((1 << _SLOT_BITS) - 1), h & _CHECK
+
+
+def _pairs(x: np.ndarray, width: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """x: places, block by position. Returns the contexts, followers and counts of the pairs that order 1 holds, in order, and
+    for each position the number of its pair among them, or -1."""
+    size = max(x.shape[1] - 1, 0)
+    number, runs, run_counts = np.empty((len(x), size), np.int32), [], []
+    for a in range(0, len(x), _SORTED):
+        part = x[a : a + _SORTED].astype(np.int64)
+        key = (part[:, :-1] * width + part[:, 1:]).ravel()
+        key <<= 20
+        key |= np.arange(key.size)
+        key.sort()
+        pair = key >> 20
+        new = np.empty(len(pair), bool)
+        new[:1] = True
+        np.not_equal(pair[1:], pair[:-1], out=new[1:])
+        local = np.empty(len(pair), np.int32)
+        local[key & 0xFFFFF] = np.cumsum(new, dtype=np.int32) - 1
+        number[a : a + _SORTED] = local.reshape(part.shape[0], size)
+        runs.append(pair[new])
+        run_counts.append(np.diff(np.append(np.flatnonzero(new), len(pair))))
+    pairs, inverse = np.unique(np.concatenate(runs), return_inverse=True)
+    counts = np.bincount(inverse, np.concatenate(run_counts), len(pairs)).astype(np.int64)
+    context, follower = np.divmod(pairs, max(width, 1))
+    # bits that a pair spares, against coding its follower in order 0
+    spared = counts * (np.log2(counts * float(x.size) / (weights[context] * weights[follower].astype(float))) + _SPARES)
+    keep = (counts >= 2) & (spared > _COSTS)
+    kept = np.where(keep, np.cumsum(keep) - 1, -1).astype(np.int32)
+    at = 0
+    for k, own in enumerate(runs):
+        a = k * _SORTED
+        number[a : a + _SORTED] = kept[inverse[at : at + len(own)]][number[a : a + _SORTED]]
+        at += len(own)
+    return context[keep], follower[keep], counts[keep], number
+
+
+def _second_order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """x: places, unsigned. States of the slots that each position meets, and whether order 2 is right there."""
+    lanes, width = x.shape
+    last, now = np.zeros_like(x), np.zeros_like(x)
+    last[:, 2:], now[:, 1:] = x[:, :-2], x[:, :-1]
+    slot, check = _contexts(last, now)
+    key = np.arange(lanes, dtype=np.uint32)[:, None] << 24 | np.arange(width, dtype=np.uint32)
+    key |= slot << 12
+    key = key.ravel()
+    key.sort()
+    at = (key >> 24) * np.uint32(width) + (key & 0xFFF)
+    own, seen = x.ravel().take(at), check.ravel().take(at)
+    key >>= 12
+    same = np.zeros(len(at), bool)  # the slot was last filled by the same context
+    same[1:] = (key[1:] == key[:-1]) & (seen[1:] == seen[:-1])
+    hit = same.copy()
+    hit[1:] &= own[1:] == own[:-1]
+    places = np.arange(len(at), dtype=np.int32)
+    in_a_row = places - np.maximum.accumulate(places * ~hit)
+    sorted_state = np.zeros(len(at), np.uint8)
+    sorted_state[1:] = np.minimum(in_a_row[:-1], _STATES - 2)
+    sorted_state += 1
+    sorted_state *= same
+    state, right = np.empty(len(at), np.uint8), np.empty(len(at), bool)
+    state[at], right[at] = sorted_state, hit
+    return state.reshape(x.shape), right.reshape(x.shape)
+
+
+def _before(cell: np.ndarray, cells: int, lanes: int) -> np.ndarray:
+    """cell: numbers of cells of blocks by sections. Returns how often each came in all sections before, by section and block."""
+    sections = len(_STEPS)
+    counts = np.bincount(cell.ravel(), minlength=sections * lanes * cells).reshape(sections, lanes, cells)
+    out = np.zeros_like(counts)
+    np.cumsum(counts[:-1], axis=0, out=out[1:])
+    return out
+
+
+def _intervals(x: np.ndarray, number: np.ndarray, tables: _Tables, start: np.ndarray, size: np.ndarray) -> None:
+    """Fills start and size (position by block) of each place's interval."""
     lanes, width = x.shape
-    m = _Model(lanes, weights)
-    at = np.ascontiguousarray(x.T)
-    last, h1, h2 = np.zeros(lanes, np.int64), m.slot_at, m.slot_at
+    state, right = _second_order(x.view(np.uint32))
+    before = np.full_like(x, tables.width)
+    before[:, 1:] = x[:, :-1]
+    kind = tables.kind.take(before)
+    unknown = np.ones(x.shape, bool)
+    np.less(number, 0, out=unknown[:, 1:])
+    zero = unknown & (tables.base.take(before) > 0)  # order 1 does not know it
+    entry = x.copy()
+    np.copyto(entry[:, 1:], number + np.int32(tables.width), where=~unknown[:, 1:])
+    section = np.searchsorted(_STEPS, np.arange(width), "right") - 1
+    row = (section * lanes + np.arange(lanes)[:, None]) * _STATES
+    k2, k1 = row + state, row + kind
+    trust = _trust(_before(2 * k2 + right, 2 * _STATES, lanes).reshape(-1, _STATES, 2)).ravel()
+    known = _known(_before(4 * k1 + zero + 2 * right, 4 * _STATES, lanes).reshape(-1, _STATES, 4)[..., :2]).ravel()
+    two, one = tables.shares(trust.take(k2), known.take(k1))
+    span = np.where(zero, _TOTAL - two - one, one)
+    a = tables.within.take(entry)
+    b = (a + tables.share.take(entry)) * span >> tables.bits
+    a *= span
+    a >>= tables.bits
+    b -= a
+    a += two
+    a += one * zero
+    np.copyto(a, 0, where=right)
+    np.copyto(b, two, where=right)
+    start[:], size[:] = a.T, b.T
+
+
+def _encode_lanes(x: np.ndarray, number: np.ndarray, tables: _Tables) -> list[bytes]:
+    """x: places, block by position. Returns each block's digits, 24 bits each, the highest byte first."""
+    lanes, width = x.shape
+    digits, sizes = np.zeros((width + 1, lanes), np.uint32), np.zeros((width, lanes), np.uint32)
+    for a in range(0, lanes, _CHUNK):
+        own = slice(a, a + _CHUNK)
+        _intervals(x[own], number[own], tables, digits[:width, own], sizes[:, own])
     low, rng = np.zeros(lanes, _U), np.full(lanes, 1 << 60, _U)
-    digits, moved = np.zeros((width + 2, lanes), np.uint32), np.zeros((width + 2, lanes), bool)
-    since = 0
+    moved = np.zeros((width + 1, lanes), bool)
     for t in range(width):
-        if t in _STEPS:
-            m.refresh(t, at[since:t])
-            since = t
-        i = at[t].astype(np.int64)
-        m.predict(h1, h2)
-        start, size = m.interval(i)
         rng >>= _U(_TOTAL_BITS)
-        low += rng * start.view(_U)
-        rng *= size.view(_U)
-        small = rng < _BIG
-        digits[t], moved[t] = low >> _U(36), small
+        low += rng * digits[t]
+        rng *= sizes[t]
+        small = np.less(rng, _BIG, out=moved[t])
+        digits[t] = low >> _U(36)
         by = small * _U(_DIGIT)
-        low = (low & (_ALL >> (small * _U(28)))) << by
+        low &= _ALL >> (small * _U(28))
+        low <<= by
         rng <<= by
-        m.learn(i, h1, h2)
-        s1, s2 = _slots(i, last)
-        h1, h2, last = s1 + m.slot_at, s2 + m.slot_at, i
     # one digit is enough for a number inside the last interval, as the interval is wider than what it leaves out
     digits[width], moved[width] = (low + (_BIG - _U(1))) >> _U(36), True
-    own = digits.T
     out = []
     for k in range(lanes):
-        code = own[k][moved.T[k]].astype(np.int64)
+        code = digits[:, k][moved[:, k]].astype(np.int64)
         while (over := code >> _DIGIT).any():  # carries go to the digit before
             code &= (1 << _DIGIT) - 1
             code[:-1] += over[1:]
@@ -187,47 +259,104 @@ def _encode_lanes(x: np.ndarray, weights: np.ndarray) -> list[bytes]:
     return out
 
 
-def _decode_lanes(codes: list[bytes], width: int, weights: np.ndarray) -> np.ndarray:
-    """The places of each lane, lane by position."""
+def _decode_lanes(codes: list[bytes], width: int, tables: _Tables) -> np.ndarray:
+    """The places of each block, block by position."""
     lanes = len(codes)
-    m = _Model(lanes, weights)
     room = max(map(len, codes)) // 3 + 4
-    digits = np.zeros((lanes, room), _U)
+    digits = np.zeros((lanes, room), np.uint32)
     for k, c in enumerate(codes):
-        raw = np.frombuffer(c, np.uint8).reshape(-1, 3).astype(_U)
-        digits[k, : len(raw)] = (raw[:, 0] << _U(16)) | (raw[:, 1] << _U(8)) | raw[:, 2]
-    digits = digits.ravel()
-    at = np.arange(lanes) * room
-    code = (digits[at] << _U(36)) | (digits[at + 1] << _U(12)) | (digits[at + 2] >> _U(12))
-    held = digits[at + 2] & _U(0xFFF)  # the code reaches into the middle of a digit
-    at += 3
-    last_digit = np.arange(lanes) * room + room - 1
+        raw = np.frombuffer(c, np.uint8).reshape(-1, 3).astype(np.uint32)
+        digits[k, : len(raw)] = (raw[:, 0] << 16) | (raw[:, 1] << 8) | raw[:, 2]
+    # the code starts in the middle of the third digit, so what follows is cut anew
+    fresh = np.zeros((lanes, room), _U)
+    fresh[:, 2:-1] = (digits[:, 2:-1] & 0xFFF) << 12 | digits[:, 3:] >> 12
+    fresh = fresh.ravel()
+    code = digits[:, 0].astype(_U) << _U(36) | digits[:, 1].astype(_U) << _U(12) | digits[:, 2].astype(_U) >> _U(12)
+    del digits
+    rows = np.arange(lanes)
+    at = rows * room + 2
     rng = np.full(lanes, 1 << 60, _U)
+    bits, starts, ends, places = tables.bits, tables.start, tables.start[1:], tables.place
+    buckets, shift = tables.index()
+    slots, slot_at, of = np.zeros(lanes << _SLOT_BITS, np.int32), rows << _SLOT_BITS, rows * _STATES
     out = np.zeros((width, lanes), np.int32)
-    last, most, since = np.zeros(lanes, np.int64), _U(_TOTAL - 1), 0
-    h1 = h2 = m.slot_at
+    count2, count1 = np.zeros(lanes * _STATES * 2, np.int64), np.zeros(lanes * _STATES * 4, np.int64)
+    # what the positions since the last step met
+    states, kinds = np.zeros((512, lanes), np.int64), np.zeros((512, lanes), np.int64)
+    rights, zeros = np.zeros((512, lanes), bool), np.zeros((512, lanes), bool)
+    least, whole, low_bits = 1 << bits, _TOTAL - (2 << bits), (1 << bits) - 1
+    last = np.zeros(lanes, np.int64)
+    slot, check = _contexts(last, last)
+    base, kind = last.copy(), np.full(lanes, len(_KINDS))
+    steps, since, most, digit = frozenset(_STEPS), 0, _U(_TOTAL - 1), _U(_DIGIT)
     for t in range(width):
-        if t in _STEPS:
-            m.refresh(t, out[since:t])
+        if t in steps:
+            met = slice(t - since)
+            count2 += np.bincount((2 * states[met] + rights[met]).ravel(), minlength=len(count2))
+            count1 += np.bincount((4 * kinds[met] + zeros[met] + 2 * rights[met]).ravel(), minlength=len(count1))
+            trust = _trust(count2.reshape(-1, _STATES, 2)).ravel() * whole >> 16
+            known = _known(count1.reshape(-1, _STATES, 4)[..., :2]).ravel()
             since = t
-        m.predict(h1, h2)
+        slot += slot_at
+        guess = slots.take(slot) ^ check
+        guess *= guess < 1 << _PLACE_BITS  # else another context's
+        state = guess & (_STATES - 1)
+        two = trust.take(np.add(of, state, out=states[t - since]))
+        below = whole - two
+        below *= known.take(np.add(of, kind, out=kinds[t - since]))
+        below >>= 16
+        below += two
+        below += least
         rng >>= _U(_TOTAL_BITS)
-        i = m.find(np.minimum(code // rng, most).view(np.int64))
-        start, size = m.interval(i)
-        code -= rng * start.view(_U)
-        rng *= size.view(_U)
+        target = np.minimum(code // rng, most).view(np.int64)
+        zero = np.greater_equal(target, below, out=zeros[t - since])
+        right = np.less(target, two, out=rights[t - since])
+        first = np.where(zero, below, two)
+        span = np.where(zero, _TOTAL, below)
+        span -= first
+        target -= first
+        np.maximum(target, 0, out=target)
+        target <<= bits
+        target |= low_bits
+        target //= span
+        np.copyto(base, 0, where=zero)
+        target += base
+        e = buckets.take(target >> shift)
+        e += ends.take(e) <= target
+        far = np.flatnonzero(ends.take(e) <= target)
+        if far.size:
+            e[far] = np.searchsorted(starts, target[far], "right") - 1
+        a = starts.take(e)
+        a -= base
+        a *= span
+        a >>= bits
+        b = ends.take(e)
+        b -= base
+        b *= span
+        b >>= bits
+        b -= a
+        a += first
+        i = places.take(e)
+        np.copyto(a, 0, where=right)
+        np.copyto(b, two, where=right)
+        np.copyto(i, guess >> 3, where=right)
+        code -= rng * a.view(_U)
+        rng *= b.view(_U)
         small = rng < _BIG
-        by = small * _U(_DIGIT)
-        digit = digits.take(at)
-        fresh = (held << _U(12)) | (digit >> _U(12))
-        code = (code << by) | (fresh * small)
-        np.copyto(held, digit & _U(0xFFF), where=small)
-        at = np.minimum(at + small, last_digit)
+        by = small * digit
+        code <<= by
+        code |= fresh.take(at, mode="clip") * small
+        at += small
         rng <<= by
         out[t] = i
-        m.learn(i, h1, h2)
-        s1, s2 = _slots(i, last)
-        h1, h2, last = s1 + m.slot_at, s2 + m.slot_at, i
+        check += i << 3
+        np.minimum(state, _STATES - 2, out=state)
+        state *= right
+        check += state
+        check += 1
+        slots[slot] = check
+        slot, check = _contexts(last, i)
+        base, kind, last = tables.base.take(i), tables.kind.take(i), i
     return out.T
 
 
@@ -244,12 +373,14 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _groups(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, table of different ids, their counts, each id's place) of runs of whole blocks that fit LANES and TABLE."""
-    todo = [ids[a : a + BLOCK * LANES] for a in range(0, len(ids), BLOCK * LANES)][::-1]
+    runs = -(-len(ids) // (BLOCK * LANES))
+    size = BLOCK * -(-len(ids) // (BLOCK * max(runs, 1)))  # about equal, as few blocks take a step as long as many
+    todo = [ids[a : a + size] for a in range(0, len(ids), max(size, 1))][::-1]
     while todo:
         part = todo.pop()
         blocks = -(-len(part) // BLOCK)
         table, place, counts = _distinct(part)
-        if blocks > 1 and blocks * len(table) > TABLE:
+        if blocks > 1 and len(table) > TABLE:
             half = blocks // 2 * BLOCK
             todo += [part[half:], part[:half]]
         else:
@@ -259,6 +390,15 @@ def _groups(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             yield part, table[order], counts[order], rank[place]
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, all first bytes before all second ones."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes, count: int, offset: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * count, offset).reshape(4, count).T).view("<u4").ravel().astype(np.int64)
+
+
 def encode(ids: np.ndarray) -> bytes:
     """ids: unsigned, 32-bit at most. Returns one payload."""
     ids = np.asarray(ids, dtype=np.uint32)
@@ -268,10 +408,16 @@ def encode(ids: np.ndarray) -> bytes:
         width = min(BLOCK, len(part))
         x = np.zeros(blocks * width, np.int32)  # a short last block is filled up with the most frequent id, which costs little
         x[: len(part)] = places
+        x = x.reshape(blocks, width)
         level = _level(counts)
+        context, follower, pair_counts, number = _pairs(x, len(table), counts)
+        pair_level = _level(pair_counts)
+        new = np.diff(context, prepend=-1) != 0
+        steps = np.where(new, follower, np.diff(follower, prepend=0))
         by_level = np.concatenate([np.diff(np.sort(table[level == k]), prepend=0) for k in np.unique(level)[::-1]]) if len(table) else table
-        head = zlib.compress(level.tobytes() + by_level.astype("<u4").tobytes())
-        codes = _encode_lanes(x.reshape(blocks, width), _of_level(level))
+        raw = level.tobytes() + _planes(by_level) + _planes(np.bincount(context, minlength=len(table))) + pair_level.tobytes() + _planes(steps)
+        head = zlib.compress(raw)
+        codes = _encode_lanes(x, number, _Tables(_of_level(level), context, follower, _of_level(pair_level)))
         raw = part.astype("<u4")
         crcs = [zlib.crc32(raw[b * BLOCK : (b + 1) * BLOCK]) for b in range(blocks)]
         index = np.array([[len(c) // 3, crc] for c, crc in zip(codes, crcs, strict=True)], "<u4").tobytes()
@@ -280,14 +426,21 @@ def encode(ids: np.ndarray) -> bytes:
     return MAGIC + struct.pack("<IQI", BLOCK, ids.size, len(parts)) + b"".join(parts)
 
 
-def _table(head: bytes, distinct: int) -> tuple[np.ndarray, np.ndarray]:
-    """A group's ids and their weights."""
+def _header(head: bytes, distinct: int) -> tuple[np.ndarray, _Tables]:
+    """A group's ids and its tables."""
     raw = zlib.decompress(head)
-    level, steps = np.frombuffer(raw, np.uint8, distinct), np.frombuffer(raw, "<u4", distinct, distinct)
+    level, steps = np.frombuffer(raw, np.uint8, distinct), _from_planes(raw, distinct, distinct)
     table = np.empty(distinct, np.uint32)
     for k in np.unique(level):
         table[level == k] = np.cumsum(steps[level == k], dtype=np.uint32)
-    return table, _of_level(level)
+    per = _from_planes(raw, distinct, 5 * distinct)
+    pairs = int(per.sum())
+    pair_level, moves = np.frombuffer(raw, np.uint8, pairs, 9 * distinct), _from_planes(raw, pairs, 9 * distinct + pairs)
+    context = np.repeat(np.arange(distinct), per)
+    follower = np.cumsum(moves)
+    first = (np.cumsum(per) - per)[context]
+    follower -= follower[first] - moves[first]
+    return table, _Tables(_of_level(level), context, follower, _of_level(pair_level))
 
 
 def decode(payload: bytes, blocks: slice | None = None) -> np.ndarray:
@@ -305,11 +458,11 @@ def decode(payload: bytes, blocks: slice | None = None) -> np.ndarray:
         count = -(-n // BLOCK)
         own = [k for k in range(count) if done + k in wanted]
         if own:
-            table, weights = _table(payload[pos : pos + head], distinct)
+            table, tables = _header(payload[pos : pos + head], distinct)
             index = np.frombuffer(payload, "<u4", 2 * count, pos + head).reshape(count, 2)
             ends = pos + head + 8 * count + 3 * np.cumsum(index[:, 0].astype(np.int64))
             codes = [payload[int(ends[k]) - 3 * int(index[k, 0]) : int(ends[k])] for k in own]
-            for k, row in zip(own, _decode_lanes(codes, min(BLOCK, n), weights), strict=True):
+            for k, row in zip(own, _decode_lanes(codes, min(BLOCK, n), tables), strict=True):
                 ids = table[row[: min(BLOCK, n - k * BLOCK)]]
                 if zlib.crc32(ids.astype("<u4")) != int(index[k, 1]):
                     raise ValueError(f"block {done + k}: checksum does not fit")

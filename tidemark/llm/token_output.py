@@ -24,8 +24,8 @@ from . import idcodec, tokens
 from .common import shuffle_width, with_prefix_sum
 
 SEGMENT_SCHEMA = "shard int, seq int, n_docs int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, payload binary"
-#: Tokens after which a segment ends, at the next document.
-SEGMENT_TOKENS = idcodec.BLOCK * idcodec.LANES
+#: Tokens after which a segment ends, at the next document, once half as many again stand behind: no shard ends in a short one.
+SEGMENT_TOKENS = idcodec.BLOCK * idcodec.LANES * 2 // 3
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -39,26 +39,30 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col:
         enc, shard, seq = tokens.encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         parts: list[np.ndarray] = []
-        size = 0
+        size = cut = kept = 0  # cut: how many documents the next segment has, once known; kept: their tokens
 
-        def flush() -> pd.DataFrame:
-            counts = [len(p) for p in parts]
-            payload = idcodec.encode(np.concatenate(parts))
-            row = (shard, seq, len(ids), sum(counts), list(ids), counts, payload)
+        def flush(n: int) -> pd.DataFrame:
+            counts, own = [len(p) for p in parts[:n]], ids[:n]
+            flat = np.concatenate(parts[:n])
+            del ids[:n], parts[:n]
+            row = (shard, seq, n, sum(counts), own, counts, idcodec.encode(flat))
             return pd.DataFrame([row], columns=["shard", "seq", "n_docs", "n_tokens", "doc_ids", "doc_tokens", "payload"])
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, own in zip(batch["doc_id"], enc.documents(batch["text"].tolist(), end_id), strict=True):
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
-                parts.append(enc.document(text, end_id))
-                size += len(parts[-1])
-                if size >= SEGMENT_TOKENS:
-                    yield flush()
-                    seq, size = seq + 1, 0
-                    ids.clear()
-                    parts.clear()
+                parts.append(own)
+                size += len(own)
+                if not cut and size >= SEGMENT_TOKENS:
+                    cut, kept = len(parts), size
+                if cut and size >= SEGMENT_TOKENS * 3 // 2 and cut < len(parts):
+                    yield flush(cut)
+                    seq, size = seq + 1, size - kept
+                    cut = kept = 0
+                    if size >= SEGMENT_TOKENS:
+                        cut, kept = len(parts), size
         if ids:
-            yield flush()
+            yield flush(len(ids))
 
     return ranged.mapInPandas(segments, SEGMENT_SCHEMA)
 

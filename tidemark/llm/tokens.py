@@ -12,9 +12,11 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -25,6 +27,8 @@ _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _NUMBER = "0-9²³¹¼½¾"
 _UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xff]")
 _WHITE = re.compile(r"[ \t\n\r]+")
+#: Most characters of texts that are cut into pieces at once.
+_BATCH = 16_000_000
 # Where spaces run on so, a cut before each of them isn't exact: the white space before the last one is one piece.
 _LONG_SPACE = re.compile(r"  (?:\s|$)")
 
@@ -40,6 +44,15 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Kind of each Latin-1 character: 0 white space, 1 letter, 4 other; 2 number and 3 the end of a text stand alone."""
+    out = np.full(256, 4, np.uint8)
+    for kind, characters in ((0, r"[\t\n\r ]"), (1, f"[{_LETTER}]"), (2, f"[{_NUMBER}]"), (3, r"\0")):
+        out[[b for b in range(256) if re.match(characters, chr(b))]] = kind
+    return out
+
+
 class _Memory(dict):
     """piece -> ids as bytes; a miss asks the older half, then the tokenizer."""
 
@@ -83,7 +96,12 @@ class Encoder:
         if self.kind != "whole":
             self.find = re.compile(pattern).findall
         model, letters = self.tokenizer.model, _byte_letters()
-        self.pieces = _Memory(lambda piece: [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+
+        def of_piece(piece: str) -> list[int]:  # without white space, an ASCII piece is written as it is
+            plain = piece.isascii() and self.kind == "dropped"
+            return [t.id for t in model.tokenize(piece if plain else piece.encode().decode("latin-1").translate(letters))]
+
+        self.pieces = _Memory(of_piece)
         self.chunks = _Memory(self._library)
 
     def _library(self, text: str) -> list[int]:
@@ -107,6 +125,46 @@ class Encoder:
         """The ids of one document, end_id last."""
         return np.frombuffer(self.encode(text) + array("I", [end_id]).tobytes(), "<u4")
 
+    def documents(self, texts: Sequence[str | None], end_id: int) -> list[np.ndarray]:
+        """document() of each text. Many texts in Latin-1 letters are cut together and each of their different pieces looked up once."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        own, size = [], 0
+        for k, text in enumerate(texts if self.kind == "dropped" else ()):
+            # an apostrophe may start a piece that ends between letters
+            if text and "'" not in text and not _UNUSUAL.search(text) and not any(a in text for a in self.added):
+                own.append(k)
+                size += len(text)
+            if own and (size >= _BATCH or k == len(texts) - 1):
+                for j, ids in zip(own, self._together([texts[j] for j in own], end_id), strict=True):
+                    out[j] = ids
+                own, size = [], 0
+        return [self.document(text, end_id) if ids is None else ids for text, ids in zip(texts, out, strict=True)]
+
+    def _together(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
+        raw = np.frombuffer(("\0".join(texts) + "\0").lower().encode("latin-1"), np.uint8)
+        kind = _kinds()[raw]
+        new = (kind & 2) > 0
+        new[1:] |= kind[1:] != kind[:-1]
+        new[0] = True
+        shown = kind > 0
+        data = raw[shown]
+        first = np.flatnonzero(new[shown])
+        offsets = np.append(first, len(data)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        _, offsets, characters = coded.dictionary.buffers()
+        cuts = np.frombuffer(offsets, np.int32, len(coded.dictionary) + 1).tolist()
+        characters = str(characters, "latin-1")
+        end, get = array("I", [end_id]).tobytes(), self.pieces.__getitem__
+        pieces = (characters[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+        ids = [end if piece == "\0" else get(piece) for piece in pieces]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+        which = coded.indices.to_numpy()
+        size = sizes.take(which)
+        ends = np.cumsum(size, dtype=np.int32)
+        at = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes).take(which) - ends + size, size)
+        at += np.arange(len(at), dtype=np.int32)
+        return iter(np.split(np.frombuffer(b"".join(ids), "<u4").take(at), ends[data[first] == 0][:-1]))
+
 
 def _drops_space(pre: dict, norm: dict | None) -> bool:
     """Lower-cases, and splits so that white space never reaches the model."""
