@@ -5,12 +5,13 @@ alone with its group's header. The model mixes three predictions of the next id:
 
 - order 0: how often each id comes in the group of blocks (kept in the group's header);
 - order 1: the ids that follow the previous id there, and how often; pairs that would not earn their place are left out;
-- order 2: the id that last followed the previous two ids in this block (a slot also keeps a check of its context).
+- order 2: the id that last followed the previous two ids in this block.
 
-Each has a share of the range, one behind the other: order 2 gives all of its own to one id, orders 1 and 0 by their counts. An
-id is coded in the highest order that knows it. The shares are learnt: every block counts how often order 2 comes true after
-each number of hits in a row, and how often order 1 knows the id, for contexts of each kind; at fixed steps the shares follow
-the counts. The interval drives a carry-propagating range coder with 24-bit digits.
+Each has a share of the range. Order 1 divides its own by its counts and order 2 adds all of its own to one id there, so that an
+id has what both give it; order 0 has the rest, for ids that order 1 does not know. A context without followers has the counts
+of order 0 in place of order 1's. The shares are learnt: every block counts how often order 2 comes true after each number of
+hits in a row, and how often order 1 knows the id, for contexts of each kind; at fixed steps the shares follow the counts. The
+interval drives a carry-propagating range coder with 24-bit digits.
 
 Blocks do not depend on each other, so a worker codes a group of them side by side. The encoder knows all ids beforehand and
 finds every interval by sorting contexts; its only loop over positions is the coder's. The decoder takes one numpy step for
@@ -36,9 +37,8 @@ MAGIC = b"TMK3"
 _TOTAL_BITS, _SLOT_BITS, _DIGIT = 24, 12, 24
 _TOTAL = 1 << _TOTAL_BITS
 _STEPS = (0, *(64 << k for k in range(5)), *range(1536, BLOCK, 512))
-#: A slot holds a check of its context, the place predicted and a state: 0 for none yet, then one more than its hits in a row.
-_STATES, _PLACE_BITS = 8, 20
-_CHECK = (1 << 31) - (1 << _PLACE_BITS)
+#: A slot holds the entry predicted and a state: 0 for none yet, then one more than its hits in a row.
+_STATES = 8
 #: Shares (of 65536) with which states of order 2 start, and how many ids that is worth.
 _TRUST, _TRUST_PRIOR = (0, 9000, 26000, 45000, 56000, 60000, 62000, 63000), 24
 #: Kinds of contexts, by how many 64ths of their followers order 1 knows, their first shares and what those are worth.
@@ -85,9 +85,12 @@ class _Tables:
         share = 1 + counts * ((1 << self.bits) - sizes[of]) // np.maximum(sums[of], 1)
         if width:
             share[first] += (1 << self.bits) - np.add.reduceat(share, first)
-        self.share, self.start = share, np.zeros(len(share) + 1, np.int64)
+        self.start = np.zeros(len(share) + 1, np.int64)
         np.cumsum(share, out=self.start[1:])
+        # where entries begin and end in their rows, and where the rows begin
         self.within = self.start[:-1] & ((1 << self.bits) - 1)
+        self.until = self.within + share
+        self.row = self.start[:-1] - self.within
         # what follows a place, and at the end what starts a block
         self.base = np.append(row << self.bits, 0)
         known = np.bincount(context, pair_weights, width).astype(np.int64) * 64 // np.maximum(weights, 1)
@@ -95,9 +98,9 @@ class _Tables:
 
     def index(self) -> tuple[np.ndarray, int]:
         """For each bucket of a row the entry in which it starts, and by how many bits a bucket is found."""
-        shift = self.bits - min(max(18 - self.rows.bit_length(), 2), 10)
-        buckets = np.arange(self.rows << (self.bits - shift)) << shift
-        return np.searchsorted(self.start, buckets, "right") - 1, shift
+        shift = self.bits - min(max(20 - self.rows.bit_length(), 2), 10)
+        first = self.start + (1 << shift) - 1 >> shift
+        return np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first)), shift
 
     def shares(self, trust: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What orders 2 and 1 get of _TOTAL; orders 1 and 0 keep enough for each of their entries."""
@@ -119,10 +122,9 @@ def _known(counts: np.ndarray) -> np.ndarray:
     return (np.array(_KNOWN) * _KNOWN_PRIOR + (counts[..., 0] << 16)) // (_KNOWN_PRIOR + counts.sum(-1))
 
 
-def _contexts(last: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check (in the bits behind a place and a state) of the context that is place i after place last."""
-    h = last * last.dtype.type(0x9E3779B1) + i * last.dtype.type(0x85EBCA6B)
-    return (h >> 7) & ((1 << _SLOT_BITS) - 1), h & _CHECK
+def _slots(last: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """Slot of the context that is place i after place last."""
+    return (last * last.dtype.type(0x9E3779B1) + i * last.dtype.type(0x85EBCA6B) >> 7) & ((1 << _SLOT_BITS) - 1)
 
 
 def _pairs(x: np.ndarray, width: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,32 +162,34 @@ def _pairs(x: np.ndarray, width: int, weights: np.ndarray) -> tuple[np.ndarray,
     return context[keep], follower[keep], counts[keep], number
 
 
-def _second_order(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """x: places, unsigned. States of the slots that each position meets, and whether order 2 is right there."""
+def _second_order(x: np.ndarray, entry: np.ndarray, row: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """x: places, unsigned; entry: each one's entry; row, base: where its row and that of its context begin. Returns the entries
+    that order 2 predicts and the states of their slots, 0 where there is none in the context's row."""
     lanes, width = x.shape
     last, now = np.zeros_like(x), np.zeros_like(x)
     last[:, 2:], now[:, 1:] = x[:, :-2], x[:, :-1]
-    slot, check = _contexts(last, now)
     key = np.arange(lanes, dtype=np.uint32)[:, None] << 24 | np.arange(width, dtype=np.uint32)
-    key |= slot << 12
+    key |= _slots(last, now) << 12
     key = key.ravel()
     key.sort()
     at = (key >> 24) * np.uint32(width) + (key & 0xFFF)
-    own, seen = x.ravel().take(at), check.ravel().take(at)
     key >>= 12
-    same = np.zeros(len(at), bool)  # the slot was last filled by the same context
-    same[1:] = (key[1:] == key[:-1]) & (seen[1:] == seen[:-1])
-    hit = same.copy()
-    hit[1:] &= own[1:] == own[:-1]
+    own, rows, bases = entry.ravel().take(at), row.ravel().take(at), base.ravel().take(at)
+    seen = np.zeros_like(own)
+    seen[1:] = own[:-1]
+    same = np.zeros(len(at), bool)
+    same[1:] = (key[1:] == key[:-1]) & (rows[:-1] == bases[1:])
+    seen *= same
+    hit = same & (own == seen)
     places = np.arange(len(at), dtype=np.int32)
     in_a_row = places - np.maximum.accumulate(places * ~hit)
     sorted_state = np.zeros(len(at), np.uint8)
     sorted_state[1:] = np.minimum(in_a_row[:-1], _STATES - 2)
     sorted_state += 1
     sorted_state *= same
-    state, right = np.empty(len(at), np.uint8), np.empty(len(at), bool)
-    state[at], right[at] = sorted_state, hit
-    return state.reshape(x.shape), right.reshape(x.shape)
+    state, guess = np.empty(len(at), np.uint8), np.empty_like(own)
+    state[at], guess[at] = sorted_state, seen
+    return guess.reshape(x.shape), state.reshape(x.shape)
 
 
 def _before(cell: np.ndarray, cells: int, lanes: int) -> np.ndarray:
@@ -200,15 +204,16 @@ def _before(cell: np.ndarray, cells: int, lanes: int) -> np.ndarray:
 def _intervals(x: np.ndarray, number: np.ndarray, tables: _Tables, start: np.ndarray, size: np.ndarray) -> None:
     """Fills start and size (position by block) of each place's interval."""
     lanes, width = x.shape
-    state, right = _second_order(x.view(np.uint32))
     before = np.full_like(x, tables.width)
     before[:, 1:] = x[:, :-1]
-    kind = tables.kind.take(before)
+    kind, base = tables.kind.take(before), tables.base.take(before)
     unknown = np.ones(x.shape, bool)
     np.less(number, 0, out=unknown[:, 1:])
-    zero = unknown & (tables.base.take(before) > 0)  # order 1 does not know it
+    zero = unknown & (base > 0)  # order 1 does not know it
     entry = x.copy()
     np.copyto(entry[:, 1:], number + np.int32(tables.width), where=~unknown[:, 1:])
+    guess, state = _second_order(x.view(np.uint32), entry, np.where(zero, 0, base), base)
+    right = (guess == entry) & (state > 0)
     section = np.searchsorted(_STEPS, np.arange(width), "right") - 1
     row = (section * lanes + np.arange(lanes)[:, None]) * _STATES
     k2, k1 = row + state, row + kind
@@ -216,15 +221,16 @@ def _intervals(x: np.ndarray, number: np.ndarray, tables: _Tables, start: np.nda
     known = _known(_before(4 * k1 + zero + 2 * right, 4 * _STATES, lanes).reshape(-1, _STATES, 4)[..., :2]).ravel()
     two, one = tables.shares(trust.take(k2), known.take(k1))
     span = np.where(zero, _TOTAL - two - one, one)
-    a = tables.within.take(entry)
-    b = (a + tables.share.take(entry)) * span >> tables.bits
+    a, b = tables.within.take(entry), tables.until.take(entry)
     a *= span
     a >>= tables.bits
+    b *= span
+    b >>= tables.bits
     b -= a
-    a += two
+    b += two * right
+    behind = zero | (entry > guess)  # what order 2 adds comes before it
+    a += two * behind
     a += one * zero
-    np.copyto(a, 0, where=right)
-    np.copyto(b, two, where=right)
     start[:], size[:] = a.T, b.T
 
 
@@ -241,7 +247,7 @@ def _encode_lanes(x: np.ndarray, number: np.ndarray, tables: _Tables) -> list[by
         rng >>= _U(_TOTAL_BITS)
         low += rng * digits[t]
         rng *= sizes[t]
-        small = np.less(rng, _BIG, out=moved[t])
+        small = np.less(rng, _BIG, out=moved[t]).astype(_U)
         digits[t] = low >> _U(36)
         by = small * _U(_DIGIT)
         low &= _ALL >> (small * _U(28))
@@ -276,7 +282,7 @@ def _decode_lanes(codes: list[bytes], width: int, tables: _Tables) -> np.ndarray
     rows = np.arange(lanes)
     at = rows * room + 2
     rng = np.full(lanes, 1 << 60, _U)
-    bits, starts, ends, places = tables.bits, tables.start, tables.start[1:], tables.place
+    bits, starts, ends, within, until, places = tables.bits, tables.start, tables.start[1:], tables.within, tables.until, tables.place
     buckets, shift = tables.index()
     slots, slot_at, of = np.zeros(lanes << _SLOT_BITS, np.int32), rows << _SLOT_BITS, rows * _STATES
     out = np.zeros((width, lanes), np.int32)
@@ -286,8 +292,7 @@ def _decode_lanes(codes: list[bytes], width: int, tables: _Tables) -> np.ndarray
     rights, zeros = np.zeros((512, lanes), bool), np.zeros((512, lanes), bool)
     least, whole, low_bits = 1 << bits, _TOTAL - (2 << bits), (1 << bits) - 1
     last = np.zeros(lanes, np.int64)
-    slot, check = _contexts(last, last)
-    base, kind = last.copy(), np.full(lanes, len(_KINDS))
+    base, kind, slot = last.copy(), np.full(lanes, len(_KINDS)), _slots(last, last)
     steps, since, most, digit = frozenset(_STEPS), 0, _U(_TOTAL - 1), _U(_DIGIT)
     for t in range(width):
         if t in steps:
@@ -298,27 +303,38 @@ def _decode_lanes(codes: list[bytes], width: int, tables: _Tables) -> np.ndarray
             known = _known(count1.reshape(-1, _STATES, 4)[..., :2]).ravel()
             since = t
         slot += slot_at
-        guess = slots.take(slot) ^ check
-        guess *= guess < 1 << _PLACE_BITS  # else another context's
-        state = guess & (_STATES - 1)
+        state = slots.take(slot)
+        guess = state >> 3
+        state &= _STATES - 1
+        state *= tables.row.take(guess) == base  # else another context's
         two = trust.take(np.add(of, state, out=states[t - since]))
-        below = whole - two
-        below *= known.take(np.add(of, kind, out=kinds[t - since]))
-        below >>= 16
-        below += two
-        below += least
+        one = whole - two
+        one *= known.take(np.add(of, kind, out=kinds[t - since]))
+        one >>= 16
+        one += least
         rng >>= _U(_TOTAL_BITS)
         target = np.minimum(code // rng, most).view(np.int64)
-        zero = np.greater_equal(target, below, out=zeros[t - since])
-        right = np.less(target, two, out=rights[t - since])
-        first = np.where(zero, below, two)
-        span = np.where(zero, _TOTAL, below)
+        guess_a = within.take(guess)
+        guess_a *= one
+        guess_a >>= bits
+        guess_b = until.take(guess)
+        guess_b *= one
+        guess_b >>= bits
+        guess_b += two
+        behind = target >= guess_b
+        right = np.greater(target >= guess_a, behind, out=rights[t - since])
+        right &= state > 0
+        added = two * behind
+        target -= added
+        zero = np.greater(target >= one, right, out=zeros[t - since])
+        first = one * zero
+        span = np.where(zero, _TOTAL - two, one)
         span -= first
         target -= first
-        np.maximum(target, 0, out=target)
         target <<= bits
         target |= low_bits
         target //= span
+        np.minimum(target, low_bits, out=target)  # where order 2 is right
         np.copyto(base, 0, where=zero)
         target += base
         e = buckets.take(target >> shift)
@@ -326,36 +342,36 @@ def _decode_lanes(codes: list[bytes], width: int, tables: _Tables) -> np.ndarray
         far = np.flatnonzero(ends.take(e) <= target)
         if far.size:
             e[far] = np.searchsorted(starts, target[far], "right") - 1
-        a = starts.take(e)
-        a -= base
+        np.copyto(e, guess, where=right)
+        a = within.take(e)
         a *= span
         a >>= bits
-        b = ends.take(e)
-        b -= base
+        b = until.take(e)
         b *= span
         b >>= bits
         b -= a
+        b += two * right
         a += first
+        a += added
         i = places.take(e)
-        np.copyto(a, 0, where=right)
-        np.copyto(b, two, where=right)
-        np.copyto(i, guess >> 3, where=right)
         code -= rng * a.view(_U)
         rng *= b.view(_U)
-        small = rng < _BIG
+        small = (rng < _BIG).astype(_U)
         by = small * digit
         code <<= by
-        code |= fresh.take(at, mode="clip") * small
-        at += small
         rng <<= by
+        by = fresh.take(at, mode="clip")
+        by *= small
+        code |= by
+        at += small.view(np.int64)
         out[t] = i
-        check += i << 3
         np.minimum(state, _STATES - 2, out=state)
         state *= right
-        check += state
-        check += 1
-        slots[slot] = check
-        slot, check = _contexts(last, i)
+        state += 1
+        e <<= 3
+        state += e
+        slots[slot] = state
+        slot = _slots(last, i)
         base, kind, last = tables.base.take(i), tables.kind.take(i), i
     return out.T
 

@@ -45,12 +45,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 @lru_cache(1)
-def _kinds() -> np.ndarray:
-    """Kind of each Latin-1 character: 0 white space, 1 letter, 4 other; 2 number and 3 the end of a text stand alone."""
-    out = np.full(256, 4, np.uint8)
-    for kind, characters in ((0, r"[\t\n\r ]"), (1, f"[{_LETTER}]"), (2, f"[{_NUMBER}]"), (3, r"\0")):
-        out[[b for b in range(256) if re.match(characters, chr(b))]] = kind
-    return out
+def _byte_tables() -> tuple[bytes, bytes]:
+    """For each Latin-1 character its lower-case form, and its kind: 0 white space, 1 letter, 4 other; 2 number and 3 the end of
+    a text stand alone; 8 is for what _UNUSUAL finds."""
+    characters = [chr(b) for b in range(256)]
+    kinds = ((3, r"\0"), (8, _UNUSUAL), (0, r"[\t\n\r ]"), (1, f"[{_LETTER}]"), (2, f"[{_NUMBER}]"), (4, ""))
+    return "".join(map(str.lower, characters)).encode("latin-1"), bytes(next(k for k, p in kinds if re.match(p, c)) for c in characters)
 
 
 class _Memory(dict):
@@ -131,7 +131,7 @@ class Encoder:
         own, size = [], 0
         for k, text in enumerate(texts if self.kind == "dropped" else ()):
             # an apostrophe may start a piece that ends between letters
-            if text and "'" not in text and not _UNUSUAL.search(text) and not any(a in text for a in self.added):
+            if text and "'" not in text and not any(a in text for a in self.added) and "\0" not in text:
                 own.append(k)
                 size += len(text)
             if own and (size >= _BATCH or k == len(texts) - 1):
@@ -140,14 +140,24 @@ class Encoder:
                 own, size = [], 0
         return [self.document(text, end_id) if ids is None else ids for text, ids in zip(texts, out, strict=True)]
 
-    def _together(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
-        raw = np.frombuffer(("\0".join(texts) + "\0").lower().encode("latin-1"), np.uint8)
-        kind = _kinds()[raw]
+    def _together(self, texts: list[str], end_id: int) -> Iterator[np.ndarray | None]:
+        """None stands for a text with other characters."""
+        lower, kinds = _byte_tables()
+        try:
+            raw = ("\0".join(texts) + "\0").encode("latin-1").translate(lower)
+            kind = np.frombuffer(raw.translate(kinds), np.uint8)
+            usual = not (kind & 8).any()
+        except UnicodeEncodeError:
+            usual = False
+        if not usual:
+            fit = [not _UNUSUAL.search(text) for text in texts]
+            done = self._together([text for text, f in zip(texts, fit, strict=True) if f], end_id) if any(fit) else iter(())
+            return iter([next(done) if f else None for f in fit])
         new = (kind & 2) > 0
         new[1:] |= kind[1:] != kind[:-1]
         new[0] = True
         shown = kind > 0
-        data = raw[shown]
+        data = np.frombuffer(raw.translate(None, b" \t\n\r"), np.uint8)
         first = np.flatnonzero(new[shown])
         offsets = np.append(first, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
