@@ -92,6 +92,20 @@ def test_texts_cut_together_are_exact(name, monkeypatch):
             assert [ids.tolist() for ids in enc.documents(texts, 2)] == want
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("strevmldSLa'' .9\n\"é"), max_size=14), max_size=4))
+def test_contractions_cut_together_are_exact(texts):
+    enc = tokens.encoder(tokens.vocabulary("word_bpe_49k.json"))
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [ids.tolist() for ids in enc.documents(texts, 2)] == want
+
+
+def test_contractions_are_looked_up_once_a_batch():
+    enc, asked = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json")), []
+    enc.encode = lambda text: asked.append(text) or b""
+    assert len(enc.documents(["it's", "They'll go, won't they're 'left'", "'"] * 50, 2)) == 150 and not asked
+
+
 def test_pieces_are_looked_up_once_a_batch():
     """A batch asks the memory for its different pieces, not for all of them."""
     enc, asked = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json")), []

@@ -130,8 +130,7 @@ class Encoder:
         out: list[np.ndarray | None] = [None] * len(texts)
         own, size = [], 0
         for k, text in enumerate(texts if self.kind == "dropped" else ()):
-            # an apostrophe may start a piece that ends between letters
-            if text and "'" not in text and not any(a in text for a in self.added) and "\0" not in text:
+            if text and not any(a in text for a in self.added) and "\0" not in text:
                 own.append(k)
                 size += len(text)
             if own and (size >= _BATCH or k == len(texts) - 1):
@@ -156,6 +155,14 @@ class Encoder:
         new = (kind & 2) > 0
         new[1:] |= kind[1:] != kind[:-1]
         new[0] = True
+        letters = np.frombuffer(raw, np.uint8)
+        marks = np.flatnonzero((letters == ord("'")) & new)  # those that a piece starts with take letters: 's, 're and the like
+        one, two = letters[marks + 1], letters[np.minimum(marks + 2, len(raw) - 1)]
+        short = np.isin(one, list(b"stmd"))
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        new[marks[short | long] + 1] = False
+        new[marks[short] + 2] = True
+        new[marks[long] + 3] = True
         shown = kind > 0
         data = np.frombuffer(raw.translate(None, b" \t\n\r"), np.uint8)
         first = np.flatnonzero(new[shown])
